@@ -85,15 +85,15 @@ def germline_weights(
     normal_alt: Column | None = None,
     *,
     maf: Column | None = None,
-    diploid: bool = True,
+    diploid: Column | None = None,
     somatic_prior: float = SOMATIC_PRIOR,
     error: float = ERROR_RATE,
 ) -> dict[str, Column]:
     """log10 weights of inherited (het, hom) and somatic origin, given both samples.
 
     ``maf`` is the minor-allele share of the tumour segment; het reads then
-    follow it or its complement instead of one half. ``diploid=False`` leaves
-    the het state out, as a haploid contig has none.
+    follow it or its complement instead of one half. Where ``diploid`` is false
+    the het state has no weight, as a haploid contig has none.
     """
     q = clamped_af(af)
     het = F.log10(F.lit(2.0) * q * (F.lit(1.0) - q))
@@ -116,7 +116,9 @@ def germline_weights(
         het = het + log_likelihood(normal_ref, normal_alt, 0.5, error)
         hom = hom + log_likelihood(normal_ref, normal_alt, 1.0, error)
         somatic = somatic + log_likelihood(normal_ref, normal_alt, 0.0, error)
-    return {"het": het, "hom": hom, "somatic": somatic} if diploid else {"hom": hom, "somatic": somatic}
+    if diploid is not None:
+        het = F.when(diploid, het).otherwise(F.lit(float("-inf")))
+    return {"het": het, "hom": hom, "somatic": somatic}
 
 
 def contamination_weights(

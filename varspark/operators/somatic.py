@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varspark.functions.evidence import germline_weights, normal_lod, tumour_lod, with_share
-from varspark.operators.regions import exclude_contig, only_contig
+from varspark.operators.regions import only_contig
 from varspark.operators.sites import annotate_germline, sort_sites
 from varspark.operators.skew import SALT, add_salt, spread_join
 from varspark.schemas import SITE
@@ -24,7 +24,7 @@ def tumour_candidates(
     pairs: DataFrame,
     min_alt: int = MIN_ALT,
     min_depth: int = MIN_DEPTH,
-    min_lod: float = MIN_TUMOUR_LOD,
+    min_lod: Column | float = MIN_TUMOUR_LOD,
 ) -> DataFrame:
     """Tumour alleles of each pair with enough evidence of their own.
 
@@ -69,14 +69,16 @@ def mark_pon(calls: DataFrame, pon: DataFrame) -> DataFrame:
     return spread_join(calls, listed, SITE, "left").withColumn("in_pon", F.coalesce("in_pon", F.lit(False)))
 
 
-def germline_posterior(calls: DataFrame, diploid: bool = True, maf: str | None = None, out: str = "p_germline") -> DataFrame:
+def germline_posterior(
+    calls: DataFrame, diploid: Column | None = None, maf: str | None = None, out: str = "p_germline"
+) -> DataFrame:
     """Add P(germline) given the counts of both samples and the population frequency."""
     counts = [F.col(c) for c in ("t_ref", "t_alt", "af", "n_ref", "n_alt")]
     weights = germline_weights(*counts, maf=F.col(maf) if maf else None, diploid=diploid)
-    return with_share(calls, out, weights, ["het", "hom"] if diploid else ["hom"])
+    return with_share(calls, out, weights, ["het", "hom"])
 
 
-def _call(counts, pairs, pon, germline, min_lod: float, diploid: bool) -> DataFrame:
+def _call(counts, pairs, pon, germline, min_lod: Column | float, diploid: Column | None) -> DataFrame:
     cands = join_matched_normal(tumour_candidates(counts, pairs, min_lod=min_lod), counts)
     # One salt for both site tables: the calls are shuffled by site once.
     marked = mark_pon(annotate_germline(add_salt(cands), germline), pon).drop(SALT)
@@ -87,7 +89,7 @@ def call_pairs(
     counts: DataFrame, pairs: DataFrame, pon: DataFrame, germline: DataFrame, min_lod: float = MIN_TUMOUR_LOD
 ) -> DataFrame:
     """Unfiltered calls of every pair."""
-    return _call(counts, pairs, pon, germline, min_lod, diploid=True)
+    return _call(counts, pairs, pon, germline, min_lod, None)
 
 
 def call_mitochondria(
@@ -99,19 +101,21 @@ def call_mitochondria(
     min_lod: float = MIN_TUMOUR_LOD_MITO,
 ) -> DataFrame:
     """Calls on the mitochondrial contig: lower LOD, no heterozygous state."""
-    return _call(only_contig(counts, contig), pairs, pon, only_contig(germline, contig), min_lod, diploid=False)
-
-
-def merge_branches(contigs: DataFrame, *branches: DataFrame) -> DataFrame:
-    return sort_sites(reduce(lambda a, b: a.unionByName(b), branches), contigs)
+    only = only_contig(germline, contig)
+    return _call(only_contig(counts, contig), pairs, pon, only, min_lod, F.lit(False))
 
 
 def call_genome(
     counts: DataFrame, pairs: DataFrame, pon: DataFrame, germline: DataFrame, mito: str = "chrM"
 ) -> DataFrame:
-    """Nuclear and mitochondrial calls together, unsorted."""
-    nuclear = call_pairs(exclude_contig(counts, mito), pairs, pon, germline)
-    return nuclear.unionByName(call_mitochondria(counts, pairs, pon, germline, mito))
+    """Nuclear and mitochondrial calls in one pass, each contig by its own rules."""
+    nuclear = F.col("contig") != mito
+    min_lod = F.when(nuclear, MIN_TUMOUR_LOD).otherwise(MIN_TUMOUR_LOD_MITO)
+    return _call(counts, pairs, pon, germline, min_lod, nuclear)
+
+
+def merge_branches(contigs: DataFrame, *branches: DataFrame) -> DataFrame:
+    return sort_sites(reduce(lambda a, b: a.unionByName(b), branches), contigs)
 
 
 def callable_stats(callable_: DataFrame, pairs: DataFrame) -> DataFrame:

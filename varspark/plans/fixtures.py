@@ -6,6 +6,8 @@ like any scatter it has a fixed number of evenly sized intervals.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,29 @@ ORDERS_PER_SAMPLE = 100
 PANEL = 400
 SHIFT = 40
 
+# Types of the columns used, so that no file is opened to infer them.
+TYPES = {
+    "c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string",
+    "s_suppkey": "bigint", "s_nationkey": "int", "s_acctbal": "double",
+    "p_partkey": "bigint", "p_size": "int",
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderpriority": "string",
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+    "l_quantity": "double", "l_discount": "double",
+    "event_id": "bigint", "user_id": "bigint", "event_type": "string", "value": "double",
+}
+
+
+def once(method):
+    """Build the frame of a method once per ``Tables``."""
+
+    @wraps(method)
+    def built(self):
+        if method.__name__ not in self._built:
+            self._built[method.__name__] = method(self)
+        return self._built[method.__name__]
+
+    return built
+
 
 def padded(number: str) -> str:
     return f"lpad(cast({number} as string), 11, '0')"
@@ -30,9 +55,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._built: dict[str, DataFrame] = {}
 
     def raw(self, name: str, *columns: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").select(*columns)
+        """The named columns of a driver table and nothing else."""
+        schema = ", ".join(f"{c} {TYPES[c]}" for c in columns)
+        return self.spark.read.schema(schema).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _manifest(self, rows: DataFrame) -> DataFrame:
         """``rows``: s, nation, balance, library."""
@@ -50,6 +78,7 @@ class Tables:
             "library",
         )
 
+    @once
     def keyed_manifest(self) -> DataFrame:
         return self._manifest(
             self.raw("customer", "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment").selectExpr(
@@ -60,9 +89,11 @@ class Tables:
             )
         )
 
+    @once
     def manifest(self) -> DataFrame:
         return self.keyed_manifest().drop("s")
 
+    @once
     def second_manifest(self) -> DataFrame:
         return self._manifest(
             self.raw("supplier", "s_suppkey", "s_nationkey", "s_acctbal").selectExpr(
@@ -70,15 +101,19 @@ class Tables:
             )
         ).drop("s")
 
+    @once
     def samples(self) -> DataFrame:
         return samples_of(self.manifest())
 
+    @once
     def normals(self) -> DataFrame:
         return normal_samples(self.samples())
 
+    @once
     def pairs(self) -> DataFrame:
         return pair_tumour_normal(self.samples())
 
+    @once
     def keyed_sites(self) -> DataFrame:
         """locus, contig, pos, r (letter of the reference base), ref, alts, afs."""
         letter = lambda n: f"substr('ACGT', cast(1 + ({n}) % 4 as int), 1)"
@@ -106,13 +141,16 @@ class Tables:
             )
         )
 
+    @once
     def sites(self) -> DataFrame:
         return self.keyed_sites().drop("locus", "r")
 
+    @once
     def germline(self) -> DataFrame:
         """Alleles common enough to be in the resource; the rest are unknown to it."""
         return explode_alleles(self.sites()).filter(F.col("af") > 0.16)
 
+    @once
     def observations(self) -> DataFrame:
         """Ref and alt reads per sample number, locus and allele number.
 
@@ -160,6 +198,7 @@ class Tables:
             F.sum(F.col("a") - f1r2).alias("alt_f2r1"),
         )
 
+    @once
     def counts(self) -> DataFrame:
         """lab_id, contig, pos, ref, alt, ref_count, alt_count, alt_f1r2, alt_f2r1."""
         listed = self.keyed_manifest().filter(~F.col("sample_id").startswith("#")).select("s", "lab_id")
@@ -175,6 +214,7 @@ class Tables:
             )
         )
 
+    @once
     def pileups(self) -> DataFrame:
         """Counts at common biallelic sites, in the form of a pileup table."""
         common = select_common_biallelic(self.sites())
@@ -182,6 +222,7 @@ class Tables:
             "lab_id", "contig", "pos", "ref_count", "alt_count", "0L as other_alt_count", "af"
         )
 
+    @once
     def intervals(self) -> DataFrame:
         """``SCATTER`` evenly sized intervals over four contigs, with their number."""
         per_contig = SCATTER // 4
@@ -201,12 +242,14 @@ class Tables:
             )
         )
 
+    @once
     def excluded(self) -> DataFrame:
         """BED regions around every site with an AF above 0.45."""
         return (
             self.sites().filter(F.col("afs")[0] > 0.45).selectExpr("contig", "pos - 11 as bed_start", "pos + 29 as bed_end")
         )
 
+    @once
     def dictionary(self) -> DataFrame:
         """Contigs of the sites, in numeric order."""
         return (
@@ -216,6 +259,7 @@ class Tables:
             .selectExpr("contig", "cast(substr(contig, 4) as bigint) - 1 as idx", "length")
         )
 
+    @once
     def contigs(self) -> DataFrame:
         """A dictionary with one contig per supplier."""
         return self.raw("supplier", "s_suppkey").selectExpr(
@@ -224,6 +268,7 @@ class Tables:
             "1000 + (s_suppkey * 7919) % 5000 as length",
         )
 
+    @once
     def ref_bases(self) -> DataFrame:
         """Reference sequence: 25 bases from each site on."""
         return (
@@ -234,9 +279,11 @@ class Tables:
             )
         )
 
+    @once
     def contexts(self) -> DataFrame:
         return kmer_context(self.sites(), self.ref_bases())
 
+    @once
     def mnps(self) -> DataFrame:
         """Three-base substitutions; rows whose alleles are equal are no variants."""
         return (
@@ -250,6 +297,7 @@ class Tables:
             .filter("ref <> alt")
         )
 
+    @once
     def reads(self) -> DataFrame:
         return self.raw("events", "event_id", "user_id").selectExpr(
             f"concat('P', {padded('user_id div 10')}, '-N') as lab_id",
@@ -265,6 +313,7 @@ class Tables:
             "translate(md5(cast(event_id + 1 as string)), '0123456789abcdef', '#+5:?AFIIIIIIIII') as qual",
         )
 
+    @once
     def log_lines(self) -> DataFrame:
         return self.raw("events", "event_id", "event_type", "value").selectExpr(
             f"{padded('event_id div 4')} as task_id",
@@ -277,6 +326,7 @@ class Tables:
                  else concat('Runtime.totalMemory()=', cast(cast(floor(value * 10000000) as bigint) as string)) end as line""",
         )
 
+    @once
     def tasks(self) -> DataFrame:
         """Expected tasks with a parameter: five orders are one task."""
         return (
@@ -286,6 +336,7 @@ class Tables:
             .selectExpr("task_id", "concat('group', cast(n div 50 as string)) as batch", "last_order")
         )
 
+    @once
     def outputs(self) -> DataFrame:
         """Files found: one per order, absent for cheap orders and empty for dear ones."""
         return (
@@ -298,6 +349,7 @@ class Tables:
             )
         )
 
+    @once
     def job_logs(self) -> DataFrame:
         return self.raw("events", "event_id", "event_type", "value").selectExpr(
             f"{padded('event_id')} as job_id",
@@ -306,9 +358,11 @@ class Tables:
             "if(value > 150, 'stderr text', '') as stderr",
         )
 
+    @once
     def jobs(self) -> DataFrame:
         return self.raw("orders", "o_orderkey").selectExpr(f"{padded('o_orderkey')} as job_id")
 
+    @once
     def job_usage(self) -> DataFrame:
         return self.raw("orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority").selectExpr(
             f"concat('job', {padded('o_orderkey')}) as job",

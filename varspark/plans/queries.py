@@ -41,18 +41,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def workflow(t: Tables, keep: bool = False) -> Workflow:
-    return Workflow(
-        t.manifest(),
-        t.counts(),
-        t.germline(),
-        t.pileups(),
-        t.intervals(),
-        t.contexts(),
-        mito=MITO,
-        run=RUN,
-        iterations=ITERATIONS,
-        keep=keep,
-    )
+    return Workflow(t, mito=MITO, run=RUN, iterations=ITERATIONS, keep=keep)
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -571,25 +560,25 @@ def q_maf_segments(t: Tables) -> DataFrame:
 @query
 def q_filter_evidence(t: Tables) -> DataFrame:
     values = ["n_calls", "callable", "contamination", "maf", "p_orientation"]
-    return rounded(workflow(t).evidence.select(*CALL, *values), *values[2:])
+    return rounded(workflow(t, keep=True).evidence.select(*CALL, *values), *values[2:])
 
 
 @query
 def q_contamination_posterior(t: Tables) -> DataFrame:
     return rounded(
-        filtering.contamination_posterior(workflow(t).evidence).select(*CALL, "p_contamination"), "p_contamination"
+        filtering.contamination_posterior(workflow(t, keep=True).evidence).select(*CALL, "p_contamination"), "p_contamination"
     )
 
 
 @query
 def q_error_probability(t: Tables) -> DataFrame:
     scores = ["p_germline", "p_contamination", "p_orientation", "p_weak", "p_error"]
-    return rounded(workflow(t).scored.select(*CALL, *scores), *scores)
+    return rounded(workflow(t, keep=True).scored.select(*CALL, *scores), *scores)
 
 
 @query
 def q_learn_threshold(t: Tables) -> DataFrame:
-    return rounded(workflow(t).thresholds, "threshold", "f_score")
+    return rounded(workflow(t, keep=True).thresholds, "threshold", "f_score")
 
 
 @query
