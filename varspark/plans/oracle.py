@@ -334,7 +334,7 @@ CTES: dict[str, str] = {
 CALL = f"pair, {SITE}"
 COUNTS = "lab_id, contig, pos, ref, alt, ref_count, alt_count, alt_f1r2, alt_f2r1"
 PANEL = f"""SELECT {SITE}, n_seen, {r6('share_of_normals')}, {r6('mean_fraction')}, {r6('var_fraction')},
-  round(mean_fraction * size, 2) AS beta_alpha, round((1e0 - mean_fraction) * size, 2) AS beta_beta FROM shaped"""
+  {r6('log10(mean_fraction * size)', 'log_beta_alpha')}, {r6('log10((1e0 - mean_fraction) * size)', 'log_beta_beta')} FROM shaped"""
 
 
 def _call_rows(src: str) -> str:
@@ -475,7 +475,7 @@ FINALS: dict[str, str] = {
     "q_run_summary": """SELECT batch, count(*) AS expected, count(*) FILTER (outcome = 'success') AS successful,
       count(*) FILTER (outcome IN ('error', 'incomplete')) AS failed, count(*) FILTER (outcome IS NULL) AS no_log
       FROM tasks LEFT JOIN outcomes USING (task_id) GROUP BY ROLLUP (batch)""",
-    "q_job_efficiency": f"""SELECT job, {r6('cpu_minutes / (wall_minutes * cpus)', 'efficiency')}, {r6('wall_minutes * cpus / 60e0 * 2e0', 'service_units')} FROM usage""",
+    "q_job_efficiency": "SELECT job, cpu_minutes / (wall_minutes * cpus) AS efficiency, wall_minutes * cpus / 60e0 * 2e0 AS service_units FROM usage",
     "q_stage_scaling": f"""SELECT stage, cpus, n_jobs, {r6('wall', 'wall_minutes')}, {r6('first_value(wall) OVER w / wall', 'speed_up')},
       {r6('wall * cpus / (first_value(wall) OVER w * first_value(cpus) OVER w)', 'cost_ratio')}, {r6('cpu / (wall * cpus)', 'efficiency')}
       FROM runs WINDOW w AS (PARTITION BY stage ORDER BY cpus)""",

@@ -420,8 +420,10 @@ def q_cohort_matrix(t: Tables) -> DataFrame:
 
 
 def _panel(df: DataFrame) -> DataFrame:
+    """The beta shape spans five orders of magnitude, so it is compared by its logarithm."""
     small = rounded(df, "share_of_normals", "mean_fraction", "var_fraction")
-    return small.withColumns({c: F.round(c, 2) for c in ("beta_alpha", "beta_beta")})
+    shapes = ("beta_alpha", "beta_beta")
+    return small.withColumns({f"log_{c}": F.round(F.log10(c), 6) for c in shapes}).drop(*shapes)
 
 
 @query
@@ -657,7 +659,7 @@ def q_run_summary(t: Tables) -> DataFrame:
 
 @query
 def q_job_efficiency(t: Tables) -> DataFrame:
-    return rounded(qc.job_efficiency(t.job_usage()).select("job", "efficiency", "service_units"), "efficiency", "service_units")
+    return qc.job_efficiency(t.job_usage()).select("job", "efficiency", "service_units")
 
 
 @query

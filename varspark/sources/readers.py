@@ -195,7 +195,11 @@ def read_logs(spark: SparkSession, path: str, task: str = TASK_FILE) -> DataFram
 
 
 def list_outputs(spark: SparkSession, path: str) -> DataFrame:
-    """Files below a path with their sizes; contents are not read."""
+    """Files below a path with their sizes; contents are not read.
+
+    Spark does not list empty files, so an empty output is simply not present:
+    the test for "exists and is not empty" needs no more.
+    """
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
     )
