@@ -40,13 +40,14 @@ def fold_context(df: DataFrame, contexts: DataFrame | None, f1r2: str, f2r1: str
 
     On the other strand first and second read swap, and so do the two counts.
     Without ``contexts`` the ref base alone is the context. Rows that are not
-    SNVs, or lie where no context is known, get NULL.
+    SNVs, or lie where no context is known, get NULL. A locus has a few rows per
+    sample, so the join by locus is even.
     """
     if contexts is None:
         seen = df.withColumn("_seen", F.col("ref"))
     else:
         around = contexts.select("contig", "pos", F.col("context").alias("_seen"))
-        seen = spread_join(df, around, ["contig", "pos"], "left")
+        seen = df.join(around, ["contig", "pos"], "left")
     snv = (F.length("ref") == 1) & (F.length("alt") == 1) & F.col("_seen").isNotNull()
     turn = F.col("ref").isin("G", "T")
     read_off = {

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varspark.operators.regions import bin_join
-from varspark.operators.skew import SALTS, spread_join
+from varspark.operators.skew import SALTS
 
 # SAM flag bits.
 UNMAPPED = 0x4
@@ -22,7 +22,6 @@ SUPPLEMENTARY = 0x800
 
 UNUSABLE = UNMAPPED | SECONDARY | QC_FAIL | DUPLICATE | SUPPLEMENTARY
 READ_BIN = 64
-BASES = ("A", "C", "G", "T")
 
 
 def usable_reads(reads: DataFrame, min_mapq: int = 20, flag_mask: int = UNUSABLE) -> DataFrame:
@@ -121,82 +120,54 @@ def gather_pileups(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _snv_counts(usable: DataFrame, ref_bases: DataFrame, min_baseq: int) -> DataFrame:
-    blocks = cigar_blocks(usable).withColumn("f1r2", is_f1r2(F.col("flag")).cast("long"))
-    place = F.explode(F.sequence(F.lit(0).cast("long"), F.col("end_pos") - F.col("start_pos")))
-    bases = blocks.select("lab_id", "contig", "start_pos", "bases", "quals", "f1r2", place.alias("i")).select(
-        "lab_id",
-        "contig",
-        (F.col("start_pos") + F.col("i")).alias("pos"),
-        F.substring(F.col("bases"), (F.col("i") + 1).cast("int"), F.lit(1)).alias("base"),
-        phred(F.col("quals"), (F.col("i") + 1).cast("int")).alias("baseq"),
-        "f1r2",
-    )
-    if min_baseq > 0:
-        bases = bases.filter(F.col("baseq") >= min_baseq)
-    # One row per sample and position before the reference is joined.
-    columns = []
-    for b in BASES:
-        is_b = F.col("base") == b
-        columns += [F.count_if(is_b).alias(f"n_{b}"), F.sum(F.when(is_b, F.col("f1r2")).otherwise(0)).alias(f"f_{b}")]
-    depth = bases.groupBy("lab_id", "contig", "pos").agg(*columns)
-    called = spread_join(depth, ref_bases.select("contig", "pos", F.col("base").alias("ref")), ["contig", "pos"])
-    per_base = F.array(
-        *[
-            F.struct(F.lit(b).alias("alt"), F.col(f"n_{b}").alias("n"), F.col(f"f_{b}").alias("f"))
-            for b in BASES
-        ]
-    )
-    own = F.filter(per_base, lambda x: x["alt"] == F.col("ref"))
-    others = F.filter(per_base, lambda x: (x["alt"] != F.col("ref")) & (x["n"] > 0))
-    return (
-        called.withColumn("ref_count", F.coalesce(F.try_element_at(own, F.lit(1))["n"], F.lit(0)))
-        .withColumn("_other", F.explode(others))
-        .select(
-            "lab_id",
-            "contig",
-            "pos",
-            "ref",
-            F.col("_other")["alt"].alias("alt"),
-            "ref_count",
-            F.col("_other")["n"].alias("alt_count"),
-            F.col("_other")["f"].alias("alt_f1r2"),
-            (F.col("_other")["n"] - F.col("_other")["f"]).alias("alt_f2r1"),
-        )
-    )
-
+def _observations(usable: DataFrame, min_baseq: int) -> DataFrame:
+    """What each sample shows at each position, counted.
 
-def _indel_counts(usable: DataFrame, ref_bases: DataFrame) -> DataFrame:
-    """Indels keyed by the base before them, as written in the read (no left-alignment)."""
+    ``seen`` is a base, ``+`` and the inserted bases, or ``-`` and the number of
+    deleted ones; an indel lies at the base before it, as written in the read
+    (no left-alignment). ``n`` and ``f`` count reads and F1R2 reads; ``n_good``
+    and ``f_good`` leave out bases below ``min_baseq``.
+    """
     step = F.col("_step")
-    events = (
-        _elements(usable, ("I", "D"))
-        .withColumn("pos", step["ref_start"] - 1)
-        .withColumn("f1r2", is_f1r2(F.col("flag")).cast("long"))
+    aligned = step["op"].isin("M", "=", "X")
+    last = F.when(aligned, step["n"] - 1).otherwise(F.lit(0))
+    at = F.col("i")
+    place = (step["read_start"] + at).cast("int")
+    per_base = (
+        _elements(usable, ("M", "=", "X", "I", "D"))
+        .select("lab_id", "contig", "flag", "seq", "qual", "_step", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("i"))
         .select(
             "lab_id",
             "contig",
-            "pos",
-            F.when(step["op"] == "D", step["n"]).otherwise(0).alias("removed"),
-            F.when(step["op"] == "I", F.substring(F.col("seq"), step["read_start"], step["n"]))
-            .otherwise("")
-            .alias("added"),
-            "f1r2",
+            F.when(aligned, step["ref_start"] + at).otherwise(step["ref_start"] - 1).alias("pos"),
+            F.when(aligned, F.substring(F.col("seq"), place, F.lit(1)))
+            .when(step["op"] == "I", F.concat(F.lit("+"), F.substring(F.col("seq"), step["read_start"], step["n"])))
+            .otherwise(F.concat(F.lit("-"), step["n"].cast("string")))
+            .alias("seen"),
+            (~aligned | (phred(F.col("qual"), place) >= min_baseq)).alias("good"),
+            is_f1r2(F.col("flag")).alias("f1r2"),
         )
     )
-    found = events.groupBy("lab_id", "contig", "pos", "removed", "added").agg(
-        F.count("*").alias("alt_count"), F.sum("f1r2").alias("alt_f1r2")
+    return per_base.groupBy("lab_id", "contig", "pos", "seen").agg(
+        F.count("*").alias("n"),
+        F.count_if("good").alias("n_good"),
+        F.count_if("f1r2").alias("f"),
+        F.count_if(F.col("good") & F.col("f1r2")).alias("f_good"),
     )
-    # A read covers the anchor when one of its blocks does; what is not for an event is for the reference.
-    anchors = found.select("lab_id", "contig", "pos").distinct()
-    blocks = cigar_blocks(usable).select("lab_id", "contig", "start_pos", "end_pos", "read_id")
-    spanning = (
-        bin_join(anchors, blocks, width=READ_BIN, by=("lab_id", "contig"), heavy="spans")
-        .groupBy("lab_id", "contig", "pos")
-        .agg(F.count("*").alias("depth"))
+
+
+def _deleted_texts(usable: DataFrame, ref_bases: DataFrame) -> DataFrame:
+    """Per position the reference text of each deletion after it, by deleted length.
+
+    A second, light pass: of the reads it needs place and CIGAR only, and of
+    those the ones with a deletion.
+    """
+    step = F.col("_step")
+    shapes = (
+        _elements(usable.filter(F.col("cigar").contains("D")).select("contig", "pos", "cigar"), ("D",))
+        .select("contig", (step["ref_start"] - 1).alias("pos"), step["n"].alias("removed"))
+        .distinct()
     )
-    # Reference text of each distinct event, one row per base, put back in order.
-    shapes = found.select("contig", "pos", "removed").distinct()
     letters = shapes.withColumn("_at", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("removed"))))
     bases = ref_bases.select("contig", F.col("pos").alias("_at"), "base")
     spelled = (
@@ -204,37 +175,56 @@ def _indel_counts(usable: DataFrame, ref_bases: DataFrame) -> DataFrame:
         .groupBy("contig", "pos", "removed")
         .agg(F.sort_array(F.collect_list(F.struct("_at", "base")))["base"].alias("letters"))
         .filter(F.size("letters") == F.col("removed") + 1)
-        .select("contig", "pos", "removed", F.array_join("letters", "").alias("ref"))
     )
-    all_alt = found.groupBy("lab_id", "contig", "pos").agg(F.sum("alt_count").alias("_alts"))
+    text = F.struct(F.col("removed").cast("string").alias("k"), F.array_join("letters", "").alias("v"))
+    return spelled.groupBy("contig", "pos").agg(F.map_from_entries(F.collect_list(text)).alias("deleted"))
+
+
+def allele_counts(reads: DataFrame, ref_bases: DataFrame, min_baseq: int = 0) -> DataFrame:
+    """Counts of every non-reference allele per sample: SNVs from blocks, indels from I and D.
+
+    ``ref_bases`` (contig, pos, base) bounds the loci: a position it does not
+    hold is not counted, nor is a deletion that leaves it. Reads are unfolded to
+    bases once and counted per sample and position before anything is joined, so
+    a deep locus is a few rows when it meets the reference. That join is always
+    a merge join: both sides grow with the genome, and it leaves the counts of a
+    locus together, so that they are grouped without another shuffle.
+    """
+    usable = usable_reads(reads)
+    reference = ref_bases.select("contig", "pos", F.col("base").alias("ref")).join(
+        _deleted_texts(usable, ref_bases), ["contig", "pos"], "left"
+    )
+    seen = F.col("seen")
+    inserted, removed = seen.startswith("+"), seen.startswith("-")
+    indel = inserted | removed
+    rest = F.substring(seen, F.lit(2), F.length(seen))
+    # The counts of one sample at one position: a handful of rows.
+    locus = Window.partitionBy("contig", "pos", "lab_id")
+    loci = (
+        _observations(usable, min_baseq)
+        .join(reference.hint("merge"), ["contig", "pos"])
+        .withColumn("ref_good", F.sum(F.when(seen == F.col("ref"), F.col("n_good")).otherwise(0)).over(locus))
+        .withColumn("passing", F.sum(F.when(indel, -F.col("n")).otherwise(F.col("n"))).over(locus))
+        .withColumn("alt_count", F.when(indel, F.col("n")).otherwise(F.col("n_good")))
+        .withColumn("alt_f1r2", F.when(indel, F.col("f")).otherwise(F.col("f_good")))
+    )
     return (
-        spread_join(found, spelled, ["contig", "pos", "removed"])
-        .join(all_alt, ["lab_id", "contig", "pos"])
-        .join(spanning, ["lab_id", "contig", "pos"], "left")
+        loci.filter((seen != F.col("ref")) & (F.col("alt_count") > 0))
         .select(
             "lab_id",
             "contig",
             "pos",
-            "ref",
-            F.concat(F.substring("ref", 1, 1), F.col("added")).alias("alt"),
-            F.greatest(F.coalesce("depth", F.lit(0)) - F.col("_alts"), F.lit(0)).alias("ref_count"),
+            F.when(removed, F.try_element_at("deleted", rest)).otherwise(F.col("ref")).alias("ref"),
+            F.when(removed, F.col("ref")).when(inserted, F.concat("ref", rest)).otherwise(seen).alias("alt"),
+            F.when(indel, F.greatest("passing", F.lit(0))).otherwise(F.col("ref_good")).alias("ref_count"),
             "alt_count",
             "alt_f1r2",
             (F.col("alt_count") - F.col("alt_f1r2")).alias("alt_f2r1"),
         )
+        .filter(F.col("ref").isNotNull())
     )
 
 
-def allele_counts(reads: DataFrame, ref_bases: DataFrame, min_baseq: int = 0) -> DataFrame:
-    """Counts of every non-reference allele per sample: SNVs from blocks, indels from I and D.
-
-    ``ref_bases`` (contig, pos, base) bounds the loci: a position it does not
-    hold is not counted.
-    """
-    usable = usable_reads(reads)
-    return _snv_counts(usable, ref_bases, min_baseq).unionByName(_indel_counts(usable, ref_bases))
-
-
 def callable_sites(counts: DataFrame, min_depth: int = 10) -> DataFrame:
     """Loci per sample and interval that are deep enough to call.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varspark.functions.evidence import DEFAULT_AF
-from varspark.operators.skew import SALTS, spread_join
+from varspark.operators.skew import spread_join
 from varspark.schemas import SITE
 
 
@@ -47,9 +47,13 @@ def select_common_biallelic(sites: DataFrame, min_af: float = 0.05) -> DataFrame
 
 
 def annotate_germline(
-    variants: DataFrame, germline: DataFrame, default_af: float = DEFAULT_AF, salts: int = SALTS
+    variants: DataFrame, germline: DataFrame, default_af: float = DEFAULT_AF, salts: int = 1
 ) -> DataFrame:
-    """Population AF of each allele, ``default_af`` where the resource lacks it or gives none."""
+    """Population AF of each allele, ``default_af`` where the resource lacks it or gives none.
+
+    An allele has at most one row per sample here, which bounds its rows by the
+    cohort; the resource may be large, so it is repeated only if asked.
+    """
     known = germline.groupBy(*SITE).agg(F.max("af").alias("af"))
     return spread_join(variants, known, SITE, "left", salts).withColumn(
         "af", F.coalesce("af", F.lit(default_af))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Tables keyed by sample or pair are cohort-sized, so repeating them is cheap.
 SALTS = 8
 SALT = "_salt"
 
@@ -33,10 +34,8 @@ def spread_join(
 
     ``small`` is repeated once per salt, so results are those of a plain join.
     No hint is given: Spark broadcasts ``small`` only when its own size check
-    allows. A ``big`` that already carries the salt keeps it, so that several
-    joins on one key use one shuffle.
+    allows, and that check bounds what is sent to ``salts`` times its threshold.
     """
-    carried = SALT in big.columns
-    left = big if carried else add_salt(big, salts)
-    out = left.join(repeat_salts(small, salts), [*keys, SALT], how)
-    return out if carried else out.drop(SALT)
+    if salts == 1:
+        return big.join(small, list(keys), how)
+    return add_salt(big, salts).join(repeat_salts(small, salts), [*keys, SALT], how).drop(SALT)

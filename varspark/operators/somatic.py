@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from varspark.functions.evidence import germline_weights, normal_lod, tumour_lod, with_share
 from varspark.operators.regions import only_contig
 from varspark.operators.sites import annotate_germline, sort_sites
-from varspark.operators.skew import SALT, add_salt, spread_join
+from varspark.operators.skew import spread_join
 from varspark.schemas import SITE
 
 MIN_ALT = 3
@@ -63,10 +63,10 @@ def join_matched_normal(cands: DataFrame, counts: DataFrame) -> DataFrame:
     return joined.withColumn("nlod", normal_lod(F.col("n_ref"), F.col("n_alt")))
 
 
-def mark_pon(calls: DataFrame, pon: DataFrame) -> DataFrame:
+def mark_pon(calls: DataFrame, pon: DataFrame, salts: int = 1) -> DataFrame:
     """Add ``in_pon`` for alleles of the panel."""
     listed = pon.select(*SITE).distinct().withColumn("in_pon", F.lit(True))
-    return spread_join(calls, listed, SITE, "left").withColumn("in_pon", F.coalesce("in_pon", F.lit(False)))
+    return spread_join(calls, listed, SITE, "left", salts).withColumn("in_pon", F.coalesce("in_pon", F.lit(False)))
 
 
 def germline_posterior(
@@ -80,8 +80,8 @@ def germline_posterior(
 
 def _call(counts, pairs, pon, germline, min_lod: Column | float, diploid: Column | None) -> DataFrame:
     cands = join_matched_normal(tumour_candidates(counts, pairs, min_lod=min_lod), counts)
-    # One salt for both site tables: the calls are shuffled by site once.
-    marked = mark_pon(annotate_germline(add_salt(cands), germline), pon).drop(SALT)
+    # Both site tables are joined on one key: the calls are shuffled by allele once.
+    marked = mark_pon(annotate_germline(cands, germline), pon)
     return germline_posterior(marked, diploid)
 
 

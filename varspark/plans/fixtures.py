@@ -15,6 +15,7 @@ from varspark.operators.contamination import LOCUS
 from varspark.operators.manifest import normal_samples, pair_tumour_normal, samples_of
 from varspark.operators.orientation import kmer_context
 from varspark.operators.sites import explode_alleles, select_common_biallelic
+from varspark.operators.skew import spread_join
 
 SCATTER = 100
 ORDERS_PER_SAMPLE = 100
@@ -205,13 +206,8 @@ class Tables:
         alleles = self.keyed_sites().select(
             "locus", "contig", "pos", "ref", F.posexplode("alts").alias("allele", "alt")
         )
-        return (
-            self.observations()
-            .join(alleles, ["locus", "allele"])
-            .join(listed, "s")
-            .select(
-                "lab_id", "contig", "pos", "ref", "alt", "ref_count", "alt_count", "alt_f1r2", "alt_f2r1"
-            )
+        return spread_join(self.observations().join(alleles, ["locus", "allele"]), listed, ["s"]).select(
+            "lab_id", "contig", "pos", "ref", "alt", "ref_count", "alt_count", "alt_f1r2", "alt_f2r1"
         )
 
     @once
