@@ -51,22 +51,29 @@ def row_index(
     )
 
 
-def last_rows(
-    df: DataFrame, n: int, *, keys: Sequence[str], order: str, width: int = BLOCK
-) -> DataFrame:
-    """The ``n`` rows of each group that come last.
-
-    Ranked first per block of the order column and then per group: the second
-    rank sees at most ``n`` rows of a block, and Spark cuts both before the
-    shuffle as well.
-    """
+def _edge_rows(df: DataFrame, n: int, keys: Sequence[str], order: str, latest: bool, width: int) -> DataFrame:
     block = F.floor(F.col(order) / F.lit(width)).cast("long")
-    latest = F.col(order).desc()
+    by = F.col(order).desc() if latest else F.col(order).asc()
     return (
         df.withColumn("_block", block)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(latest)))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(by)))
         .filter(F.col("_rank") <= n)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(latest)))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(by)))
         .filter(F.col("_rank") <= n)
         .drop("_block", "_rank")
     )
+
+
+def last_rows(df: DataFrame, n: int, *, keys: Sequence[str], order: str, width: int = BLOCK) -> DataFrame:
+    """The ``n`` rows of each group that come last.
+
+    Ranked first per block of the order column and then per group: the second
+    rank sees at most ``n`` rows of a block, and Spark cuts both before the
+    shuffle as well.
+    """
+    return _edge_rows(df, n, keys, order, True, width)
+
+
+def first_rows(df: DataFrame, n: int, *, keys: Sequence[str], order: str, width: int = BLOCK) -> DataFrame:
+    """The ``n`` rows of each group that come first, found like the last ones."""
+    return _edge_rows(df, n, keys, order, False, width)

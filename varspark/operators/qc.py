@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varspark.functions.text import captured, contains_ci, field_from_end, nth_field
-from varspark.operators.ordered import last_rows
+from varspark.operators.ordered import first_rows, last_rows
 
 # Texts the checks look for in logs.
 SUCCESS = "success"
@@ -32,6 +32,21 @@ def log_tail(log_lines: DataFrame, n: int = TAIL) -> DataFrame:
     return last_rows(log_lines, n, keys=["task_id"], order="line_no")
 
 
+def log_head(log_lines: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` lines of each log."""
+    return first_rows(log_lines, n, keys=["task_id"], order="line_no")
+
+
+def first_match(log_lines: DataFrame, word: str) -> DataFrame:
+    """Per log its length, and the first line with the word (NULL without one)."""
+    line, number = F.col("line"), F.col("line_no")
+    wanted = line.contains(word)
+    return log_lines.groupBy("task_id").agg(
+        F.count("*").alias("n_lines"),
+        F.min_by(F.when(wanted, line), F.when(wanted, number)).alias("first_line"),
+    )
+
+
 def log_outcome(log_lines: DataFrame) -> DataFrame:
     """``error`` if any line has it, ``success`` if some line says so, else ``incomplete``."""
     line = F.col("line")

@@ -454,6 +454,10 @@ FINALS: dict[str, str] = {
     "q_log_outcome": "SELECT * FROM outcomes",
     "q_log_tail": """SELECT event_type AS task_id, event_id AS line_no FROM (
       SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS place FROM events) WHERE place <= 50""",
+    "q_log_head": """SELECT event_type AS task_id, event_id AS line_no FROM (
+      SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS place FROM events) WHERE place <= 2""",
+    "q_first_match": """SELECT task_id, count(*) AS n_lines, arg_min(line, line_no) FILTER (line LIKE '%Elapsed time%') AS first_line
+      FROM log_lines GROUP BY task_id""",
     "q_line_after": """SELECT * FROM (SELECT task_id, line_no, line, lead(line) OVER (PARTITION BY task_id ORDER BY line_no) AS next_line FROM log_lines)
       WHERE line LIKE '%Tool returned:%'""",
     "q_task_metrics": r"""SELECT t.task_id, CASE WHEN ok THEN minutes END AS minutes, CASE WHEN ok THEN round(bytes / 1e9, 6) END AS gb FROM tasks t LEFT JOIN (

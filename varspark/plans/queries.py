@@ -615,6 +615,17 @@ def q_log_tail(t: Tables) -> DataFrame:
     return qc.log_tail(lines)
 
 
+@query
+def q_log_head(t: Tables) -> DataFrame:
+    lines = t.raw("events", "event_id", "event_type").selectExpr("event_type as task_id", "event_id as line_no")
+    return qc.log_head(lines, 2)
+
+
+@query
+def q_first_match(t: Tables) -> DataFrame:
+    return qc.first_match(t.log_lines(), "Elapsed time")
+
+
 @query
 def q_line_after(t: Tables) -> DataFrame:
     return qc.line_after(t.log_lines())
