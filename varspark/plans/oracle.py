@@ -451,6 +451,8 @@ FINALS: dict[str, str] = {
     "q_filter_summary": """SELECT pair, filter, count(*) AS n_calls FROM (
       SELECT pair, unnest(string_split(CASE WHEN filters = '' THEN 'PASS' ELSE filters END, ',')) AS filter FROM filtered) GROUP BY ROLLUP (pair, filter)""",
     "q_final_calls": f"SELECT {CALL}, idx, t_ref, t_alt, {r6('tlod')} FROM filtered JOIN dictionary USING (contig) WHERE filters = ''",
+    "q_export_calls": f"""SELECT {CALL}, filters, CAST(t_ref AS VARCHAR) || ',' || CAST(t_alt AS VARCHAR) AS tumour_depths,
+      CAST(n_ref AS VARCHAR) || ',' || CAST(n_alt AS VARCHAR) AS normal_depths, in_pon FROM filtered""",
     "q_log_outcome": "SELECT * FROM outcomes",
     "q_log_tail": """SELECT event_type AS task_id, event_id AS line_no FROM (
       SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS place FROM events) WHERE place <= 50""",

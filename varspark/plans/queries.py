@@ -47,10 +47,18 @@ def workflow(t: Tables, keep: bool = False) -> Workflow:
 # --- sources and sinks -------------------------------------------------------
 
 
-def _write_text(df: DataFrame, t: Tables, name: str, *keys: str) -> str:
+def _write_text(df: DataFrame, t: Tables, name: str) -> str:
     path = scratch_path(t.spark, name)
-    writer = df.write.partitionBy(*keys) if keys else df.write
-    writer.text(path)
+    df.write.text(path)
+    return path
+
+
+def _write_text_by(df: DataFrame, t: Tables, name: str, key: str, *order: str) -> str:
+    """One folder per key; ranges keep a key in few files and split a long one."""
+    path = scratch_path(t.spark, name)
+    order = order or ("value",)
+    placed = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    placed.select(key, "value").write.partitionBy(key).text(path)
     return path
 
 
@@ -70,7 +78,7 @@ def q_read_intervals(t: Tables) -> DataFrame:
         "lab_id", F.concat_ws("\t", "contig", F.col("a").cast("string"), F.col("b").cast("string"), F.lit("+"), F.lit(".")).alias("value")
     )
     heads = spans.select("lab_id").distinct().select("lab_id", F.lit("@HD\tVN:1.6").alias("value"))
-    path = _write_text(heads.union(rows), t, "intervals", "lab_id")
+    path = _write_text_by(heads.union(rows), t, "intervals", "lab_id")
     return readers.read_intervals(t.spark, path, r"/lab_id=([^/]+)/")
 
 
@@ -129,7 +137,7 @@ def q_read_reads(t: Tables) -> DataFrame:
             "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual",
         ).alias("value"),
     )
-    return readers.read_reads(t.spark, _write_text(lines, t, "reads", "lab_id"), sample=r"/lab_id=([^/]+)/")
+    return readers.read_reads(t.spark, _write_text_by(lines, t, "reads", "lab_id"), sample=r"/lab_id=([^/]+)/")
 
 
 @query
@@ -142,13 +150,10 @@ def q_read_pileups(t: Tables) -> DataFrame:
 @query
 def q_read_logs(t: Tables) -> DataFrame:
     """One log per kind of event; long logs come in several files and splits."""
-    lines = (
-        t.raw("events", "event_id", "event_type")
-        .repartitionByRange("event_type", "event_id")
-        .sortWithinPartitions("event_type", "event_id")
-        .select("event_type", F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("value"))
-    )
-    return readers.read_logs(t.spark, _write_text(lines, t, "logs", "event_type"), r"/event_type=([^/]+)/")
+    text_of = F.concat(F.lit("event "), F.col("event_id").cast("string"))
+    lines = t.raw("events", "event_id", "event_type").withColumn("value", text_of)
+    path = _write_text_by(lines, t, "logs", "event_type", "event_id")
+    return readers.read_logs(t.spark, path, r"/event_type=([^/]+)/")
 
 
 @query
@@ -171,12 +176,7 @@ def q_write_table(t: Tables) -> DataFrame:
 @query
 def q_write_variants(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "panel")
-    panel = workflow(t).panel
-    seen = F.create_map(F.lit("SEEN"), F.col("n_seen").cast("string"))
-    table = panel.select(
-        "contig", "pos", "ref", F.array("alt").alias("alts"), F.array().cast("array<string>").alias("filters"), seen.alias("info")
-    )
-    writers.write_variants(table, path, t.dictionary(), ["##source=panel"])
+    writers.write_variants(writers.panel_records(workflow(t).panel), path, t.dictionary())
     back = readers.read_variants(t.spark, path, one_header=True)
     return back.select(
         "contig", "pos", "ref", F.concat_ws(",", "alts").alias("alt"), F.col("info")["SEEN"].cast("long").alias("n_seen")
@@ -600,6 +600,20 @@ def q_final_calls(t: Tables) -> DataFrame:
     return rounded(final.select(*CALL, "idx", "t_ref", "t_alt", "tlod"), "tlod")
 
 
+@query
+def q_export_calls(t: Tables) -> DataFrame:
+    """Filtered calls written as VCF text and read back."""
+    path = scratch_path(t.spark, "filtered")
+    writers.write_variants(writers.call_records(workflow(t, keep=True).filtered), path, t.dictionary())
+    back = readers.read_variants(t.spark, path, one_header=True)
+    info = F.col("info")
+    return back.select(
+        info["PAIR"].alias("pair"), "contig", "pos", "ref", F.concat_ws(",", "alts").alias("alt"),
+        F.concat_ws(",", "filters").alias("filters"), info["TAD"].alias("tumour_depths"), info["NAD"].alias("normal_depths"),
+        F.map_contains_key("info", "PON").alias("in_pon"),
+    )
+
+
 # --- completeness and run checks ---------------------------------------------
 
 

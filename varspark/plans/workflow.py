@@ -38,7 +38,7 @@ class Workflow:
     """Panel of normals, calls and filtered calls of one cohort.
 
     Stages are lazy. ``keep`` writes the tables that several later steps read
-    (counts, pileups, pairs, calls and scored calls), so that they are computed once.
+    (counts, pileups, pairs, contexts, calls and scored calls), so that they are computed once.
     """
 
     def __init__(
@@ -62,7 +62,8 @@ class Workflow:
 
     @cached_property
     def contexts(self) -> DataFrame | None:
-        return self.tables.contexts()
+        contexts = self.tables.contexts()
+        return None if contexts is None else self._keep(contexts, "contexts")
 
     @cached_property
     def samples(self) -> DataFrame:

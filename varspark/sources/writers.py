@@ -78,6 +78,47 @@ def write_variants(
     header.union(body).write.mode(mode).option("compression", "gzip").text(path)
 
 
+def _infos(**entries: Column) -> Column:
+    """INFO map; an entry that is NULL is left out."""
+    pairs = [F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in entries.items()]
+    return F.map_from_entries(F.filter(F.array(*pairs), lambda e: e["v"].isNotNull()))
+
+
+def _number(column: str, places: int = 4) -> Column:
+    return F.round(column, places).cast("string")
+
+
+def panel_records(panel: DataFrame) -> DataFrame:
+    """Panel of normals in the form ``write_variants`` takes."""
+    info = _infos(
+        SEEN=F.col("n_seen").cast("string"),
+        SHARE=_number("share_of_normals"),
+        MEAN=_number("mean_fraction"),
+        ALPHA=_number("beta_alpha"),
+        BETA=_number("beta_beta"),
+    )
+    none = F.array().cast("array<string>")
+    return panel.select("contig", "pos", "ref", F.array("alt").alias("alts"), none.alias("filters"), info.alias("info"))
+
+
+def call_records(calls: DataFrame) -> DataFrame:
+    """Filtered calls in the form ``write_variants`` takes; the pair is an INFO entry."""
+    depths = lambda r, a: F.concat_ws(",", F.col(r).cast("string"), F.col(a).cast("string"))
+    info = _infos(
+        PAIR=F.col("pair"),
+        TLOD=_number("tlod"),
+        NLOD=_number("nlod"),
+        TAD=depths("t_ref", "t_alt"),
+        NAD=depths("n_ref", "n_alt"),
+        POPAF=F.col("af").cast("string"),
+        PERR=_number("p_error", 6),
+    )
+    marked = F.when(F.col("in_pon"), F.map_concat(info, F.create_map(F.lit("PON"), F.lit(None).cast("string"))))
+    return calls.select(
+        "contig", "pos", "ref", F.array("alt").alias("alts"), "filters", F.coalesce(marked, info).alias("info")
+    )
+
+
 def write_pileups(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Pileup rows as text below one folder per sample."""
     order = ["lab_id", "contig", "pos"]
