@@ -41,7 +41,8 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def workflow(t: Tables, keep: bool = False) -> Workflow:
-    return Workflow(t, mito=MITO, run=RUN, iterations=ITERATIONS, keep=keep)
+    cohort = Workflow(t, mito=MITO, run=RUN, iterations=ITERATIONS, keep=keep)
+    return cohort.prepare() if keep else cohort
 
 
 # --- sources and sinks -------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 from typing import Protocol
 
@@ -37,8 +38,8 @@ class CohortTables(Protocol):
 class Workflow:
     """Panel of normals, calls and filtered calls of one cohort.
 
-    Stages are lazy. ``keep`` writes the tables that several later steps read
-    (counts, pileups, pairs, contexts, calls and scored calls), so that they are computed once.
+    Stages are lazy. ``keep`` writes each stage that a later one reads, so that
+    it is computed once and its size is known when it is joined.
     """
 
     def __init__(
@@ -65,6 +66,17 @@ class Workflow:
         contexts = self.tables.contexts()
         return None if contexts is None else self._keep(contexts, "contexts")
 
+    def prepare(self) -> Workflow:
+        """Write all stages before scoring, those that do not need each other side by side."""
+        waves = (
+            ("counts", "pileups", "pairs", "contexts"),
+            ("calls", "stats", "segments", "contamination", "orientation"),
+        )
+        for names in waves:
+            with ThreadPoolExecutor(len(names)) as pool:
+                list(pool.map(lambda name: getattr(self, name), names))
+        return self
+
     @cached_property
     def samples(self) -> DataFrame:
         return samples_of(self.tables.manifest())
@@ -90,19 +102,20 @@ class Workflow:
     @cached_property
     def stats(self) -> DataFrame:
         loci = callable_sites(assign_interval(self.counts, self.tables.intervals()))
-        return merge_stats(callable_stats(loci, self.pairs))
+        return self._keep(merge_stats(callable_stats(loci, self.pairs)), "stats")
 
     @cached_property
     def segments(self) -> DataFrame:
-        return maf_segments(self.pairs, self.pileups, run=self.run)
+        return self._keep(maf_segments(self.pairs, self.pileups, run=self.run), "segments")
 
     @cached_property
     def contamination(self) -> DataFrame:
-        return contamination(self.pairs, self.pileups)
+        return self._keep(contamination(self.pairs, self.pileups), "contamination")
 
     @cached_property
     def orientation(self) -> DataFrame:
-        return learn_orientation(f1r2_histogram(self.counts, self.pairs, self.contexts), self.iterations)
+        hist = f1r2_histogram(self.counts, self.pairs, self.contexts)
+        return self._keep(learn_orientation(hist, self.iterations), "orientation")
 
     @cached_property
     def evidence(self) -> DataFrame:
