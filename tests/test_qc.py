@@ -30,6 +30,12 @@ def test_tail_and_following_lines(logs, rows):
     assert rows(qc.line_after(logs), "task_id", "next_line") == [("good", "SUCCESS"), ("long", "failed"), ("nomem", None)]
 
 
+def test_heads_and_first_matches(logs, rows):
+    assert rows(qc.log_head(logs, 1).filter("task_id = 'good'"), "line") == [("start",)]
+    got = {r.task_id: (r.n_lines, r.first_line) for r in qc.first_match(logs, "Elapsed time").collect()}
+    assert got["twice"] == (4, "Tool done. Elapsed time: 1.00 minutes.") and got["quiet"] == (1, None)
+
+
 def test_metrics(spark, logs):
     expected = spark.createDataFrame([(t,) for t in ("good", "both", "quiet", "nomem", "noelapsed", "long", "twice", "absent")], "task_id string")
     got = {r.task_id: (r.minutes, r.gb) for r in qc.task_metrics(logs, expected).collect()}

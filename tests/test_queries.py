@@ -77,5 +77,14 @@ def test_scans_read_only_what_they_use(spark):
     assert lineitem and all("l_extendedprice" not in x and "l_shipdate" not in x for x in lineitem)
 
 
+def test_stored_stages_change_nothing(spark):
+    from varspark.plans.fixtures import Tables
+    from varspark.plans.queries import workflow
+
+    key = ["pair", "contig", "pos", "ref", "alt"]
+    rounded = lambda w: sorted((*[r[k] for k in key], round(r.p_error, 9)) for r in w.scored.collect())
+    assert rounded(workflow(Tables(spark, SF), keep=True)) == rounded(workflow(Tables(spark, SF), keep=False))
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0

@@ -126,6 +126,17 @@ def test_empty_panel(spark):
     assert pon.create_pon(calls, normals).count() == 0
 
 
+def test_gathered_parts_are_whole_and_ordered(cohort):
+    calls, _ = cohort
+    parts = [calls.filter(f"pos % 3 = {i}").drop("lod") for i in range(3)]
+    whole = pon.gather_calls(*parts)
+    assert whole.count() == calls.count()
+    runs = whole.rdd.mapPartitions(lambda it: [[(r.lab_id, r.contig, r.pos, r.ref, r.alt) for r in it]]).collect()
+    assert all(run == sorted(run) for run in runs)
+    ends = [(run[0], run[-1]) for run in runs if run]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
 def test_matrix_and_store(spark, cohort, tmp_path, rows):
     calls, _ = cohort
     intervals = spark.createDataFrame([("0000", "c", 1, 15), ("0001", "c", 16, 40)], "interval_id string, contig string, start_pos bigint, end_pos bigint")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from varspark.operators.skew import spread_join
+
 # Name endings that give a sample its role.
 NORMAL_SUFFIX = r"-[NB].?"
 TUMOUR_SUFFIX = r"-[TMP].*"
@@ -56,17 +58,17 @@ def pair_tumour_normal(samples: DataFrame) -> DataFrame:
     """Each tumour with each normal of its patient, once."""
     tumours = tumour_samples(samples).select("patient", F.col("lab_id").alias("tumour_id")).distinct()
     normals = normal_samples(samples).select("patient", F.col("lab_id").alias("normal_id")).distinct()
-    return tumours.join(normals, "patient").select(
+    return spread_join(tumours, normals, ["patient"]).select(
         F.concat_ws("_", "tumour_id", "normal_id").alias("pair"), "patient", "tumour_id", "normal_id"
     )
 
 
 def unpaired_normals(samples: DataFrame) -> DataFrame:
-    return normal_samples(samples).join(tumour_samples(samples).select("patient"), "patient", "left_anti")
+    return spread_join(normal_samples(samples), tumour_samples(samples).select("patient").distinct(), ["patient"], "left_anti")
 
 
 def unpaired_tumours(samples: DataFrame) -> DataFrame:
-    return tumour_samples(samples).join(normal_samples(samples).select("patient"), "patient", "left_anti")
+    return spread_join(tumour_samples(samples), normal_samples(samples).select("patient").distinct(), ["patient"], "left_anti")
 
 
 def pair_counts(samples: DataFrame) -> DataFrame:
