@@ -44,7 +44,8 @@ def write_variants(
     """Sites-only VCF text, gzip, in dictionary order over its parts.
 
     The header is a part of its own ahead of the data; gzip parts can be
-    concatenated. ``df`` has contig, pos, ref, alts, filters and info.
+    concatenated. Ties are ordered by their text, so a site with many rows may
+    span parts. ``df`` has contig, pos, ref, alts, filters and info.
     """
     spark = df.sparkSession
     fixed = ["##fileformat=VCFv4.2", *meta]
@@ -59,9 +60,10 @@ def write_variants(
     header = ends.unionByName(described).coalesce(1).sortWithinPartitions("at").select("value")
     body = (
         df.join(contigs.select("contig", "idx"), "contig")
-        .repartitionByRange("idx", "pos", "ref")
-        .sortWithinPartitions("idx", "pos", "ref")
         .select(
+            "idx",
+            "pos",
+            "ref",
             F.concat_ws(
                 "\t",
                 "contig",
@@ -72,8 +74,11 @@ def write_variants(
                 F.lit("."),
                 _listed(F.col("filters"), ";", "PASS"),
                 _info_text(F.col("info")),
-            ).alias("value")
+            ).alias("value"),
         )
+        .repartitionByRange("idx", "pos", "ref", "value")
+        .sortWithinPartitions("idx", "pos", "ref", "value")
+        .select("value")
     )
     header.union(body).write.mode(mode).option("compression", "gzip").text(path)
 
