@@ -7,6 +7,9 @@ import os
 import duckdb
 import pytest
 
+from varspark.plans import oracle
+from varspark.plans import queries as registered
+
 SF = os.environ.get("VARSPARK_TEST_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
 ENTRY = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
@@ -15,7 +18,7 @@ spec = importlib.util.spec_from_file_location("spark_entry", ENTRY)
 entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registered.all_queries(), oracle.all_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 
@@ -36,6 +39,7 @@ def comparable(columns, rows):
 
 def test_each_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,23 +29,26 @@ def build_session(app: str = "varspark", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session may go without the setting; then a fresh folder
-    of this machine is enough, as driver and executors are one process.
+    Where it is unset, a folder below the warehouse serves, which Spark's
+    writers share as well.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="varspark-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    warehouse = jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.sql.warehouse.dir"))
+    return warehouse.getFileSystem(hadoop).makeQualified(warehouse).toString().rstrip("/") + "/_stages"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:
