@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varspark.llm import decontaminate, mixing, oracle, url_filter
+from varspark.llm import decontaminate, language_id, mixing, oracle, token_store, url_filter, warc
 
 # The rules of the URL contract, then host names that the method itself blocks.
 SITE_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -18,6 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
+    """Content of a tokenizer file of the driver; it goes to the tasks with their code."""
+    return Path(public_tokenizers.path(name)).read_text()
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -36,13 +49,29 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    named = language_id.identify(docs.select("doc_id", "text"), language_id.fit(docs))
+    return named.select(
+        "doc_id",
+        language_id.held_out(F.col("doc_id")).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_ambiguous").alias("ambiguous"),
+    )
+
+
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.encoded_documents(table(spark, sf_dir, "documents"), tokenizer_json())
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_filter.site_rule(*r) for r in SITE_RULES] + [url_filter.name_rule(n) for n in BLOCKED_NAMES]
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = [op5_decontaminate, op6_mix_sources, op10_url_filter]
+QUERIES = [op3_warc, op5_decontaminate, op6_mix_sources, op8_language_id, op9_token_ids, op10_url_filter]
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
