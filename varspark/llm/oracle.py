@@ -84,4 +84,21 @@ select page_id, host, path, rule, case
 from judged
 """
 
-SQL = {"op5_decontaminate": OP5, "op6_mix_sources": OP6, "op10_url_filter": OP10}
+OP1 = """
+with docs as (select row_number() over () as r, doc_id, text, string_split(text, chr(10)) as l from documents),
+windows as (select r, doc_id, text, i, l[i + 1 : i + 3] as w from (select *, unnest(range(0, len(l) - 2)) as i from docs where len(l) >= 3)),
+firsts as (select w, min((coalesce(doc_id, -9223372036854775808), i)) as f from windows group by w),
+gone as (
+    select distinct r, unnest(range(i, i + 3)) as line from windows join firsts using (w)
+    where (coalesce(doc_id, -9223372036854775808), i) > f
+), lines as (select r, unnest(l) as line_text, unnest(range(0, len(l))) as line from docs),
+kept as (
+    select r, count(*) filter (where gone.line is not null) as n_removed,
+        string_agg(line_text, chr(10) order by lines.line) filter (where gone.line is null) as t
+    from lines left join gone using (r, line) group by r
+)
+select doc_id, coalesce(len(l), 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from docs left join kept using (r)
+"""
+
+SQL = {"op1_line_dedup": OP1, "op5_decontaminate": OP5, "op6_mix_sources": OP6, "op10_url_filter": OP10}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varspark.llm import decontaminate, language_id, mixing, oracle, token_store, url_filter, warc
+from varspark.llm import decontaminate, language_id, line_dedup, mixing, oracle, permutation_index, token_store, url_filter, warc
 
 # The rules of the URL contract, then host names that the method itself blocks.
 SITE_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -25,6 +25,11 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
     return Path(public_tokenizers.path(name)).read_text()
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -49,6 +54,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     named = language_id.identify(docs.select("doc_id", "text"), language_id.fit(docs))
@@ -71,7 +80,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = [op3_warc, op5_decontaminate, op6_mix_sources, op8_language_id, op9_token_ids, op10_url_filter]
+QUERIES = [
+    op1_line_dedup, op3_warc, op5_decontaminate, op6_mix_sources, op7_nearest, op8_language_id, op9_token_ids, op10_url_filter,
+]
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
