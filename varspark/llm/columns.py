@@ -7,9 +7,8 @@ import string
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The word patterns of the query contracts.
+# Fixed value: words between ASCII white space.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
-PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def ascii_lower(text: Column) -> Column:

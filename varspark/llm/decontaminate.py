@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varspark.llm.columns import PLAIN_WORD, ascii_lower, wide_hash, words_in
+from varspark.llm.columns import ascii_lower, wide_hash, words_in
 
 #: Windows that may be broadcast: 24 bytes and an item list each, under 200 MB in an executor. More are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
 
+#: A-Z belong to words here: they are lower-cased word by word afterwards.
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
 def _words(text: Column) -> Column:
-    return words_in(ascii_lower(text), PLAIN_WORD)
+    """A hash of each word. Words of one byte per character take the fast lower(), which changes A-Z alone in them."""
+    lowered = lambda w: F.when(F.octet_length(w) == F.char_length(w), F.lower(w)).otherwise(ascii_lower(w))
+    return F.transform(words_in(text, _WORD), lambda w: F.xxhash64(lowered(w)))
 
 
 def _windows(words: Column, length: int) -> Column:
@@ -62,7 +68,7 @@ def contamination(
 
     A word is hit where it lies inside an occurrence of a benchmark window. A
     document is contaminated if it has hits and they are ``least_share`` of its
-    words or more. Windows are compared by two 64-bit hashes of their words:
+    words or more. Windows are compared by two 64-bit hashes of their words' hashes:
     one finds the hit, the other verifies it. Each input row gives one row,
     repeated rows and rows with null doc_id included; null and empty texts
     have no words. Other columns are ignored. An empty benchmark hits nothing;
@@ -111,10 +117,7 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     hit = contamination(docs, benchmark, **options).where("n_hit > 0")
     hit = hit.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.first("spans").alias("_spans"))
     both = docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (wide_hash("text") == F.col("_hash")), "left")
-    word = PLAIN_WORD.replace("[^", "").replace("]+", "")
-    # A-Z are letters of words here; the pattern names them as separators, as it expects lower case.
-    upper = r"A-Z"
-    gap, letter = rf"(?:(?![{upper}])[{word}])*", rf"(?:[^{word}]|[{upper}])+"
+    letter, gap = _WORD, _WORD.replace("[^", "[").replace("]+", "]*")
     parts = F.regexp_extract_all("text", F.lit(letter + gap), F.lit(0))
     kept = F.filter(
         parts, lambda p, i: ~F.exists(F.col("_spans"), lambda s: (i >= s["start"]) & (i < s["start"] + s["length"]))

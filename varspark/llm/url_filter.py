@@ -57,7 +57,7 @@ def url_tokens(site: Column) -> Column:
 def rule_index(pages: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """The rules, each under its rarest token: the one that fewest of the pages' URLs hold.
 
-    The counts are over all pages; only tokens of rules are counted.
+    The counts are over all pages, and summed before the rules' tokens are picked from them.
     """
     spark = pages.sparkSession
     table = spark.createDataFrame(
@@ -66,9 +66,9 @@ def rule_index(pages: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     wanted = table.select(F.explode("tokens").alias("token")).distinct()
     seen = (
         pages.select(F.explode(url_tokens(F.concat(host_of(F.col("url")), path_of(F.col("url"))))).alias("token"))
-        .join(wanted, "token")
         .groupBy("token")
         .agg(F.count("*").alias("n"))
+        .join(wanted, "token")
     )
     filed = (
         table.select("name", F.explode("tokens").alias("token"))
