@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varspark.llm import decontaminate, language_id, line_dedup, mixing, oracle, permutation_index, token_store, url_filter, warc
+from varspark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, oracle, permutation_index, token_store, url_filter, warc
 
 # The rules of the URL contract, then host names that the method itself blocks.
 SITE_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -36,6 +36,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -81,7 +85,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [
-    op1_line_dedup, op3_warc, op5_decontaminate, op6_mix_sources, op7_nearest, op8_language_id, op9_token_ids, op10_url_filter,
+    op1_line_dedup, op3_warc, op4_jaccard_join, op5_decontaminate, op6_mix_sources, op7_nearest, op8_language_id, op9_token_ids, op10_url_filter,
 ]
 
 
