@@ -33,6 +33,7 @@ SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 16 << 10, 64 << 10
 #: Compressed bytes at which an archive is closed.
 ARCHIVE_BYTES = 16 << 20
 LEVEL = 3
+READ_BYTES = 4 << 10
 
 
 def digest_of(payload: bytes) -> str:
@@ -116,7 +117,7 @@ def records_of(archive: bytes) -> Iterator[bytes]:
 
     The dictionary may itself be compressed. Other skippable frames are passed over. Raises at a broken frame.
     """
-    at, known = 0, None
+    at, whole, opener = 0, memoryview(archive), zstandard.ZstdDecompressor()
     while at < len(archive):
         if len(archive) - at < 8:
             raise ValueError(f"broken frame at byte {at}")
@@ -128,15 +129,18 @@ def records_of(archive: bytes) -> Iterator[bytes]:
                 found = archive[8 : 8 + size]
                 if found[:4] == struct.pack("<I", FRAME_MARK):
                     found = zstandard.ZstdDecompressor().decompress(found)
-                known = zstandard.ZstdCompressionDict(found)
+                opener = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(found))
             at += 8 + size
         elif mark == FRAME_MARK:
-            decoder = zstandard.ZstdDecompressor(dict_data=known).decompressobj()
-            data = decoder.decompress(memoryview(archive)[at:])
-            if not decoder.eof:
-                raise ValueError(f"broken frame at byte {at}")
-            at = len(archive) - len(decoder.unused_data)
-            yield data
+            decoder = opener.decompressobj()
+            begin, data = at, []
+            while not decoder.eof:  # by small parts, as what follows the frame is copied
+                if at >= len(archive):
+                    raise ValueError(f"broken frame at byte {begin}")
+                data.append(decoder.decompress(whole[at : at + READ_BYTES]))
+                at = min(at + READ_BYTES, len(archive))
+            at -= len(decoder.unused_data)
+            yield b"".join(data)
         else:
             raise ValueError(f"no frame at byte {at}")
 
@@ -146,8 +150,8 @@ def records_of(archive: bytes) -> Iterator[bytes]:
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from the first bytes of a bounded sample of payloads, by hash of page_id; empty if there is too little."""
-    rows = pages.where("length(html) > 0").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES)
-    texts = [r[0].encode() for r in rows.select(F.substring("html", 1, SAMPLE_BYTES)).collect()]
+    begins = pages.where("length(html) > 0").select("page_id", F.substring("html", 1, SAMPLE_BYTES).alias("begin"))
+    texts = [r.begin.encode() for r in begins.orderBy(F.xxhash64("page_id"), "page_id", "begin").limit(SAMPLE_PAGES).collect()]
     if len(texts) < 16 or sum(map(len, texts)) < 4 * DICTIONARY_BYTES:
         return b""
     return zstandard.train_dictionary(DICTIONARY_BYTES, [HTTP_HEAD % len(t) + t for t in texts]).as_bytes()
