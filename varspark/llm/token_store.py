@@ -13,10 +13,12 @@ the block heads, so the line feeds within blocks do not matter.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,8 @@ DOCS_HEAD = struct.Struct("<4sIQQQI")  # documents, ids, control bytes, data byt
 #: Ids per block at which it is closed, and ids per shard; both end with a whole document.
 BLOCK_IDS = 1 << 16
 SHARD_IDS = 4 << 20
-#: Distinct pieces of text a worker remembers (some 250 MB); past that it forgets all and starts anew.
-PIECES = 1_000_000
+#: Distinct pieces of text a worker remembers (some 300 MB); past that it forgets all and starts anew.
+PIECES = 1_500_000
 
 _LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.int64)
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
@@ -44,88 +46,133 @@ _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 # ---- ids of texts
 
 
+def _byte_signs() -> dict[int, str]:
+    """Byte-level BPE writes each byte as one sign: printable Latin-1 as itself, the others from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class PieceEncoder:
-    """Encodes a text piece by piece and remembers the ids of each piece.
+    """Encodes texts piece by piece and remembers the ids of each piece.
 
-    A byte-level BPE with this pattern never joins a letter, digit or sign to
-    a space that follows it, so the ids of a text are those of its parts, cut before
-    each single space. Spaces beside other white space are not cut at, and texts
-    that hold an added token are encoded as a whole.
+    A byte-level BPE with its usual pattern never joins what lies before a single space to
+    what follows, so the ids of a text are those of its parts, cut before
+    each single space. Spaces beside other white space are not cut at; texts
+    that hold an added token, and tokenizers of another kind, are encoded as a whole.
     """
 
-    _wide, _single = re.compile(r"\s\s"), re.compile(r"(?<=\S) (?=\S)")
+    _wide, _single, _signs = re.compile(r"\s\s"), re.compile(r"(?<=\S) (?=\S)"), _byte_signs()
 
-    def __init__(self, tokenizer_json: str, most: int = PIECES) -> None:
+    def __init__(self, tokenizer_json: str, end_id: int, width: np.dtype, most: int = PIECES) -> None:
+        self.end_id, self.width = end_id, width
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        kind = json.loads(tokenizer_json)
+        split = kind.get("pre_tokenizer") or {}
+        self.by_piece = (
+            not kind.get("normalizer")
+            and (split.get("type"), split.get("add_prefix_space"), split.get("use_regex", True)) == ("ByteLevel", False, True)
+            and kind["model"].get("type") == "BPE"
+        )
         self.most = most
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ends = np.zeros(1 << 16, np.int64)
-        self.flat = np.zeros(1 << 18, np.uint32)
-        self.n = self.used = 0
-
-    def _keep(self, piece: str, ids: list[int]) -> None:
-        if self.n + 1 >= len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.place[piece] = self.n
-        self.n += 1
-        self.ends[self.n] = self.used
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Ids of new pieces. A full stop or comma after a letter is a token run of its own, so the part before it is shared."""
-        cores = {p[:-1] if p[-1:] in ".," and p[-2:-1].isalpha() else p for p in pieces} | {".", ","}
-        new = [p for p in cores if p not in self.place]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self._keep(p, e.ids)
-        for p in pieces:
-            if p not in self.place:
-                self._keep(p, [*self._ids(p[:-1]), *self._ids(p[-1])])
-
-    def _ids(self, piece: str) -> np.ndarray:
-        k = self.place[piece]
-        return self.flat[self.ends[k] : self.ends[k + 1]]
+        # Pieces by their text, those after a space by what follows it; the entry k of a piece has ids flat[ends[k] : ends[k + 1]].
+        self.after_space: dict[str, int] = {}
+        self.at_begin: dict[str, int] = {}
+        self.ends, self.flat, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 18, self.width), 0
+        self.new: list[list[int]] = []
+        self.end = self._keep([self.end_id])
+
+    def _keep(self, ids: list[int]) -> int:
+        self.new.append(ids)
+        return self.n + len(self.new) - 1
+
+    def _settle(self) -> None:
+        """Move new entries into the arrays, which double when full."""
+        if self.new:
+            until = self.ends[self.n] + np.cumsum(np.fromiter(map(len, self.new), np.int32, len(self.new)), dtype=np.int32)
+            while self.n + len(until) >= len(self.ends):
+                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            while until[-1] > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.ends[self.n] : until[-1]] = np.fromiter(chain.from_iterable(self.new), self.width)
+            self.ends[self.n + 1 : self.n + 1 + len(until)] = until
+            self.n += len(until)
+            self.new = []
+
+    def _parts(self, piece: str) -> list[str]:
+        """Parts that share no token: lines, line feeds, and a full stop or comma after a letter."""
+        if "\n" in piece and len(piece) > 1 and not self._wide.search(piece):
+            return [p for line in re.split("(\n)", piece) if line for p in self._parts(line)]
+        return [piece[:-1], piece[-1]] if piece[-1:] in (".", ",") and piece[-2:-1].isalpha() else [piece]
+
+    def _word(self, word: str, space: str) -> list[int]:
+        """Ids of a part."""
+        if word.isalpha():  # one run of letters: straight to the BPE model
+            return [t.id for t in self.tokenizer.model.tokenize((space + word).encode().decode("latin-1").translate(self._signs))]
+        return self.tokenizer.encode(space + word, add_special_tokens=False).ids
+
+    def _entry(self, piece: str, space: str) -> int:
+        place = self.after_space if space else self.at_begin
+        known = place.get(piece)
+        if known is None:
+            parts = [piece] if piece.isalpha() else self._parts(space + piece)
+            if len(parts) == 1:
+                known = self._keep(self._word(piece, space))
+            else:
+                entries = [self._entry(p[1:], " ") if p[0] == " " else self._entry(p, "") for p in parts]
+                known = self._keep([i for e in entries for i in self._known(e)])
+            place[piece] = known
+        return known
+
+    def _known(self, entry: int) -> list[int]:
+        return self.new[entry - self.n] if entry >= self.n else self.flat[self.ends[entry] : self.ends[entry + 1]].tolist()
 
     def _cut(self, text: str) -> list[str]:
-        if any(a in text for a in self.added):
+        if not self.by_piece or any(a in text for a in self.added):
             return [text]
-        parts = self._single.split(text) if self._wide.search(text) or text[:1] == " " else text.split(" ")
-        return [parts[0], *[" " + p for p in parts[1:]]]
-
-    def ids(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        for text in texts:
-            if self.n > self.most:
-                self._forget()
-            pieces = self._cut(text)
-            new = {p for p in pieces if p not in self.place}
-            if new:
-                self._learn(new)
-            at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
-            first = self.ends[at]
-            n = self.ends[at + 1] - first
-            # Position k of the text takes the k-th id counted from the begin of its piece.
-            begin = np.cumsum(n) - n
-            yield self.flat[np.repeat(first - begin, n) + np.arange(int(n.sum()))]
-
-
-_ENCODERS: dict[int, PieceEncoder] = {}
-
-
-def _encoder(tokenizer_json: str, most: int) -> PieceEncoder:
+        return self._single.split(text) if self._wide.search(text) else text.split(" ")
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, the end id last."""
+        if self.n > self.most:
+            self._forget()
+        cut = [self._cut(text) for text in texts]
+        heads = [c.pop(0) for c in cut]
+        tails = list(chain.from_iterable(cut))
+        ends = np.cumsum([2 + len(c) for c in cut])  # a text's head, tails and end
+        entry = np.full(int(ends[-1]), self.end, np.int32)
+        is_tail = np.ones(len(entry), bool)
+        is_tail[ends - 1] = is_tail[0] = is_tail[ends[:-1]] = False
+        for pieces, space, place, where in ((heads, "", self.at_begin, np.append(0, ends[:-1])), (tails, " ", self.after_space, is_tail)):
+            found = np.fromiter(map(place.get, pieces, repeat(-1)), np.int32, len(pieces))
+            unknown = np.flatnonzero(found < 0)
+            if len(unknown):
+                found[unknown] = [self._entry(pieces[i], space) for i in unknown]
+            entry[where] = found
+        self._settle()
+        first = self.ends[entry]
+        n = self.ends[entry + 1] - first
+        # Position k of the batch takes the k-th id counted from the begin of its piece.
+        until = np.cumsum(n, dtype=np.int32)
+        flat = self.flat[np.repeat(first - (until - n), n) + np.arange(until[-1], dtype=np.int32)]
+        return np.split(flat, until[ends - 1][:-1])
+
+
+_ENCODERS: dict[tuple, PieceEncoder] = {}
+
+
+def _encoder(*settings) -> PieceEncoder:
     """One encoder per Python worker, which serves several tasks."""
-    key = hash((tokenizer_json, most))
-    if key not in _ENCODERS:
+    if settings not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = PieceEncoder(tokenizer_json, most)
-    return _ENCODERS[key]
+        _ENCODERS[settings] = PieceEncoder(*settings)
+    return _ENCODERS[settings]
 
 
 def _narrow(vocabulary: int) -> np.dtype:
@@ -137,12 +184,11 @@ def token_ids(docs: DataFrame, tokenizer_json: str, end_id: int, pieces: int = P
     width = _narrow(max(Tokenizer.from_str(tokenizer_json).get_vocab_size(), end_id + 1))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_json, pieces)
+        encoder = _encoder(tokenizer_json, end_id, width, pieces)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                texts = (t.as_py() or "" for t in part.column(1))
-                ids = [np.append(x, end_id).astype(width) for x in encoder.ids(texts)]
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                ids = encoder.ids([t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
                     ["doc_id", "n", "ids"],
@@ -181,8 +227,9 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes[: len(ranks)] = length - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    used = np.arange(4) < length[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    top = int(length.max(initial=1))
+    used = np.arange(top) < length[:, None]
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[:, :top][used].tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
