@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varspark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, oracle, permutation_index, token_store, url_filter, warc
+from varspark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, oracle, permutation_index, suffix_dedup, token_store, url_filter, warc
 
 # The rules of the URL contract, then host names that the method itself blocks.
 SITE_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -30,6 +30,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_suffixes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -85,7 +89,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [
-    op1_line_dedup, op3_warc, op4_jaccard_join, op5_decontaminate, op6_mix_sources, op7_nearest, op8_language_id, op9_token_ids, op10_url_filter,
+    op1_line_dedup, op2_suffix_dedup, op3_warc, op4_jaccard_join, op5_decontaminate, op6_mix_sources, op7_nearest, op8_language_id, op9_token_ids, op10_url_filter,
 ]
 
 
