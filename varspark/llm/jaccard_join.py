@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from varspark.llm.blocks import Block, RunHashes, mixed, spaced_words, text_blocks
 from varspark.llm.components import connected
+from varspark.llm.stages import Stages
 from varspark.session import stored
 
 GRAM = 5
@@ -87,15 +88,16 @@ def _sets(batch: pa.RecordBatch, column: int, gram: int) -> Iterator[np.ndarray]
 
 
 def members(docs: DataFrame, gram: int = GRAM) -> DataFrame:
-    """doc_id, n (set size), id and check (two hashes of the set) per row."""
+    """doc_id, tie (text hash), n (set size), id and check (two hashes of the set) per row."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(len(s), set_hash(s, 0), set_hash(s, 1)) for s in _sets(batch, 1, gram)]
             columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n", "id", "check"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["doc_id", "tie", "n", "id", "check"])
 
-    return docs.select("doc_id", "text").mapInArrow(read, "doc_id long, n long, id long, check long")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    return rows.mapInArrow(read, "doc_id long, tie long, n long, id long, check long")
 
 
 # ---- plan
@@ -397,21 +399,33 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 def links(docs: DataFrame, rows: DataFrame, similarity: int = SIMILARITY, gram: int = GRAM) -> DataFrame:
     """a, b: links between distinct sets, ids as in ``rows`` (see ``members``), that together connect all sets that links connect."""
+    stages = Stages(docs.sparkSession)
     sizes = {r.n: r.sets for r in rows.where("n <= 200").groupBy("n").agg(F.count_distinct("id").alias("sets")).collect()}
     plan = make_plan(bucket_counts(docs, gram), sizes, similarity)
-    lists = stored(with_partners(stored(shared_lists(postings(docs, plan, gram)), "jaccard-lists")), "jaccard-lists")
+    lists = stages.stored(with_partners(stages.stored(shared_lists(postings(docs, plan, gram)), "jaccard-lists")), "jaccard-lists")
     chosen = lists.select("id").distinct().join(rows, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
-    sets = stored(set_table(docs, chosen, gram), "jaccard-sets")
-    lists = stored(lists.join(sets.select("id", "bits"), "id").select("key", "id", "n", "bits"), "jaccard-lists")
+    sets = stages.stored(set_table(docs, chosen, gram), "jaccard-sets")
+    lists = stages.stored(lists.join(sets.select("id", "bits"), "id").select("key", "id", "n", "bits"), "jaccard-lists")
 
     # The hub that a set met most often is its best chance.
     hubs = hub_pairs(lists, similarity).groupBy("a", "b").agg(F.count("*").alias("met"))
     hubs = hubs.groupBy("a").agg(F.max(F.struct("met", "b"))["b"].alias("b"))
-    first = stored(verified(hubs, sets, similarity), "jaccard-links")
+    first = stages.stored(verified(hubs, sets, similarity), "jaccard-links")
     joined = connected(first)
     lists = lists.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    second = stored(verified(cross_pairs(lists, similarity), sets, similarity), "jaccard-links")
-    return first.unionAll(second)
+    second = verified(cross_pairs(lists, similarity), sets, similarity)
+    both = stored(first.unionAll(second), "jaccard-links")
+    stages.drop()
+    return both
+
+
+def _classes(docs: DataFrame, similarity: int, gram: int) -> DataFrame:
+    """``members`` with class: the component of their set, null for empty sets."""
+    rows = stored(members(docs, gram), "jaccard-members")
+    if rows.where("n > 0").groupBy("id").agg((F.min("check") != F.max("check")).alias("mixed")).where("mixed").take(1):
+        raise ValueError("two different sets have the same id; change the seeds")
+    found = connected(links(docs, rows, similarity, gram))
+    return rows.join(found, "id", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("component", "id")))
 
 
 def jaccard_groups(docs: DataFrame, similarity: int = SIMILARITY, gram: int = GRAM) -> DataFrame:
@@ -424,13 +438,21 @@ def jaccard_groups(docs: DataFrame, similarity: int = SIMILARITY, gram: int = GR
     belong to their group but do not name it. Other columns are ignored; an empty table gives no rows.
     Raises if two different sets have one 64-bit id (the second hash tells).
     """
-    docs = docs.select("doc_id", "text")
-    rows = stored(members(docs, gram), "jaccard-members")
-    if rows.where("n > 0").groupBy("id").agg((F.min("check") != F.max("check")).alias("mixed")).where("mixed").take(1):
-        raise ValueError("two different sets have the same id; change the seeds")
-    found = connected(links(docs, rows, similarity, gram))
-    labelled = rows.join(found, "id", "left").withColumn("class", F.coalesce("component", "id"))
-    names = labelled.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("name"))
-    named = labelled.join(names, "class", "left")
+    rows = _classes(docs, similarity, gram)
+    names = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("name"))
+    named = rows.join(names, "class", "left")
     own = F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id"))
     return named.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, similarity: int = SIMILARITY, gram: int = GRAM) -> DataFrame:
+    """The document of smallest doc_id of each group (rows without id last), and all documents without words, with all columns.
+
+    Rows that repeat doc_id and text are one document.
+    """
+    rows = _classes(docs, similarity, gram)
+    first = rows.where("n > 0").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")).alias("r"))
+    kept = first.select("r.doc_id", "r.tie").unionAll(rows.where("n = 0").select("doc_id", "tie")).distinct()
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_tie"))
+    return docs.join(kept, same).dropDuplicates(["_id", "_tie"]).select(*docs.columns)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varspark.llm.blocks import RunHashes, text_blocks
+from varspark.llm.stages import Stages
 from varspark.session import stored
 
 WIDTH = 200
@@ -268,7 +269,8 @@ def slice_texts(docs: DataFrame, chosen: DataFrame, width: int = WIDTH) -> DataF
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, token: int = TOKEN, crowd: int = CROWD) -> DataFrame:
     """doc_id, tie, spans: starts of repeated windows as [from, to), per document that has any. ``docs`` has doc_id, tie, text."""
-    shared = stored(repeated_anchors(slices(docs, width, gram)), "suffix-slices")
+    stages = Stages(docs.sparkSession)
+    shared = stages.stored(repeated_anchors(slices(docs, width, gram)), "suffix-slices")
     one = shared.groupBy("key", "slice", "anchor").agg(F.min(F.struct("doc_id", "tie", "start", "windows")).alias("r"))
     several = one.groupBy("key").agg(F.count("*").alias("slices")).where("slices > 1")
     chosen = one.join(several, "key").select("key", "slice", "anchor", "slices", "r.*")
@@ -276,7 +278,10 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, token:
     whole = shared.where("whole").select("doc_id", "tie", F.col("start").alias("from"), (F.col("start") + F.col("windows")).alias("to"))
     part = shared.where("not whole").join(found, ["key", "slice", "anchor"])
     part = part.select("doc_id", "tie", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
-    return whole.unionAll(part).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    spans = whole.unionAll(part).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    spans = stored(spans, "suffix-spans")
+    stages.drop()
+    return spans
 
 
 def dedup_suffixes(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, token: int = TOKEN, crowd: int = CROWD) -> DataFrame:

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from varspark.session import scratch_path, stored
+from varspark.llm.stages import Stages
+from varspark.session import stored
 
 # Fixed values of the file format. Heads are little-endian: mark, counts and lengths, crc32 of what follows.
 RANKS, DOCS = b"IDR1", b"IDB1"
@@ -306,7 +307,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, s
     key = ["doc_id", "tie"]
     dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange(*key).sortWithinPartitions(*key)
     # Row numbers ascend within a range and from range to range; the range is in their upper bits.
-    tokens = stored(token_ids(dealt, tokenizer_json, end_id, pieces).withColumn("row", F.monotonically_increasing_id()), "token-ids")
+    stages = Stages(docs.sparkSession)
+    tokens = stages.stored(token_ids(dealt, tokenizer_json, end_id, pieces).withColumn("row", F.monotonically_increasing_id()), "token-ids")
     by_rank = np.argsort(-(counts := id_counts(tokens, vocabulary)), kind="stable")[: int((counts > 0).sum())]
     rank_of = np.zeros(vocabulary, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
@@ -344,6 +346,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, s
     blocks = tokens.select("doc_id", "n", "ids", "row").mapInArrow(write, "shard string, piece int, content binary")
     blocks = blocks.sortWithinPartitions("shard", "piece").select("shard", F.col("content").cast("string").alias("value"))
     blocks.write.partitionBy("shard").option("lineSep", "\n").text(path)
+    stages.drop()
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -377,11 +380,13 @@ def encoded_documents(docs: DataFrame, tokenizer_json: str, end_id: int = 2, **o
     and repeated doc_ids follow each other. Other columns are ignored. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    path = scratch_path(spark, "token-shards")
+    stages = Stages(spark)
+    path = stages.path("token-shards")
     write_shards(docs, path, tokenizer_json, end_id, **options)
     if not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").take(1):
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     found = stored(read_shards(spark, path).drop("ids"), "token-places")
+    stages.drop()
     sizes = found.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per shard
     return found.join(sizes.select("shard", before.alias("offset")), "shard").select(

@@ -18,7 +18,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varspark.session import scratch_path, stored
+from varspark.llm.stages import Stages
+from varspark.session import stored
 
 # Fixed values of the formats: frame marks, record head, profile of revisits.
 DICTIONARY_MARK, FRAME_MARK = 0x184D2A5D, 0xFD2FB528
@@ -220,6 +221,9 @@ def archived_pages(pages: DataFrame, **options) -> DataFrame:
     Each input row gives one row; other columns are ignored; an empty table gives no rows.
     """
     spark = pages.sparkSession
-    path = scratch_path(spark, "warc")
+    stages = Stages(spark)
+    path = stages.path("warc")
     write_archives(pages, path, **options)
-    return stored(read_archives(spark, path).drop("payload"), "warc-records")
+    records = stored(read_archives(spark, path).drop("payload"), "warc-records")
+    stages.drop()
+    return records
