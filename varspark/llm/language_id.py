@@ -8,6 +8,8 @@ least against the bit margins, bits weighted by how well their classifier did on
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 import numpy as np
@@ -93,10 +95,13 @@ def _sample(docs: DataFrame, label: str, sample_docs: int) -> DataFrame:
     rows = docs.where(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).select(
         "text", F.col(label).alias("lang"), F.xxhash64("doc_id").alias("at")
     )
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
-    last = rows.select("lang", "at").withColumn("nth", nth).where(F.col("nth") <= sample_docs)
-    last = last.groupBy(F.col("lang").alias("_lang")).agg(F.max("at").alias("_last"))
-    return rows.join(last, (F.col("lang") == F.col("_lang")) & (F.col("at") <= F.col("_last"))).select("text", "lang")
+    # The first of each language, found in parts, so that a common language is not ranked in one task.
+    first = rows.select("lang", "at").withColumn("part", F.pmod("at", F.lit(64)))
+    for parts in (["lang", "part"], ["lang"]):
+        first = first.withColumn("nth", F.row_number().over(Window.partitionBy(*parts).orderBy("at"))).where(F.col("nth") <= sample_docs)
+    last = first.groupBy("lang").agg(F.max("at").alias("last")).collect()  # a row per language
+    chosen = [(F.col("lang") == r.lang) & (F.col("at") <= r["last"]) for r in last]
+    return rows.where(reduce(or_, chosen, F.lit(False))).select("text", "lang")
 
 
 def fit(docs: DataFrame, label: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
