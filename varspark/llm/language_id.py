@@ -126,7 +126,7 @@ def fit(docs: DataFrame, label: str = "lang", sample_docs: int = SAMPLE_DOCS) ->
                             np.add.at(counts, key[first[row] : last[row]], 1)
         for lang, counts in total.items():
             seen = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen)), pa.array(seen), pa.array(counts[seen])], ["lang", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), pa.array(seen), pa.array(counts[seen])], ["lang", "bucket", "n"])
 
     table = _sample(docs, label, sample_docs).mapInArrow(count, "lang string, bucket long, n long")
     table = table.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
