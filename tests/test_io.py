@@ -17,8 +17,9 @@ def put(folder, name, content):
 
 
 def test_manifest_with_comments_blanks_and_defaults(spark, tmp_path, rows):
-    path = put(tmp_path, "a.config", "#SampleID\tLabSampleID\tSeq_centre\tLibrary\nS1\tP1-N\tKCCG\t2\n\n#S2\tP2-N\tKCCG\t1\nS3 P3-T1 KCCG\nS4\tP4-N\tKCCG\t\n")
-    assert rows(readers.read_manifest(spark, path)) == [("S1", "P1-N", "KCCG", 2), ("S3", "P3-T1", "KCCG", 1), ("S4", "P4-N", "KCCG", 1)]
+    path = put(tmp_path, "a.config", "#SampleID\tLabSampleID\tSeq_centre\tLibrary\nS1\tP1-N\tKCCG\t2\n\n#S2\tP2-N\tKCCG\t1\nS3 P3-T1 KCCG\nS4\tP4-N\tKCCG\t\nS5\tP5-N\tKCCG\ttwo\n")
+    expected = [("S1", "P1-N", "KCCG", 2), ("S3", "P3-T1", "KCCG", 1), ("S4", "P4-N", "KCCG", 1), ("S5", "P5-N", "KCCG", None)]
+    assert rows(readers.read_manifest(spark, path)) == expected
 
 
 def test_intervals_take_their_id_from_the_file_name(spark, tmp_path, rows):

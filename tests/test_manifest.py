@@ -72,15 +72,12 @@ def test_reuse_and_map(spark, samples, rows):
     assert rows(m.sample_map(samples, "root/"))[0] == ("P1-N", "root/P1-N.parquet")
 
 
-def test_grid_is_the_full_product_and_checks_its_width(spark, samples, rows):
-    intervals = spark.createDataFrame([("0000",), ("0001",)], "interval_id string")
-    pairs = m.pair_tumour_normal(samples).select("pair")
-    grid = m.expected_grid(pairs, intervals, ("chrM",))
-    assert grid.count() == 15
-    ordered = [tuple(r) for r in m.interval_major(grid, "pair").select("interval_id", "pair").collect()]
-    assert ordered == sorted(ordered)
-    with pytest.raises(Exception, match="max_intervals"):
-        m.expected_grid(pairs, intervals, max_intervals=1).collect()
+def test_gaps_of_each_key(spark, rows):
+    intervals = spark.createDataFrame([(f"i{n}", n) for n in range(6)], "interval_id string, interval_no bigint")
+    keys = spark.createDataFrame([("full",), ("none",), ("some",), ("some",)], "pair string")
+    present = [("full", f"i{n}") for n in range(6)] + [("some", "i1"), ("some", "i1"), ("some", "i4"), ("some", "unlisted"), ("other", "i0")]
+    got = m.expected_grid(keys, spark.createDataFrame(present, "pair string, interval_id string"), intervals, "pair")
+    assert rows(got) == [("none", 0, 5, 6), ("some", 0, 0, 1), ("some", 2, 3, 2), ("some", 5, 5, 1)]
 
 
 def test_empty_manifest(spark):

@@ -40,7 +40,7 @@ def test_metrics(spark, logs):
     expected = spark.createDataFrame([(t,) for t in ("good", "both", "quiet", "nomem", "noelapsed", "long", "twice", "absent")], "task_id string")
     got = {r.task_id: (r.minutes, r.gb) for r in qc.task_metrics(logs, expected).collect()}
     none = (None, None)
-    assert got == {"good": (1.25, 2.0), "both": none, "quiet": none, "nomem": none, "noelapsed": (None, 1.5), "long": none, "twice": (4.5, 4.0), "absent": none}
+    assert got == {"good": (1.25, 2.0), "both": none, "quiet": none, "nomem": none, "noelapsed": (None, 1.5), "long": (None, 7.0), "twice": (4.5, 4.0), "absent": none}
     binary = {r.task_id: (r.minutes, r.gb) for r in qc.task_metrics_binary(logs).collect()}
     assert binary["both"] == (9.25, 3.0) and binary["twice"] == (4.5, 0.93) and binary["nomem"] == (2.0, None)
 
@@ -51,10 +51,10 @@ def test_error_lines(logs, rows):
 
 
 def test_exit_status(spark):
-    jobs = spark.createDataFrame([(j,) for j in "abcde"], "job_id string")
-    logs = spark.createDataFrame([("a", "Exit Status: 0", ""), ("b", "Exit Status: 271", ""), ("c", "walltime", ""), ("d", "Exit Status: 0", "oops")], "job_id string, line string, stderr string")
+    jobs = spark.createDataFrame([(j,) for j in "abcdef"], "job_id string")
+    logs = spark.createDataFrame([("a", "Exit Status: 0", ""), ("b", "Exit Status: 271", ""), ("c", "walltime", ""), ("d", "Exit Status: 0", "oops"), ("f", "Exit Status: 0", None)], "job_id string, line string, stderr string")
     got = {r.job_id: r.failed for r in qc.exit_status(logs, jobs).collect()}
-    assert got == {"a": False, "b": True, "c": True, "d": True, "e": True}
+    assert got == {"a": False, "b": True, "c": True, "d": True, "e": True, "f": True}
 
 
 def test_missing_outputs_and_rerun(spark, rows):

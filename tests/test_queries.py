@@ -92,3 +92,13 @@ def test_stored_stages_change_nothing(spark):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_no_row_of_lineitem_is_lost(spark):
+    from varspark.plans.fixtures import Tables
+
+    t = Tables(spark, SF)
+    seen = t.observations().agg({"ref_count": "sum", "alt_count": "sum"}).collect()[0]
+    kept = t.observations().join(t.keyed_sites().select("locus"), "locus").agg({"ref_count": "sum", "alt_count": "sum"}).collect()[0]
+    whole = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("sum(cast(l_quantity as bigint)) as n").collect()[0].n
+    assert sum(seen) == sum(kept) == whole

@@ -108,3 +108,16 @@ def test_last_rows_over_blocks(spark):
     df = spark.range(1000).selectExpr("'t' as task_id", "id * 3 as line_no")
     got = sorted(x.line_no for x in last_rows(df, 50, keys=["task_id"], order="line_no", width=16).collect())
     assert got == [i * 3 for i in range(950, 1000)]
+
+
+def test_a_part_is_held_against_all_before_it(spark, rows):
+    parts = spark.createDataFrame([("a", "c", 1, 100), ("b", "c", 10, 20), ("d", "c", 50, 60), ("e", "c", 101, 110)], "interval_id string, contig string, start_pos bigint, end_pos bigint")
+    assert rows(r.check_gather_order(parts), "interval_id", "previous_id", "previous_end") == [("b", "a", 100), ("d", "a", 100)]
+
+
+def test_unlisted_contigs_come_last(spark):
+    from varspark.operators.sites import sort_sites
+
+    contigs = spark.createDataFrame([("chr2", 1), ("chr1", 0)], "contig string, idx bigint")
+    sites = spark.createDataFrame([("new", 1), ("chr2", 5), ("chr1", 9)], "contig string, pos bigint")
+    assert [x.contig for x in sort_sites(sites, contigs).collect()] == ["chr1", "chr2", "new"]

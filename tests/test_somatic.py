@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from varspark.functions import evidence as ev
-from varspark.operators import filtering, somatic
+from varspark.operators import filtering, pileup, somatic
 
 E = 1e-3
 COUNTS = "lab_id string, contig string, pos bigint, ref string, alt string, ref_count bigint, alt_count bigint, alt_f1r2 bigint, alt_f2r1 bigint"
@@ -110,12 +110,12 @@ def test_threshold_maximises_expected_f(spark):
     got = filtering.learn_threshold(df).collect()[0]
 
     def score(t):
-        kept = [p for p in ps if min(int(p * 10_000), 9_999) < round(t * 10_000)]
+        kept = [p for p in ps if p <= t]
         tp, fp = sum(1 - p for p in kept), sum(kept)
         fn = sum(1 - p for p in ps) - tp
         return tp / (tp + (fp + fn) / 2)
 
-    best = max(score((int(p * 10_000) + 1) / 10_000) for p in ps[:-1])
+    best = max(map(score, ps))
     assert got.f_score == pytest.approx(best, abs=1e-9)
     assert score(got.threshold) == pytest.approx(best, abs=1e-9)
 
@@ -143,7 +143,8 @@ def test_every_filter_fires_for_its_reason(spark):
             {"pos": 6000, "tlod": 6.0},
             {"pos": 7000, "nlod": 0.0},
             {"pos": 8000, "nlod": 1.0, "n_alt": 2},
-            {"pos": 9000, "p_error": 0.5},
+            {"pos": 8500, "p_error": 0.5},
+            {"pos": 9000, "p_error": 0.5 + 1e-9},
             {"pos": 9900},
             {"pos": 9900, "alt": "G"},
         ],
@@ -157,6 +158,7 @@ def test_every_filter_fires_for_its_reason(spark):
         (6000, "C"): ["weak_evidence"],
         (7000, "C"): ["weak_evidence"],
         (8000, "C"): ["normal_artifact"],
+        (8500, "C"): [],
         (9000, "C"): ["weak_evidence"],
         (9900, "C"): ["multiallelic"],
         (9900, "G"): ["multiallelic"],
@@ -174,3 +176,50 @@ def test_summary_totals(spark):
     df = spark.createDataFrame([("p", []), ("p", ["germline", "orientation"]), ("q", ["germline"])], "pair string, filters array<string>")
     got = {(r.pair, r.filter): r.n_calls for r in filtering.filter_summary(df).collect()}
     assert got == {("p", "PASS"): 1, ("p", "germline"): 1, ("p", "orientation"): 1, ("q", "germline"): 1, ("p", None): 3, ("q", None): 1, (None, None): 4}
+
+
+def test_thresholds_tell_small_probabilities_apart(spark):
+    df = spark.createDataFrame([("p", "c", i, "A", "C", p) for i, p in enumerate([1e-7, 2e-6, 0.9])], SCORED)
+    assert filtering.learn_threshold(df).collect()[0].threshold == pytest.approx(2e-6)
+
+
+def reads_of(sample, n, base, start=1, flag=0):
+    """Reads of 60 bases over the whole stretch, all A but for one base at position 30."""
+    seq = "A" * 29 + base + "A" * 30
+    return [(sample, f"{sample}{base}{i}", flag | (64 if i % 2 else 128), "chr1", start, 60, "60M", seq, "I" * 60) for i in range(n)]
+
+
+READS = "lab_id string, read_id string, flag int, contig string, pos bigint, mapq int, cigar string, seq string, qual string"
+
+
+def test_reads_to_a_passing_call(spark):
+    """A clean normal shows no allele, yet its depth counts for the call."""
+    reads = spark.createDataFrame(reads_of("P1-T1", 28, "A") + reads_of("P1-T1", 12, "C") + reads_of("P1-N", 40, "A"), READS)
+    reference = spark.createDataFrame([("chr1", p, "A") for p in range(1, 61)], "contig string, pos bigint, base string")
+    counts = pileup.allele_counts(reads, reference)
+    pairs = spark.createDataFrame([("P1-T1_P1-N", "P1", "P1-T1", "P1-N")], "pair string, patient string, tumour_id string, normal_id string")
+    none = spark.createDataFrame([], "contig string, pos bigint, ref string, alt string, af double")
+    call = somatic.call_genome(counts, pairs, none.drop("af"), none, reads=reads).collect()
+    assert [(c.pos, c.t_ref, c.t_alt, c.n_ref, c.n_alt) for c in call] == [(30, 28, 12, 40, 0)] and call[0].nlod > 2.2
+    bare = somatic.call_genome(counts, pairs, none.drop("af"), none).collect()[0]
+    assert (bare.n_ref, bare.nlod) == (0, 0)
+    got = judged(spark, [{"pos": 30, "tlod": call[0].tlod, "nlod": call[0].nlod}])
+    assert list(got.values()) == [[]]
+
+
+def test_callable_positions_from_reads(spark):
+    reads = spark.createDataFrame(reads_of("T", 28, "A") + reads_of("T", 12, "C") + reads_of("N", 40, "A") + reads_of("N", 9, "A", start=200) + reads_of("X", 20, "A", flag=1024), READS)
+    intervals = spark.createDataFrame([("0", "chr1", 1, 30), ("1", "chr1", 31, 100), ("2", "chr1", 101, 9000)], "interval_id string, contig string, start_pos bigint, end_pos bigint")
+    got = {(r.lab_id, r.interval_id): r.callable for r in pileup.callable_from_reads(reads, intervals).collect()}
+    assert got == {("T", "0"): 30, ("T", "1"): 30, ("N", "0"): 30, ("N", "1"): 30}
+    assert {r.lab_id: r.callable for r in pileup.callable_from_reads(reads, intervals.filter("interval_id = '2'"), min_depth=9).collect()} == {"N": 60}
+
+
+def test_mitochondrial_calls_keep_their_rules(spark):
+    """A chrM call that calling admits is not failed by the nuclear limit."""
+
+    schema = "pair string, contig string, pos bigint, ref string, alt string, tlod double, nlod double, n_alt bigint, in_pon boolean, p_germline double, p_contamination double, p_orientation double, p_error double"
+    calls = spark.createDataFrame([("p", c, 5, "A", "C", 5.07, 271.0, 0, False, 0.0, 0.0, 0.0, 0.1) for c in ("chrM", "chr1")], schema)
+    limits = spark.createDataFrame([("p", 0.5)], "pair string, threshold double")
+    least = F.when(F.col("contig") != "chrM", 6.3).otherwise(3.0)
+    assert {c.contig: list(c.filters) for c in filtering.apply_filters(calls, limits, min_tumour_lod=least).collect()} == {"chrM": [], "chr1": ["weak_evidence"]}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varspark.functions.evidence import contamination_weights, with_share
+from varspark.operators.ordered import running_total
 from varspark.operators.orientation import orientation_posterior
 from varspark.operators.regions import bin_join
 from varspark.operators.sites import sort_sites
@@ -14,7 +15,7 @@ from varspark.operators.somatic import MIN_TUMOUR_LOD, germline_posterior
 
 MIN_NORMAL_LOD = 2.2
 SEGMENT_BIN = 1_000_000
-BUCKETS = 10_000
+PLACES = 12
 CLUSTER_BIN = 10_000
 
 
@@ -55,13 +56,16 @@ def weak_share(tlod: Column, n_calls: Column, callable_: Column) -> Column:
     """P(no variant): the tumour LOD against the share of callable sites that are called."""
     rate = n_calls / F.greatest(F.coalesce(callable_, n_calls), n_calls)
     prior = F.least(F.greatest(rate, F.lit(1e-8)), F.lit(0.5))
-    odds = F.log10(prior) - F.log10(F.lit(1.0) - prior) + F.least(tlod, F.lit(300.0))
+    odds = F.log10(prior) - F.log10(F.lit(1.0) - prior) + tlod
     return F.lit(1.0) / (F.lit(1.0) + F.pow(F.lit(10.0), odds))
 
 
-def error_probability(calls: DataFrame) -> DataFrame:
-    """Add ``p_error``: the call is not somatic for at least one reason."""
-    scored = contamination_posterior(germline_posterior(calls, maf="maf")).withColumn(
+def error_probability(calls: DataFrame, diploid: Column | None = None) -> DataFrame:
+    """Add ``p_error``: the call is not somatic for at least one reason.
+
+    ``diploid`` is false where there is no heterozygous state (mitochondria).
+    """
+    scored = contamination_posterior(germline_posterior(calls, diploid, maf="maf")).withColumn(
         "p_weak", weak_share(F.col("tlod"), F.col("n_calls"), F.col("callable"))
     )
     right = F.lit(1.0)
@@ -70,34 +74,24 @@ def error_probability(calls: DataFrame) -> DataFrame:
     return scored.withColumn("p_error", F.lit(1.0) - right)
 
 
-def _bucket(p: Column, buckets: int) -> Column:
-    return F.least(F.floor(p * F.lit(buckets)), F.lit(buckets - 1)).cast("long")
-
+def learn_threshold(calls: DataFrame) -> DataFrame:
+    """Per pair the error probability with the best expected F-score when calls up to it are kept; ties go to the lowest.
 
-def learn_threshold(calls: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Per pair the error threshold with the best expected F-score; ties go to the lowest.
-
-    Calls are counted into buckets first: one pair is at most ``buckets`` rows
-    when its running sums are taken. A call is kept when its bucket lies below
-    ``threshold * buckets``.
+    Running sums are taken in two steps: inside stretches of 1/10,000 of the
+    probability scale, and over the totals of the stretches, so no window sorts a whole pair.
+    Probabilities are compared to ``PLACES`` decimals.
     """
-    binned = (
-        calls.withColumn("_b", _bucket(F.col("p_error"), buckets))
-        .groupBy("pair", "_b")
-        .agg(F.sum(F.lit(1.0) - F.col("p_error")).alias("_real"), F.sum("p_error").alias("_false"))
-    )
-    upto = Window.partitionBy("pair").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("pair")
-    tp, fp = F.sum("_real").over(upto), F.sum("_false").over(upto)
-    fn = F.sum("_real").over(whole) - tp
-    denominator = tp + (fp + fn) / F.lit(2.0)
-    score = F.round(F.when(denominator > 0, tp / denominator).otherwise(F.lit(0.0)), 9)
-    best = F.max_by("_b", F.struct(F.col("_f"), -F.col("_b")))
-    return (
-        binned.withColumn("_f", score)
-        .groupBy("pair")
-        .agg(((best + 1) / F.lit(float(buckets))).alias("threshold"), F.max("_f").alias("f_score"))
-    )
+    p = F.round("p_error", PLACES)
+    kept = calls.select("pair", p.alias("_p"), (F.lit(1.0) - F.col("p_error")).alias("_real"), F.col("p_error").alias("_false"))
+    steps = kept.groupBy("pair", "_p").agg(F.sum("_real").alias("_real"), F.sum("_false").alias("_false"))
+    steps = steps.withColumn("_b", F.floor(F.col("_p") * F.lit(10_000)).cast("long"))
+    whole = steps.groupBy("pair").agg(F.sum("_real").alias("_all"))
+    summed = running_total(steps, F.col("_real"), "_tp", order=["_b", "_p"], keys=["pair"], width=1)
+    summed = running_total(summed, F.col("_false"), "_fp", order=["_b", "_p"], keys=["pair"], width=1).join(whole, "pair")
+    denominator = F.col("_tp") + (F.col("_fp") + F.col("_all") - F.col("_tp")) / F.lit(2.0)
+    score = F.round(F.when(denominator > 0, F.col("_tp") / denominator).otherwise(F.lit(0.0)), 9)
+    best = F.max(F.struct(score.alias("f"), (-F.col("_p")).alias("p")))
+    return summed.groupBy("pair").agg(best.alias("_best")).select("pair", (-F.col("_best.p")).alias("threshold"), F.col("_best.f").alias("f_score"))
 
 
 def _neighbours(calls: DataFrame, within: int) -> DataFrame:
@@ -128,18 +122,19 @@ def _neighbours(calls: DataFrame, within: int) -> DataFrame:
 def apply_filters(
     calls: DataFrame,
     thresholds: DataFrame,
-    min_tumour_lod: float = MIN_TUMOUR_LOD,
+    min_tumour_lod: Column | float = MIN_TUMOUR_LOD,
     min_normal_lod: float = MIN_NORMAL_LOD,
     max_near: int = 2,
     within: int = 100,
-    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Add ``filters``: the names of all failed tests, empty for a PASS call."""
+    """Add ``filters``: the names of all failed tests, empty for a PASS call.
+
+    A reason fails a call when its probability exceeds the pair's threshold.
+    """
     judged = spread_join(_neighbours(calls, within), thresholds.select("pair", "threshold"), ["pair"])
-    limit = F.round(F.col("threshold") * F.lit(buckets)).cast("long")
 
     def over(name: str) -> Column:
-        return _bucket(F.col(name), buckets) >= limit
+        return F.round(name, PLACES) > F.col("threshold")
 
     short_of_normal = F.col("nlod") < min_normal_lod
     doubtful = over("p_error") & ~over("p_germline") & ~over("p_contamination") & ~over("p_orientation")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varspark.operators.skew import spread_join
@@ -13,7 +13,6 @@ from varspark.operators.skew import spread_join
 NORMAL_SUFFIX = r"-[NB].?"
 TUMOUR_SUFFIX = r"-[TMP].*"
 
-MAX_INTERVALS = 100_000
 
 
 def active_rows(manifest: DataFrame) -> DataFrame:
@@ -123,26 +122,25 @@ def sample_map(samples: DataFrame, root: str, ending: str = ".parquet") -> DataF
     )
 
 
-def expected_grid(
-    keys: DataFrame, intervals: DataFrame, extra: tuple[str, ...] = (), max_intervals: int = MAX_INTERVALS
-) -> DataFrame:
-    """Every key with every interval id, plus ``extra`` ids.
+def expected_grid(keys: DataFrame, present: DataFrame, intervals: DataFrame, key: str) -> DataFrame:
+    """Gaps in what each key should have: runs of listed intervals that are not present.
 
-    The scatter list is one array of checked length, unfolded next to each key
-    where the key is read, so the grid needs neither a join nor a shuffle.
+    ``intervals`` numbers the scatter list (interval_id, interval_no from 0);
+    ``present`` has a row or more per key and interval found. A gap is one row
+    (first_no, last_no, n_missing), so the result grows with what is there,
+    never with keys times intervals; a complete key has none. A window holds the intervals of one key.
     """
-    listed = F.array_union(
-        F.sort_array(F.collect_set("interval_id")), F.array(*[F.lit(e) for e in extra]).cast("array<string>")
+    listed = intervals.agg(F.count("*").alias("n")).scalar()
+    have = present.select(key, "interval_id").distinct().join(intervals.select("interval_id", "interval_no"), "interval_id")
+    ends = keys.select(key).distinct().withColumn("interval_no", listed)
+    have = have.select(key, "interval_no").join(keys.select(key).distinct(), key, "left_semi").unionByName(ends)
+    before = F.lag("interval_no", 1, -1).over(Window.partitionBy(key).orderBy("interval_no"))
+    gaps = have.withColumn("_before", before).filter(F.col("interval_no") - F.col("_before") > 1)
+    return gaps.select(
+        key,
+        (F.col("_before") + 1).alias("first_no"),
+        (F.col("interval_no") - 1).alias("last_no"),
+        (F.col("interval_no") - F.col("_before") - 1).alias("n_missing"),
     )
-    ids = intervals.agg(listed.alias("ids"))
-    checked = ids.select(
-        F.when(F.size("ids") <= max_intervals, F.col("ids"))
-        .otherwise(F.raise_error(F.lit("scatter list is longer than max_intervals")).cast("array<string>"))
-        .alias("ids")
-    )
-    return keys.withColumn("interval_id", F.explode(checked.scalar()))
 
 
-def interval_major(grid: DataFrame, key: str) -> DataFrame:
-    """Equal intervals side by side, keys in order within each."""
-    return grid.orderBy("interval_id", key)

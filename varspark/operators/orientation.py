@@ -59,16 +59,19 @@ def fold_context(df: DataFrame, contexts: DataFrame | None, f1r2: str, f2r1: str
 
 
 def f1r2_histogram(counts: DataFrame, pairs: DataFrame, contexts: DataFrame | None = None) -> DataFrame:
-    """Number of tumour loci per pair, context, alt base, depth, alt count and F1R2 count."""
-    keyed = counts.withColumnRenamed("lab_id", "tumour_id")
-    of_pair = spread_join(keyed, pairs.select("pair", "tumour_id"), ["tumour_id"])
-    return (
-        fold_context(of_pair, contexts, "alt_f1r2", "alt_f2r1")
+    """Number of tumour loci per pair, context, alt base, depth, alt count and F1R2 count.
+
+    Loci are counted per tumour; its pairs meet the counts, not the loci.
+    """
+    cell = ["context", "alt_base", "depth", "alt_count", "f1r2"]
+    per_sample = (
+        fold_context(counts.join(pairs.select(F.col("tumour_id").alias("lab_id")).distinct(), "lab_id", "left_semi"), contexts, "alt_f1r2", "alt_f2r1")
         .filter(F.col("context").isNotNull())
         .withColumn("depth", F.col("ref_count") + F.col("alt_count"))
-        .groupBy("pair", "context", "alt_base", "depth", "alt_count", "f1r2")
+        .groupBy(F.col("lab_id").alias("tumour_id"), *cell)
         .agg(F.count("*").alias("n"))
     )
+    return per_sample.join(pairs.select("pair", "tumour_id"), "tumour_id").select("pair", *cell, "n")
 
 
 def _state_weights(prior: dict[str, Column], forward: Column, total: Column) -> dict[str, Column]:
@@ -89,8 +92,7 @@ def learn_orientation(hist: DataFrame, iterations: int = ITERATIONS, cut_every:
         .groupBy(*group, "alt_count", "f1r2")
         .agg(F.sum("n").alias("n"))
     )
-    if iterations > cut_every:
-        cells = stored(cells, "orientation")
+    cells = stored(cells, "orientation")
     priors = None
     for done in range(iterations):
         if priors is None:

@@ -21,7 +21,7 @@ DUPLICATE = 0x400
 SUPPLEMENTARY = 0x800
 
 UNUSABLE = UNMAPPED | SECONDARY | QC_FAIL | DUPLICATE | SUPPLEMENTARY
-READ_BIN = 64
+READ_BIN = 1024
 
 
 def usable_reads(reads: DataFrame, min_mapq: int = 20, flag_mask: int = UNUSABLE) -> DataFrame:
@@ -236,3 +236,46 @@ def callable_sites(counts: DataFrame, min_depth: int = 10) -> DataFrame:
     return loci.filter(F.col("depth") >= min_depth).groupBy("lab_id", "interval_id").agg(
         F.count("*").alias("callable")
     )
+
+
+def reference_depths(reads: DataFrame, loci: DataFrame, min_baseq: int = 0) -> DataFrame:
+    """Reads that show the reference base at given loci of given samples: lab_id, contig, pos, ref_count.
+
+    ``loci`` has lab_id and a site (contig, pos, ref, alt). Only these loci are read
+    off the blocks, so what grows with the genome is the scan alone. An indel's base is the first of its reference text.
+    """
+    wanted = loci.select("lab_id", "contig", "pos", F.substring("ref", 1, 1).alias("ref")).distinct()
+    blocks = cigar_blocks(usable_reads(reads)).select(
+        F.col("lab_id"), "contig", "start_pos", "end_pos", F.col("start_pos").alias("block_start"), "bases", "quals"
+    )
+    hits = bin_join(wanted, blocks, width=READ_BIN, by=("lab_id", "contig"), heavy="spans")
+    place = (F.col("pos") - F.col("block_start") + 1).cast("int")
+    shows = F.substring(F.col("bases"), place, F.lit(1)) == F.col("ref")
+    if min_baseq > 0:
+        shows = shows & (phred(F.col("quals"), place) >= min_baseq)
+    return hits.groupBy("lab_id", "contig", "pos").agg(F.count_if(shows).alias("ref_count"))
+
+
+def callable_from_reads(reads: DataFrame, intervals: DataFrame, min_depth: int = 10, width: int = 1 << 20) -> DataFrame:
+    """Positions per sample and interval that at least ``min_depth`` usable reads cover: lab_id, interval_id, callable.
+
+    Depth changes only where a block begins or ends. Blocks are clipped to the
+    intervals they touch, their ends are summed per place, and a window adds them up
+    within one sample and interval; no row per base is made.
+    """
+    listed = lambda start, end: F.explode(F.sequence(F.floor(F.col(start) / width).cast("long"), F.floor(F.col(end) / width).cast("long")))
+    blocks = cigar_blocks(usable_reads(reads)).select("lab_id", "contig", "start_pos", "end_pos")
+    blocks = blocks.withColumn("_bin", listed("start_pos", "end_pos"))
+    spans = intervals.select("interval_id", "contig", F.col("start_pos").alias("_a"), F.col("end_pos").alias("_b"))
+    spans = spans.withColumn("_bin", listed("_a", "_b"))
+    # A block and an interval meet in the first bin that both touch.
+    first = F.floor(F.greatest("start_pos", "_a") / width).cast("long") == F.col("_bin")
+    met = blocks.join(spans, ["contig", "_bin"]).filter(first & (F.col("start_pos") <= F.col("_b")) & (F.col("end_pos") >= F.col("_a")))
+    edges = F.array(
+        F.struct(F.greatest("start_pos", "_a").alias("pos"), F.lit(1).alias("step")),
+        F.struct((F.least("end_pos", "_b") + 1).alias("pos"), F.lit(-1).alias("step")),
+    )
+    steps = met.select("lab_id", "interval_id", F.explode(edges).alias("e")).groupBy("lab_id", "interval_id", "e.pos").agg(F.sum("e.step").alias("step"))
+    along = Window.partitionBy("lab_id", "interval_id").orderBy("pos")
+    runs = steps.withColumn("depth", F.sum("step").over(along)).withColumn("length", F.lead("pos").over(along) - F.col("pos"))
+    return runs.filter(F.col("depth") >= min_depth).groupBy("lab_id", "interval_id").agg(F.sum("length").alias("callable"))

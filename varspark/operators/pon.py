@@ -16,7 +16,8 @@ from varspark.sources.writers import write_table
 
 MIN_SAMPLES = 2
 MAX_P_GERMLINE = 0.5
-MIN_VARIANCE = 1e-6
+# Rounding of equal fractions leaves less than this.
+NO_VARIANCE = 1e-15
 
 
 def normal_candidates(
@@ -82,9 +83,9 @@ def cohort_matrix(
 
 
 def pon_sums(calls: DataFrame, germline: DataFrame | None = None, max_p_germline: float = MAX_P_GERMLINE) -> DataFrame:
-    """Per site n, Σf and Σf² over normals whose call is not germline.
+    """Per site the number, mean and squared deviation (M2) of the alt fraction over normals whose call is not germline.
 
-    The sums of separate cohorts add up. Grouping by sample first spreads a
+    These moments of separate cohorts can be merged. Grouping by sample first spreads a
     site that every normal shows over many tasks.
     """
     if germline is not None:
@@ -93,31 +94,35 @@ def pon_sums(calls: DataFrame, germline: DataFrame | None = None, max_p_germline
         calls = with_share(known, "_p", weights, ["het", "hom"]).filter(F.col("_p") <= max_p_germline)
     per_sample = calls.groupBy(*SITE, "lab_id").agg(F.max("fraction").alias("f"))
     return per_sample.groupBy(*SITE).agg(
-        F.count("*").alias("n_seen"),
-        F.sum("f").alias("sum_f"),
-        F.sum(F.col("f") * F.col("f")).alias("sum_ff"),
+        F.count("*").alias("n_seen"), F.avg("f").alias("mean_f"), (F.var_pop("f") * F.count("*")).alias("m2")
     )
 
 
 def merge_pon_sums(*sums: DataFrame) -> DataFrame:
+    """Moments of all cohorts together; a site has a row per cohort at most."""
     whole = reduce(lambda a, b: a.unionByName(b), sums)
-    return whole.groupBy(*SITE).agg(*[F.sum(c).alias(c) for c in ("n_seen", "sum_f", "sum_ff")])
+    parts = whole.groupBy(*SITE).agg(
+        F.sum("n_seen").alias("n_seen"),
+        (F.sum(F.col("n_seen") * F.col("mean_f")) / F.sum("n_seen")).alias("mean_f"),
+        F.collect_list(F.struct("n_seen", "mean_f", "m2")).alias("_parts"),
+    )
+    gap = lambda p: p["mean_f"] - F.col("mean_f")
+    m2 = F.aggregate("_parts", F.lit(0.0), lambda total, p: total + p["m2"] + p["n_seen"] * gap(p) * gap(p))
+    return parts.withColumn("m2", m2).drop("_parts")
 
 
 def panel_from_sums(sums: DataFrame, normals: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
-    """Sites of enough normals, with the moments of the alt fraction and the beta shape they imply."""
+    """Sites of enough normals, with the moments of the alt fraction and the beta shape they imply (NULL without variance)."""
     n_normals = normals.agg(F.count_distinct("lab_id").alias("n")).scalar()
-    mean = F.col("sum_f") / F.col("n_seen")
-    spread = F.greatest(F.col("sum_ff") / F.col("n_seen") - mean * mean, F.lit(0.0))
     panel = sums.filter(F.col("n_seen") >= min_samples).select(
         *SITE,
         "n_seen",
         (F.col("n_seen") / n_normals).alias("share_of_normals"),
-        mean.alias("mean_fraction"),
-        spread.alias("var_fraction"),
+        F.col("mean_f").alias("mean_fraction"),
+        (F.col("m2") / F.col("n_seen")).alias("var_fraction"),
     )
     m, v = F.col("mean_fraction"), F.col("var_fraction")
-    size = F.when(v > MIN_VARIANCE, m * (F.lit(1.0) - m) / v - F.lit(1.0))
+    size = F.when(v > NO_VARIANCE, m * (F.lit(1.0) - m) / v - F.lit(1.0))
     return panel.withColumns({"beta_alpha": m * size, "beta_beta": (F.lit(1.0) - m) * size})
 
 
@@ -132,17 +137,24 @@ def create_pon(
     return panel_from_sums(pon_sums(calls, germline, max_p_germline), normals, min_samples)
 
 
+def write_panel_store(calls: DataFrame, normals: DataFrame, path: str, germline: DataFrame | None = None) -> None:
+    """A panel that can grow: the moments per site, and the register of the samples in them."""
+    pon_sums(calls, germline).write.parquet(f"{path}/sums")
+    normals.select("lab_id").distinct().write.parquet(f"{path}/samples")
+
+
 def extend_pon(
-    store: DataFrame,
+    path: str,
     new_calls: DataFrame,
-    normals: DataFrame,
+    new_normals: DataFrame,
     germline: DataFrame | None = None,
     min_samples: int = MIN_SAMPLES,
     max_p_germline: float = MAX_P_GERMLINE,
 ) -> DataFrame:
-    """Panel of a grown cohort from the stored sums and the new samples only.
-
-    ``store`` is a ``pon_sums`` table; the samples of ``new_calls`` must not be in it.
-    """
-    added = pon_sums(new_calls, germline, max_p_germline)
-    return panel_from_sums(merge_pon_sums(store, added), normals, min_samples)
+    """Panel of a grown cohort from a written store and the samples that its register lacks."""
+    spark = new_calls.sparkSession
+    known = spark.read.schema("lab_id string").parquet(f"{path}/samples")
+    sums = "contig string, pos bigint, ref string, alt string, n_seen bigint, mean_f double, m2 double"
+    fresh = new_calls.join(known, "lab_id", "left_anti")
+    whole = merge_pon_sums(spark.read.schema(sums).parquet(f"{path}/sums"), pon_sums(fresh, germline, max_p_germline))
+    return panel_from_sums(whole, known.unionByName(new_normals.select("lab_id")), min_samples)

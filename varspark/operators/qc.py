@@ -81,25 +81,21 @@ def line_after(log_lines: DataFrame, marker: str = RETURNED) -> DataFrame:
     )
 
 
-def task_metrics(log_lines: DataFrame, expected: DataFrame, tail: int = TAIL) -> DataFrame:
+def task_metrics(log_lines: DataFrame, expected: DataFrame) -> DataFrame:
     """Elapsed minutes and memory (10^9 bytes) per expected task.
 
     Both are NULL for a task without a log, with an error anywhere, or without
-    a memory line among the last ``tail`` lines.
+    a memory line. The last line of each kind counts, wherever in the log it is.
     """
-    errors = log_lines.groupBy("task_id").agg(F.bool_or(contains_ci(F.col("line"), ERROR)).alias("has_error"))
     line = F.col("line")
-    ends = (
-        log_tail(log_lines, tail)
-        .groupBy("task_id")
-        .agg(
-            _last(line, line.contains(" " + ELAPSED)).alias("elapsed"), _last(line, line.contains(MEMORY)).alias("memory")
-        )
+    ends = log_lines.groupBy("task_id").agg(
+        F.bool_or(contains_ci(line, ERROR)).alias("has_error"),
+        _last(line, line.contains(" " + ELAPSED)).alias("elapsed"),
+        _last(line, line.contains(MEMORY)).alias("memory"),
     )
     gb = captured(F.col("memory"), r"([0-9]+)$").cast("double") / F.lit(1e9)
     measured = (
-        ends.join(errors, "task_id")
-        .withColumn("gb", F.when(~F.col("has_error") & (gb > 0), gb))
+        ends.withColumn("gb", F.when(~F.col("has_error") & (gb > 0), gb))
         .withColumn(
             "minutes", F.when(F.col("gb").isNotNull(), captured(F.col("elapsed"), ELAPSED_MINUTES).cast("double"))
         )
@@ -133,11 +129,11 @@ def error_counts(log_lines: DataFrame, word: str = "ERROR") -> DataFrame:
 
 
 def exit_status(job_logs: DataFrame, expected: DataFrame) -> DataFrame:
-    """Whether each expected job failed: no log, no exit status, a status but 0, or any stderr."""
+    """Whether each expected job failed: no log, no exit status, a status but 0, any stderr, or no stderr file (NULL)."""
     is_exit = F.col("line").contains("Exit")
     status = F.when(is_exit, nth_field(F.col("line"), 3, " ").try_cast("int"))
     seen = job_logs.groupBy("job_id").agg(
-        F.max(status).alias("status"), F.bool_or(F.coalesce("stderr", F.lit("")) != "").alias("has_stderr")
+        F.max(status).alias("status"), F.bool_or(F.col("stderr").isNull() | (F.col("stderr") != "")).alias("has_stderr")
     )
     failed = F.coalesce((F.col("status") != 0) | F.col("has_stderr"), F.lit(True))
     return expected.select("job_id").join(seen, "job_id", "left").withColumn("failed", failed)

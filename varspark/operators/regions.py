@@ -138,13 +138,15 @@ def explode_chunks(chunks: DataFrame) -> DataFrame:
 
 
 def check_gather_order(parts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Parts that start before the part ahead of them on the contig has ended.
+    """Parts that start before a part ahead of them on the contig has ended, with the one ahead that reaches farthest.
 
     One group is the scatter list of one table, a few thousand parts.
     """
-    ahead = Window.partitionBy(*keys, "contig").orderBy("start_pos", "interval_id")
+    ahead = Window.partitionBy(*keys, "contig").orderBy("start_pos", "interval_id").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        parts.withColumn("previous_id", F.lag("interval_id").over(ahead))
-        .withColumn("previous_end", F.lag("end_pos").over(ahead))
+        parts.withColumn("_far", F.max(F.struct("end_pos", "interval_id")).over(ahead))
+        .withColumn("previous_id", F.col("_far.interval_id"))
+        .withColumn("previous_end", F.col("_far.end_pos"))
+        .drop("_far")
         .filter(F.col("start_pos") <= F.col("previous_end"))
     )

@@ -67,7 +67,7 @@ def resource_size(sites: DataFrame) -> DataFrame:
 
 
 def sort_sites(df: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Reference-dictionary order, by a parallel range sort."""
-    placed = df.join(contigs.select("contig", "idx"), "contig")
+    """Reference-dictionary order, by a parallel range sort; contigs the dictionary lacks (idx NULL) come last, by name."""
+    placed = df.join(contigs.select("contig", "idx"), "contig", "left")
     rest = [c for c in ("ref", "alt", "pair", "lab_id") if c in df.columns]
-    return placed.orderBy("idx", "pos", *rest)
+    return placed.orderBy(F.col("idx").asc_nulls_last(), "contig", "pos", *rest)

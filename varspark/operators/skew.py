@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Tables keyed by sample or pair are cohort-sized, so repeating them is cheap.
-SALTS = 8
+# Adaptive execution splits skewed joins; salts are for a key that is measured to need them.
+SALTS = 1
 SALT = "_salt"
 
 
@@ -30,7 +30,7 @@ def repeat_salts(df: DataFrame, salts: int = SALTS) -> DataFrame:
 def spread_join(
     big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
-    """Join where each key of ``big`` is split over ``salts`` partitions.
+    """Join where each key of ``big`` is split over ``salts`` partitions; a plain join unless asked.
 
     ``small`` is repeated once per salt, so results are those of a plain join.
     No hint is given: Spark broadcasts ``small`` only when its own size check

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varspark.functions.evidence import germline_weights, normal_lod, tumour_lod, with_share
+from varspark.operators.pileup import reference_depths
 from varspark.operators.regions import only_contig
 from varspark.operators.sites import annotate_germline, sort_sites
 from varspark.operators.skew import spread_join
@@ -48,10 +49,13 @@ def tumour_candidates(
     return spread_join(strong, pairs.select("pair", "tumour_id", "normal_id"), ["tumour_id"])
 
 
-def join_matched_normal(cands: DataFrame, counts: DataFrame) -> DataFrame:
+def join_matched_normal(cands: DataFrame, counts: DataFrame, depths: DataFrame | None = None) -> DataFrame:
     """Counts of the matched normal for the same allele, 0 where it has none.
 
-    The key holds sample and allele, one row each, so no key is hot.
+    Counts from reads list only alleles that were seen, so a normal without the
+    allele has no row; its reference reads then come from ``depths`` (lab_id, contig, pos,
+    ref_count), as from ``pileup.reference_depths``. A normal that neither table
+    holds is not covered: both counts are 0. The key holds sample and allele, one row each, so no key is hot.
     """
     normal = counts.select(
         F.col("lab_id").alias("normal_id"),
@@ -59,7 +63,12 @@ def join_matched_normal(cands: DataFrame, counts: DataFrame) -> DataFrame:
         F.col("ref_count").alias("n_ref"),
         F.col("alt_count").alias("n_alt"),
     )
-    joined = cands.join(normal, ["normal_id", *SITE], "left").fillna(0, ["n_ref", "n_alt"])
+    joined = cands.join(normal, ["normal_id", *SITE], "left")
+    if depths is not None:
+        covered = depths.select(F.col("lab_id").alias("normal_id"), "contig", "pos", F.col("ref_count").alias("_covered"))
+        joined = joined.join(covered, ["normal_id", "contig", "pos"], "left")
+        joined = joined.withColumn("n_ref", F.coalesce("n_ref", "_covered")).drop("_covered")
+    joined = joined.fillna(0, ["n_ref", "n_alt"])
     return joined.withColumn("nlod", normal_lod(F.col("n_ref"), F.col("n_alt")))
 
 
@@ -78,8 +87,10 @@ def germline_posterior(
     return with_share(calls, out, weights, ["het", "hom"])
 
 
-def _call(counts, pairs, pon, germline, min_lod: Column | float, diploid: Column | None) -> DataFrame:
-    cands = join_matched_normal(tumour_candidates(counts, pairs, min_lod=min_lod), counts)
+def _call(counts, pairs, pon, germline, min_lod: Column | float, diploid: Column | None, reads=None) -> DataFrame:
+    cands = tumour_candidates(counts, pairs, min_lod=min_lod)
+    depths = None if reads is None else reference_depths(reads, cands.select(F.col("normal_id").alias("lab_id"), *SITE))
+    cands = join_matched_normal(cands, counts, depths)
     # Both site tables are joined on one key: the calls are shuffled by allele once.
     marked = mark_pon(annotate_germline(cands, germline), pon)
     return germline_posterior(marked, diploid)
@@ -106,12 +117,15 @@ def call_mitochondria(
 
 
 def call_genome(
-    counts: DataFrame, pairs: DataFrame, pon: DataFrame, germline: DataFrame, mito: str = "chrM"
+    counts: DataFrame, pairs: DataFrame, pon: DataFrame, germline: DataFrame, mito: str = "chrM", reads: DataFrame | None = None
 ) -> DataFrame:
-    """Nuclear and mitochondrial calls in one pass, each contig by its own rules."""
+    """Nuclear and mitochondrial calls in one pass, each contig by its own rules.
+
+    With ``reads``, which ``counts`` come from, the reference depth of the normals is taken from them.
+    """
     nuclear = F.col("contig") != mito
     min_lod = F.when(nuclear, MIN_TUMOUR_LOD).otherwise(MIN_TUMOUR_LOD_MITO)
-    return _call(counts, pairs, pon, germline, min_lod, nuclear)
+    return _call(counts, pairs, pon, germline, min_lod, nuclear, reads)
 
 
 def merge_branches(contigs: DataFrame, *branches: DataFrame) -> DataFrame:

@@ -70,6 +70,7 @@ class Tables:
             "s",
             f"concat(case when balance < -500 then '#' else '' end, 'S', {padded('s')}) as sample_id",
             f"""concat('P', {padded(patient)}, case
+                  when ({patient}) % 11 = 5 then if(s % 3 = 0, '-N', if(s % 3 = 1, '-N3', '-B2'))
                   when s % 3 = 1 then '-T1'
                   when s % 3 = 0 and nation = 7 then '-N10'
                   when s % 3 = 2 and nation = 3 then '-B2'
@@ -146,10 +147,15 @@ class Tables:
     def sites(self) -> DataFrame:
         return self.keyed_sites().drop("locus", "r")
 
+    @once
+    def resource(self) -> DataFrame:
+        """All alleles, as a site resource."""
+        return explode_alleles(self.sites())
+
     @once
     def germline(self) -> DataFrame:
-        """Alleles common enough to be in the resource; the rest are unknown to it."""
-        return explode_alleles(self.sites()).filter(F.col("af") > 0.16)
+        """The resource as callers know it: alleles up to an AF of 0.16 are unknown to it."""
+        return self.resource().filter(F.col("af") > 0.16)
 
     @once
     def observations(self) -> DataFrame:
@@ -163,12 +169,16 @@ class Tables:
         ).selectExpr(
             f"l_orderkey div {ORDERS_PER_SAMPLE} as s",
             f"(l_orderkey div {3 * ORDERS_PER_SAMPLE}) as patient",
-            f"(l_orderkey div {3 * ORDERS_PER_SAMPLE}) * {SHIFT} + l_partkey % {PANEL} as locus",
+            f"(l_orderkey div {3 * ORDERS_PER_SAMPLE}) * {SHIFT} + l_partkey % {PANEL} as place",
             "cast(l_quantity as bigint) as d",
             "l_suppkey % 2 as f1",
             "l_linenumber",
             "if(l_discount > 0.065D and l_discount < 0.075D, 1L, 0L) as noise",
         )
+        # Panels run on from the last part to the first, so that every row has a site.
+        ends = self.raw("part", "p_partkey").agg(F.min("p_partkey").alias("low"), F.max("p_partkey").alias("high"))
+        low, high = ends.select("low").scalar(), ends.select("high").scalar()
+        observed = observed.withColumn("locus", low + (F.col("place") - low + (high - low + 1)) % (high - low + 1)).drop("place")
         planted = observed.selectExpr(
             "s",
             "locus",
@@ -281,16 +291,22 @@ class Tables:
 
     @once
     def mnps(self) -> DataFrame:
-        """Three-base substitutions; rows whose alleles are equal are no variants."""
+        """Three-base substitutions; the first and the last base always change."""
         return (
             self.raw("part", "p_partkey")
             .selectExpr(
                 "concat('chr', cast(1 + p_partkey % 4 as string)) as contig",
                 "p_partkey * 10 as pos",
                 "substr('ACGTACGT', cast(1 + p_partkey % 4 as int), 3) as ref",
-                "substr('AGCTTCGA', cast(1 + p_partkey % 5 as int), 3) as alt",
+                "p_partkey % 2 as keeps",
+            )
+            .selectExpr(
+                "contig",
+                "pos",
+                "ref",
+                """concat(translate(substr(ref, 1, 1), 'ACGT', 'CGTA'), if(keeps = 0, substr(ref, 2, 1), translate(substr(ref, 2, 1), 'ACGT', 'GTAC')),
+                   translate(substr(ref, 3, 1), 'ACGT', 'TACG')) as alt""",
             )
-            .filter("ref <> alt")
         )
 
     @once

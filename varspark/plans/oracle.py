@@ -65,6 +65,7 @@ def manifest(table: str, key: str, nation: str, balance: str, library: str) -> s
     return f"""SELECT {key} AS s,
       CASE WHEN {balance} < -500 THEN '#' ELSE '' END || 'S' || {pad(key)} AS sample_id,
       'P' || {pad(f'{key} // 3')} || CASE
+        WHEN ({key} // 3) % 11 = 5 THEN CASE {key} % 3 WHEN 0 THEN '-N' WHEN 1 THEN '-N3' ELSE '-B2' END
         WHEN {key} % 3 = 1 THEN '-T1'
         WHEN {key} % 3 = 0 AND {nation} = 7 THEN '-N10'
         WHEN {key} % 3 = 2 AND {nation} = 3 THEN '-B2'
@@ -131,9 +132,10 @@ CTES: dict[str, str] = {
         CASE WHEN art THEN d // 5 WHEN g < 8 THEN d - noise WHEN g < 24 THEN d // 2
              WHEN g < 30 AND s % 3 <> 0 THEN d // 4 ELSE noise END AS a
       FROM (SELECT *, locus % 97 = 5 AS art, (locus * 31 + (l_orderkey // 300) * 17) % 100 AS g
-            FROM (SELECT l_orderkey, l_linenumber, l_orderkey // 100 AS s, (l_orderkey // 300) * 40 + l_partkey % 400 AS locus,
+            FROM (SELECT l_orderkey, l_linenumber, l_orderkey // 100 AS s, low + ((l_orderkey // 300) * 40 + l_partkey % 400 - low + (high - low + 1)) % (high - low + 1) AS locus,
                     CAST(l_quantity AS BIGINT) AS d, l_suppkey % 2 AS f1,
-                    CASE WHEN l_discount > 0.065e0 AND l_discount < 0.075e0 THEN 1 ELSE 0 END AS noise FROM lineitem))""",
+                    CASE WHEN l_discount > 0.065e0 AND l_discount < 0.075e0 THEN 1 ELSE 0 END AS noise
+              FROM lineitem, (SELECT min(p_partkey) AS low, max(p_partkey) AS high FROM part)))""",
     "counts": """SELECT m.lab_id, c.contig, c.pos, c.ref, c.alt,
         CAST(sum(o.d - o.a) AS BIGINT) AS ref_count, CAST(sum(o.a) AS BIGINT) AS alt_count,
         CAST(sum(CASE WHEN o.art OR o.f1 = 1 THEN o.a ELSE 0 END) AS BIGINT) AS alt_f1r2,
@@ -153,7 +155,9 @@ CTES: dict[str, str] = {
       JOIN ref_bases m ON m.contig = c.contig AND m.pos = c.pos
       JOIN ref_bases a ON a.contig = c.contig AND a.pos = c.pos + 1""",
     "mnps": """SELECT * FROM (SELECT 'chr' || CAST(1 + p_partkey % 4 AS VARCHAR) AS contig, p_partkey * 10 AS pos,
-        substr('ACGTACGT', 1 + p_partkey % 4, 3) AS ref, substr('AGCTTCGA', 1 + p_partkey % 5, 3) AS alt FROM part) WHERE ref <> alt""",
+        substr('ACGTACGT', 1 + p_partkey % 4, 3) AS ref, translate(substr('ACGTACGT', 1 + p_partkey % 4, 1), 'ACGT', 'CGTA')
+        || CASE WHEN p_partkey % 2 = 0 THEN substr('ACGTACGT', 2 + p_partkey % 4, 1) ELSE translate(substr('ACGTACGT', 2 + p_partkey % 4, 1), 'ACGT', 'GTAC') END
+        || translate(substr('ACGTACGT', 3 + p_partkey % 4, 1), 'ACGT', 'TACG') AS alt FROM part)""",
     "reads": f"""SELECT 'P' || {pad('user_id // 10')} || '-N' AS lab_id, CAST(event_id AS VARCHAR) AS read_id,
         CAST(CASE event_id % 11 WHEN 0 THEN 1024 WHEN 1 THEN 256 WHEN 2 THEN 16 WHEN 3 THEN 16 ELSE 0 END
           + CASE WHEN event_id % 2 = 0 THEN 64 ELSE 128 END + 1 AS INTEGER) AS flag,
@@ -216,7 +220,7 @@ CTES: dict[str, str] = {
         count(DISTINCT lab_id) / (SELECT CAST(count(DISTINCT lab_id) AS DOUBLE) FROM normals) AS share_of_normals,
         avg(fraction) AS mean_fraction, var_pop(fraction) AS var_fraction
       FROM normal_scored WHERE p_germline <= 0.5e0 GROUP BY ALL HAVING count(DISTINCT lab_id) >= 2""",
-    "shaped": """SELECT *, CASE WHEN var_fraction > 1e-6 THEN mean_fraction * (1e0 - mean_fraction) / var_fraction - 1e0 END AS size FROM panel""",
+    "shaped": """SELECT *, CASE WHEN var_fraction > 1e-15 THEN mean_fraction * (1e0 - mean_fraction) / var_fraction - 1e0 END AS size FROM panel""",
     # calls
     "lods": f"""SELECT *, {lik('ref_count', 'alt_count', frac('ref_count', 'alt_count'))} - {lik('ref_count', 'alt_count', '0e0')} AS tlod
       FROM counts WHERE alt_count >= 3 AND ref_count + alt_count >= 10""",
@@ -246,10 +250,12 @@ CTES: dict[str, str] = {
     "em_1": em_step(1),
     "em_2": em_step(2),
     "em_3": em_step(3),
+    "em_4": em_step(4),
+    "em_5": em_step(5),
     "oriented": "SELECT *, m_art_f1r2 + m_art_f2r1 AS p_orientation FROM ("
     + responsibilities(
         """(SELECT p.pair, f.contig, f.pos, f.ref, f.alt, f.f1r2, f.alt_count, e.balanced, e.art_f1r2, e.art_f2r1
-          FROM folded f JOIN pairs p ON f.lab_id = p.tumour_id JOIN em_3 e ON e.pair = p.pair AND e.context = f.context AND e.alt_base = f.alt_base)""",
+          FROM folded f JOIN pairs p ON f.lab_id = p.tumour_id JOIN em_5 e ON e.pair = p.pair AND e.context = f.context AND e.alt_base = f.alt_base)""",
         {s: f"greatest({s}, 1e-12)" for s in STATE},
         "f1r2",
         "alt_count",
@@ -285,30 +291,28 @@ CTES: dict[str, str] = {
     "foreign_scored": f"""SELECT *, CASE WHEN contamination > 0 THEN {part_of(['w_foreign'], ['w_own'])} ELSE 0e0 END AS p_contamination
       FROM (SELECT *, log10({clamp('af')}) + {lik('t_ref', 't_alt', 'contamination * ' + clamp('af'))} AS w_foreign,
               log10(0.001e0) + {lik('t_ref', 't_alt', frac('t_ref', 't_alt'))} AS w_own FROM evidence)""",
-    "inherited_again": inherited("foreign_scored", "t_ref", "t_alt", ("n_ref", "n_alt"), maf="maf"),
+    "inherited_again": inherited("foreign_scored", "t_ref", "t_alt", ("n_ref", "n_alt"), maf="maf", diploid="contig <> 'chr4'"),
     "scored": """SELECT *, 1e0 - (1e0 - p_germline) * (1e0 - p_contamination) * (1e0 - p_orientation) * (1e0 - p_weak) AS p_error FROM (
-        SELECT *, 1e0 / (1e0 + power(10e0, log10(prior) - log10(1e0 - prior) + least(tlod, 300e0))) AS p_weak FROM (
+        SELECT *, 1e0 / (1e0 + power(10e0, log10(prior) - log10(1e0 - prior) + tlod)) AS p_weak FROM (
           SELECT *, least(greatest(n_calls / greatest(coalesce(callable, CAST(n_calls AS DOUBLE)), CAST(n_calls AS DOUBLE)), 1e-8), 0.5e0) AS prior
           FROM inherited_again))""",
-    "scores": """SELECT pair, b, round(CASE WHEN tp + (fp + fn) / 2e0 > 0 THEN tp / (tp + (fp + fn) / 2e0) ELSE 0e0 END, 9) AS f FROM (
-        SELECT pair, b, sum(yes) OVER upto AS tp, sum(no) OVER upto AS fp, sum(yes) OVER (PARTITION BY pair) - sum(yes) OVER upto AS fn FROM (
-          SELECT pair, least(CAST(floor(p_error * 10000) AS BIGINT), 9999) AS b, sum(1e0 - p_error) AS yes, sum(p_error) AS no FROM scored GROUP BY ALL)
-        WINDOW upto AS (PARTITION BY pair ORDER BY b))""",
-    "thresholds": """SELECT pair, (b + 1) / 10000e0 AS threshold, f AS f_score, b + 1 AS first_out FROM (
-        SELECT *, row_number() OVER (PARTITION BY pair ORDER BY f DESC, b) AS place FROM scores) WHERE place = 1""",
+    "scores": """SELECT pair, p, round(CASE WHEN tp + (fp + fn) / 2e0 > 0 THEN tp / (tp + (fp + fn) / 2e0) ELSE 0e0 END, 9) AS f FROM (
+        SELECT pair, p, sum(1e0 - p_error) OVER upto AS tp, sum(p_error) OVER upto AS fp,
+          sum(1e0 - p_error) OVER (PARTITION BY pair) - sum(1e0 - p_error) OVER upto AS fn
+        FROM (SELECT pair, p_error, round(p_error, 12) AS p FROM scored)
+        WINDOW upto AS (PARTITION BY pair ORDER BY p RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+    "thresholds": """SELECT pair, p AS threshold, f AS f_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY pair ORDER BY f DESC, p) AS place FROM scores) WHERE place = 1""",
     "near": """SELECT c.pair, c.contig, c.pos, c.n_alleles, count(*) AS n_near FROM (
         SELECT pair, contig, pos, count(*) AS n_alleles FROM scored GROUP BY ALL) c
       JOIN (SELECT DISTINCT pair, contig, pos FROM scored) o ON o.pair = c.pair AND o.contig = c.contig AND o.pos BETWEEN c.pos - 100 AND c.pos + 100
       GROUP BY ALL""",
-    "judged": """SELECT s.*, n.n_near, n.n_alleles, CAST(floor(p_error * 10000) AS BIGINT) >= first_out OR (p_error >= 1e0 AND first_out < 10000) AS bad,
-        least(CAST(floor(p_germline * 10000) AS BIGINT), 9999) >= first_out AS bad_g,
-        least(CAST(floor(p_contamination * 10000) AS BIGINT), 9999) >= first_out AS bad_c,
-        least(CAST(floor(p_orientation * 10000) AS BIGINT), 9999) >= first_out AS bad_o,
-        least(CAST(floor(p_error * 10000) AS BIGINT), 9999) >= first_out AS bad_e
+    "judged": """SELECT s.*, n.n_near, n.n_alleles, round(p_germline, 12) > threshold AS bad_g, round(p_contamination, 12) > threshold AS bad_c,
+        round(p_orientation, 12) > threshold AS bad_o, round(p_error, 12) > threshold AS bad_e
       FROM scored s JOIN thresholds t ON t.pair = s.pair JOIN near n ON n.pair = s.pair AND n.contig = s.contig AND n.pos = s.pos""",
     "filtered": """SELECT *, concat_ws(',', CASE WHEN in_pon THEN 'panel_of_normals' END, CASE WHEN bad_g THEN 'germline' END,
         CASE WHEN bad_c THEN 'contamination' END, CASE WHEN bad_o THEN 'orientation' END,
-        CASE WHEN tlod < 6.3e0 OR (nlod < 2.2e0 AND n_alt = 0) OR (bad_e AND NOT (bad_g OR bad_c OR bad_o)) THEN 'weak_evidence' END,
+        CASE WHEN tlod < CASE WHEN contig = 'chr4' THEN 3.0e0 ELSE 6.3e0 END OR (nlod < 2.2e0 AND n_alt = 0) OR (bad_e AND NOT (bad_g OR bad_c OR bad_o)) THEN 'weak_evidence' END,
         CASE WHEN nlod < 2.2e0 AND n_alt > 0 THEN 'normal_artifact' END, CASE WHEN n_alleles > 1 THEN 'multiallelic' END,
         CASE WHEN n_near > 2 THEN 'clustered_events' END) AS filters FROM judged""",
     # run checks
@@ -354,7 +358,7 @@ FINALS: dict[str, str] = {
     "q_read_pileups": "SELECT * FROM pileups",
     "q_read_logs": """SELECT event_type AS task_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS line_no,
       'event ' || CAST(event_id AS VARCHAR) AS line FROM events""",
-    "q_list_outputs": "SELECT DISTINCT kind, true AS all_filled FROM outputs",
+    "q_list_outputs": "SELECT kind, CAST(sum(length(task_id) + length(CAST(length AS VARCHAR)) + 2) AS BIGINT) AS bytes FROM outputs GROUP BY kind",
     "q_write_table": f"SELECT {COUNTS}, interval_id FROM interval_of",
     "q_write_variants": f"SELECT {SITE}, n_seen FROM panel",
     "q_classify_samples": "SELECT sample_id, lab_id, seq_centre, library, role FROM samples",
@@ -374,7 +378,10 @@ FINALS: dict[str, str] = {
       WHERE sample_id NOT LIKE '#%' GROUP BY lab_id HAVING count(*) > 1""",
     "q_reuse_previous": "SELECT lab_id, lab_id IN (SELECT lab_id FROM counts) AS gathered FROM normals",
     "q_sample_map": "SELECT lab_id, 'store/normals/' || lab_id || '.parquet' AS location FROM normals",
-    "q_expected_grid": "SELECT pair, interval_id FROM pairs CROSS JOIN (SELECT interval_id FROM intervals UNION ALL SELECT 'chrM')",
+    "q_expected_grid": """SELECT pair, min(interval_no) AS first_no, max(interval_no) AS last_no, count(*) AS n_missing FROM (
+        SELECT pair, interval_no, interval_no - row_number() OVER (PARTITION BY pair ORDER BY interval_no) AS run
+        FROM pairs p, intervals i WHERE NOT EXISTS (SELECT 1 FROM interval_of c WHERE c.lab_id = p.tumour_id AND c.interval_id = i.interval_id))
+      GROUP BY pair, run""",
     "q_restrict_to_intervals": f"""SELECT {COUNTS} FROM counts c WHERE EXISTS (SELECT 1 FROM excluded b
       WHERE b.contig = c.contig AND c.pos - 1 >= b.bed_start AND c.pos - 1 < b.bed_end)""",
     "q_assign_interval": f"SELECT lab_id, {SITE}, interval_id FROM interval_of",
@@ -387,11 +394,12 @@ FINALS: dict[str, str] = {
     "q_pack_chunks": """SELECT chunk_id, string_agg(interval_id, ';' ORDER BY interval_no) AS intervals, count(*) AS n_intervals,
       CAST(sum(cost) AS BIGINT) AS cost FROM chunked GROUP BY chunk_id""",
     "q_explode_chunks": "SELECT chunk_id, row_number() OVER (PARTITION BY chunk_id ORDER BY interval_no) - 1 AS place, interval_id FROM chunked",
-    "q_split_resource": f"""SELECT {', '.join('g.' + c for c in SITE.split(', '))}, g.af, i.interval_id FROM germline g
+    "q_split_resource": f"""SELECT {', '.join('g.' + c for c in SITE.split(', '))}, g.af, i.interval_id FROM fx_alleles g
       JOIN intervals i ON g.contig = i.contig AND g.pos BETWEEN i.start_pos AND i.end_pos""",
-    "q_check_gather_order": """SELECT * FROM (SELECT *, lag(interval_id) OVER ahead AS previous_id, lag(end_pos) OVER ahead AS previous_end FROM (
+    "q_check_gather_order": """SELECT * EXCLUDE (far), far.i AS previous_id, far.e AS previous_end FROM (SELECT *, max({'e': end_pos, 'i': interval_id}) OVER ahead AS far FROM (
         SELECT lab_id, interval_id, contig, min(pos) AS start_pos, max(pos) + max(ref_count) AS end_pos FROM interval_of GROUP BY ALL)
-      WINDOW ahead AS (PARTITION BY lab_id, contig ORDER BY start_pos, interval_id)) WHERE start_pos <= previous_end""",
+      WINDOW ahead AS (PARTITION BY lab_id, contig ORDER BY start_pos, interval_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+      WHERE start_pos <= far.e""",
     "q_usable_reads": "SELECT * FROM reads WHERE flag & 3844 = 0 AND mapq >= 20",
     "q_cigar_blocks": "SELECT read_id, start_pos, end_pos, read_offset, bases FROM blocks",
     "q_pileup_summaries": "SELECT * FROM good_pileups",
@@ -404,13 +412,17 @@ FINALS: dict[str, str] = {
       FROM indel_events e JOIN indel_refs r ON r.contig = e.contig AND r.pos = e.pos AND r.removed = e.removed
       LEFT JOIN depths d ON d.lab_id = e.lab_id AND d.contig = e.contig AND d.pos = e.pos""",
     "q_callable_sites": "SELECT * FROM callable_of",
+    "q_reference_depths": """SELECT b.lab_id, b.contig, b.pos, count(*) FILTER (b.base = c.base AND b.baseq >= 10) AS ref_count
+      FROM bases b JOIN (SELECT DISTINCT contig, pos, substr(ref, 1, 1) AS base FROM fx_alleles) c ON b.contig = c.contig AND b.pos = c.pos GROUP BY ALL""",
+    "q_callable_from_reads": """SELECT d.lab_id, i.interval_id, count(*) AS callable FROM depths d
+      JOIN intervals i ON d.contig = i.contig AND d.pos BETWEEN i.start_pos AND i.end_pos GROUP BY ALL""",
     "q_select_common_biallelic": "SELECT * FROM common",
     "q_explode_alleles": f"SELECT {SITE}, {r6('af')} FROM fx_alleles",
     "q_classify_variant": """SELECT contig, CASE WHEN length(ref) = length(alt) THEN CASE length(ref) WHEN 1 THEN 'SNP' ELSE 'MNP' END
         WHEN starts_with(alt, ref) THEN 'INS' WHEN starts_with(ref, alt) THEN 'DEL' ELSE 'MIXED' END AS variant_type, count(*) AS n
       FROM (SELECT * FROM mnps UNION ALL SELECT contig, pos, ref, alt FROM counts) GROUP BY ALL""",
     "q_annotate_germline": f"SELECT lab_id, {SITE}, round(coalesce(g.af, 1e-6), 6) AS af FROM counts LEFT JOIN germline g USING ({SITE})",
-    "q_resource_size": "SELECT contig, count(*) AS n_loci FROM germline GROUP BY ROLLUP (contig)",
+    "q_resource_size": "SELECT contig, count(*) AS n_loci FROM fx_alleles GROUP BY ROLLUP (contig)",
     "q_normal_candidates": f"SELECT {COUNTS}, {r6('lod')}, {r6('fraction')} FROM normal_calls",
     "q_split_mnps": """SELECT contig, pos + i - 1 AS pos, substr(ref, i, 1) AS ref, substr(alt, i, 1) AS alt FROM (
       SELECT *, unnest([1, 2, 3]) AS i FROM mnps) WHERE substr(ref, i, 1) <> substr(alt, i, 1)""",
@@ -419,9 +431,9 @@ FINALS: dict[str, str] = {
       JOIN intervals i ON c.contig = i.contig AND c.pos BETWEEN i.start_pos AND i.end_pos""",
     "q_cohort_matrix": f"""SELECT patient, {SITE}, """
     + ", ".join(f"max(alt_count) FILTER (suffix = '{s}') AS {s}" for s in ("N", "B1", "B2", "T1", "M2", "P2"))
-    + " FROM counts JOIN samples USING (lab_id) WHERE alt_count > 0 AND patient IS NOT NULL GROUP BY ALL",
+    + " FROM counts JOIN samples USING (lab_id) WHERE patient IS NOT NULL GROUP BY ALL",
     "q_create_pon": PANEL,
-    "q_sort_sites": f"SELECT {SITE}, {r6('af')}, idx FROM germline JOIN dictionary USING (contig)",
+    "q_sort_sites": f"SELECT {SITE}, {r6('af')}, idx FROM fx_alleles JOIN dictionary USING (contig)",
     "q_extend_pon": PANEL,
     "q_tumour_candidates": f"SELECT pair, tumour_id, normal_id, {SITE}, t_ref, t_alt, t_f1r2, t_f2r1, {r6('tlod')} FROM cands",
     "q_join_matched_normal": f"SELECT {CALL}, n_ref, n_alt, {r6('nlod')} FROM all_matched WHERE tlod >= 6.3e0",
@@ -434,7 +446,7 @@ FINALS: dict[str, str] = {
     "q_f1r2_histogram": "SELECT * FROM hist",
     "q_kmer_context": "SELECT * FROM contexts",
     "q_learn_orientation": " UNION ALL ".join(
-        f"SELECT pair, context, alt_base, '{s}' AS state, {r6(s, 'prior')} FROM em_3" for s in STATE
+        f"SELECT pair, context, alt_base, '{s}' AS state, {r6(s, 'prior')} FROM em_5" for s in STATE
     ),
     "q_orientation_posterior": f"""SELECT {', '.join('c.' + c for c in CALL.split(', '))}, round(coalesce(o.p_orientation, 0e0), 6) AS p_orientation FROM cands c
       LEFT JOIN oriented o ON o.pair = c.pair AND o.contig = c.contig AND o.pos = c.pos AND o.ref = c.ref AND o.alt = c.alt""",

@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 from varspark.functions import text
 from varspark.operators import contamination as cont
 from varspark.operators import filtering, manifest, orientation, pileup, pon, qc, regions, sites, somatic
-from varspark.plans.fixtures import Tables
+from varspark.plans.fixtures import Tables, once
 from varspark.plans.workflow import Workflow
 from varspark.schemas import SITE
-from varspark.session import scratch_path
+from varspark.session import scratch_path, stored
 from varspark.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 MITO = "chr4"
 RUN = 5
-ITERATIONS = 3
+ITERATIONS = 5
 KINDS = ("vcf", "tbi", "stats", "f1r2", "log")
 CALL = ["pair", *SITE]
 
@@ -40,7 +40,21 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+class StoredTables(Tables):
+    """Fixture tables whose inputs of the workflow are written once, as a cohort has them."""
+
+    @once
+    def counts(self) -> DataFrame:
+        return stored(Tables.counts.__wrapped__(self), "counts")
+
+    @once
+    def pileups(self) -> DataFrame:
+        return stored(Tables.pileups.__wrapped__(self), "pileups")
+
+
 def workflow(t: Tables, keep: bool = False) -> Workflow:
+    if keep:  # counts and pileups are input tables of the workflow
+        t = StoredTables(t.spark, t.sf_dir)
     cohort = Workflow(t, mito=MITO, run=RUN, iterations=ITERATIONS, keep=keep)
     return cohort.prepare() if keep else cohort
 
@@ -160,10 +174,10 @@ def q_read_logs(t: Tables) -> DataFrame:
 @query
 def q_list_outputs(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "outputs")
-    t.outputs().write.partitionBy("kind").parquet(path)
+    t.outputs().select("kind", F.concat_ws(",", "task_id", F.col("length").cast("string")).alias("value")).write.partitionBy("kind").text(path)
     kind = text.captured(F.col("path"), r"/kind=([^/]+)/")
     files = readers.list_outputs(t.spark, path).withColumn("kind", kind).filter(F.col("kind").isNotNull())
-    return files.groupBy("kind").agg(F.bool_and(F.col("length") > 0).alias("all_filled"))
+    return files.groupBy("kind").agg(F.sum("length").alias("bytes"))
 
 
 @query
@@ -244,8 +258,10 @@ def q_sample_map(t: Tables) -> DataFrame:
 
 @query
 def q_expected_grid(t: Tables) -> DataFrame:
-    grid = manifest.expected_grid(t.pairs().select("pair"), t.intervals(), extra=("chrM",))
-    return manifest.interval_major(grid, "pair")
+    """Intervals in which the tumour of a pair has no counts, as gaps."""
+    placed = regions.assign_interval(t.counts(), t.intervals()).select(F.col("lab_id").alias("tumour_id"), "interval_id").distinct()
+    present = placed.join(t.pairs().select("tumour_id", "pair"), "tumour_id")
+    return manifest.expected_grid(t.pairs(), present, t.intervals(), "pair")
 
 
 # --- intervals and regions ---------------------------------------------------
@@ -305,7 +321,7 @@ def q_explode_chunks(t: Tables) -> DataFrame:
 @query
 def q_split_resource(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "resource")
-    writers.split_resource(t.germline(), t.intervals(), path)
+    writers.split_resource(t.resource(), t.intervals(), path)
     return t.spark.read.parquet(path).withColumn("interval_id", F.format_string("%04d", F.col("interval_id").cast("long")))
 
 
@@ -353,6 +369,19 @@ def q_allele_counts(t: Tables) -> DataFrame:
     return pileup.allele_counts(t.reads(), t.ref_bases(), min_baseq=10)
 
 
+@query
+def q_reference_depths(t: Tables) -> DataFrame:
+    """Reference reads at the sites of the resource, for every sample with reads."""
+    loci = t.reads().select("lab_id").distinct().join(t.reads().select("lab_id", "contig").distinct(), "lab_id")
+    wanted = loci.join(t.resource().select(*SITE), "contig")
+    return pileup.reference_depths(t.reads(), wanted, min_baseq=10)
+
+
+@query
+def q_callable_from_reads(t: Tables) -> DataFrame:
+    return pileup.callable_from_reads(t.reads(), t.intervals(), min_depth=1)
+
+
 @query
 def q_callable_sites(t: Tables) -> DataFrame:
     return pileup.callable_sites(regions.assign_interval(t.counts(), t.intervals()))
@@ -384,7 +413,7 @@ def q_annotate_germline(t: Tables) -> DataFrame:
 
 @query
 def q_resource_size(t: Tables) -> DataFrame:
-    return sites.resource_size(t.germline())
+    return sites.resource_size(t.resource())
 
 
 # --- panel of normals --------------------------------------------------------
@@ -416,7 +445,7 @@ def q_consolidate_cohort(t: Tables) -> DataFrame:
 def q_cohort_matrix(t: Tables) -> DataFrame:
     """One row per patient and site, one column per sample suffix."""
     samples = t.samples().filter(F.col("patient").isNotNull()).select("lab_id", "patient", "suffix")
-    calls = t.counts().filter(F.col("alt_count") > 0).join(samples, "lab_id")
+    calls = t.counts().join(samples, "lab_id")
     return pon.cohort_matrix(calls, ["N", "B1", "B2", "T1", "M2", "P2"], by="suffix", rows=["patient", *SITE])
 
 
@@ -434,7 +463,7 @@ def q_create_pon(t: Tables) -> DataFrame:
 
 @query
 def q_sort_sites(t: Tables) -> DataFrame:
-    return sites.sort_sites(rounded(t.germline(), "af"), t.dictionary())
+    return sites.sort_sites(rounded(t.resource(), "af"), t.dictionary())
 
 
 @query
@@ -442,8 +471,10 @@ def q_extend_pon(t: Tables) -> DataFrame:
     """Normals named -N are the stored cohort; those with another ending are added to it."""
     calls = pon.normal_candidates(t.counts(), t.normals())
     first = F.col("lab_id").endswith("-N")
-    store = pon.pon_sums(calls.filter(first), t.germline())
-    return _panel(pon.extend_pon(store, calls.filter(~first), t.normals(), t.germline()))
+    path = scratch_path(t.spark, "panel-store")
+    pon.write_panel_store(calls.filter(first), t.normals().filter(first), path, t.germline())
+    # All normals are offered; the register tells which are new.
+    return _panel(pon.extend_pon(path, calls, t.normals(), t.germline()))
 
 
 # --- somatic calling ---------------------------------------------------------

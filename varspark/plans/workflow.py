@@ -6,7 +6,8 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from varspark.operators.contamination import contamination, maf_segments
 from varspark.operators.filtering import apply_filters, error_probability, filter_evidence, learn_threshold
@@ -14,9 +15,9 @@ from varspark.operators.manifest import normal_samples, pair_tumour_normal, samp
 from varspark.operators.orientation import f1r2_histogram, learn_orientation
 from varspark.operators.pileup import callable_sites
 from varspark.operators.pon import create_pon, normal_candidates
-from varspark.operators.regions import assign_interval
-from varspark.operators.somatic import call_genome, callable_stats, merge_stats
-from varspark.session import stored
+from varspark.operators.regions import assign_interval, exclude_contig, only_contig
+from varspark.operators.somatic import MIN_TUMOUR_LOD, MIN_TUMOUR_LOD_MITO, call_genome, callable_stats, merge_stats
+from varspark.session import removed, scratch_path
 
 
 class CohortTables(Protocol):
@@ -47,15 +48,33 @@ class Workflow:
     ):
         self.tables = tables
         self.mito, self.run, self.iterations = mito, run, iterations
-        self._keep = stored if keep else (lambda df, _: df)
+        self.keep, self._paths = keep, []
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.keep:
+            return df
+        path = scratch_path(df.sparkSession, name)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        """Remove the stages; frames that read them can not be used any more."""
+        for path in self._paths:
+            removed(self.samples.sparkSession, path)
+        self._paths = []
+
+    @property
+    def nuclear(self) -> Column:
+        return F.col("contig") != self.mito
 
     @cached_property
     def counts(self) -> DataFrame:
-        return self._keep(self.tables.counts(), "counts")
+        return self.tables.counts()
 
     @cached_property
     def pileups(self) -> DataFrame:
-        return self._keep(self.tables.pileups(), "pileups")
+        return self.tables.pileups()
 
     @cached_property
     def germline(self) -> DataFrame:
@@ -69,7 +88,7 @@ class Workflow:
     def prepare(self) -> Workflow:
         """Write all stages before scoring, those that do not need each other side by side."""
         waves = (
-            ("counts", "pileups", "pairs", "contexts"),
+            ("pairs", "contexts"),
             ("calls", "stats", "segments", "contamination", "orientation"),
         )
         for names in waves:
@@ -101,7 +120,10 @@ class Workflow:
 
     @cached_property
     def stats(self) -> DataFrame:
-        loci = callable_sites(assign_interval(self.counts, self.tables.intervals()))
+        """Callable loci; the mitochondrial contig is a part of its own, listed or not."""
+        placed = assign_interval(exclude_contig(self.counts, self.mito), self.tables.intervals())
+        mito = only_contig(self.counts, self.mito).withColumn("interval_id", F.lit(self.mito))
+        loci = callable_sites(placed.unionByName(mito))
         return self._keep(merge_stats(callable_stats(loci, self.pairs)), "stats")
 
     @cached_property
@@ -125,7 +147,7 @@ class Workflow:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return self._keep(error_probability(self.evidence), "scored")
+        return self._keep(error_probability(self.evidence, self.nuclear), "scored")
 
     @cached_property
     def thresholds(self) -> DataFrame:
@@ -133,4 +155,5 @@ class Workflow:
 
     @cached_property
     def filtered(self) -> DataFrame:
-        return apply_filters(self.scored, self.thresholds)
+        least = F.when(self.nuclear, MIN_TUMOUR_LOD).otherwise(MIN_TUMOUR_LOD_MITO)
+        return apply_filters(self.scored, self.thresholds, min_tumour_lod=least)

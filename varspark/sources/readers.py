@@ -36,7 +36,7 @@ def _at(n: int) -> Column:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Sample manifest; header, comments and blank lines dropped, library 1 unless given."""
+    """Sample manifest; header, comments and blank lines dropped, library 1 unless given, NULL if it is no number."""
     lines = _lines(spark, path).filter((F.trim("line") != "") & ~F.col("line").startswith("#"))
     return (
         lines.withColumn("f", F.split(F.trim("line"), r"\s+"))
@@ -44,7 +44,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
             _at(1).alias("sample_id"),
             _at(2).alias("lab_id"),
             _at(3).alias("seq_centre"),
-            F.coalesce(_at(4).try_cast("int"), F.lit(1)).alias("library"),
+            F.when(F.coalesce(_at(4), F.lit("")) == "", F.lit(1)).otherwise(_at(4).try_cast("int")).alias("library"),
         )
         .to(schemas.MANIFEST)
     )
@@ -89,7 +89,7 @@ def read_variants(spark: SparkSession, path: str, one_header: bool = False) -> D
     lines = _lines(spark, path)
     head = (
         lines.filter(F.col("line").startswith("#CHROM"))
-        .select("path", F.slice(F.split("line", "\t"), 10, 1_000_000).alias("samples"))
+        .select("path", F.slice(F.split("line", "\t"), F.lit(10), F.greatest(F.size(F.split("line", "\t")) - 9, F.lit(0))).alias("samples"))
     )
     rows = _fields(lines.filter(~F.col("line").startswith("#") & (F.col("line") != "")))
     if one_header:

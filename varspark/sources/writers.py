@@ -59,9 +59,10 @@ def write_variants(
     )
     header = ends.unionByName(described).coalesce(1).sortWithinPartitions("at").select("value")
     body = (
-        df.join(contigs.select("contig", "idx"), "contig")
+        df.join(contigs.select("contig", "idx"), "contig", "left")
         .select(
-            "idx",
+            F.coalesce("idx", F.lit(2**62)).alias("idx"),  # contigs the dictionary lacks come last
+            "contig",
             "pos",
             "ref",
             F.concat_ws(
@@ -76,8 +77,8 @@ def write_variants(
                 _info_text(F.col("info")),
             ).alias("value"),
         )
-        .repartitionByRange("idx", "pos", "ref", "value")
-        .sortWithinPartitions("idx", "pos", "ref", "value")
+        .repartitionByRange("idx", "contig", "pos", "ref", "value")
+        .sortWithinPartitions("idx", "contig", "pos", "ref", "value")
         .select("value")
     )
     header.union(body).write.mode(mode).option("compression", "gzip").text(path)
