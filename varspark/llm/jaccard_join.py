@@ -317,65 +317,85 @@ def hub_pairs(lists: DataFrame, similarity: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "at").select("key", "id", "n", "bits").mapInArrow(read, "a long, b long")
 
 
+def _different(lo: int, x: np.ndarray, y: np.ndarray, rows: list[np.ndarray], similarity: int) -> tuple[np.ndarray, ...]:
+    """Of the pairs x, y of members of the list that begins at ``lo``, those to be verified: a, b, lists they must have in common."""
+    key, _, i, j, block, number, n, bits, component = rows
+    x, y = x + lo, y + lo
+    open_ = (component[x] != component[y]) & ((i[x] == j[x]) | (block[x] != block[y]))
+    x, y = x[open_], y[open_]
+    near = _close(n[x], n[y], bits[x], bits[y], similarity)
+    x, y = x[near], y[near]
+    must = np.where(key[x] & 1 == 1, _meet(np.minimum(n[x], n[y])), 1)
+    return np.minimum(number[x], number[y]), np.maximum(number[x], number[y]), must
+
+
+def _pairs_of(size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a list's members, in parts of bounded size."""
+    if size <= 256:
+        yield np.triu_indices(size, 1)
+    else:
+        for x in range(1, size):
+            yield np.full(x, x), np.arange(x)
+
+
+def _counted(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Each pair once, with the number of lists in which it was found."""
+    a, b, must = [np.concatenate(c) for c in zip(*found, strict=True)]
+    order = np.lexsort((b, a))
+    a, b, must = a[order], b[order], must[order]
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    met = np.diff(np.append(first, len(a)))
+    return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(met), pa.array(np.minimum.reduceat(must, first))], ["a", "b", "met", "least"])
+
+
 def cross_pairs(lists: DataFrame, similarity: int) -> DataFrame:
     """a, b, met (lists in common), least (lists they must have in common): pairs of different components.
 
     ``lists`` has key, id, n, bits, component. A list longer than a block is
     dealt out as pairs of its blocks, so that no task compares more than
-    two blocks at once; a pair meets once per list.
+    two blocks at once; a pair meets once per list. Lists with the same
+    smallest member, as those of one passage or one crowd of near copies, meet in one task block by block, which counts their pairs before they are shuffled.
     """
-    length = lists.groupBy("key").agg(F.count("*").alias("length"), F.min("component").alias("low"), F.max("component").alias("high"))
-    open_lists = length.where("low != high").select("key", F.ceil(F.col("length") / LIST_BLOCK).cast("int").alias("blocks"))
+    length = lists.groupBy("key").agg(
+        F.count("*").alias("length"), F.min("id").alias("lead"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    open_lists = length.where("low != high").select("key", "lead", F.ceil(F.col("length") / LIST_BLOCK).cast("int").alias("blocks"))
     rows = lists.join(open_lists, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("other", other).select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n", "bits", "component"
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", "lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", F.col("n").cast("long").alias("n"), "bits", "component"
     )
 
-    def compare(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        key, i, j, block, number, n, bits, component = rows
-        n, found = n.astype(np.int64), []
-        for x in range(1, len(number)):
-            y = np.arange(x)
-            y = y[(component[:x] != component[x]) & ((i[x] == j[x]) | (block[:x] != block[x]))]
-            y = y[_close(n[y], np.full(len(y), n[x]), bits[y], np.broadcast_to(bits[x], (len(y), bits.shape[1])), similarity)]
-            if len(y):
-                must = _meet(np.minimum(n[y], n[x])) if key[x] & 1 else np.ones(len(y), np.int64)
-                found.append((np.minimum(number[y], number[x]), np.maximum(number[y], number[x]), must))
-        return found
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, found, size = None, [], 0
 
-        def summed() -> pa.RecordBatch:
-            a, b, must = [np.concatenate(c) for c in zip(*found, strict=True)]
-            each, where, met = np.unique(np.stack([a, b], axis=1), axis=0, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(each[:, 0]), pa.array(each[:, 1]), pa.array(met), pa.array(must[where])], ["a", "b", "met", "least"])
-
-        def groups(now: list[np.ndarray], last: bool) -> list[np.ndarray]:
+        def compared(now: list[np.ndarray], ends: np.ndarray) -> Iterator[pa.RecordBatch]:
             nonlocal found, size
-            key, i, j = now[:3]
-            begins = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-            ends = np.append(begins[1:], len(key))
-            for lo, hi in zip(begins, ends, strict=True):
-                if hi < len(key) or last:
-                    found += (new := compare([c[lo:hi] for c in now]))
-                    size += sum(len(x[0]) for x in new)
-            return [c[begins[-1] :] for c in now]
+            begin = 0
+            for end in ends:
+                for x, y in _pairs_of(end - begin):
+                    pairs = _different(begin, x, y, now, similarity)
+                    if len(pairs[0]):
+                        found.append(pairs)
+                        size += len(pairs[0])
+                    if size > 1 << 18:
+                        yield _counted(found)
+                        found, size = [], 0
+                begin = end
 
         for batch in batches:
-            if batch.num_rows:
-                now = [batch.column(k).to_numpy() for k in range(6)] + [_bits(batch.column(6)), batch.column(7).to_numpy()]
-                held = groups(now if held is None else [np.concatenate([a, b]) for a, b in zip(held, now, strict=True)], last=False)
-                if size > 1 << 18:
-                    yield summed()
-                    found, size = [], 0
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                now = [_bits(part.column(k)) if k == 7 else part.column(k).to_numpy() for k in range(9)]
+                now = now if held is None else [np.concatenate([a, b]) for a, b in zip(held, now, strict=True)]
+                ends = np.flatnonzero(np.logical_or.reduce([now[k][1:] != now[k][:-1] for k in (0, 2, 3)])) + 1
+                yield from compared(now, ends)
+                held = [c[ends[-1] :] if len(ends) else c for c in now]
         if held is not None:
-            groups(held, last=True)
+            yield from compared(held, np.array([len(held[0])]))
         if found:
-            yield summed()
+            yield _counted(found)
 
-    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    dealt = rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j", "key")
     pairs = dealt.mapInArrow(read, "a long, b long, met long, least long")
     return pairs.groupBy("a", "b").agg(F.sum("met").alias("met"), F.min("least").alias("least")).where("met >= least")
 
