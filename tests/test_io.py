@@ -161,3 +161,10 @@ def test_text_functions(spark):
     ).collect()[0]
     assert list(got) == ["b;c", None, "w2", "y.tar.gz", "../x", ".", "x", "xavcfbgz", "y", "0007", "12345", True, "3", None, "a-b"]
     assert [r[0] for r in df.select(text.split_rows(text.nth_field(F.col("p"), 2))).collect()] == ["b", "c"]
+
+
+def test_reference_over_several_contigs(spark, tmp_path, rows):
+    path = put(tmp_path, "ref.fa", ">c1 first\nacg\nTT\n\n>c2\nN\n>c3\n")
+    reference = readers.read_reference(spark, path)
+    assert rows(reference) == [("c1", 1, "ACG"), ("c1", 4, "TT"), ("c2", 1, "N")]
+    assert rows(readers.single_bases(reference)) == [("c1", 1, "A"), ("c1", 2, "C"), ("c1", 3, "G"), ("c1", 4, "T"), ("c1", 5, "T"), ("c2", 1, "N")]

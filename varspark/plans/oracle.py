@@ -358,6 +358,7 @@ FINALS: dict[str, str] = {
     "q_read_pileups": "SELECT * FROM pileups",
     "q_read_logs": """SELECT event_type AS task_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS line_no,
       'event ' || CAST(event_id AS VARCHAR) AS line FROM events""",
+    "q_read_reference": "SELECT contig, pos - min(pos) OVER (PARTITION BY contig) + 1 AS pos, base FROM ref_bases",
     "q_list_outputs": "SELECT kind, CAST(sum(length(task_id) + length(CAST(length AS VARCHAR)) + 2) AS BIGINT) AS bytes FROM outputs GROUP BY kind",
     "q_write_table": f"SELECT {COUNTS}, interval_id FROM interval_of",
     "q_write_variants": f"SELECT {SITE}, n_seen FROM panel",

@@ -171,6 +171,16 @@ def q_read_logs(t: Tables) -> DataFrame:
     return readers.read_logs(t.spark, path, r"/event_type=([^/]+)/")
 
 
+@query
+def q_read_reference(t: Tables) -> DataFrame:
+    """The bases from the first site of each contig on, as FASTA lines of 25."""
+    base = "substr('ACGT', cast(1 + (r + o * (o + 1) div 2) % 4 as int), 1)"
+    lines = t.keyed_sites().selectExpr("contig", "pos", f"concat_ws('', transform(sequence(0, 24), o -> {base})) as value")
+    heads = lines.select("contig").distinct().selectExpr("contig", "0L as pos", "concat('>', contig, ' bases') as value")
+    path = _write_text_by(heads.unionByName(lines), t, "reference", "contig", "pos")
+    return readers.single_bases(readers.read_reference(t.spark, path))
+
+
 @query
 def q_list_outputs(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "outputs")

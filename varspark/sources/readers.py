@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from varspark import schemas
 from varspark.functions.text import base_name, captured
-from varspark.operators.ordered import row_index
+from varspark.operators.ordered import row_index, running_total
 
 # Path layouts that carry a key, as the first group.
 INTERVAL_FILE = r"([^/]+)-scattered\.interval_list$"
@@ -194,6 +194,28 @@ def read_logs(spark: SparkSession, path: str, task: str = TASK_FILE) -> DataFram
     return _numbered(spark, path, captured(F.col("path"), task))
 
 
+def read_reference(spark: SparkSession, path: str) -> DataFrame:
+    """Reference sequence from FASTA text: a row per line, with its contig and first position (from 1), bases in upper case.
+
+    A line's contig is the last header before it and its place the length of the contig's
+    lines so far; both are running sums in blocks, so a long contig is not one task.
+    """
+    rows = _numbered(spark, path, F.lit("reference"))
+    is_head = F.col("line").startswith(">")
+    named = running_total(rows, is_head.cast("long"), "_section", order=["line_no"])
+    heads = named.filter(is_head).select("_section", F.regexp_extract("line", r"^>\s*(\S+)", 1).alias("contig"))
+    body = named.filter(~is_head).withColumn("bases", F.upper(F.trim("line"))).filter(F.col("bases") != "").join(heads, "_section")
+    placed = running_total(body, F.length("bases"), "_until", order=["line_no"], keys=["contig"])
+    return placed.select("contig", (F.col("_until") - F.length("bases") + 1).alias("start_pos"), "bases")
+
+
+def single_bases(reference: DataFrame) -> DataFrame:
+    """The sequence as (contig, pos, base)."""
+    return reference.select("contig", "start_pos", F.posexplode(F.split("bases", "")).alias("_i", "base")).select(
+        "contig", (F.col("start_pos") + F.col("_i")).alias("pos"), "base"
+    )
+
+
 def list_outputs(spark: SparkSession, path: str) -> DataFrame:
     """Files below a path with their sizes; contents are not read.
 
@@ -227,6 +249,8 @@ __all__ = [
     "read_reads",
     "read_pileups",
     "read_logs",
+    "read_reference",
+    "single_bases",
     "list_outputs",
     "output_kind",
 ]
