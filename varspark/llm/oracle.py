@@ -101,4 +101,31 @@ select doc_id, coalesce(len(l), 0)::bigint as n_lines, coalesce(n_removed, 0)::b
 from docs left join kept using (r)
 """
 
-SQL = {"op1_line_dedup": OP1, "op5_decontaminate": OP5, "op6_mix_sources": OP6, "op10_url_filter": OP10}
+_SIGN = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(d, {at}, 10))::bigint >> {shift}) & 31) + 1)::int, 1)"
+_BASE32 = " || ".join(_SIGN.format(at=at, shift=shift) for at in (1, 11, 21, 31) for shift in range(35, -1, -5))
+
+OP3 = f"""
+with payloads as (select page_id, coalesce(html, '') as p, sha1(coalesce(html, '')) as d from pages),
+firsts as (select p, min(page_id) as f from payloads group by p)
+select page_id, strlen(p)::bigint as payload_bytes, {_BASE32} as payload_digest,
+    case when page_id = f then 'response' else 'revisit' end as record_type, case when page_id <> f then f end as refers_to
+from payloads join firsts using (p)
+"""
+
+OP4 = f"""
+with recursive docs as (
+    select doc_id, regexp_extract_all({_LOWER.format('text')}, '{_SPACED}') as w from documents
+), shingles as (
+    select distinct doc_id, array_to_string(w[i + 1 : i + 5], ' ') as s
+    from (select doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) as i from docs where len(w) > 0)
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all
+), links as (
+    select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)
+), reach as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id
+from docs left join sizes using (doc_id) left join (select a as doc_id, min(b) as low from reach group by a) using (doc_id)
+"""
+
+SQL = {"op3_warc": OP3, "op4_jaccard_join": OP4, "op1_line_dedup": OP1, "op5_decontaminate": OP5, "op6_mix_sources": OP6, "op10_url_filter": OP10}
