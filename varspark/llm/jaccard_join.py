@@ -20,7 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varspark.llm.blocks import Block, RunHashes, mixed, spaced_words, text_blocks
@@ -35,6 +35,8 @@ SIMILARITY = 75
 BUCKET_BITS = 19
 #: Bits of a set's parity bitmap.
 BITMAP_BITS = 1024
+#: Hubs that the first pass verifies per set. More of them leave fewer pairs to the second pass; the links found are the same.
+HUBS = 8
 #: Members of a list compared by one task; longer lists are dealt out as pairs of blocks.
 LIST_BLOCK = 2048
 
@@ -427,9 +429,10 @@ def links(docs: DataFrame, rows: DataFrame, similarity: int = SIMILARITY, gram:
     sets = stages.stored(set_table(docs, chosen, gram), "jaccard-sets")
     lists = stages.stored(lists.join(sets.select("id", "bits"), "id").select("key", "id", "n", "bits"), "jaccard-lists")
 
-    # The hub that a set met most often is its best chance.
+    # The hubs that a set met most often are its best chances; pass two finds what they leave.
     hubs = hub_pairs(lists, similarity).groupBy("a", "b").agg(F.count("*").alias("met"))
-    hubs = hubs.groupBy("a").agg(F.max(F.struct("met", "b"))["b"].alias("b"))
+    order = Window.partitionBy("a").orderBy(F.col("met").desc(), "b")
+    hubs = hubs.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= HUBS)
     first = stages.stored(verified(hubs, sets, similarity), "jaccard-links")
     joined = connected(first)
     lists = lists.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
