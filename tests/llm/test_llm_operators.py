@@ -50,6 +50,23 @@ def test_lines_of_no_documents(spark):
     assert line_dedup.dedup_lines(docs_of(spark, [(1, "a")]).limit(0)).count() == 0
 
 
+def test_short_runs_that_hold_enough_go(spark):
+    long, other, half = " ".join(words(60, 1)), " ".join(words(60, 2)), [" ".join(words(25, s)) for s in (3, 4)]
+    few = " ".join(words(49, 5))
+    rows = [
+        (1, f"a\n{long}\nb"), (2, long), (3, f"x\n{long}\n{other}\ny"), (4, other + "\nz"),  # one line
+        (10, "p\n" + "\n".join(half)), (11, "\n".join(half) + "\nq\n" + half[1]), (12, "\n".join(half)),  # two lines
+        (20, "s\nt"), (21, "s\nt"), (22, "s\nt\nu"), (23, "one"), (24, "one"), (25, "s"),  # whole texts
+        (30, few + "\nc"), (31, few + "\nd"), (40, " \n"), (41, " \n"), (42, ""), (43, ""),  # too little
+    ]
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(docs_of(spark, rows)).collect()}
+    expected = {i: (t, 0) for i, t in rows}
+    expected |= {2: ("", 1), 3: (f"x\n{other}\ny", 1), 4: ("z", 1), 11: (f"q\n{half[1]}", 2), 12: ("", 2), 21: ("", 2), 24: ("", 1)}
+    assert got == expected
+    plain = line_dedup.dedup_lines(docs_of(spark, rows), least_words=None).collect()
+    assert {r.doc_id for r in plain if r.n_removed} == set()
+
+
 # ---- suffix dedup
 
 

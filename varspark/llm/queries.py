@@ -26,7 +26,8 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # The query's SQL knows runs of three lines or more only.
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least_words=None)
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
