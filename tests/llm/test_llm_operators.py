@@ -306,6 +306,28 @@ def test_ties_go_to_the_smaller_id(spark):
     assert sorted(g[2] for g in got if g[0] == 0) == [1, 2, 3, 4, 5] and sorted(g[2] for g in got if g[0] == 50) == [0, 1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("noise", [0.1, 0.01, 0.001])
+def test_recall_in_a_tight_crowd(noise):
+    """A third of a block lies around one place, without exact copies."""
+    rng = np.random.default_rng(5)
+    n, size, k = 6000, 64, 5
+    rows = rng.normal(size=(n, size))
+    crowd = rng.permutation(n)[: n // 3]
+    rows[crowd] = permutation_index.unit(rng.normal(size=(1, size))) + noise * permutation_index.unit(rng.normal(size=(len(crowd), size)))
+    units, ids = permutation_index.unit(rows), np.arange(n)
+    pivots = np.concatenate([units[crowd[:1]], np.delete(units, crowd, axis=0)[: permutation_index.PIVOTS - 1]])
+    near = permutation_index._order(rows, pivots)
+    block = permutation_index.BlockIndex(ids, rows, near[:, : permutation_index.POSTED].astype(np.int16), len(pivots))
+    hits, asked = 0, np.concatenate([crowd[:40], np.setdiff1d(ids, crowd)[:20]])
+    for q in asked:
+        score = units @ units[q]
+        score[q] = -np.inf
+        best = np.lexsort((ids, -score))[:k]
+        got, _ = block.nearest(q, units[q], near[q][: permutation_index.READ], k, permutation_index.RERANKED, permutation_index.LEAST)
+        hits += len(set(got.tolist()) & set(best.tolist()))
+    assert hits / (k * len(asked)) >= 0.99
+
+
 # ---- language
 
 

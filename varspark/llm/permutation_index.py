@@ -4,6 +4,8 @@ A vector is represented by its nearest pivots in order of nearness. Each block
 of rows posts its vectors in the inverted files of their pivots, with the place of the
 pivot. A query reads the files of its own nearest pivots, which gives the
 footrule distance to every vector of the block; the best are ranked anew by cosine.
+In a tight crowd the footrule says little, so ranking goes on until the rest of the
+block is clearly farther by footrule than the k best found.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from varspark.session import stored
 SAMPLE_ROWS, PIVOTS, APART = 4096, 256, 0.8
 #: Pivots that represent a vector, and those whose files a query reads.
 POSTED, READ = 128, 64
-#: Share of a block that is ranked by cosine, and the least number.
+#: Share of a block that is ranked by cosine at first, and the least number.
 RERANKED, LEAST = 0.10, 64
+#: Rows whose footrule is above that of the k best by this share of the largest footrule are clearly farther.
+CLEAR = 0.10
 #: Rows per block, and queries searched in one pass; both bound memory.
 BLOCK_ROWS, PASS_QUERIES = 1 << 14, 1 << 13
 
@@ -115,15 +119,26 @@ class BlockIndex:
         return far
 
     def nearest(self, query: int, vector: np.ndarray, near: np.ndarray, k: int, reranked: float, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of the best by footrule (ties: smaller vec_id), the k of largest cosine (ties: smaller vec_id), never the query's own row."""
-        n = min(max(int(np.ceil(reranked * len(self.ids))), least), len(self.ids))
-        key = self.footrule(near).astype(np.int64) * len(self.ids) + np.arange(len(self.ids))
-        key[self.ids == query] = np.iinfo(np.int64).max
+        """The k rows of largest cosine (ties: smaller vec_id) among the best by footrule, never the query's own row.
+
+        The first cut is a share of the block; all rows that are not clearly farther than the k best found are ranked as well.
+        """
+        n = min(max(int(np.ceil(reranked * len(self.ids))), least, k), len(self.ids))
+        far, own = self.footrule(near).astype(np.int64), self.ids == query
+        key = far * len(self.ids) + np.arange(len(self.ids))
+        key[own] = np.iinfo(np.int64).max
         found = np.sort(np.argpartition(key, n - 1)[:n])
-        found = found[self.ids[found] != query]
-        score = np.einsum("ij,j->i", self.units[found], vector)
-        best = np.lexsort((self.ids[found], -score))[:k]
-        return self.ids[found[best]], score[best]
+        found = found[~own[found]]
+        margin = CLEAR * (self.posted - np.arange(len(near))).sum()
+        # All rows up to this footrule are ranked; of those at the cut itself some may not be.
+        reached = far[found].max(initial=0) - 1
+        while True:
+            score = np.einsum("ij,j->i", self.units[found], vector)
+            best = np.lexsort((self.ids[found], -score))[:k]
+            clear = far[found[best]].max(initial=0) + margin
+            if not len(best) or clear <= reached:
+                return self.ids[found[best]], score[best]
+            found, reached = np.flatnonzero((far <= clear) & ~own), clear
 
 
 def _merged(hits: Hits, row: int, ids: np.ndarray, scores: np.ndarray) -> None:
