@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from varspark.functions import evidence as ev
 from varspark.operators import filtering, pileup, somatic
+from varspark.plans.workflow import Workflow
 
 E = 1e-3
 COUNTS = "lab_id string, contig string, pos bigint, ref string, alt string, ref_count bigint, alt_count bigint, alt_f1r2 bigint, alt_f2r1 bigint"
@@ -223,3 +224,44 @@ def test_mitochondrial_calls_keep_their_rules(spark):
     limits = spark.createDataFrame([("p", 0.5)], "pair string, threshold double")
     least = F.when(F.col("contig") != "chrM", 6.3).otherwise(3.0)
     assert {c.contig: list(c.filters) for c in filtering.apply_filters(calls, limits, min_tumour_lod=least).collect()} == {"chrM": [], "chr1": ["weak_evidence"]}
+
+
+class HandWritten:
+    """A cohort of one pair whose counts are the library's own, of contigs chr1 and chrM."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def manifest(self):
+        return self.spark.createDataFrame([("S1", "P1-T1", "C", "1"), ("S2", "P1-N", "C", "1")], "sample_id string, lab_id string, seq_centre string, library string")
+
+    def reads(self):
+        rows = reads_of("P1-T1", 28, "A") + reads_of("P1-T1", 12, "C") + reads_of("P1-N", 40, "A")
+        return self.spark.createDataFrame(rows + [(*r[:2], r[2], "chrM", *r[4:]) for r in rows], READS)
+
+    def counts(self):
+        reference = [(c, p, "A") for c in ("chr1", "chrM") for p in range(1, 61)]
+        return pileup.allele_counts(self.reads(), self.spark.createDataFrame(reference, "contig string, pos bigint, base string"))
+
+    def germline(self):
+        return self.spark.createDataFrame([], "contig string, pos bigint, ref string, alt string, af double")
+
+    def pileups(self):
+        return self.spark.createDataFrame([], "lab_id string, contig string, pos bigint, ref string, alt string, ref_count bigint, alt_count bigint, other_alt_count bigint, af double")
+
+    def intervals(self):
+        return self.spark.createDataFrame([("0", "chr1", 1, 50), ("1", "chr1", 51, 1000)], "interval_id string, contig string, start_pos bigint, end_pos bigint")
+
+    def contexts(self):
+        return None
+
+
+@pytest.mark.parametrize("keep", [False, True])
+def test_workflow_from_reads_to_filters(spark, keep):
+    cohort = Workflow(HandWritten(spark), keep=keep, iterations=2)
+    assert [(s.statistic, s.value) for s in cohort.stats.collect()] == [("callable", 120.0)]
+    got = {(c.contig, c.pos): c for c in cohort.filtered.collect()}
+    assert set(got) == {("chr1", 30), ("chrM", 30)}
+    for c in got.values():
+        assert (c.t_ref, c.t_alt, c.n_ref, c.n_alt) == (28, 12, 40, 0) and c.nlod > 2.2 and list(c.filters) == []
+    cohort.close()

@@ -40,7 +40,14 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-class StoredTables(Tables):
+class CohortFixture(Tables):
+    """Fixture tables as a workflow takes them: the counts hold rows of loci that show the reference alone, and come from no reads."""
+
+    def reads(self) -> None:
+        return None
+
+
+class StoredTables(CohortFixture):
     """Fixture tables whose inputs of the workflow are written once, as a cohort has them."""
 
     @once
@@ -53,8 +60,8 @@ class StoredTables(Tables):
 
 
 def workflow(t: Tables, keep: bool = False) -> Workflow:
-    if keep:  # counts and pileups are input tables of the workflow
-        t = StoredTables(t.spark, t.sf_dir)
+    # With keep, counts and pileups are input tables of the workflow.
+    t = (StoredTables if keep else CohortFixture)(t.spark, t.sf_dir)
     cohort = Workflow(t, mito=MITO, run=RUN, iterations=ITERATIONS, keep=keep)
     return cohort.prepare() if keep else cohort
 

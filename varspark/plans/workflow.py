@@ -13,7 +13,7 @@ from varspark.operators.contamination import contamination, maf_segments
 from varspark.operators.filtering import apply_filters, error_probability, filter_evidence, learn_threshold
 from varspark.operators.manifest import normal_samples, pair_tumour_normal, samples_of
 from varspark.operators.orientation import f1r2_histogram, learn_orientation
-from varspark.operators.pileup import callable_sites
+from varspark.operators.pileup import callable_from_reads, callable_sites, cigar_blocks, usable_reads
 from varspark.operators.pon import create_pon, normal_candidates
 from varspark.operators.regions import assign_interval, exclude_contig, only_contig
 from varspark.operators.somatic import MIN_TUMOUR_LOD, MIN_TUMOUR_LOD_MITO, call_genome, callable_stats, merge_stats
@@ -27,6 +27,9 @@ class CohortTables(Protocol):
 
     def counts(self) -> DataFrame: ...
 
+    def reads(self) -> DataFrame | None:
+        """The reads that ``counts`` come from; None if counts are complete, with rows for loci that show the reference alone."""
+
     def germline(self) -> DataFrame: ...
 
     def pileups(self) -> DataFrame: ...
@@ -72,6 +75,10 @@ class Workflow:
     def counts(self) -> DataFrame:
         return self.tables.counts()
 
+    @cached_property
+    def reads(self) -> DataFrame | None:
+        return self.tables.reads()
+
     @cached_property
     def pileups(self) -> DataFrame:
         return self.tables.pileups()
@@ -115,15 +122,21 @@ class Workflow:
     @cached_property
     def calls(self) -> DataFrame:
         return self._keep(
-            call_genome(self.counts, self.pairs, self.panel, self.germline, self.mito), "calls"
+            call_genome(self.counts, self.pairs, self.panel, self.germline, self.mito, self.reads), "calls"
         )
 
     @cached_property
     def stats(self) -> DataFrame:
         """Callable loci; the mitochondrial contig is a part of its own, listed or not."""
-        placed = assign_interval(exclude_contig(self.counts, self.mito), self.tables.intervals())
-        mito = only_contig(self.counts, self.mito).withColumn("interval_id", F.lit(self.mito))
-        loci = callable_sites(placed.unionByName(mito))
+        if self.reads is None:
+            placed = assign_interval(exclude_contig(self.counts, self.mito), self.tables.intervals())
+            mito = only_contig(self.counts, self.mito).withColumn("interval_id", F.lit(self.mito))
+            loci = callable_sites(placed.unionByName(mito))
+        else:
+            mito = only_contig(self.reads, self.mito)
+            span = cigar_blocks(usable_reads(mito)).groupBy("contig").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"))
+            loci = callable_from_reads(exclude_contig(self.reads, self.mito), self.tables.intervals())
+            loci = loci.unionByName(callable_from_reads(mito, span.withColumn("interval_id", F.lit(self.mito))))
         return self._keep(merge_stats(callable_stats(loci, self.pairs)), "stats")
 
     @cached_property
