@@ -113,6 +113,24 @@ def test_extending_equals_rebuilding(spark, cohort, tmp_path):
             assert grown[pos].var_fraction == pytest.approx(row.var_fraction, abs=1e-12)
 
 
+def test_two_extensions_in_a_row_equal_rebuilding(spark, cohort, tmp_path):
+    """Each cohort is offered alone, with a stricter limit than the usual one."""
+    calls, normals = cohort
+    germline = spark.createDataFrame([("c", p, "A", "C", 0.3) for p in range(1, 30, 3)], "contig string, pos bigint, ref string, alt string, af double")
+    for resource, limit in ((None, 0.5), (germline, 1e-6)):
+        whole = {x.pos: x for x in pon.create_pon(calls, normals, resource, max_p_germline=limit).collect()}
+        store = str(tmp_path / str(resource is None))
+        batch = lambda df, low, high: df.filter(F.col("lab_id").between(f"P{low}-N", f"P{high}-N"))
+        pon.write_panel_store(batch(calls, 0, 3), batch(normals, 0, 3), store, resource, max_p_germline=limit)
+        for low, high in ((4, 5), (6, 8)):
+            grown = {x.pos: x for x in pon.extend_pon(store, batch(calls, low, high), batch(normals, low, high), resource, max_p_germline=limit).collect()}
+        assert whole.keys() == grown.keys() and whole
+        for pos, row in whole.items():
+            assert (grown[pos].n_seen, grown[pos].share_of_normals) == (row.n_seen, row.share_of_normals)
+            assert grown[pos].mean_fraction == pytest.approx(row.mean_fraction)
+            assert grown[pos].var_fraction == pytest.approx(row.var_fraction, abs=1e-12)
+
+
 def test_germline_alleles_do_not_enter_the_panel(spark):
     normals = spark.createDataFrame([("P1-N",), ("P2-N",)], "lab_id string")
     data = [(s, "c", pos, "A", "C", r, a) for s in ("P1-N", "P2-N") for pos, r, a in ((1, 20, 20), (2, 38, 4))]

@@ -12,6 +12,7 @@ from varspark.operators.regions import assign_interval
 from varspark.operators.sites import annotate_germline
 from varspark.operators.skew import spread_join
 from varspark.schemas import SITE
+from varspark.session import stored
 from varspark.sources.writers import write_table
 
 MIN_SAMPLES = 2
@@ -137,9 +138,15 @@ def create_pon(
     return panel_from_sums(pon_sums(calls, germline, max_p_germline), normals, min_samples)
 
 
-def write_panel_store(calls: DataFrame, normals: DataFrame, path: str, germline: DataFrame | None = None) -> None:
+def write_panel_store(
+    calls: DataFrame,
+    normals: DataFrame,
+    path: str,
+    germline: DataFrame | None = None,
+    max_p_germline: float = MAX_P_GERMLINE,
+) -> None:
     """A panel that can grow: the moments per site, and the register of the samples in them."""
-    pon_sums(calls, germline).write.parquet(f"{path}/sums")
+    pon_sums(calls, germline, max_p_germline).write.parquet(f"{path}/sums")
     normals.select("lab_id").distinct().write.parquet(f"{path}/samples")
 
 
@@ -151,10 +158,16 @@ def extend_pon(
     min_samples: int = MIN_SAMPLES,
     max_p_germline: float = MAX_P_GERMLINE,
 ) -> DataFrame:
-    """Panel of a grown cohort from a written store and the samples that its register lacks."""
+    """Panel of a grown cohort from a written store and the samples that its register lacks.
+
+    The store grows with it: moments and names of the new samples are added as further parts, so that
+    the next cohort can be offered alone. Calls of samples that ``new_normals`` lacks are left out. Two runs must not extend one store at a time.
+    """
     spark = new_calls.sparkSession
+    sums_schema = "contig string, pos bigint, ref string, alt string, n_seen bigint, mean_f double, m2 double"
     known = spark.read.schema("lab_id string").parquet(f"{path}/samples")
-    sums = "contig string, pos bigint, ref string, alt string, n_seen bigint, mean_f double, m2 double"
-    fresh = new_calls.join(known, "lab_id", "left_anti")
-    whole = merge_pon_sums(spark.read.schema(sums).parquet(f"{path}/sums"), pon_sums(fresh, germline, max_p_germline))
-    return panel_from_sums(whole, known.unionByName(new_normals.select("lab_id")), min_samples)
+    fresh = stored(new_normals.select("lab_id").distinct().join(known, "lab_id", "left_anti"), "panel-fresh")
+    pon_sums(new_calls.join(fresh, "lab_id", "left_semi"), germline, max_p_germline).write.mode("append").parquet(f"{path}/sums")
+    fresh.write.mode("append").parquet(f"{path}/samples")
+    grown = spark.read.schema("lab_id string").parquet(f"{path}/samples")
+    return panel_from_sums(merge_pon_sums(spark.read.schema(sums_schema).parquet(f"{path}/sums")), grown, min_samples)
