@@ -208,6 +208,34 @@ def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
         assert {(r.a, r.b) for r in got} == expected and {r.met for r in got} == {3}
 
 
+@pytest.mark.parametrize("similarity", [51, 60, 66])
+def test_lower_similarities_link_small_sets(spark, similarity):
+    texts = {}
+    for g in range(40):
+        base = words(5 + g % 6, g)
+        for k in range(3):  # one word more each time: sets of 1, 2, 3 shingles and so on
+            texts[3 * g + k] = " ".join(base + words(k, 1000 + g))
+    sets = {i: shingles(t) for i, t in texts.items()}
+    expected = {i: i for i in sets}
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                one, other = expected[a], expected[b]
+                expected = {i: min(one, other) if c in (one, other) else c for i, c in expected.items()}
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_groups(docs_of(spark, list(texts.items())), similarity=similarity).collect()}
+    assert got == expected and any(len(sets[i]) == 2 and any(expected[j] == expected[i] for j in sets if j != i) for i in sets)
+
+
+def test_similarities_that_the_keys_do_not_prove(spark):
+    for similarity in (50, 101):
+        with pytest.raises(ValueError, match="similarity"):
+            jaccard_join.make_plan(np.ones(1 << jaccard_join.BUCKET_BITS), {}, similarity)
+    # Sets of 19 and 20 shingles that share 19 have 95 per cent, but may have one list in common.
+    lists = spark.createDataFrame([(11, 1, 19), (11, 2, 20)], "key long, id long, n int")
+    assert {r.id for r in jaccard_join.with_partners(lists, 95).collect()} == {1, 2}
+    assert {r.id for r in jaccard_join.with_partners(lists).collect()} == {1}
+
+
 # ---- decontamination
 
 

@@ -15,6 +15,7 @@ the difference from parity bitmaps, and the rest is verified on the whole sets.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -152,13 +153,32 @@ def _meet(n):
     return 1 + n // 20
 
 
+def _least(similarity: int) -> int:
+    """Tokens of the smallest set that can be linked to another set: its best partner has one token more."""
+    return -(-similarity // (100 - similarity)) if similarity < 100 else sys.maxsize
+
+
+def _partners_met(similarity: int) -> bool:
+    """Whether a large set shares ``_meet`` of its own size with every smaller partner too, not of the partner's size only.
+
+    The gap grows with the sizes, so that none over 1,000 tokens has to be tried.
+    """
+    n, m = np.arange(1, 1001)[:, None], np.arange(1, 1001)
+    partners = (m <= n) & (100 * m >= similarity * n)
+    both = np.minimum(-(-similarity * (n + m) // (100 + similarity)), m)
+    return bool((np.minimum(both - _need(m, similarity) + _meet(m), both) >= _meet(n))[partners].all())
+
+
 def make_plan(counts: np.ndarray, sizes: dict[int, int], similarity: int = SIMILARITY) -> Plan:
     """The boundary of least cost.
 
     A small set costs its subsets; sets up to 1/t of the boundary have subsets too, to meet
     small partners. A large set costs its prefix times the mean length of a list, which
     is the second moment of the tokens by the first; the bucket counts give both.
+    Up to 50 per cent, sets that share one token can be linked, which subsets of two do not find.
     """
+    if not 50 < similarity <= 100:
+        raise ValueError(f"similarity is {similarity}; it has to be over 50 and at most 100 per cent")
     middle = float(np.median(counts))
     crowded = counts > middle + 6 * np.sqrt(middle) + 8
     light = counts[~crowded].astype(float)
@@ -179,14 +199,14 @@ def keys_of(tokens: np.ndarray, plan: Plan) -> np.ndarray:
     late = plan.crowded[(tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
     ordered = np.concatenate([tokens[~late], tokens[late]])
     spare = n - int(_need(n, plan.similarity))
-    keys = []
-    if 3 <= n <= plan.small * 100 // plan.similarity:  # smaller sets are linked to equal ones only
+    keys, least = [], _least(plan.similarity)  # smaller sets are linked to equal ones only
+    if least <= n <= plan.small * 100 // plan.similarity:
         head = ordered[: spare + 2]
         i, j = np.triu_indices(len(head), 1)
         low, high = np.minimum(head[i], head[j]), np.maximum(head[i], head[j])
         with np.errstate(over="ignore"):
             keys.append(mixed(low * _SEED[0] + high * _SEED[1]) & ~np.uint64(1))
-    if n > plan.small and n >= 3:
+    if n > plan.small and n >= least:
         keys.append(mixed(ordered[: spare + _meet(n)]) | np.uint64(1))
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
@@ -254,9 +274,10 @@ def _token_list(key: Column) -> Column:
     return F.pmod(key, F.lit(2)) == 1
 
 
-def with_partners(lists: DataFrame) -> DataFrame:
+def with_partners(lists: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Postings of sets that meet others often enough to be linked at all."""
-    enough = F.count_if(_token_list(F.col("key"))) >= 1 + F.floor(F.max("n") / 20)
+    least = 1 + F.floor(F.max("n") / 20) if _partners_met(similarity) else F.lit(1)
+    enough = F.count_if(_token_list(F.col("key"))) >= least
     possible = lists.groupBy("id").agg((enough | (F.count_if(~_token_list(F.col("key"))) > 0)).alias("possible")).where("possible")
     return lists.join(possible.select("id"), "id", "left_semi")
 
@@ -424,7 +445,7 @@ def links(docs: DataFrame, rows: DataFrame, similarity: int = SIMILARITY, gram:
     stages = Stages(docs.sparkSession)
     sizes = {r.n: r.sets for r in rows.where("n <= 200").groupBy("n").agg(F.count_distinct("id").alias("sets")).collect()}
     plan = make_plan(bucket_counts(docs, gram), sizes, similarity)
-    lists = stages.stored(with_partners(stages.stored(shared_lists(postings(docs, plan, gram)), "jaccard-lists")), "jaccard-lists")
+    lists = stages.stored(with_partners(stages.stored(shared_lists(postings(docs, plan, gram)), "jaccard-lists"), similarity), "jaccard-lists")
     chosen = lists.select("id").distinct().join(rows, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
     sets = stages.stored(set_table(docs, chosen, gram), "jaccard-sets")
     lists = stages.stored(lists.join(sets.select("id", "bits"), "id").select("key", "id", "n", "bits"), "jaccard-lists")
@@ -456,7 +477,7 @@ def jaccard_groups(docs: DataFrame, similarity: int = SIMILARITY, gram: int = GR
 
     Words are runs between ASCII white space, A-Z lower-cased. A set holds the distinct shingles
     of ``gram`` words; fewer words are one shingle; null or wordless texts have none and are linked with nothing.
-    Linked means 100 * intersection >= similarity * union. Equal sets are one class from
+    Linked means 100 * intersection >= similarity * union, with a whole similarity over 50 (others raise). Equal sets are one class from
     the start, so copies are never paired. Rows without doc_id
     belong to their group but do not name it. Other columns are ignored; an empty table gives no rows.
     Raises if two different sets have one 64-bit id (the second hash tells).
