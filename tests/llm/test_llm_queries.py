@@ -48,8 +48,8 @@ def test_query_equals_sql(spark, duck, name):
     assert in_order(df.columns, [tuple(r) for r in df.collect()]) == in_order(columns, expected.fetchall())
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def suffixes_removed(texts, width):

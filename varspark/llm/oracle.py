@@ -128,4 +128,98 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(low,
 from docs left join sizes using (doc_id) left join (select a as doc_id, min(b) as low from reach group by a) using (doc_id)
 """
 
-SQL = {"op3_warc": OP3, "op4_jaccard_join": OP4, "op1_line_dedup": OP1, "op5_decontaminate": OP5, "op6_mix_sources": OP6, "op10_url_filter": OP10}
+
+OP11 = f"""
+with recursive words as (
+    select row_number() over () as r, doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_SPACED}') as w from documents
+), firsts as (select t, min(doc_id) as first from words group by t),
+marks as (select doc_id, max(coalesce((quality = 1)::int, 0)) as good, max(coalesce((toxic = 1)::int, 0)) as toxic from labels group by doc_id),
+failed as (
+    select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, map {{
+        'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+        'C': 100 * (strlen(t) - strlen(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+        'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(words.doc_id > first, false)}} as f
+    from words join firsts using (t) left join marks on marks.doc_id = words.doc_id
+), kinds as (
+    select part, f, count(*) as n, sum(good) as good, sum(toxic) as toxic, len(list_filter(map_values(f), lambda x: x)) as fails from failed group by part, f
+), orders as (
+    select '' as o union all select o || x from orders, (select unnest(['A', 'B', 'C', 'D', 'E']) as x) where not contains(o, x)
+), steps as (select o, i::int as step, o[i] as own, o[1 : i - 1] as earlier from orders, (select unnest(range(1, 6)) as i) where len(o) = 5),
+counted as (
+    select part, o, step, own, sum(case when gone or hit then 0 else n end) as kept, sum(case when hit and not gone then n else 0 end) as removed,
+        sum(case when hit and gone then n else 0 end) as redundant, sum(case when hit and fails = 1 then n else 0 end) as unique_fails,
+        sum(case when hit and not gone then good else 0 end) as good_lost, sum(case when hit and not gone then toxic else 0 end) as toxic_lost
+    from (select *, f[own] as hit, len(list_filter(string_split(earlier, ''), lambda x: x <> '' and f[x])) > 0 as gone from kinds, steps)
+    group by part, o, step, own
+)
+select part, o as filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+    good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, own))::bigint as shapley
+from counted
+"""
+
+# The curve of three dimensions of 8 bits each, level by level; the crc of a text byte by byte from the table of its polynomial.
+OP12 = """
+with recursive polynomial as (
+    select list_transform(range(0, 256), lambda b: list_reduce([b] || range(0, 8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as table_of
+), docs as (
+    select row_number() over () as r, doc_id, source, lang, coalesce(strlen(text), 0)::bigint as bytes, hex(encode(coalesce(text, ''))) as h, count(*) over () as n from documents
+), sums as (
+    select r, xor(list_reduce([4294967295] || list_transform(range(0, bytes), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint),
+        lambda c, x: xor(c >> 8, table_of[(xor(c, x) & 255) + 1])), 4294967295) as text_crc32 from docs, polynomial
+), cells as (
+    select *, case when source is null then 0 else (256 * (rank() over (order by source nulls first) - 1)) // n end as a,
+        case when lang is null then 0 else (256 * (rank() over (order by lang nulls first) - 1)) // n end as b, (256 * (rank() over (order by bytes) - 1)) // n as c
+    from docs
+), turned as (
+    select r, 7 as level, a::bigint as x, b::bigint as y, c::bigint as z from cells
+    union all
+    select r, level - 1, case when z >> level & 1 = 1 then xor(x, m) else xor(x, xor(x, z) & m) end, y, case when z >> level & 1 = 1 then z else xor(z, xor(x, z) & m) end
+    from (
+        select r, level, m, z, case when y >> level & 1 = 1 then xor(x, m) else xor(x, xor(x, y) & m) end as x, case when y >> level & 1 = 1 then y else xor(y, xor(x, y) & m) end as y
+        from (select r, level, m, y, z, case when x >> level & 1 = 1 then xor(x, m) else x end as x from (select *, ((1 << level) - 1)::bigint as m from turned where level > 0))
+    )
+), gray as (select r, x, xor(x, y) as y, xor(xor(x, y), z) as z from turned where level = 0),
+points as (
+    select r, xor(x, g) as x, xor(y, g) as y, xor(z, g) as z from (
+        select *, list_reduce([0::bigint] || list_transform(range(1, 8), lambda k: case when z >> k & 1 = 1 then (1 << k) - 1 else 0 end::bigint), lambda p, q: xor(p, q)) as g from gray)
+), placed as (
+    select *, list_sum(list_transform(range(0, 8), lambda k: ((x >> k & 1) << (3 * k + 2)) + ((y >> k & 1) << (3 * k + 1)) + ((z >> k & 1) << (3 * k))))::bigint as curve
+    from cells join points using (r) join sums using (r)
+), ranked as (select *, row_number() over (order by curve, doc_id nulls first) - 1 as rank from placed),
+dealt as (select *, ((rank + 1) * 24 - 1) // n as shard from ranked)
+select doc_id, bytes + 8 as size, text_crc32::bigint as text_crc32, 'rows' as law, shard::int as shard,
+    (rank - min(rank) over (partition by shard))::bigint as slot, null::int as grown_shard
+from dealt
+"""
+
+OP13 = f"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')) as piece from documents
+), words as (select row_number() over () as r, lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from words group by lang),
+counts as (
+    select lang, k, array_to_string(w[i + 1 : i + k], ' ') as phrase, count(*)::hugeint as f,
+        count(*) filter (where i > 0) as before, count(*) filter (where i + k < len(w)) as after
+    from (select lang, w, k, unnest(range(0, len(w) - k + 1)) as i from words, (select unnest([1, 2, 3, 4]) as k) where len(w) >= k)
+    group by all having count(*) >= 30
+), candidates as (select *, string_split(phrase, ' ') as w from counts where k > 1),
+cuts as (
+    select c.lang, c.phrase, x.f as l, y.f as r, j, 2000000 * c.f // (x.f + y.f) as score
+    from (select *, unnest(range(1, k)) as j from candidates) c
+    join counts x on x.lang = c.lang and x.phrase = array_to_string(c.w[1 : j], ' ') join counts y on y.lang = c.lang and y.phrase = array_to_string(c.w[j + 1 :], ' ')
+), lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inner_parts as (
+    select lang, array_to_string(w[i + 1 : i + m], ' ') as phrase, max(f) as longer from (
+        select *, unnest(range(0, k - m + 1)) as i from (select *, unnest(range(2, k)) as m from candidates)) group by all
+), kept as (
+    select c.lang, c.phrase, c.f, l, r, score, c.before, c.after from candidates c join lowest using (lang, phrase) left join inner_parts using (lang, phrase)
+    where longer is null or 100 * longer < 80 * c.f
+)
+select lang, rank, phrase, f::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score, before, after
+from (select *, row_number() over (partition by lang order by score desc, f desc, phrase) as rank from kept) join totals using (lang) where rank <= 2000
+"""
+
+SQL = {
+    "op3_warc": OP3, "op4_jaccard_join": OP4, "op1_line_dedup": OP1, "op5_decontaminate": OP5, "op6_mix_sources": OP6, "op10_url_filter": OP10,
+    "op11_filter_audit": OP11, "op12_hilbert_shards": OP12, "op13_collocations": OP13,
+}

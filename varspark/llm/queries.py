@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varspark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, oracle, permutation_index, suffix_dedup, token_store, url_filter, warc
+from varspark.llm import collocations, decontaminate, filter_audit, hilbert_shards, jaccard_join, language_id, line_dedup, mixing, oracle, permutation_index, suffix_dedup, token_store, url_filter, warc
 
 # The rules of the URL contract, then host names that the method itself blocks.
 SITE_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -89,8 +89,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dimensions = {"source": F.col("source"), "lang": F.col("lang"), "bytes": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")}
+    return hilbert_shards.sharded_documents(table(spark, sf_dir, "documents"), dimensions)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = [
     op1_line_dedup, op2_suffix_dedup, op3_warc, op4_jaccard_join, op5_decontaminate, op6_mix_sources, op7_nearest, op8_language_id, op9_token_ids, op10_url_filter,
+    op11_filter_audit, op12_hilbert_shards, op13_collocations,
 ]
 
 
