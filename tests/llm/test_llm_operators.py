@@ -4,6 +4,7 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,12 +13,13 @@ from test_llm_queries import groups, plain_tokens, shingles, suffixes_removed
 from varspark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, permutation_index, queries, suffix_dedup, token_store, url_filter, warc
 from varspark.llm.blocks import RunHashes, spaced_words, text_blocks
 
-DOCS = "doc_id long, text string, lang string, source string, key long, n long, size long, id string, start long, spans string"
+HELPERS = ["_id", "_hash", "_source", "_copies", "_copy", "_doc", "_starts", "_kept", "_spans", "_tie", "__id", "ra", "rb", "low", "line", "copies"]
+DOCS = "doc_id long, text string, lang string, source string, key long, n long, size long, id string, start long, spans string, " + ", ".join(f"{h} string" for h in HELPERS)
 
 
 def docs_of(spark, rows):
     """Documents with more columns, whose names the operators use inside."""
-    return spark.createDataFrame([(*r[:2], *(list(r[2:4]) + [None, None])[:2], 1, 2, 3, "x", 4, "y") for r in rows], DOCS)
+    return spark.createDataFrame([(*r[:2], *(list(r[2:4]) + [None, None])[:2], 1, 2, 3, "x", 4, "y", *HELPERS) for r in rows], DOCS)
 
 
 def pages_of(spark, rows):
@@ -67,9 +69,38 @@ def test_short_runs_that_hold_enough_go(spark):
     assert {r.doc_id for r in plain if r.n_removed} == set()
 
 
+def test_postings_are_the_chosen_lines(spark):
+    rng = random.Random(8)
+    rows = [(k, "\n".join(rng.choice("abcdefgh") for _ in range(rng.randrange(30)))) for k in range(30)]
+    got = line_dedup.winnow(docs_of(spark, rows), least_words=None)
+    plain = {(r.doc_id, r.line) for r in got.select("doc_id", "line").collect()}
+    hashes = {r.x: r.h for r in spark.createDataFrame([(x,) for x in "abcdefgh"], "x string").selectExpr("x", "xxhash64(1, x) as h").collect()}
+    expected, windows = set(), 0
+    for k, text in rows:
+        lines = text.split("\n")
+        for s in range(len(lines) - 2):
+            least = min(hashes[x] for x in lines[s : s + 3])
+            expected.add((k, max(s + i for i in range(3) if hashes[lines[s + i]] == least)))
+            windows += 1
+    assert plain == expected and got.count() == len(expected) < windows
+    assert line_dedup.extended(got, 3).count() == windows
+
+
 # ---- suffix dedup
 
 
+def test_rows_without_id_whose_texts_share_a_short_hash(spark):
+    # Equal 32-bit hashes; the common passage is covered in both, the rest of each in none.
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    tails = [f"{k:08d}" for k in range(200_000)]
+    found = spark.createDataFrame([(passage + t,) for t in tails], "t string").selectExpr("t", "hash(t) as h")
+    pair = found.groupBy("h").agg({"t": "collect_list"}).toDF("h", "t").where("size(t) > 1").first().t[:2]
+    rows = [(None, pair[0]), (None, pair[1] + "z"), (None, pair[1])]
+    got = sorted(tuple(r)[1:5] for r in suffix_dedup.dedup_suffixes(docs_of(spark, rows)).collect())
+    assert got == sorted(suffixes_removed([t.encode() for _, t in rows], 200))
+
+
 @pytest.mark.parametrize("crowd", [1, 4096])
 def test_suffixes_against_brute_force(spark, crowd):
     rng = random.Random(3)
@@ -479,3 +510,76 @@ def test_equal_runs_have_equal_hashes():
     data = np.frombuffer(b"xxabcabcabdxabc", np.uint8)
     hashes = RunHashes(data).of(np.array([2, 5, 12, 8, 2]), np.array([5, 8, 15, 11, 6]))
     assert len(set(hashes[:3].tolist())) == 1 and len(set(hashes.tolist())) == 3
+
+
+# ---- names of helper columns, long texts, and a plain decoder
+
+
+def test_all_columns_pass_through_whatever_their_names(spark):
+    text = " ".join(words(40, 3))
+    rows = [(k, text + f" {k}", "en", f"s{k % 2}") for k in range(6)] + [(None, None, None, None), (7, " ".join(words(40, 4)), "de", "s1")]
+    docs, bench = docs_of(spark, rows), spark.createDataFrame([("i", rows[-1][1])], "item_id string, text string")
+    for stage in (
+        line_dedup.dedup_lines(docs).drop("n_lines", "n_removed"), jaccard_join.one_of_each_group(docs), mixing.mixed(docs),
+        decontaminate.without_contaminated(docs, bench), decontaminate.without_spans(docs, bench),
+        language_id.identify(docs, language_id.fit(docs)).select(*docs.columns),
+    ):
+        found = stage.collect()
+        assert stage.columns == docs.columns and found
+        assert all([r[h] for h in HELPERS] == HELPERS for r in found)
+
+
+def test_language_of_a_long_text_in_bounded_memory(spark):
+    import tracemalloc
+
+    rows = [(k, " ".join(words(60, k)) + (" der die das" if k % 2 else " the and of") * 30, "de" if k % 2 else "en") for k in range(60)]
+    model = language_id.fit(docs_of(spark, rows))
+    long = ("und der die das Haus " * 400_000).encode()  # 8 MB
+    tracemalloc.start()
+    for order in language_id.ORDERS:
+        block = next(iter(text_blocks(pa.array([long], pa.large_binary()))))
+        for bucket, _, begins in language_id._ngrams(block, order):
+            np.add.reduceat(model.odds[bucket], begins, axis=0, dtype=np.int64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20  # by slices, whatever the length
+    got = language_id.identify(docs_of(spark, [(1, long.decode()), (2, "1" * (9 << 20)), (3, "1" * (1 << 20) + "é")]), model).collect()
+    assert {r.doc_id: r.lang_pred == "de" for r in got} == {1: True, 2: False, 3: got[2].lang_pred == "de"} and got[1].lang_pred == "und"
+    assert next(r for r in got if r.doc_id == 3).lang_pred != "und"
+
+
+def plain_prediction(model, text):
+    """Language and score by the definition: n-grams one by one, bit margins, weighted losses of all codewords."""
+    data = bytes(language_id._CLASS[np.frombuffer((text or "").encode(), np.uint8)])
+    sums, n = [0] * model.odds.shape[1], 0
+    for order in language_id.ORDERS:
+        for i in range(len(data) - order + 1):
+            key = order
+            for b in data[i : i + order]:
+                key = (key << 8 | b) & (1 << 64) - 1
+            for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+                key = (key ^ key >> shift) * factor & (1 << 64) - 1
+            bucket = (key ^ key >> 33) >> (64 - language_id.BUCKET_BITS)
+            sums = [s + int(o) for s, o in zip(sums, model.odds[bucket], strict=True)]
+            n += 1
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    margin = [s / 65536 * min(n, language_id.ENOUGH) / max(n, 1) for s in sums]
+    losses = [sum(float(w) * float(np.log1p(np.exp(-m * c))) for m, c, w in zip(margin, row, model.reliability, strict=True)) for row in model.code]
+    weight = [float(np.exp(min(losses) - x)) for x in losses]
+    best = losses.index(min(losses))
+    return model.languages[best], weight[best] / sum(weight)
+
+
+def test_predictions_equal_a_plain_decoder(spark):
+    rng = random.Random(12)
+    alphabets = {"en": "etaoin", "de": "enisrü", "fr": "esaité", "es": "eaosñr", "it": "eaionl"}
+    make = lambda la, n: "".join(rng.choice(alphabets[la] + " ") for _ in range(n))
+    rows = [(k, make(la, 120), la) for k in range(100) for la in [list(alphabets)[k % 5]]]
+    model = language_id.fit(docs_of(spark, rows))
+    tests = [(k, make(rng.choice(list(alphabets)), rng.randrange(1, 90))) for k in range(60)] + [(90, ""), (91, None), (92, "12 3"), (93, "é"), (94, "x")]
+    tests.append((95, make("fr", language_id.SLICE // 64)))
+    got = {r.doc_id: (r.lang_pred, r.lang_score) for r in language_id.identify(docs_of(spark, tests), model).collect()}
+    for k, text in tests:
+        lang, score = plain_prediction(model, text)
+        assert got[k][0] == lang and abs(got[k][1] - score) < 1e-6

@@ -26,7 +26,9 @@ from varspark.session import stored
 UNDETERMINED = "und"
 LEAST, MOST_WORDS, BEST = 30, 4, 2000
 #: Bytes of text per shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
+#: Words hashed at once.
+HASHED = 1 << 15
 #: Buckets of the sieve: one per 16 bytes of text, within these bounds. The largest is 128 MB of bits; beyond it the sieve lets more through.
 LEAST_BITS, MOST_BITS = 16, 30
 #: Buckets per row on the way to the sieve.
@@ -90,7 +92,11 @@ class Words:
         inside[1:-1] = ~_GAPS[self.data]
         self.starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
         self.ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
-        self.hashes = RunHashes(self.data).of(self.starts, self.ends)
+        self.hashes = np.zeros(len(self.starts), np.uint64)
+        for lo in range(0, len(self.starts), HASHED):
+            part = slice(lo, min(lo + HASHED, len(self.starts)))
+            starts, ends = self.starts[part], self.ends[part]
+            self.hashes[part] = RunHashes(self.data[starts[0] : ends[-1]]).of(starts - starts[0], ends - starts[0])
         ended = np.concatenate([[0], np.cumsum(_ENDS[self.data])])
         self.last = np.ones(len(self.starts), bool)
         self.last[:-1] = ended[self.starts[1:]] > ended[self.ends[:-1]]

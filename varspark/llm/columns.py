@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: words between ASCII white space.
@@ -21,6 +21,15 @@ def words_in(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores ahead as it takes to be none of the frame's, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    depth = 1
+    while any("_" * depth + n.lower() in taken for n in names):
+        depth += 1
+    return ["_" * depth + n for n in names]
+
+
 def wide_hash(*values: Column) -> Column:
     """128 bits of hash, so that equal hashes stand for equal values at any corpus size."""
     return F.struct(F.xxhash64(F.lit(1), *values).alias("a"), F.xxhash64(F.lit(2), *values).alias("b"))

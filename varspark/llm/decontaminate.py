@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varspark.llm.columns import ascii_lower, wide_hash, words_in
+from varspark.llm.columns import ascii_lower, spare, wide_hash, words_in
 
-#: Windows that may be broadcast: 24 bytes and an item list each, under 200 MB in an executor. More are joined by shuffle.
+#: Windows and item ids in their lists that may be broadcast together, under 200 MB in an executor. More are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
 
@@ -76,10 +76,11 @@ def contamination(
 
     Documents are read once: every window, and one marker row per document,
     meets the set of windows, and only hits and markers are shuffled. The set
-    is broadcast up to ``broadcast_windows`` windows and else joined by shuffle.
+    is broadcast up to ``broadcast_windows`` windows and listed items and else joined by shuffle.
     """
     windows = benchmark_windows(benchmark, n)
-    per_length = {r.length: r.n for r in windows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # n rows at most
+    held = F.sum(F.size("items") + 1)
+    per_length = {r.length: r.n for r in windows.groupBy("length").agg(held.alias("n")).collect()}  # n rows at most
     known = F.broadcast(windows) if sum(per_length.values()) <= broadcast_windows else windows
     base = docs.select("doc_id", wide_hash("text").alias("text_hash"), _words(F.col("text")).alias("words"))
     marker = F.array(F.struct(F.lit(-1).alias("start"), F.lit(0).alias("length"), F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")))
@@ -108,19 +109,21 @@ def contamination(
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     bad = contamination(docs, benchmark, **options).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (wide_hash("text") == F.col("_hash")), "left_anti")
+    id_, hash_ = spare(docs, "id", "hash")
+    bad = bad.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(id_)) & (wide_hash("text") == F.col(hash_)), "left_anti")
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without their hit words, and without what follows each up to the next word."""
     hit = contamination(docs, benchmark, **options).where("n_hit > 0")
-    hit = hit.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.first("spans").alias("_spans"))
-    both = docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (wide_hash("text") == F.col("_hash")), "left")
+    id_, hash_, spans = spare(docs, "id", "hash", "spans")
+    hit = hit.groupBy(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).agg(F.first("spans").alias(spans))
+    both = docs.join(hit, F.col("doc_id").eqNullSafe(F.col(id_)) & (wide_hash("text") == F.col(hash_)), "left")
     letter, gap = _WORD, _WORD.replace("[^", "[").replace("]+", "]*")
     parts = F.regexp_extract_all("text", F.lit(letter + gap), F.lit(0))
     kept = F.filter(
-        parts, lambda p, i: ~F.exists(F.col("_spans"), lambda s: (i >= s["start"]) & (i < s["start"] + s["length"]))
+        parts, lambda p, i: ~F.exists(F.col(spans), lambda s: (i >= s["start"]) & (i < s["start"] + s["length"]))
     )
     cut = F.concat(F.regexp_extract("text", f"^{gap}", 0), F.array_join(kept, ""))
-    return both.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
+    return both.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(cut)).select(*[f"`{c}`" for c in docs.columns])

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varspark.llm.blocks import Block, RunHashes, mixed, spaced_words, text_blocks
+from varspark.llm.columns import spare
 from varspark.llm.components import connected
 from varspark.llm.stages import Stages
 from varspark.session import stored
@@ -297,8 +298,9 @@ def set_table(docs: DataFrame, chosen: DataFrame, gram: int = GRAM) -> DataFrame
                     ["id", "tokens", "bits"],
                 )
 
-    pick = chosen.select(F.col("doc_id").alias("_id"), "id")
-    rows = docs.select("doc_id", "text").join(pick, F.col("doc_id").eqNullSafe(F.col("_id"))).select("id", "text")
+    pick = chosen.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "id")
+    here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tie"))
+    rows = docs.select("doc_id", "text").join(pick, here).select("id", "text")
     return rows.mapInArrow(read, "id long, tokens binary, bits binary").dropDuplicates(["id"])
 
 
@@ -446,7 +448,7 @@ def links(docs: DataFrame, rows: DataFrame, similarity: int = SIMILARITY, gram:
     sizes = {r.n: r.sets for r in rows.where("n <= 200").groupBy("n").agg(F.count_distinct("id").alias("sets")).collect()}
     plan = make_plan(bucket_counts(docs, gram), sizes, similarity)
     lists = stages.stored(with_partners(stages.stored(shared_lists(postings(docs, plan, gram)), "jaccard-lists"), similarity), "jaccard-lists")
-    chosen = lists.select("id").distinct().join(rows, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
+    chosen = lists.select("id").distinct().join(rows, "id").groupBy("id").agg(F.min(F.struct("doc_id", "tie")).alias("d")).select("id", "d.*")
     sets = stages.stored(set_table(docs, chosen, gram), "jaccard-sets")
     lists = stages.stored(lists.join(sets.select("id", "bits"), "id").select("key", "id", "n", "bits"), "jaccard-lists")
 
@@ -497,6 +499,7 @@ def one_of_each_group(docs: DataFrame, similarity: int = SIMILARITY, gram: int =
     rows = _classes(docs, similarity, gram)
     first = rows.where("n > 0").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")).alias("r"))
     kept = first.select("r.doc_id", "r.tie").unionAll(rows.where("n = 0").select("doc_id", "tie")).distinct()
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_tie"))
-    return docs.join(kept, same).dropDuplicates(["_id", "_tie"]).select(*docs.columns)
+    id_, tie = spare(docs, "id", "tie")
+    kept = kept.select(F.col("doc_id").alias(id_), F.col("tie").alias(tie))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & F.xxhash64("text").eqNullSafe(F.col(tie))
+    return docs.join(kept, same).dropDuplicates([id_, tie]).select(*[f"`{c}`" for c in docs.columns])

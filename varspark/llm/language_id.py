@@ -23,6 +23,8 @@ from varspark.llm.blocks import Block, mixed, text_blocks
 UNDETERMINED = "und"
 ORDERS = (2, 3, 4)
 BUCKET_BITS = 15
+#: Bytes whose n-grams are held at once, however long a text is.
+SLICE = 1 << 18
 #: Bound on the fitting sample: documents per language, by hash of doc_id.
 SAMPLE_DOCS = 4000
 #: Languages up to which the code has every split of the languages as a bit.
@@ -63,25 +65,44 @@ def codewords(languages: int) -> np.ndarray:
     return max((c for c in tried if (np.abs(c.sum(axis=0)) < languages).all()), key=apart, default=tried[0])
 
 
-def _ngrams(block: Block, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of the n-gram at each byte of the block, and per row its first n-gram and the one after its last."""
-    data = _CLASS[block.data].astype(np.uint64)
-    n = max(len(data) - order + 1, 0)
-    key = np.full(n, order, np.uint64)
-    for k in range(order):
-        key = key << np.uint64(8) | data[k : k + n]
-    first = np.minimum(block.starts[:-1], n)
-    return (mixed(key) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), first, np.maximum(first, block.starts[1:] - order + 1)
+def _ngrams(block: Block, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Buckets of the n-grams of the block's rows, in slices of bounded size: buckets in order of place, the rows that have any, and where each of these begins."""
+    for lo in range(0, max(len(block.data) - order + 1, 0), SLICE):
+        data = _CLASS[block.data[lo : lo + SLICE + order - 1]].astype(np.uint64)
+        n = len(data) - order + 1
+        key = np.full(n, order, np.uint64)
+        for k in range(order):
+            key = key << np.uint64(8) | data[k : k + n]
+        bucket = (mixed(key) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        # Rows of the slice, and the n-grams that end within their row.
+        row = np.arange(np.searchsorted(block.starts, lo, "right") - 1, np.searchsorted(block.starts, lo + n, "left"))
+        first = np.clip(block.starts[row] - lo, 0, n)
+        last = np.clip(block.starts[row + 1] - order + 1 - lo, first, n)
+        kept = last > first
+        row, first, last = row[kept], first[kept], last[kept]
+        if len(row):
+            inside = np.zeros(n + 1, np.int8)
+            inside[first] += 1
+            inside[last] -= 1
+            yield bucket[np.cumsum(inside[:-1], dtype=np.int8) > 0], row, np.cumsum(last - first) - (last - first)
+
+
+def _any_per_row(mask: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Rows in which the mask holds anywhere."""
+    found = np.zeros(len(starts) - 1, bool)
+    filled = starts[:-1] < starts[1:]
+    if filled.any():
+        found[filled] = np.logical_or.reduceat(mask, starts[:-1][filled])
+    return found
 
 
 def _has_letter(block: Block) -> np.ndarray:
-    """Rows with a letter. ASCII letters are seen in bytes; only rows with none but other bytes are decoded."""
-    ascii_letter = (block.data | 0x20) - np.uint8(ord("a")) < 26
-    per_row = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[block.starts])
-    found = per_row(ascii_letter) > 0
-    for k in np.flatnonzero(~found & (per_row(block.data >= 0x80) > 0)):
-        text = block.data[block.starts[k] : block.starts[k + 1]].tobytes().decode("utf-8", "ignore")
-        found[k] = any(c.isalpha() for c in text)
+    """Rows with a letter. ASCII letters are seen in bytes; only rows with none but other bytes are decoded, a slice at a time."""
+    found = _any_per_row((block.data | 0x20) - np.uint8(ord("a")) < 26, block.starts)
+    for k in np.flatnonzero(~found & _any_per_row(block.data >= 0x80, block.starts)):
+        data = block.data[block.starts[k] : block.starts[k + 1]]
+        # Slices overlap by three bytes, so that each character lies whole in one of them.
+        found[k] = any(any(map(str.isalpha, data[lo : lo + SLICE + 3].tobytes().decode("utf-8", "ignore"))) for lo in range(0, len(data), SLICE))
     return found
 
 
@@ -118,12 +139,10 @@ def fit(docs: DataFrame, label: str = "lang", sample_docs: int = SAMPLE_DOCS) ->
             langs = np.array(batch.column(1).to_pylist(), object)
             for block in text_blocks(batch.column(0)):
                 for order in ORDERS:
-                    key, first, last = _ngrams(block, order)
-                    for row in range(block.last - block.first):
-                        counts = total.setdefault(langs[block.first + row], np.zeros(buckets, np.int64))
-                        counts += np.bincount(key[first[row] : last[row]], minlength=buckets) if last[row] - first[row] > buckets else 0
-                        if last[row] - first[row] <= buckets:
-                            np.add.at(counts, key[first[row] : last[row]], 1)
+                    for bucket, rows, begins in _ngrams(block, order):
+                        for row, part in zip(rows, np.split(bucket, begins[1:]), strict=True):
+                            counts = total.setdefault(langs[block.first + row], np.zeros(buckets, np.int64))
+                            np.add.at(counts, part, 1)
         for lang, counts in total.items():
             seen = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), pa.array(seen), pa.array(counts[seen])], ["lang", "bucket", "n"])
@@ -180,13 +199,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             scores: list[float] = []
             for block in text_blocks(batch.column(at)):
                 rows = block.last - block.first
-                sums, n = np.zeros((rows, model.odds.shape[1])), np.zeros(rows)
+                sums, n = np.zeros((rows, model.odds.shape[1]), np.int64), np.zeros(rows)
                 for order in ORDERS:
-                    key, first, last = _ngrams(block, order)
-                    running = np.zeros((len(key) + 1, model.odds.shape[1]), np.int64)
-                    np.cumsum(model.odds[key], axis=0, dtype=np.int64, out=running[1:])
-                    sums += running[last] - running[first]
-                    n += last - first
+                    for bucket, row, begins in _ngrams(block, order):
+                        sums[row] += np.add.reduceat(model.odds[bucket], begins, axis=0, dtype=np.int64)
+                        n[row] += np.diff(np.append(begins, len(bucket)))
                 known = _has_letter(block) & (len(model.languages) > 0)
                 best, score = _decode(model, sums, n) if model.languages else (np.zeros(rows, int), np.zeros(rows))
                 lang += [model.languages[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varspark.llm.columns import SPACED_WORD, wide_hash
+from varspark.llm.columns import SPACED_WORD, spare, wide_hash
 from varspark.session import stored
 
-#: Parts of a source's rank order; only the part that holds the cut is numbered, so its rows are 1 in 4,096 of the source.
+#: Parts of a source's rank order, each of which is numbered by itself.
 BUCKETS = 4096
 
 
@@ -133,13 +133,10 @@ def mix(
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as many times as it is taken, with all their columns."""
+    id_, hash_, source, n, copy = spare(docs, "id", "hash", "source", "copies", "copy")
     copies = mix(docs, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("source").alias("_source"), F.col("copies").alias("_copies")
-    )
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (wide_hash("text") == F.col("_hash"))
-        & F.col("source").eqNullSafe(F.col("_source"))
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("source").alias(source), F.col("copies").alias(n)
     )
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (wide_hash("text") == F.col(hash_)) & F.col("source").eqNullSafe(F.col(source))
     both = docs.join(copies.distinct(), same)
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    return both.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*[f"`{c}`" for c in docs.columns])

@@ -84,12 +84,17 @@ select page_id, host, path, rule, case
 from judged
 """
 
-OP1 = """
-with docs as (select row_number() over () as r, doc_id, text, string_split(text, chr(10)) as l from documents),
-windows as (select r, doc_id, text, i, l[i + 1 : i + 3] as w from (select *, unnest(range(0, len(l) - 2)) as i from docs where len(l) >= 3)),
-firsts as (select w, min((coalesce(doc_id, -9223372036854775808), i)) as f from windows group by w),
+OP1 = f"""
+with docs as (
+    select row_number() over () as r, doc_id, text, string_split(text, chr(10)) as l,
+        list_transform(string_split(text, chr(10)), lambda x: len(regexp_extract_all(x, '{_SPACED}'))) as c from documents
+), runs as (
+    select r, doc_id, i, m, l[i + 1 : i + m] as w, m as kind from (select *, unnest(range(0, len(l) - m + 1)) as i from docs, (select unnest([1, 2, 3]) as m) where len(l) >= m)
+    where m = 3 or list_sum(c[i + 1 : i + m]) >= 50
+    union all select r, doc_id, 0, len(l), l, 0 from docs where len(l) < 3 and list_sum(c) between 1 and 49
+), firsts as (select kind, w, min((coalesce(doc_id, -9223372036854775808), i)) as f from runs group by kind, w),
 gone as (
-    select distinct r, unnest(range(i, i + 3)) as line from windows join firsts using (w)
+    select distinct r, unnest(range(i, i + m)) as line from runs join firsts using (kind, w)
     where (coalesce(doc_id, -9223372036854775808), i) > f
 ), lines as (select r, unnest(l) as line_text, unnest(range(0, len(l))) as line from docs),
 kept as (

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varspark.llm.blocks import RunHashes, text_blocks
+from varspark.llm.columns import wide_hash
 from varspark.llm.stages import Stages
 from varspark.session import stored
 
@@ -38,7 +39,7 @@ PART_BYTES = 1 << 18
 #: Suffixes sorted at once, and slices of one anchor past which its windows are counted by hash instead.
 SORT_SUFFIXES, CROWD = 1 << 20, 4096
 
-_SLICE = "key long, slice long, doc_id long, tie int, start int, windows int, anchor int"
+_SLICE = "key long, slice long, ra long, rb long, start int, windows int, anchor int"
 
 
 # ---- slices
@@ -92,23 +93,23 @@ def _parts(column: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray,
 
 
 def slices(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """All slices of all texts, as hashes: key (anchor), slice, doc_id, tie, start, windows, anchor (its place)."""
+    """All slices of all texts, as hashes: key (anchor), slice, ra, rb, start, windows, anchor (its place)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids, ties = batch.column(0), batch.column(1)
+            first_keys, second_keys = batch.column(0), batch.column(1)
             for row, offset, data, starts in _parts(batch.column(2), width):
                 text, first, count, place, key, whole = slices_of(data, starts, width, gram)
                 if len(text):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(key), pa.array(whole), doc_ids.take(pa.array(row + text)), ties.take(pa.array(row + text)),
+                            pa.array(key), pa.array(whole), first_keys.take(pa.array(row + text)), second_keys.take(pa.array(row + text)),
                             pa.array((first - starts[text] + offset).astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(place.astype(np.int32)),
                         ],
-                        ["key", "slice", "doc_id", "tie", "start", "windows", "anchor"],
+                        ["key", "slice", "ra", "rb", "start", "windows", "anchor"],
                     )
 
-    return docs.select("doc_id", "tie", "text").mapInArrow(read, _SLICE)
+    return docs.select("ra", "rb", "text").mapInArrow(read, _SLICE)
 
 
 def repeated_anchors(found: DataFrame) -> DataFrame:
@@ -258,8 +259,8 @@ def slice_texts(docs: DataFrame, chosen: DataFrame, width: int = WIDTH) -> DataF
                     ["key", "slice", "anchor", "slices", "content"],
                 )
 
-    wanted = chosen.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(F.collect_list(F.struct("key", "slice", "anchor", "slices", "start", "windows")).alias("wanted"))
-    here = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
+    wanted = chosen.groupBy("ra", "rb").agg(F.collect_list(F.struct("key", "slice", "anchor", "slices", "start", "windows")).alias("wanted"))
+    here = docs.join(wanted, ["ra", "rb"])
     rows = here.select("text", "wanted").mapInArrow(read, "key long, slice long, anchor int, slices long, content binary")
     return rows.dropDuplicates(["key", "slice", "anchor"])  # rows that repeat a document
 
@@ -268,17 +269,17 @@ def slice_texts(docs: DataFrame, chosen: DataFrame, width: int = WIDTH) -> DataF
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, token: int = TOKEN, crowd: int = CROWD) -> DataFrame:
-    """doc_id, tie, spans: starts of repeated windows as [from, to), per document that has any. ``docs`` has doc_id, tie, text."""
+    """ra, rb, spans: starts of repeated windows as [from, to), per document that has any. ``docs`` has ra, rb, text."""
     stages = Stages(docs.sparkSession)
     shared = stages.stored(repeated_anchors(slices(docs, width, gram)), "suffix-slices")
-    one = shared.groupBy("key", "slice", "anchor").agg(F.min(F.struct("doc_id", "tie", "start", "windows")).alias("r"))
+    one = shared.groupBy("key", "slice", "anchor").agg(F.min(F.struct("ra", "rb", "start", "windows")).alias("r"))
     several = one.groupBy("key").agg(F.count("*").alias("slices")).where("slices > 1")
     chosen = one.join(several, "key").select("key", "slice", "anchor", "slices", "r.*")
     found = repeated_windows(slice_texts(docs, chosen, width), width, gram, token, crowd)
-    whole = shared.where("whole").select("doc_id", "tie", F.col("start").alias("from"), (F.col("start") + F.col("windows")).alias("to"))
+    whole = shared.where("whole").select("ra", "rb", F.col("start").alias("from"), (F.col("start") + F.col("windows")).alias("to"))
     part = shared.where("not whole").join(found, ["key", "slice", "anchor"])
-    part = part.select("doc_id", "tie", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
-    spans = whole.unionAll(part).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    part = part.select("ra", "rb", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
+    spans = whole.unionAll(part).groupBy("ra", "rb").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     spans = stored(spans, "suffix-spans")
     stages.drop()
     return spans
@@ -291,9 +292,10 @@ def dedup_suffixes(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, token:
     corpus, in the same text too; overlaps count, and strings are judged on the input. Texts are their UTF-8 bytes, null is empty;
     strings never cross texts. Rows that repeat a document are occurrences each. Other columns are ignored.
     """
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.hash("text"))
-    spans = repeated_spans(keyed, width, gram, token, crowd).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "spans")
-    both = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    h = wide_hash("doc_id", "text")  # tells rows apart; rows that agree in both are one document
+    keyed = texts.select("doc_id", "text", h["a"].alias("ra"), h["b"].alias("rb"))
+    both = keyed.join(repeated_spans(keyed, width, gram, token, crowd), ["ra", "rb"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]

@@ -39,6 +39,8 @@ BLOCK_IDS = 1 << 16
 SHARD_IDS = 4 << 20
 #: Distinct pieces of text a worker remembers (some 300 MB); past that it forgets all and starts anew.
 PIECES = 1_500_000
+#: Runs of new pieces that the BPE model takes at once.
+RUNS = 256
 
 _LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.int64)
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
@@ -61,9 +63,14 @@ class PieceEncoder:
     what follows, so the ids of a text are those of its parts, cut before
     each single space. Spaces beside other white space are not cut at; texts
     that hold an added token, and tokenizers of another kind, are encoded as a whole.
+
+    New pieces are cut into the runs of that pattern where ASCII or letters alone leave no doubt about them,
+    and many runs go to the BPE model at once, with zero bytes between, which no merge takes in.
     """
 
     _wide, _single, _signs = re.compile(r"\s\s"), re.compile(r"(?<=\S) (?=\S)"), _byte_signs()
+    # Fixed value: the usual pattern of byte-level BPE for ASCII.
+    _ascii_runs = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 
     def __init__(self, tokenizer_json: str, end_id: int, width: np.dtype, most: int = PIECES) -> None:
         self.end_id, self.width = end_id, width
@@ -78,6 +85,10 @@ class PieceEncoder:
             and (split.get("type"), split.get("add_prefix_space"), split.get("use_regex", True)) == ("ByteLevel", False, True)
             and kind["model"].get("type") == "BPE"
         )
+        zero = self._signs[0]
+        self.zero_id = self.tokenizer.token_to_id(zero)
+        alone = not any(zero in t for t in self.tokenizer.get_vocab() if len(t) > 1)
+        self.joins = self.by_piece and alone and self.zero_id is not None and not kind["model"].get("ignore_merges")
         self.most = most
         self._forget()
 
@@ -86,53 +97,55 @@ class PieceEncoder:
         self.after_space: dict[str, int] = {}
         self.at_begin: dict[str, int] = {}
         self.ends, self.flat, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 18, self.width), 0
-        self.new: list[list[int]] = []
-        self.end = self._keep([self.end_id])
-
-    def _keep(self, ids: list[int]) -> int:
-        self.new.append(ids)
-        return self.n + len(self.new) - 1
-
-    def _settle(self) -> None:
-        """Move new entries into the arrays, which double when full."""
-        if self.new:
-            until = self.ends[self.n] + np.cumsum(np.fromiter(map(len, self.new), np.int32, len(self.new)), dtype=np.int32)
-            while self.n + len(until) >= len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            while until[-1] > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.ends[self.n] : until[-1]] = np.fromiter(chain.from_iterable(self.new), self.width)
-            self.ends[self.n + 1 : self.n + 1 + len(until)] = until
-            self.n += len(until)
-            self.new = []
-
-    def _parts(self, piece: str) -> list[str]:
-        """Parts that share no token: lines, line feeds, and a full stop or comma after a letter."""
-        if "\n" in piece and len(piece) > 1 and not self._wide.search(piece):
-            return [p for line in re.split("(\n)", piece) if line for p in self._parts(line)]
-        return [piece[:-1], piece[-1]] if piece[-1:] in (".", ",") and piece[-2:-1].isalpha() else [piece]
-
-    def _word(self, word: str, space: str) -> list[int]:
-        """Ids of a part."""
-        if word.isalpha():  # one run of letters: straight to the BPE model
-            return [t.id for t in self.tokenizer.model.tokenize((space + word).encode().decode("latin-1").translate(self._signs))]
-        return self.tokenizer.encode(space + word, add_special_tokens=False).ids
-
-    def _entry(self, piece: str, space: str) -> int:
-        place = self.after_space if space else self.at_begin
-        known = place.get(piece)
-        if known is None:
-            parts = [piece] if piece.isalpha() else self._parts(space + piece)
-            if len(parts) == 1:
-                known = self._keep(self._word(piece, space))
-            else:
-                entries = [self._entry(p[1:], " ") if p[0] == " " else self._entry(p, "") for p in parts]
-                known = self._keep([i for e in entries for i in self._known(e)])
-            place[piece] = known
-        return known
-
-    def _known(self, entry: int) -> list[int]:
-        return self.new[entry - self.n] if entry >= self.n else self.flat[self.ends[entry] : self.ends[entry + 1]].tolist()
+        self.end = self._keep(np.array([self.end_id]), np.array([1]))
+
+    def _keep(self, ids: np.ndarray, counts: np.ndarray) -> int:
+        """Append entries of so many ids each to the arrays, which double when full; returns the first entry's number."""
+        until = self.ends[self.n] + np.cumsum(counts, dtype=np.int32)
+        while self.n + len(until) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while until[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.ends[self.n] : until[-1]] = ids
+        self.ends[self.n + 1 : self.n + 1 + len(until)] = until
+        self.n += len(until)
+        return self.n - len(until)
+
+    def _runs(self, piece: str, space: str) -> list[str]:
+        """The piece after a space or at the begin, cut into runs; none where that is left to the library."""
+        if not space and any(a in piece for a in self.added):
+            return []
+        if piece.isalpha():
+            return [space + piece]
+        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
+            return [space + piece[:-1], piece[-1]]
+        return self._ascii_runs.findall(space + piece) if piece.isascii() and "\0" not in piece else []
+
+    def _learn(self, pieces: list[str], space: str, place: dict[str, int]) -> None:
+        """Entries for new pieces."""
+        joined, runs, counts = [], [], []
+        if self.joins:
+            for piece in pieces:
+                if cut := self._runs(piece, space):
+                    joined.append(piece)
+                    runs += cut
+                    counts.append(len(cut))
+        if joined:
+            ids = []
+            for k in range(0, len(runs), RUNS):
+                signs = "\0".join(runs[k : k + RUNS]).encode().decode("latin-1").translate(self._signs)
+                ids += [t.id for t in self.tokenizer.model.tokenize(signs)]
+                ids.append(self.zero_id)
+            ids = np.array(ids)
+            between = ids == self.zero_id
+            owner = np.repeat(np.arange(len(joined)), counts)[(np.cumsum(between) - between)[~between]]
+            at = self._keep(ids[~between], np.bincount(owner, minlength=len(joined)))
+            place.update(zip(joined, range(at, at + len(joined)), strict=True))
+        rest = [p for p in pieces if p not in place]
+        if rest:
+            each = [self.tokenizer.encode(space + p, add_special_tokens=False).ids for p in rest]
+            at = self._keep(np.fromiter(chain.from_iterable(each), np.int64), np.array([len(e) for e in each]))
+            place.update(zip(rest, range(at, at + len(rest)), strict=True))
 
     def _cut(self, text: str) -> list[str]:
         if not self.by_piece or any(a in text for a in self.added):
@@ -154,9 +167,10 @@ class PieceEncoder:
             found = np.fromiter(map(place.get, pieces, repeat(-1)), np.int32, len(pieces))
             unknown = np.flatnonzero(found < 0)
             if len(unknown):
-                found[unknown] = [self._entry(pieces[i], space) for i in unknown]
+                new = [pieces[i] for i in unknown]
+                self._learn(list(dict.fromkeys(new)), space, place)
+                found[unknown] = [place[p] for p in new]
             entry[where] = found
-        self._settle()
         first = self.ends[entry]
         n = self.ends[entry + 1] - first
         # Position k of the batch takes the k-th id counted from the begin of its piece.
