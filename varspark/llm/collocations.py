@@ -31,8 +31,8 @@ SHARD_BYTES = 2 << 20
 HASHED = 1 << 15
 #: Buckets of the sieve: one per 16 bytes of text, within these bounds. The largest is 128 MB of bits; beyond it the sieve lets more through.
 LEAST_BITS, MOST_BITS = 16, 30
-#: Buckets per row on the way to the sieve.
-SLICE_BITS = 14
+#: Parts that the sieve is counted in: at least 2**8, and so many that a part has 2**18 buckets at most.
+PART_BITS, BUCKET_BITS = 8, 18
 
 # Bytes that end pieces, and those between words.
 _ENDS = np.zeros(256, bool)
@@ -115,12 +115,21 @@ def _phrase_hash(lang: str, words: list[np.ndarray]) -> np.ndarray:
 # ---- sieve
 
 
+def _gaps(low: np.ndarray) -> bytes:
+    """Ascending numbers as their differences: the low bytes of all, then the others, which are nearly all zero and pack well."""
+    return np.diff(low, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T[:3].tobytes()
+
+
+def _places(content: pa.Buffer, n: int) -> np.ndarray:
+    return np.cumsum(np.tensordot([1, 256, 65536], np.frombuffer(content, np.uint8).reshape(3, n).astype(np.int64), 1))
+
+
 def sieve(texts: DataFrame, bits: int, least: int, most_words: int, shard_bytes: int = SHARD_BYTES) -> np.ndarray:
     """Bitmap of 2**bits buckets: those whose phrases occur ``least`` times together. ``texts`` has lang and text.
 
     Counts stop at 255 in a shard, which is enough for a least count up to that. What comes to the driver is the bitmap.
     """
-    per = min(SLICE_BITS, bits)
+    per = bits - min(max(PART_BITS, bits - BUCKET_BITS), bits - 3)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, data in text_shards(batches, shard_bytes):
@@ -137,8 +146,8 @@ def sieve(texts: DataFrame, bits: int, least: int, most_words: int, shard_bytes:
                 bucket, n = np.unique(np.concatenate(found), return_counts=True)
                 part = bucket >> np.uint64(per)
                 edges = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
-                low, n = (bucket & np.uint64((1 << per) - 1)).astype("<u2"), np.minimum(n, 255).astype(np.uint8)
-                rows = [(int(part[a]), low[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                low, n = (bucket & np.uint64((1 << per) - 1)).astype("<u4"), np.minimum(n, 255).astype(np.uint8)
+                rows = [(int(part[a]), _gaps(low[a:b]), n[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 for k in range(0, len(rows), 1024):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 1024], strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["part", "low", "n"])
 
@@ -155,7 +164,7 @@ def sieve(texts: DataFrame, bits: int, least: int, most_words: int, shard_bytes:
                     yield from done()
                     part = now.as_py()
                     total[:] = 0
-                total[np.frombuffer(low.as_buffer(), "<u2")] += np.frombuffer(n.as_buffer(), np.uint8)
+                total[_places(low.as_buffer(), len(n.as_buffer()))] += np.frombuffer(n.as_buffer(), np.uint8)
         yield from done()
 
     rows = texts.mapInArrow(count, "part long, low binary, n binary").repartition("part").sortWithinPartitions("part")
