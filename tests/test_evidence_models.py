@@ -49,10 +49,38 @@ def test_em_priors_are_distributions_and_likelihood_rises(hist):
     assert now["CCC", "T"]["art_f1r2"] > 0.6
 
 
-def test_storing_between_rounds_changes_nothing(hist):
-    a, b = priors(ori.learn_orientation(hist, 6, cut_every=2)), priors(ori.learn_orientation(hist, 6, cut_every=99))
-    for key in a:
-        assert a[key] == pytest.approx(b[key])
+def plain_rounds(cells, rounds):
+    """Priors of one group by the definition, round by round."""
+    prior = {s: p for s, (_, p) in ori.STATES.items()}
+    for _ in range(rounds):
+        sums = dict.fromkeys(prior, 0.0)
+        for alt, forward, n in cells:
+            logs = {s: math.log(max(prior[s], 1e-12)) + forward * math.log(x) + (alt - forward) * math.log(1 - x) for s, (x, _) in ori.STATES.items()}
+            top = max(logs.values())
+            whole = sum(math.exp(v - top) for v in logs.values())
+            for s, v in logs.items():
+                sums[s] += n * math.exp(v - top) / whole
+        prior = {s: x / sum(n for *_, n in cells) for s, x in sums.items()}
+    return prior
+
+
+def test_folded_rounds_equal_plain_ones(spark, hist):
+    deep = spark.createDataFrame([("p", "GGG", "A", 9000, n, f, m) for n, f, m in ((4000, 3990, 2), (3000, 1500, 3), (2500, 10, 1))], HIST)
+    for rounds in (1, 6, 40):
+        got = priors(ori.learn_orientation(hist.unionByName(deep), rounds))
+        for context in ("ACA", "ACG", "CCC", "GGG"):
+            cells = [(r.alt_count, r.f1r2, r.n) for r in hist.unionByName(deep).filter(f"context = '{context}'").collect()]
+            assert list(got.values()) and got[context, "A" if context == "GGG" else "T"] == pytest.approx(plain_rounds(cells, rounds), abs=1e-9)
+
+
+def test_a_group_at_rest_is_left_alone(hist):
+    at_rest, more = [priors(ori.learn_orientation(hist, n, tolerance=0.01)) for n in (50, 100)]
+    assert at_rest == more
+
+
+def test_the_model_is_one_fold(hist):
+    plan = ori.learn_orientation(hist, 30)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 3 and "Join" not in plan
 
 
 def test_strands_fold_together(spark, rows):

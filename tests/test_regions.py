@@ -121,3 +121,32 @@ def test_unlisted_contigs_come_last(spark):
     contigs = spark.createDataFrame([("chr2", 1), ("chr1", 0)], "contig string, idx bigint")
     sites = spark.createDataFrame([("new", 1), ("chr2", 5), ("chr1", 9)], "contig string, pos bigint")
     assert [x.contig for x in sort_sites(sites, contigs).collect()] == ["chr1", "chr2", "new"]
+
+
+SPANS = "contig string, start_pos bigint, end_pos bigint, interval_id string"
+
+
+def test_long_spans_are_listed_in_few_bins(spark):
+    lengths = [1, 9_999, 10_000, 160_000, 250_000, 3_000_000, 50_000_000, 250_000_000, 2_000_000_000]
+    spans = spark.createDataFrame([("c", 7_777, 7_776 + n, str(n)) for n in lengths], SPANS)
+    level = r.level_of("start_pos", "end_pos", r.SITE_BIN)
+    width = F.lit(float(r.SITE_BIN)) * F.pow(F.lit(float(r.FAN)), level)
+    listed = spans.select("interval_id", (F.floor(F.col("end_pos") / width) - F.floor(F.col("start_pos") / width) + 1).alias("n")).collect()
+    assert all(x.n <= r.FAN for x in listed if x.interval_id != "2000000000") and max(x.n for x in listed) < 40
+    assert r.levels_in(spans) == [0, 1, 2, 3, 4]
+
+
+def test_joins_over_nested_bins_equal_plain_ones(spark, rows):
+    rng = random.Random(21)
+    spans = [(rng.choice("ab"), a, a + rng.choice([0, 5, 30, 400, 9_000, 200_000]), str(k)) for k in range(60) for a in [rng.randrange(1, 300_000)]]
+    points = [(rng.choice("abc"), rng.randrange(1, 500_000), k) for k in range(500)]
+    sites = spark.createDataFrame(points, "contig string, pos bigint, n bigint")
+    for some in (spans, spans[:1], []):
+        table = spark.createDataFrame(some, SPANS)
+        holds = lambda c, x, some=some: [s[3] for s in some if s[0] == c and s[1] <= x <= s[2]]
+        for width, salts in ((10, 1), (64, 3)):
+            assert rows(r.assign_interval(sites, table, width, salts), "n", "interval_id") == sorted((k, i) for c, x, k in points for i in holds(c, x))
+            inside = sorted((k,) for c, x, k in points if holds(c, x))
+            assert rows(r.restrict_to_intervals(sites, table, width, salts), "n") == inside
+            bed = table.selectExpr("contig", "start_pos - 1 as bed_start", "end_pos as bed_end")
+            assert rows(r.exclude_regions(sites, bed, width, salts), "n") == sorted({(k,) for *_, k in points} - set(inside))

@@ -128,19 +128,16 @@ def expected_grid(keys: DataFrame, present: DataFrame, intervals: DataFrame, key
     ``intervals`` numbers the scatter list (interval_id, interval_no from 0);
     ``present`` has a row or more per key and interval found. A gap is one row
     (first_no, last_no, n_missing), so the result grows with what is there,
-    never with keys times intervals; a complete key has none. A window holds the intervals of one key.
+    never with keys times intervals; a complete key has none. The numbers of a key are gathered as a set, which the width
+    of the scatter list bounds and which is filled before rows are shuffled.
     """
     listed = intervals.agg(F.count("*").alias("n")).scalar()
-    have = present.select(key, "interval_id").distinct().join(intervals.select("interval_id", "interval_no"), "interval_id")
-    ends = keys.select(key).distinct().withColumn("interval_no", listed)
-    have = have.select(key, "interval_no").join(keys.select(key).distinct(), key, "left_semi").unionByName(ends)
-    before = F.lag("interval_no", 1, -1).over(Window.partitionBy(key).orderBy("interval_no"))
-    gaps = have.withColumn("_before", before).filter(F.col("interval_no") - F.col("_before") > 1)
-    return gaps.select(
-        key,
-        (F.col("_before") + 1).alias("first_no"),
-        (F.col("interval_no") - 1).alias("last_no"),
-        (F.col("interval_no") - F.col("_before") - 1).alias("n_missing"),
-    )
-
-
+    numbered = present.select(key, "interval_id").join(intervals.select("interval_id", "interval_no"), "interval_id")
+    have = numbered.groupBy(key).agg(F.collect_set("interval_no").alias("_have"))
+    marks = keys.select(key).distinct().join(have, key, "left")
+    none = F.array().cast("array<bigint>")
+    marks = marks.select(key, F.concat(F.array(F.lit(-1).cast("long")), F.sort_array(F.coalesce("_have", none)), F.array(listed)).alias("_have"))
+    ahead = F.slice("_have", 2, F.size("_have") - 1)
+    gap = lambda a, b: F.struct((a + 1).alias("first_no"), (b - 1).alias("last_no"), (b - a - 1).alias("n_missing"))
+    gaps = F.filter(F.zip_with(F.slice("_have", 1, F.size("_have") - 1), ahead, gap), lambda g: g["n_missing"] > 0)
+    return marks.select(key, F.explode(gaps).alias("_g")).select(key, "_g.*")

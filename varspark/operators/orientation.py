@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varspark.functions.evidence import masses, orientation_weight, with_share
+from varspark.functions.evidence import orientation_weight, with_share
 from varspark.operators.skew import spread_join
-from varspark.session import stored
 
 # Expected share of F1R2 among alt reads, and starting prior, per state.
 STATES = {"balanced": (0.5, 0.8), "art_f1r2": (0.95, 0.1), "art_f2r1": (0.05, 0.1)}
 
 ITERATIONS = 10
-CUT_EVERY = 3
+#: Change of a prior in one round below which a group is done, and the least prior a state keeps.
+TOLERANCE, LEAST_PRIOR = 1e-12, 1e-12
 
 
 def complement(bases: Column) -> Column:
@@ -78,38 +78,37 @@ def _state_weights(prior: dict[str, Column], forward: Column, total: Column) ->
     return {s: F.log10(prior[s]) + orientation_weight(forward, total, STATES[s][0]) for s in STATES}
 
 
-def learn_orientation(hist: DataFrame, iterations: int = ITERATIONS, cut_every: int = CUT_EVERY) -> DataFrame:
+def learn_orientation(hist: DataFrame, iterations: int = ITERATIONS, tolerance: float = TOLERANCE) -> DataFrame:
     """State priors per (pair, context, alt base) by expectation maximisation.
 
     The weights need the alt and F1R2 counts only, so the histogram is summed
-    down to those first; what is iterated over is bounded by the depth, not by
-    the genome. The priors are written out every few rounds, which keeps the
-    plan short and a lost executor cheap.
+    down to those first. The cells of a group, bounded by the depth and not by the genome, are
+    one array in one row, over which the rounds are folded; a group is left alone once no prior of
+    it moves by more than ``tolerance``.
     """
-    group = ["pair", "context", "alt_base"]
-    cells = (
-        hist.filter(F.col("alt_count") > 0)
-        .groupBy(*group, "alt_count", "f1r2")
-        .agg(F.sum("n").alias("n"))
-    )
-    cells = stored(cells, "orientation")
-    priors = None
-    for done in range(iterations):
-        if priors is None:
-            step, prior = cells, {s: F.lit(start) for s, (_, start) in STATES.items()}
-        else:
-            step, prior = cells.join(priors, group), {s: F.greatest(F.col(s), F.lit(1e-12)) for s in STATES}
-        shared = masses(step, _state_weights(prior, F.col("f1r2"), F.col("alt_count")))
-        priors = shared.groupBy(*group).agg(
-            *[(F.sum(F.col("n") * F.col(f"_m_{s}")) / F.sum("n")).alias(s) for s in STATES]
+    group, states = ["pair", "context", "alt_base"], list(STATES)
+    cells = hist.filter(F.col("alt_count") > 0).groupBy(*group, "alt_count", "f1r2").agg(F.sum("n").alias("n"))
+    logs = {f"_l_{s}": orientation_weight(F.col("f1r2"), F.col("alt_count"), STATES[s][0]) for s in states}
+    cells = cells.withColumns(logs).withColumn("_top", F.greatest(*logs))
+    scaled = [F.pow(F.lit(10.0), F.col(f"_l_{s}") - F.col("_top")).alias(s) for s in states]
+    whole = cells.groupBy(*group).agg(F.collect_list(F.struct(F.col("n").cast("double").alias("n"), *scaled)).alias("cells"), F.sum("n").alias("total"))
+
+    def next_round(state: Column) -> Column:
+        prior = {s: F.greatest(state[s], F.lit(LEAST_PRIOR)) for s in states}
+        mass = lambda c: sum((prior[s] * c[s] for s in states), F.lit(0.0))
+        add = lambda acc, c: F.struct(*[(acc[s] + c["n"] * prior[s] * c[s] / mass(c)).alias(s) for s in states])
+        sums = F.aggregate("cells", F.struct(*[F.lit(0.0).alias(s) for s in states]), add)
+        # One entry, so that the sums have a name and are taken once.
+        named = lambda x: F.struct(
+            *[(x[s] / F.col("total")).alias(s) for s in states], F.greatest(*[F.abs(x[s] / F.col("total") - state[s]) for s in states]).alias("moved")
         )
-        left = iterations - done - 1
-        if left and (done + 1) % cut_every == 0:
-            priors = stored(priors, "orientation")
-    pairs_of = F.explode(
-        F.array(*[F.struct(F.lit(s).alias("state"), F.col(s).alias("prior")) for s in STATES])
-    )
-    return priors.select(*group, pairs_of.alias("_s")).select(*group, "_s.state", "_s.prior")
+        return F.get(F.transform(F.array(sums), named), F.lit(0))
+
+    start = F.struct(*[F.lit(STATES[s][1]).alias(s) for s in states], F.lit(1.0).alias("moved"))
+    fold = lambda state, _: F.when(state["moved"] <= tolerance, state).otherwise(next_round(state))
+    learned = whole.select(*group, F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), start, fold).alias("_p"))
+    pairs_of = F.explode(F.array(*[F.struct(F.lit(s).alias("state"), F.col(f"_p.{s}").alias("prior")) for s in states]))
+    return learned.select(*group, pairs_of.alias("_s")).select(*group, "_s.state", "_s.prior")
 
 
 def orientation_posterior(calls: DataFrame, model: DataFrame, contexts: DataFrame | None = None) -> DataFrame:
@@ -119,7 +118,7 @@ def orientation_posterior(calls: DataFrame, model: DataFrame, contexts: DataFram
         *[F.max(F.when(F.col("state") == s, F.col("prior"))).alias(s) for s in STATES]
     )
     folded = fold_context(calls, contexts, "t_f1r2", "t_f2r1")
-    prior = {s: F.greatest(F.col(s), F.lit(1e-12)) for s in STATES}
+    prior = {s: F.greatest(F.col(s), F.lit(LEAST_PRIOR)) for s in STATES}
     known = spread_join(folded, wide, group, "left")
     return with_share(
         known,

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from varspark.operators.reference import BLANK, CHUNK, chunk_of, reference_chunks
 from varspark.operators.regions import bin_join
 from varspark.operators.skew import SALTS
 
@@ -120,108 +121,121 @@ def gather_pileups(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _observations(usable: DataFrame, min_baseq: int) -> DataFrame:
-    """What each sample shows at each position, counted.
+def _deleted_texts(usable: DataFrame, chunks: DataFrame, width: int) -> DataFrame:
+    """contig, pos, removed, text: the reference text of each deletion after ``pos``, where all of it is held.
 
-    ``seen`` is a base, ``+`` and the inserted bases, or ``-`` and the number of
-    deleted ones; an indel lies at the base before it, as written in the read
-    (no left-alignment). ``n`` and ``f`` count reads and F1R2 reads; ``n_good``
-    and ``f_good`` leave out bases below ``min_baseq``.
+    A second, light pass: of the reads it needs place and CIGAR only, and of those the ones with a deletion.
     """
     step = F.col("_step")
-    aligned = step["op"].isin("M", "=", "X")
-    last = F.when(aligned, step["n"] - 1).otherwise(F.lit(0))
-    at = F.col("i")
-    place = (step["read_start"] + at).cast("int")
-    per_base = (
-        _elements(usable, ("M", "=", "X", "I", "D"))
-        .select("lab_id", "contig", "flag", "seq", "qual", "_step", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("i"))
-        .select(
-            "lab_id",
-            "contig",
-            F.when(aligned, step["ref_start"] + at).otherwise(step["ref_start"] - 1).alias("pos"),
-            F.when(aligned, F.substring(F.col("seq"), place, F.lit(1)))
-            .when(step["op"] == "I", F.concat(F.lit("+"), F.substring(F.col("seq"), step["read_start"], step["n"])))
-            .otherwise(F.concat(F.lit("-"), step["n"].cast("string")))
-            .alias("seen"),
-            (~aligned | (phred(F.col("qual"), place) >= min_baseq)).alias("good"),
-            is_f1r2(F.col("flag")).alias("f1r2"),
-        )
-    )
-    return per_base.groupBy("lab_id", "contig", "pos", "seen").agg(
-        F.count("*").alias("n"),
-        F.count_if("good").alias("n_good"),
-        F.count_if("f1r2").alias("f"),
-        F.count_if(F.col("good") & F.col("f1r2")).alias("f_good"),
+    shapes = (
+        _elements(usable.filter(F.col("cigar").contains("D")).select("contig", "pos", "cigar"), ("D",))
+        .select("contig", (step["ref_start"] - 1).alias("pos"), step["n"].alias("removed"))
+        .distinct()
     )
+    last = F.col("pos") + F.col("removed")
+    parts = shapes.withColumn("chunk", F.explode(F.sequence(chunk_of(F.col("pos"), width), chunk_of(last, width)))).join(chunks, ["contig", "chunk"])
+    low, high = F.greatest("pos", F.col("chunk") * width), F.least(last, F.col("chunk") * width + (width - 1))
+    text = F.substring(F.col("bases"), (low - F.col("chunk") * width + 1).cast("int"), (high - low + 1).cast("int"))
+    spelled = parts.groupBy("contig", "pos", "removed").agg(F.array_join(F.sort_array(F.collect_list(F.struct("chunk", text.alias("t"))))["t"], "").alias("text"))
+    return spelled.filter((F.length("text") == F.col("removed") + 1) & ~F.contains("text", F.lit(BLANK)))
 
 
-def _deleted_texts(usable: DataFrame, ref_bases: DataFrame) -> DataFrame:
-    """Per position the reference text of each deletion after it, by deleted length.
+def _events(usable: DataFrame, chunks: DataFrame, min_baseq: int, width: int) -> DataFrame:
+    """What reads show other than the reference, and where their coverage changes.
 
-    A second, light pass: of the reads it needs place and CIGAR only, and of
-    those the ones with a deletion.
+    An aligned block is cut at chunk ends and compared with its stretch of the reference inside the row. It
+    gives a row per mismatch of enough quality (``seen``, a base), and a row wherever its coverage begins, ends, or changes between
+    enough and too little quality (``seen`` null): ``step_all`` and ``step_good`` are what that adds to the depth from ``pos`` on.
+    Insertions (``+`` and the bases) and deletions (``-`` and their number) lie at the base before them, as written in the read.
     """
     step = F.col("_step")
-    shapes = (
-        _elements(usable.filter(F.col("cigar").contains("D")).select("contig", "pos", "cigar"), ("D",))
-        .select("contig", (step["ref_start"] - 1).alias("pos"), step["n"].alias("removed"))
-        .distinct()
+    aligned = step["op"].isin("M", "=", "X")
+    start = F.when(aligned, step["ref_start"]).otherwise(step["ref_start"] - 1)
+    end = F.when(aligned, step["ref_start"] + step["n"] - 1).otherwise(step["ref_start"] - 1)
+    own = lambda text: F.substring(F.col(text), step["read_start"].cast("int"), F.when(step["op"] == "D", 0).otherwise(step["n"]).cast("int"))
+    elements = _elements(usable, ("M", "=", "X", "I", "D")).select(
+        "lab_id", "contig", is_f1r2(F.col("flag")).alias("f1r2"), aligned.alias("aligned"), step["n"].alias("n"), own("seq").alias("own"), own("qual").alias("quals"),
+        start.alias("start"), end.alias("end"), F.explode(F.sequence(chunk_of(start, width), chunk_of(end, width))).alias("chunk"),
+    )
+    low = F.greatest("start", F.col("chunk") * width)
+    size = (F.least("end", F.col("chunk") * width + (width - 1)) - low + 1).cast("int")
+    skipped = (low - F.col("start") + 1).cast("int")
+    # Qualities that are too low become one sign.
+    few = "".join(chr(33 + k) for k in range(max(min_baseq, 1)))
+    marks = F.translate("quals", few, "!" * len(few)) if min_baseq > 0 else F.lit("")
+    stretch = F.rpad(F.substring(F.col("bases"), (low - F.col("chunk") * width + 1).cast("int"), size), size, F.lit(BLANK))
+    met = elements.join(chunks, ["contig", "chunk"]).select(
+        "lab_id", "contig", "chunk", "f1r2", "aligned", "n", "own", low.alias("low"), size.alias("size"), stretch.alias("ref"),
+        F.substring(F.col("own"), skipped, size).alias("shown"), F.substring(marks, skipped, size).alias("marks"),
+    )
+    sign = lambda text, i: F.substring(F.col(text), i, F.lit(1))
+    good = lambda i: (sign("marks", i) != "!") if min_baseq > 0 else F.lit(True)
+    event = lambda i, seen, ref, all_, good_: F.struct(
+        (F.col("low") + i - 1).alias("pos"), seen.alias("seen"), ref.alias("ref"), all_.cast("int").alias("step_all"), good_.cast("int").alias("step_good")
     )
-    letters = shapes.withColumn("_at", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("removed"))))
-    bases = ref_bases.select("contig", F.col("pos").alias("_at"), "base")
-    spelled = (
-        letters.join(bases, ["contig", "_at"])
-        .groupBy("contig", "pos", "removed")
-        .agg(F.sort_array(F.collect_list(F.struct("_at", "base")))["base"].alias("letters"))
-        .filter(F.size("letters") == F.col("removed") + 1)
+    none, zero = F.lit(None).cast("string"), F.lit(0)
+    differs = lambda i: (sign("shown", i) != sign("ref", i)) & (sign("ref", i) != BLANK) & good(i)
+    places = F.sequence(F.lit(1), F.col("size"))
+    alts = F.when(F.col("shown") == F.col("ref"), F.array().cast("array<int>")).otherwise(F.filter(places, differs))
+    covers = lambda i: (i >= 1) & (i <= F.col("size"))
+    is_good = lambda i: covers(i) & good(i)
+    if min_baseq > 0:
+        changes = F.filter(F.sequence(F.lit(1), F.col("size") + 1), lambda i: (i == 1) | (i > F.col("size")) | (is_good(i) != is_good(i - 1)))
+    else:
+        changes = F.array(F.lit(1), F.col("size") + 1)
+    # Coverage that goes on beyond the chunk needs no end there.
+    inside = F.filter(changes, lambda i: F.col("low") + i - 1 < (F.col("chunk") + 1) * width)
+    delta = lambda f, i: f(i).cast("int") - f(i - 1).cast("int")
+    shown = F.concat(
+        F.transform(alts, lambda i: event(i, sign("shown", i), sign("ref", i), zero, zero)),
+        F.transform(inside, lambda i: event(i, none, none, delta(covers, i), delta(is_good, i))),
+    )
+    indel = F.when(F.length("own") > 0, F.concat(F.lit("+"), F.col("own"))).otherwise(F.concat(F.lit("-"), F.col("n").cast("string")))
+    at_base = F.when(F.col("ref") != BLANK, F.array(event(F.lit(1), indel, F.col("ref"), zero, zero))).otherwise(F.array().cast("array<struct<pos:bigint,seen:string,ref:string,step_all:int,step_good:int>>"))
+    events = met.select("lab_id", "contig", "chunk", "f1r2", F.explode(F.when(F.col("aligned"), shown).otherwise(at_base)).alias("e"))
+    return events.groupBy("lab_id", "contig", "chunk", "e.pos", "e.seen").agg(
+        F.max("e.ref").alias("ref"), F.count("*").alias("n"), F.count_if("f1r2").alias("f"), F.sum("e.step_all").alias("step_all"), F.sum("e.step_good").alias("step_good")
     )
-    text = F.struct(F.col("removed").cast("string").alias("k"), F.array_join("letters", "").alias("v"))
-    return spelled.groupBy("contig", "pos").agg(F.map_from_entries(F.collect_list(text)).alias("deleted"))
 
 
-def allele_counts(reads: DataFrame, ref_bases: DataFrame, min_baseq: int = 0) -> DataFrame:
+def allele_counts(reads: DataFrame, ref_bases: DataFrame, min_baseq: int = 0, width: int = CHUNK) -> DataFrame:
     """Counts of every non-reference allele per sample: SNVs from blocks, indels from I and D.
 
     ``ref_bases`` (contig, pos, base) bounds the loci: a position it does not
-    hold is not counted, nor is a deletion that leaves it. Reads are unfolded to
-    bases once and counted per sample and position before anything is joined, so
-    a deep locus is a few rows when it meets the reference. That join is always
-    a merge join: both sides grow with the genome, and it leaves the counts of a
-    locus together, so that they are grouped without another shuffle.
+    hold is not counted, nor is a deletion that leaves it. It is packed into chunks; blocks are compared inside the row, and
+    only mismatches, indels and changes of coverage become rows, counted per sample and position before they are shuffled. Depth is
+    the running sum of the changes within a sample's chunk, to which blocks are cut, so nothing is carried from one to the next.
+    Reference reads are the depth less the mismatches. Indels are as written in the reads (``normalise_indels`` moves them).
     """
     usable = usable_reads(reads)
-    reference = ref_bases.select("contig", "pos", F.col("base").alias("ref")).join(
-        _deleted_texts(usable, ref_bases), ["contig", "pos"], "left"
-    )
+    chunks = reference_chunks(ref_bases, width)
     seen = F.col("seen")
     inserted, removed = seen.startswith("+"), seen.startswith("-")
     indel = inserted | removed
     rest = F.substring(seen, F.lit(2), F.length(seen))
-    # The counts of one sample at one position: a handful of rows.
-    locus = Window.partitionBy("contig", "pos", "lab_id")
+    along = Window.partitionBy("lab_id", "contig", "chunk").orderBy("pos")  # rows of one position count together
+    locus = Window.partitionBy("lab_id", "contig", "chunk", "pos")
     loci = (
-        _observations(usable, min_baseq)
-        .join(reference.hint("merge"), ["contig", "pos"])
-        .withColumn("ref_good", F.sum(F.when(seen == F.col("ref"), F.col("n_good")).otherwise(0)).over(locus))
-        .withColumn("passing", F.sum(F.when(indel, -F.col("n")).otherwise(F.col("n"))).over(locus))
-        .withColumn("alt_count", F.when(indel, F.col("n")).otherwise(F.col("n_good")))
-        .withColumn("alt_f1r2", F.when(indel, F.col("f")).otherwise(F.col("f_good")))
+        _events(usable, chunks, min_baseq, width)
+        .withColumn("deep", F.sum("step_all").over(along))
+        .withColumn("deep_good", F.sum("step_good").over(along))
+        .withColumn("n_snv", F.sum(F.when(seen.isNotNull() & ~indel, F.col("n")).otherwise(0)).over(locus))
+        .withColumn("n_indel", F.sum(F.when(indel, F.col("n")).otherwise(0)).over(locus))
+        .filter(seen.isNotNull())
+        .withColumn("ref_count", F.when(indel, F.greatest(F.col("deep") - F.col("n_indel"), F.lit(0))).otherwise(F.col("deep_good") - F.col("n_snv")))
+        .withColumn("removed", F.when(removed, rest.cast("long")))
     )
-    return (
-        loci.filter((seen != F.col("ref")) & (F.col("alt_count") > 0))
-        .select(
-            "lab_id",
-            "contig",
-            "pos",
-            F.when(removed, F.try_element_at("deleted", rest)).otherwise(F.col("ref")).alias("ref"),
-            F.when(removed, F.col("ref")).when(inserted, F.concat("ref", rest)).otherwise(seen).alias("alt"),
-            F.when(indel, F.greatest("passing", F.lit(0))).otherwise(F.col("ref_good")).alias("ref_count"),
-            "alt_count",
-            "alt_f1r2",
-            (F.col("alt_count") - F.col("alt_f1r2")).alias("alt_f2r1"),
-        )
-        .filter(F.col("ref").isNotNull())
+    spelled = loci.join(_deleted_texts(usable, chunks, width), ["contig", "pos", "removed"], "left").filter(~removed | F.col("text").isNotNull())
+    return spelled.select(
+        "lab_id",
+        "contig",
+        "pos",
+        F.when(removed, F.col("text")).otherwise(F.col("ref")).alias("ref"),
+        F.when(removed, F.col("ref")).when(inserted, F.concat("ref", rest)).otherwise(seen).alias("alt"),
+        "ref_count",
+        F.col("n").alias("alt_count"),
+        F.col("f").alias("alt_f1r2"),
+        (F.col("n") - F.col("f")).alias("alt_f2r1"),
     )
 
 

@@ -12,9 +12,11 @@ from varspark.operators.regions import assign_interval
 from varspark.operators.sites import annotate_germline
 from varspark.operators.skew import spread_join
 from varspark.schemas import SITE
-from varspark.session import stored
+from varspark.sources.store import MOST_PARTS, VersionedStore
 from varspark.sources.writers import write_table
 
+SUMS = "contig string, pos bigint, ref string, alt string, n_seen bigint, mean_f double, m2 double"
+SAMPLES = "lab_id string"
 MIN_SAMPLES = 2
 MAX_P_GERMLINE = 0.5
 # Rounding of equal fractions leaves less than this.
@@ -145,9 +147,8 @@ def write_panel_store(
     germline: DataFrame | None = None,
     max_p_germline: float = MAX_P_GERMLINE,
 ) -> None:
-    """A panel that can grow: the moments per site, and the register of the samples in them."""
-    pon_sums(calls, germline, max_p_germline).write.parquet(f"{path}/sums")
-    normals.select("lab_id").distinct().write.parquet(f"{path}/samples")
+    """A panel that can grow: the moments per site, and the register of the samples in them, as the first generation of a store."""
+    VersionedStore(calls.sparkSession, path).commit({"sums": pon_sums(calls, germline, max_p_germline), "samples": normals.select("lab_id").distinct()})
 
 
 def extend_pon(
@@ -157,17 +158,17 @@ def extend_pon(
     germline: DataFrame | None = None,
     min_samples: int = MIN_SAMPLES,
     max_p_germline: float = MAX_P_GERMLINE,
+    most_parts: int = MOST_PARTS,
 ) -> DataFrame:
     """Panel of a grown cohort from a written store and the samples that its register lacks.
 
-    The store grows with it: moments and names of the new samples are added as further parts, so that
-    the next cohort can be offered alone. Calls of samples that ``new_normals`` lacks are left out. Two runs must not extend one store at a time.
+    The store grows with it: moments and names of the new samples become visible in one commit, so that
+    the next cohort can be offered alone, and a run that fails before it can simply be repeated. Of two runs at a time one raises.
+    Calls of samples that ``new_normals`` lacks are left out. Past ``most_parts`` parts the moments are merged into one.
     """
-    spark = new_calls.sparkSession
-    sums_schema = "contig string, pos bigint, ref string, alt string, n_seen bigint, mean_f double, m2 double"
-    known = spark.read.schema("lab_id string").parquet(f"{path}/samples")
-    fresh = stored(new_normals.select("lab_id").distinct().join(known, "lab_id", "left_anti"), "panel-fresh")
-    pon_sums(new_calls.join(fresh, "lab_id", "left_semi"), germline, max_p_germline).write.mode("append").parquet(f"{path}/sums")
-    fresh.write.mode("append").parquet(f"{path}/samples")
-    grown = spark.read.schema("lab_id string").parquet(f"{path}/samples")
-    return panel_from_sums(merge_pon_sums(spark.read.schema(sums_schema).parquet(f"{path}/sums")), grown, min_samples)
+    store = VersionedStore(new_calls.sparkSession, path)
+    fresh = new_normals.select("lab_id").distinct().join(store.read("samples", SAMPLES), "lab_id", "left_anti")
+    store.commit({"sums": pon_sums(new_calls.join(fresh, "lab_id", "left_semi"), germline, max_p_germline), "samples": fresh})
+    if len(store.parts()["sums"]) > most_parts:
+        store.commit({"sums": merge_pon_sums(store.read("sums", SUMS)), "samples": store.read("samples", SAMPLES)}, replacing=True)
+    return panel_from_sums(merge_pon_sums(store.read("sums", SUMS)), store.read("samples", SAMPLES), min_samples)

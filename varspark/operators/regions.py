@@ -7,19 +7,73 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varspark.operators.ordered import running_total
 from varspark.operators.skew import SALT, SALTS, add_salt, repeat_salts
 
 SITE_BIN = 10_000
+#: Nested bins: each level is ``FAN`` times as wide as the one before, and a span is listed at the finest level at which it touches ``FAN`` bins at most.
+FAN, LEVELS = 16, 5
 
 
 def _bin(column: str, width: int):
     return F.floor(F.col(column) / F.lit(width)).cast("long")
 
 
+def level_of(start: str, end: str, width: int) -> Column:
+    """The level of bins in which a span is listed; the widest one takes all that are longer."""
+    level = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        level = F.when(_bin(end, width * FAN**k) - _bin(start, width * FAN**k) < FAN, F.lit(k)).otherwise(level)
+    return level
+
+
+def levels_in(spans: DataFrame, width: int = SITE_BIN) -> list[int]:
+    """Levels that the spans are listed in: ``LEVELS`` rows at most come to the driver."""
+    found = spans.select(level_of("start_pos", "end_pos", width).alias("level")).distinct().collect()
+    return sorted(r.level for r in found) or [0]
+
+
+def merged(spans: DataFrame) -> DataFrame:
+    """The same positions in spans that do not touch. A window holds the interval list of one contig."""
+    along = Window.partitionBy("contig").orderBy("start_pos", "end_pos")
+    reach = F.max("end_pos").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    opened = spans.select("contig", "start_pos", "end_pos", F.coalesce(F.col("start_pos") > reach + 1, F.lit(False)).cast("int").alias("_opens"))
+    numbered = opened.withColumn("_run", F.sum("_opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("contig", "_run").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("_run")
+
+
+def nested_join(points: DataFrame, spans: DataFrame, levels: Sequence[int], *, width: int = SITE_BIN, how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """``bin_join`` over nested bins: a point is looked up once per level in use, and a span, however long, is listed in some ``FAN`` bins.
+
+    With more than one level only inner joins are possible.
+    """
+    if len(levels) == 1:
+        return bin_join(points, spans, width=width * FAN ** levels[0], how=how, salts=salts)
+    if how != "inner":
+        raise ValueError("several levels can be joined only if a match is wanted")
+    places = F.array(*[F.struct(F.lit(k).alias("level"), _bin("pos", width * FAN**k).alias("bin")) for k in levels])
+    left = points.withColumn("_place", F.explode(places))
+    at = level_of("start_pos", "end_pos", width)
+    listed = F.lit(None)
+    for k in levels:
+        first, last = _bin("start_pos", width * FAN**k), _bin("end_pos", width * FAN**k)
+        bins = F.transform(F.sequence(first, last), lambda b, k=k: F.struct(F.lit(k).alias("level"), b.alias("bin")))
+        listed = F.when(at == k, bins).otherwise(listed)
+    right = spans.withColumn("_place", F.explode(listed)).withColumnsRenamed({"start_pos": "_start", "end_pos": "_end", "contig": "_contig"})
+    left = left.withColumns({"_level": F.col("_place.level"), "_bin": F.col("_place.bin")}).drop("_place")
+    right = right.withColumns({"_rlevel": F.col("_place.level"), "_rbin": F.col("_place.bin")}).drop("_place")
+    if salts > 1:
+        left, right = add_salt(left, salts), repeat_salts(right, salts).withColumnRenamed(SALT, f"_r{SALT}")
+    on = (F.col("contig") == F.col("_contig")) & (F.col("_level") == F.col("_rlevel")) & (F.col("_bin") == F.col("_rbin"))
+    if salts > 1:
+        on = on & (F.col(SALT) == F.col(f"_r{SALT}"))
+    met = left.join(right, on & F.col("pos").between(F.col("_start"), F.col("_end")))
+    return met.drop("_contig", "_level", "_rlevel", "_bin", "_rbin", "_start", "_end", SALT, f"_r{SALT}")
+
+
 def bin_join(
     points: DataFrame,
     spans: DataFrame,
@@ -71,18 +125,27 @@ def bed_to_spans(bed: DataFrame) -> DataFrame:
 def restrict_to_intervals(sites: DataFrame, intervals: DataFrame, width: int = SITE_BIN, salts: int = SALTS) -> DataFrame:
     """Sites inside at least one interval."""
     spans = intervals.select("contig", "start_pos", "end_pos")
-    return bin_join(sites, spans, width=width, how="left_semi", salts=salts)
+    levels = levels_in(spans, width)
+    if len(levels) == 1:
+        return nested_join(sites, spans, levels, width=width, how="left_semi", salts=salts)
+    # Merged intervals hold a site once at most, at whatever level.
+    whole = merged(spans)
+    return nested_join(sites, whole, levels_in(whole, width), width=width, salts=salts).select(*sites.columns)
 
 
 def assign_interval(sites: DataFrame, intervals: DataFrame, width: int = SITE_BIN, salts: int = SALTS) -> DataFrame:
     """Sites tagged with the id of their interval."""
     spans = intervals.select("contig", "start_pos", "end_pos", "interval_id")
-    return bin_join(sites, spans, width=width, salts=salts)
+    return nested_join(sites, spans, levels_in(spans, width), width=width, salts=salts)
 
 
 def exclude_regions(sites: DataFrame, bed: DataFrame, width: int = SITE_BIN, salts: int = SALTS) -> DataFrame:
-    """Sites outside every excluded region."""
-    return bin_join(sites, bed_to_spans(bed), width=width, how="left_anti", salts=salts)
+    """Sites outside every excluded region; the regions of each level in use are taken out in turn."""
+    spans = bed_to_spans(bed)
+    for level in levels_in(spans, width):
+        here = spans.filter(level_of("start_pos", "end_pos", width) == level)
+        sites = nested_join(sites, here, [level], width=width, how="left_anti", salts=salts)
+    return sites
 
 
 def exclude_contig(sites: DataFrame, contig: str) -> DataFrame:

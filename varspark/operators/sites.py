@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varspark.functions.evidence import DEFAULT_AF
+from varspark.operators.reference import normalise_indels
 from varspark.operators.skew import spread_join
 from varspark.schemas import SITE
 
@@ -47,13 +48,19 @@ def select_common_biallelic(sites: DataFrame, min_af: float = 0.05) -> DataFrame
 
 
 def annotate_germline(
-    variants: DataFrame, germline: DataFrame, default_af: float = DEFAULT_AF, salts: int = 1
+    variants: DataFrame, germline: DataFrame, default_af: float = DEFAULT_AF, salts: int = 1, chunks: DataFrame | None = None
 ) -> DataFrame:
     """Population AF of each allele, ``default_af`` where the resource lacks it or gives none.
 
     An allele has at most one row per sample here, which bounds its rows by the
-    cohort; the resource may be large, so it is repeated only if asked.
+    cohort; the resource may be large, so it is repeated only if asked. With packed reference ``chunks`` indels of both
+    sides are compared as ``normalise_indels`` writes them; the variants keep their own spelling.
     """
+    if chunks is not None:
+        own = {c: f"_own_{c}" for c in ("pos", "ref", "alt")}
+        kept = variants.withColumns({o: F.col(c) for c, o in own.items()})
+        named = annotate_germline(normalise_indels(kept, chunks), normalise_indels(germline.select(*SITE, "af"), chunks), default_af, salts)
+        return named.select(*[F.col(own[c]).alias(c) if c in own else c for c in variants.columns if c != "af"], "af")
     known = germline.groupBy(*SITE).agg(F.max("af").alias("af"))
     return spread_join(variants, known, SITE, "left", salts).withColumn(
         "af", F.coalesce("af", F.lit(default_af))

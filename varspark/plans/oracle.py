@@ -414,7 +414,20 @@ FINALS: dict[str, str] = {
       LEFT JOIN depths d ON d.lab_id = e.lab_id AND d.contig = e.contig AND d.pos = e.pos""",
     "q_callable_sites": "SELECT * FROM callable_of",
     "q_reference_depths": """SELECT b.lab_id, b.contig, b.pos, count(*) FILTER (b.base = c.base AND b.baseq >= 10) AS ref_count
-      FROM bases b JOIN (SELECT DISTINCT contig, pos, substr(ref, 1, 1) AS base FROM fx_alleles) c ON b.contig = c.contig AND b.pos = c.pos GROUP BY ALL""",
+      FROM bases b JOIN (SELECT DISTINCT lab_id, contig, pos, substr(ref, 1, 1) AS base FROM counts) c
+      ON b.lab_id = c.lab_id AND b.contig = c.contig AND b.pos = c.pos GROUP BY ALL""",
+    "q_normalise_indels": """SELECT * FROM (WITH RECURSIVE alleles AS (
+        SELECT DISTINCT e.contig, e.pos, r.ref, substr(r.ref, 1, 1) || e.added AS alt
+        FROM indel_events e JOIN indel_refs r ON r.contig = e.contig AND r.pos = e.pos AND r.removed = e.removed
+      ), moves AS (
+        SELECT *, pos AS at, CASE WHEN length(alt) > length(ref) THEN substr(alt, 2) ELSE substr(ref, 2) END AS unit, 0 AS step FROM alleles
+        UNION ALL
+        SELECT m.contig, m.pos, m.ref, m.alt, m.at - 1, right(unit, 1) || left(unit, length(unit) - 1), step + 1
+        FROM moves m JOIN ref_bases b ON b.contig = m.contig AND b.pos = m.at AND b.base = right(unit, 1) JOIN ref_bases p ON p.contig = m.contig AND p.pos = m.at - 1
+      ), ends AS (SELECT * FROM moves QUALIFY row_number() OVER (PARTITION BY contig, pos, ref, alt ORDER BY step DESC) = 1)
+      SELECT e.contig, e.at AS pos, CASE WHEN length(alt) > length(ref) THEN b.base ELSE b.base || unit END AS ref,
+        CASE WHEN length(alt) > length(ref) THEN b.base || unit ELSE b.base END AS alt, e.pos AS given_pos, ref AS given_ref, alt AS given_alt
+      FROM ends e JOIN ref_bases b ON b.contig = e.contig AND b.pos = e.at)""",
     "q_callable_from_reads": """SELECT d.lab_id, i.interval_id, count(*) AS callable FROM depths d
       JOIN intervals i ON d.contig = i.contig AND d.pos BETWEEN i.start_pos AND i.end_pos GROUP BY ALL""",
     "q_select_common_biallelic": "SELECT * FROM common",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from varspark.functions import text
 from varspark.operators import contamination as cont
-from varspark.operators import filtering, manifest, orientation, pileup, pon, qc, regions, sites, somatic
+from varspark.operators import filtering, manifest, orientation, pileup, pon, qc, reference, regions, sites, somatic
 from varspark.plans.fixtures import Tables, once
 from varspark.plans.workflow import Workflow
 from varspark.schemas import SITE
@@ -276,9 +276,9 @@ def q_sample_map(t: Tables) -> DataFrame:
 @query
 def q_expected_grid(t: Tables) -> DataFrame:
     """Intervals in which the tumour of a pair has no counts, as gaps."""
-    placed = regions.assign_interval(t.counts(), t.intervals()).select(F.col("lab_id").alias("tumour_id"), "interval_id").distinct()
-    present = placed.join(t.pairs().select("tumour_id", "pair"), "tumour_id")
-    return manifest.expected_grid(t.pairs(), present, t.intervals(), "pair")
+    present = regions.assign_interval(t.counts(), t.intervals()).select(F.col("lab_id").alias("tumour_id"), "interval_id")
+    gaps = manifest.expected_grid(t.pairs().select("tumour_id"), present, t.intervals(), "tumour_id")
+    return gaps.join(t.pairs().select("tumour_id", "pair"), "tumour_id").drop("tumour_id")
 
 
 # --- intervals and regions ---------------------------------------------------
@@ -388,10 +388,16 @@ def q_allele_counts(t: Tables) -> DataFrame:
 
 @query
 def q_reference_depths(t: Tables) -> DataFrame:
-    """Reference reads at the sites of the resource, for every sample with reads."""
-    loci = t.reads().select("lab_id").distinct().join(t.reads().select("lab_id", "contig").distinct(), "lab_id")
-    wanted = loci.join(t.resource().select(*SITE), "contig")
-    return pileup.reference_depths(t.reads(), wanted, min_baseq=10)
+    """Reference reads of each sample at the sites of its own counts."""
+    return pileup.reference_depths(t.reads(), t.counts().select("lab_id", *SITE), min_baseq=10)
+
+
+@query
+def q_normalise_indels(t: Tables) -> DataFrame:
+    """Indels of the reads as far left as the reference allows, beside their own spelling."""
+    alleles = pileup.allele_counts(t.reads(), t.ref_bases()).filter(F.length("ref") != F.length("alt")).select(*SITE).distinct()
+    given = stored(alleles, "alleles").withColumns({f"given_{c}": F.col(c) for c in ("pos", "ref", "alt")})
+    return reference.normalise_indels(given, reference.reference_chunks(t.ref_bases()))
 
 
 @query
