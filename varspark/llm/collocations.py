@@ -30,7 +30,7 @@ SHARD_BYTES = 2 << 20
 #: Words hashed at once.
 HASHED = 1 << 15
 #: Buckets of the sieve: one per 16 bytes of text, within these bounds. The largest is 128 MB of bits; beyond it the sieve lets more through.
-LEAST_BITS, MOST_BITS = 16, 30
+LEAST_BITS, MOST_BITS = 26, 30
 #: Parts that the sieve is counted in: at least 2**8, and so many that a part has 2**18 buckets at most.
 PART_BITS, BUCKET_BITS = 8, 18
 
