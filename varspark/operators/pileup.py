@@ -168,7 +168,9 @@ def _events(usable: DataFrame, chunks: DataFrame, min_baseq: int, width: int) ->
         "lab_id", "contig", "chunk", "f1r2", "aligned", "n", "own", low.alias("low"), size.alias("size"), stretch.alias("ref"),
         F.substring(F.col("own"), skipped, size).alias("shown"), F.substring(marks, skipped, size).alias("marks"),
     )
-    sign = lambda text, i: F.substring(F.col(text), i, F.lit(1))
+    # A list of signs is read by place at once; a text would be walked from its begin for each.
+    met = met.withColumns({f"{c}_signs": F.split(c, "") for c in ("shown", "ref", *(["marks"] if min_baseq > 0 else []))})
+    sign = lambda text, i: F.get(F.col(f"{text}_signs"), i - 1)
     good = lambda i: (sign("marks", i) != "!") if min_baseq > 0 else F.lit(True)
     event = lambda i, seen, ref, all_, good_: F.struct(
         (F.col("low") + i - 1).alias("pos"), seen.alias("seen"), ref.alias("ref"), all_.cast("int").alias("step_all"), good_.cast("int").alias("step_good")
