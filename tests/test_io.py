@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from varspark import session
 from varspark.functions import text
+from varspark.operators import qc
 from varspark.sources import readers, writers
 
 
@@ -64,6 +65,56 @@ def test_variants_of_several_files_keep_their_samples(spark, tmp_path):
     assert sorted({r.lab_id for r in long.collect()}) == ["N1", "N2", "T1", "T2"]
 
 
+@pytest.mark.parametrize("by_folder", [False, True])
+def test_variants_of_a_file_in_many_splits_keep_their_samples(spark, tmp_path, by_folder):
+    body = "".join(f"c\t{i}\t.\tA\tC\t.\t.\t.\tGT\t0/0\t0/1\n" for i in range(1, 3001))
+    for name in ("1", "2"):
+        os.mkdir(tmp_path / name)
+        put(tmp_path / name, "a.vcf", f"##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tN{name}\tT{name}\n" + body)
+    if by_folder:  # parts after the first have no header
+        put(tmp_path / "2", "b.vcf", body.replace("\t.\tA", "\tx\tA"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    stretch, readers.STRETCH = readers.STRETCH, 8192
+    try:
+        got = readers.explode_genotypes(readers.read_variants(spark, str(tmp_path), by_folder=by_folder)).groupBy("lab_id").count().collect()
+        plan = readers.read_variants(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728")
+        readers.STRETCH = stretch
+    more = 2 if by_folder else 1
+    assert {r.lab_id: r["count"] for r in got} == {"N1": 3000, "T1": 3000, "N2": 3000 * more, "T2": 3000 * more}
+    assert "_part" in plan[plan.index("Join LeftOuter") :].splitlines()[0]
+
+
+def test_pair_files_begin_with_their_header_and_read_back(spark, tmp_path):
+    contigs = spark.createDataFrame([("chr2", 0, 500), ("chr10", 1, 900)], "contig string, idx bigint, length bigint")
+    pairs = spark.createDataFrame([("p", "T1", "N1"), ("q", "T2", "N1"), ("r", "T3", "N3")], "pair string, tumour_id string, normal_id string")
+    data = [("p", c, x, "A", "C", ["germline"] if x % 2 else [], 5, 4, 9, 0) for c in ("chr10", "chr2") for x in range(1, 400)] + [("q", "chrX", 7, "G", "GT", [], 1, 2, 3, 4)]
+    calls = spark.createDataFrame(data, "pair string, contig string, pos bigint, ref string, alt string, filters array<string>, t_ref bigint, t_alt bigint, n_ref bigint, n_alt bigint")
+    path = str(tmp_path / "out")
+    writers.write_pair_variants(calls, pairs, path, contigs)
+    text = {}
+    for pair in "pqr":
+        folder = f"{path}/pair={pair}"
+        text[pair] = "".join(gzip.open(os.path.join(folder, f), "rt").read() for f in sorted(os.listdir(folder)) if f.endswith(".gz")).splitlines()
+        assert text[pair][0] == "##fileformat=VCFv4.2" and text[pair][3:5] == ["##contig=<ID=chr2,length=500>", "##contig=<ID=chr10,length=900>"]
+        assert not any(x.startswith("#") for x in text[pair][6:])
+    assert [len(text[p]) - 6 for p in "pqr"] == [798, 1, 0] and text["r"][5].split("\t")[8:] == ["FORMAT", "N3", "T3"]
+    assert [tuple(x.split("\t")[:2]) for x in text["p"][6:]] == [(c, str(x)) for c in ("chr2", "chr10") for x in range(1, 400)]
+    long = readers.explode_genotypes(readers.read_variants(spark, path, by_folder=True)).collect()
+    assert len(long) == 2 * len(data)
+    assert {(r.lab_id, r.fields["GT"], r.fields["AD"], *r.filters) for r in long if r.contig == "chrX"} == {("T2", "0/1", "1,2"), ("N1", "0/0", "3,4")}
+
+
+def test_job_logs_know_missing_empty_and_filled_stderr(spark, tmp_path, rows):
+    for name, content in (("a b.o", "start\nExit Status: 0\n"), ("a b.e", ""), ("2.o", "Exit Status: 0\n"), ("3.o", "Exit Status: 0\n"), ("3.e", "killed\nmore\n"), ("4.e", "x\n")):
+        put(tmp_path, name, content)
+    logs = readers.read_job_logs(spark, str(tmp_path))
+    assert rows(logs, "job_id", "line", "stderr") == [("2", "Exit Status: 0", None), ("3", "Exit Status: 0", "killed"), ("a b", "Exit Status: 0", ""), ("a b", "start", "")]
+    expected = spark.createDataFrame([("a b",), ("2",), ("3",), ("4",)], "job_id string")
+    assert {r.job_id: r.failed for r in qc.exit_status(logs, expected).collect()} == {"a b": False, "2": True, "3": True, "4": True}
+
+
 def test_variant_export_is_ordered_with_one_header_first(spark, tmp_path):
     contigs = spark.createDataFrame([("chr2", 0, 500), ("chr10", 1, 900)], "contig string, idx bigint, length bigint")
     data = [(c, p, "A", ["C", "G"], [], {"N": "2", "FLAG": None}) for c in ("chr10", "chr2") for p in range(400, 0, -7)]
@@ -115,7 +166,7 @@ def test_outputs_are_listed_with_kind_and_size(spark, tmp_path):
     for name, size in (("a.unfiltered.0000.vcf.gz", 3), ("a.unfiltered.0000.vcf.gz.tbi", 0), ("a.vcf.gz.stats", 1), ("a.f1r2.0000.tar.gz", 2), ("0000.log", 4)):
         put(tmp_path, name, "x" * size)
     files = readers.list_outputs(spark, str(tmp_path)).withColumn("kind", readers.output_kind(F.col("path")))
-    assert {(r.kind, r.length) for r in files.collect()} == {("vcf", 3), ("stats", 1), ("f1r2", 2), ("log", 4)}
+    assert {(r.kind, r.length) for r in files.collect()} == {("vcf", 3), ("tbi", 0), ("stats", 1), ("f1r2", 2), ("log", 4)}
     assert "content" not in readers.list_outputs(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
 
 

@@ -53,6 +53,26 @@ def test_pileup_at_block_and_bin_edges(spark, rows):
         assert got == [(64, 2, 1, 0), (66, 1, 0, 0), (67, 1, 0, 0), (68, 1, 0, 0)]
 
 
+def test_blocks_in_bins_without_a_site_are_not_shuffled(spark):
+    from varspark.operators.regions import bin_join, occupied_bins
+
+    spans = spark.range(0, 3_000_000, 10).selectExpr("'c' as contig", "id as start_pos", "id + 9 as end_pos")
+    places = [1, 1023, 1024, 33_554_431, 33_554_432, 2_999_999]
+    sites = spark.createDataFrame([("c", x) for x in places] + [("d", 5)], "contig string, pos bigint")
+    occupied = occupied_bins(sites, 1024)
+    met = bin_join(sites, spans, width=1024, heavy="spans", occupied=occupied)
+    assert sorted(r.pos for r in met.collect()) == sorted(r.pos for r in bin_join(sites, spans, width=1024, heavy="spans").collect()) == [1, 1023, 1024, 2_999_999]
+    from varspark.operators import regions
+
+    kept = regions._in_occupied(spans.selectExpr("*", "explode(sequence(start_pos div 1024, end_pos div 1024)) as _bin"), occupied)
+    assert {r._bin for r in kept.select("_bin").distinct().collect()} == {0, 1, 2929}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert occupied_bins(sites, 1024) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
 def test_pileup_depth_is_the_number_of_blocks_over_the_site(spark):
     rng = random.Random(5)
     items = [(0, rng.randint(1, 200), 60, rng.choice(["20M", "5M3D15M", "5M2I13M"]), "".join(rng.choice("ACGT") for _ in range(20))) for _ in range(80)]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varspark.operators.reference import BLANK, CHUNK, chunk_of, reference_chunks
-from varspark.operators.regions import bin_join
+from varspark.operators.regions import bin_join, occupied_bins
 from varspark.operators.skew import SALTS
 
 # SAM flag bits.
@@ -97,12 +97,13 @@ def pileup_summaries(
 
     ``sites`` (contig, pos, ref, alt, af) repeats per bin salt while the reads,
     by far the larger side, are shuffled once or, when Spark finds the sites
-    small enough to broadcast, not at all.
+    small enough to broadcast, not at all. Blocks in bins without a site are
+    dropped before that, by a bitmap of the sites' bins.
     """
     blocks = cigar_blocks(usable_reads(reads)).select(
         "lab_id", "contig", "start_pos", "end_pos", F.col("start_pos").alias("block_start"), "bases", "quals"
     )
-    hits = bin_join(sites, blocks, width=width, heavy="spans", salts=salts)
+    hits = bin_join(sites, blocks, width=width, heavy="spans", salts=salts, occupied=occupied_bins(sites, width))
     place = (F.col("pos") - F.col("block_start") + 1).cast("int")
     seen = hits.withColumn("base", F.substring(F.col("bases"), place, F.lit(1)))
     if min_baseq > 0:

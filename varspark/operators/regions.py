@@ -10,12 +10,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varspark.operators.ordered import running_total
+from varspark.operators.ordered import row_index, running_total
 from varspark.operators.skew import SALT, SALTS, add_salt, repeat_salts
+from varspark.session import stored
 
 SITE_BIN = 10_000
 #: Nested bins: each level is ``FAN`` times as wide as the one before, and a span is listed at the finest level at which it touches ``FAN`` bins at most.
 FAN, LEVELS = 16, 5
+#: Size of one row of bitmaps, its keys included.
+BITMAP_BYTES = 4200
 
 
 def _bin(column: str, width: int):
@@ -74,6 +77,37 @@ def nested_join(points: DataFrame, spans: DataFrame, levels: Sequence[int], *, w
     return met.drop("_contig", "_level", "_rlevel", "_bin", "_rbin", "_start", "_end", SALT, f"_r{SALT}")
 
 
+def bin_bitmaps(points: DataFrame, width: int = SITE_BIN) -> DataFrame:
+    """contig, bucket, bits: one bit per bin that holds a point, 32,768 bins to a row."""
+    at = _bin("pos", width)
+    bits = points.select("contig", F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+    return bits.groupBy("contig", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def occupied_bins(points: DataFrame, width: int = SITE_BIN) -> DataFrame | None:
+    """``bin_bitmaps`` if they may be broadcast by the session's own limit, else None.
+
+    A row is 4 kB and stands for 32,768 bins, so they grow with the genome and not with the points: 3 billion bases in bins of
+    1,024 give some 90 rows. They are stored and counted before that is decided; only the count comes to the driver.
+    """
+    spark = points.sparkSession
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = -1 if threshold.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
+    if limit < BITMAP_BYTES:
+        return None
+    bitmaps = stored(bin_bitmaps(points, width), "bins")
+    return bitmaps if bitmaps.count() * BITMAP_BYTES <= limit else None
+
+
+def _in_occupied(spans: DataFrame, occupied: DataFrame) -> DataFrame:
+    """Rows whose ``_bin`` holds a point."""
+    bit = F.bitmap_bit_position("_bin")
+    octet = F.conv(F.hex(F.substring(F.col("_bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    named = F.broadcast(occupied.toDF("_on", "_bucket", "_bits"))
+    met = spans.join(named, (F.col("contig") == F.col("_on")) & (F.bitmap_bucket_number("_bin") == F.col("_bucket")))
+    return met.filter(F.getbit(octet, (bit % 8).cast("int")) == 1).drop("_on", "_bucket", "_bits")
+
+
 def bin_join(
     points: DataFrame,
     spans: DataFrame,
@@ -83,6 +117,7 @@ def bin_join(
     by: Sequence[str] = ("contig",),
     heavy: str = "points",
     salts: int = SALTS,
+    occupied: DataFrame | None = None,
 ) -> DataFrame:
     """Points (``pos``) joined to the spans (``start_pos`` to ``end_pos``) that hold them.
 
@@ -90,7 +125,8 @@ def bin_join(
     match appears once and the join is a plain equi-join on (by, bin). Rows of
     the ``heavy`` side are salted over their bin and the other side is repeated,
     so that a crowded locus does not end in one task. Span columns other than
-    its keys and bounds are kept.
+    its keys and bounds are kept. With ``occupied_bins`` of the points, spans are
+    dropped before they are shuffled where their bin holds none.
     """
     if heavy == "spans" and how != "inner":
         raise ValueError("spans can be the salted side of an inner join only")
@@ -106,6 +142,8 @@ def bin_join(
         on.append(SALT)
     left = left.withColumn("_bin", _bin("pos", width))
     right = right.withColumn("_bin", F.explode(F.sequence(_bin("_start", width), _bin("_end", width))))
+    if occupied is not None:
+        right = _in_occupied(right, occupied)
     if how in ("left_semi", "left_anti"):
         right = right.select(*on, "_start", "_end")
     right = right.withColumnsRenamed({k: f"_r{k}" for k in on})
@@ -175,6 +213,19 @@ def split_intervals(contigs: DataFrame, n: int) -> DataFrame:
     return placed.join(numbered, "_share").select("group_id", "contig", "idx", "length")
 
 
+def chunk_members(intervals: DataFrame, k: int, order: str = "interval_no", cost: str = "cost") -> DataFrame:
+    """Neighbouring intervals in ``k`` chunks of near-equal cost, a row each: chunk_id, place in the chunk from 0, the interval's columns.
+
+    An interval belongs to the chunk in which it starts when the whole cost is cut into ``k`` equal shares. Costs are
+    summed and places counted in blocks, so neither the list nor a chunk is one task or one text.
+    """
+    total = intervals.agg(F.sum(cost).alias("total")).scalar()
+    placed = running_total(intervals, F.col(cost), "_reach", order=[order]).withColumn(
+        "chunk_id", F.floor((F.col("_reach") - F.col(cost)) * F.lit(k) / total).cast("long")
+    )
+    return row_index(placed.drop("_reach"), "place", order=[order], keys=["chunk_id"])
+
+
 def pack_chunks(intervals: DataFrame, k: int, order: str = "interval_no", cost: str = "cost") -> DataFrame:
     """Neighbouring intervals in ``k`` chunks of near-equal cost: ids joined by ';'.
 

@@ -354,6 +354,10 @@ FINALS: dict[str, str] = {
     "q_read_variants": f"""SELECT {SITE}, upper(g.role) AS lab_id, coalesce(CAST(sum(c.ref_count) FILTER (s.role = g.role) AS BIGINT), 0) AS ref_count,
       coalesce(CAST(sum(c.alt_count) FILTER (s.role = g.role) AS BIGINT), 0) AS alt_count, length(alt) AS alt_length, true AS in_db
       FROM counts c JOIN samples s ON c.lab_id = s.lab_id, (SELECT unnest(['normal', 'tumour']) AS role) g GROUP BY ALL""",
+    "q_read_variants_by_file": f"""SELECT {SITE}, contig || '_' || CAST(pos // 10000000 AS VARCHAR) AS lab_id, CAST(sum(ref_count) AS BIGINT) AS ref_count,
+      CAST(sum(alt_count) AS BIGINT) AS alt_count FROM counts GROUP BY ALL""",
+    "q_read_job_logs": """SELECT event_type AS job_id, 'event ' || CAST(min(event_id) FILTER (value > 150) AS VARCHAR) AS stderr, count(*) AS n_lines
+      FROM events GROUP BY event_type""",
     "q_read_reads": "SELECT * FROM reads",
     "q_read_pileups": "SELECT * FROM pileups",
     "q_read_logs": """SELECT event_type AS task_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS line_no,
@@ -394,6 +398,7 @@ FINALS: dict[str, str] = {
       SELECT *, CAST(floor((sum(length) OVER (ORDER BY idx) - length) * 24 / CAST(sum(length) OVER () AS DOUBLE)) AS BIGINT) AS share FROM contigs)""",
     "q_pack_chunks": """SELECT chunk_id, string_agg(interval_id, ';' ORDER BY interval_no) AS intervals, count(*) AS n_intervals,
       CAST(sum(cost) AS BIGINT) AS cost FROM chunked GROUP BY chunk_id""",
+    "q_chunk_members": "SELECT chunk_id, row_number() OVER (PARTITION BY chunk_id ORDER BY interval_no) - 1 AS place, interval_id, cost FROM chunked",
     "q_explode_chunks": "SELECT chunk_id, row_number() OVER (PARTITION BY chunk_id ORDER BY interval_no) - 1 AS place, interval_id FROM chunked",
     "q_split_resource": f"""SELECT {', '.join('g.' + c for c in SITE.split(', '))}, g.af, i.interval_id FROM fx_alleles g
       JOIN intervals i ON g.contig = i.contig AND g.pos BETWEEN i.start_pos AND i.end_pos""",
@@ -477,6 +482,10 @@ FINALS: dict[str, str] = {
     "q_filter_summary": """SELECT pair, filter, count(*) AS n_calls FROM (
       SELECT pair, unnest(string_split(CASE WHEN filters = '' THEN 'PASS' ELSE filters END, ',')) AS filter FROM filtered) GROUP BY ROLLUP (pair, filter)""",
     "q_final_calls": f"SELECT {CALL}, idx, t_ref, t_alt, {r6('tlod')} FROM filtered JOIN dictionary USING (contig) WHERE filters = ''",
+    "q_write_pair_variants": f"""SELECT {SITE}, filters, lab_id, genotype, depths FROM (
+      SELECT f.*, p.tumour_id AS lab_id, '0/1' AS genotype, CAST(t_ref AS VARCHAR) || ',' || CAST(t_alt AS VARCHAR) AS depths FROM filtered f JOIN pairs p ON p.pair = f.pair
+      UNION ALL BY NAME
+      SELECT f.*, p.normal_id AS lab_id, '0/0' AS genotype, CAST(n_ref AS VARCHAR) || ',' || CAST(n_alt AS VARCHAR) AS depths FROM filtered f JOIN pairs p ON p.pair = f.pair)""",
     "q_export_calls": f"""SELECT {CALL}, filters, CAST(t_ref AS VARCHAR) || ',' || CAST(t_alt AS VARCHAR) AS tumour_depths,
       CAST(n_ref AS VARCHAR) || ',' || CAST(n_alt AS VARCHAR) AS normal_depths, in_pon FROM filtered""",
     "q_log_outcome": "SELECT * FROM outcomes",

@@ -150,6 +150,41 @@ def q_read_variants(t: Tables) -> DataFrame:
     )
 
 
+@query
+def q_read_variants_by_file(t: Tables) -> DataFrame:
+    """Pooled counts in files of 10 Mb, each with a header that names a sample of its own."""
+    stretch = F.concat_ws("_", "contig", F.floor(F.col("pos") / 10_000_000).cast("string"))
+    pooled = t.counts().groupBy(*SITE).agg(F.sum("ref_count").alias("r"), F.sum("alt_count").alias("a")).withColumn("stretch", stretch)
+    line = F.concat_ws(
+        "\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("PASS"), F.lit("."), F.lit("AD"),
+        F.concat_ws(",", F.col("r").cast("string"), F.col("a").cast("string")),
+    )
+    columns = "\t".join("#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split())
+    heads = pooled.select("stretch").distinct().select("stretch", F.lit(-1).cast("long").alias("pos"), F.concat_ws("\t", F.lit(columns), "stretch").alias("value"))
+    path = scratch_path(t.spark, "variants")
+    lines = heads.unionByName(pooled.select("stretch", "pos", line.alias("value")))
+    lines.repartition("stretch").sortWithinPartitions("stretch", "pos").select("stretch", "value").write.partitionBy("stretch").text(path)
+    rows = readers.explode_genotypes(readers.read_variants(t.spark, path))
+    depths = F.split(F.col("fields")["AD"], ",")
+    return rows.select(
+        "contig", "pos", "ref", F.concat_ws(",", "alts").alias("alt"), "lab_id", depths[0].cast("long").alias("ref_count"), depths[1].cast("long").alias("alt_count")
+    )
+
+
+@query
+def q_read_job_logs(t: Tables) -> DataFrame:
+    """Jobs with the lines of their logs and what they wrote to stderr first."""
+    path = scratch_path(t.spark, "jobs")
+    events = t.raw("events", "event_id", "event_type", "value").select(
+        "event_id", "value", F.col("event_type").alias("job"), F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("line")
+    )
+    for kind, rows in (("o", events), ("e", events.filter("value > 150"))):
+        placed = rows.repartitionByRange("job", "event_id").sortWithinPartitions("job", "event_id")
+        placed.select("job", F.col("line").alias("value")).write.partitionBy("job").text(f"{path}/{kind}")
+    logs = readers.read_job_logs(t.spark, path, r"/o/job=([^/]+)/", r"/e/job=([^/]+)/")
+    return logs.groupBy("job_id", "stderr").agg(F.count("*").alias("n_lines"))
+
+
 @query
 def q_read_reads(t: Tables) -> DataFrame:
     lines = t.reads().select(
@@ -330,6 +365,11 @@ def q_pack_chunks(t: Tables) -> DataFrame:
     return regions.pack_chunks(_costed(t), 8)
 
 
+@query
+def q_chunk_members(t: Tables) -> DataFrame:
+    return regions.chunk_members(_costed(t), 8).select("chunk_id", "place", "interval_id", "cost")
+
+
 @query
 def q_explode_chunks(t: Tables) -> DataFrame:
     return regions.explode_chunks(regions.pack_chunks(_costed(t), 8)).select("chunk_id", "place", "interval_id")
@@ -655,6 +695,19 @@ def q_final_calls(t: Tables) -> DataFrame:
     return rounded(final.select(*CALL, "idx", "t_ref", "t_alt", "tlod"), "tlod")
 
 
+@query
+def q_write_pair_variants(t: Tables) -> DataFrame:
+    """Filtered calls as a folder of VCF text per pair, with genotypes, written and read back."""
+    path = scratch_path(t.spark, "pairs")
+    cohort = workflow(t, keep=True)
+    writers.write_pair_variants(cohort.filtered, cohort.pairs, path, t.dictionary())
+    rows = readers.explode_genotypes(readers.read_variants(t.spark, path, by_folder=True))
+    return rows.select(
+        "contig", "pos", "ref", F.concat_ws(",", "alts").alias("alt"), F.concat_ws(",", "filters").alias("filters"),
+        "lab_id", F.col("fields")["GT"].alias("genotype"), F.col("fields")["AD"].alias("depths"),
+    )
+
+
 @query
 def q_export_calls(t: Tables) -> DataFrame:
     """Filtered calls written as VCF text and read back."""

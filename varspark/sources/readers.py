@@ -5,6 +5,8 @@ Key columns that a path carries are taken from the path of each row's file.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +19,23 @@ INTERVAL_FILE = r"([^/]+)-scattered\.interval_list$"
 PILEUP_FILE = r"([^/]+?)_pileups(?:\.[^/]*)?\.table$"
 SAMPLE_FILE = r"([^/.]+)\.[^/]*$"
 TASK_FILE = r"([^/]+)\.(?:log|oe|o|e)$"
+JOB_LOG = r"([^/]+)\.o$"
+JOB_STDERR = r"([^/]+)\.e$"
+
+#: Bytes of a file whose rows meet one copy of its header, and copies of a folder's header.
+STRETCH = 1 << 27
+FOLDER_SHARES = 64
+
+
+def _file_path() -> Column:
+    """Path of the row's file as it is named: the metadata column is a URI, with signs encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Rows of text with the path of their file."""
     return spark.read.option("recursiveFileLookup", "true").text(path).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("path")
+        F.col("value").alias("line"), _file_path().alias("path")
     )
 
 
@@ -78,24 +91,51 @@ def read_contigs(spark: SparkSession, path: str) -> DataFrame:
     return row_index(named, "idx", order=["line_no"]).select("contig", "idx", "length")
 
 
-def read_variants(spark: SparkSession, path: str, one_header: bool = False) -> DataFrame:
+def _with_samples(rows: DataFrame, head: DataFrame, by_folder: bool) -> DataFrame:
+    """Rows beside the sample names of the header of their file or folder.
+
+    The header is repeated per stretch of its file, or per share of a folder's splits, and rows meet the
+    copy of their own: a row's key is a stretch of one file, however long the file is.
+    """
+    if by_folder:
+        part = F.pmod(F.hash("path", "at"), F.lit(FOLDER_SHARES)).cast("long")
+        parts = F.sequence(F.lit(0).cast("long"), F.lit(FOLDER_SHARES - 1).cast("long"))
+    else:
+        part = F.floor(F.col("at") / F.lit(STRETCH)).cast("long")
+        parts = F.sequence(F.lit(0).cast("long"), F.floor(F.max("size") / F.lit(STRETCH)).cast("long"))
+    named = head.groupBy("owner").agg(F.min("samples").alias("samples"), parts.alias("_parts"))
+    listed = named.select("owner", "samples", F.explode("_parts").alias("_part"))
+    return rows.withColumn("_part", part).join(listed, ["owner", "_part"], "left")
+
+
+def read_variants(spark: SparkSession, path: str, one_header: bool = False, by_folder: bool = False) -> DataFrame:
     """VCF text, plain or gzip, as typed rows.
 
     ``alts`` and ``filters`` are arrays (missing: empty), ``info`` is a map with
     NULL for flags, ``genotypes`` is an array of (sample, fields). Sample names
-    come from the header of the row's own file or, with ``one_header``, from the
-    one header of a table written in parts.
+    come from the header of the row's own file, with ``by_folder`` from the header
+    among the parts of its folder, or, with ``one_header``, from the one header of
+    a table written in parts. Rows without a header have no genotypes.
     """
-    lines = _lines(spark, path)
+    owner = F.regexp_replace("path", "/[^/]*$", "") if by_folder else F.col("path")
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(path)
+        .select(
+            F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("at"), F.col("_metadata.file_size").alias("size"),
+        )
+        .withColumn("owner", owner)
+    )
     head = (
         lines.filter(F.col("line").startswith("#CHROM"))
-        .select("path", F.slice(F.split("line", "\t"), F.lit(10), F.greatest(F.size(F.split("line", "\t")) - 9, F.lit(0))).alias("samples"))
+        .select("owner", "size", F.slice(F.split("line", "\t"), F.lit(10), F.greatest(F.size(F.split("line", "\t")) - 9, F.lit(0))).alias("samples"))
     )
     rows = _fields(lines.filter(~F.col("line").startswith("#") & (F.col("line") != "")))
     if one_header:
         named = rows.withColumn("samples", head.agg(F.first("samples").alias("samples")).scalar())
     else:
-        named = rows.join(head, "path", "left")
+        named = _with_samples(rows, head, by_folder)
     empty = F.array().cast("array<string>")
     info = F.when(_at(8) == ".", F.create_map().cast("map<string,string>")).otherwise(
         F.str_to_map(_at(8), F.lit(";"), F.lit("="))
@@ -174,7 +214,7 @@ def _numbered(spark: SparkSession, path: str, task: Column) -> DataFrame:
         spark.read.option("recursiveFileLookup", "true")
         .text(path)
         .select(
-            F.col("_metadata.file_path").alias("path"),
+            _file_path().alias("path"),
             F.col("_metadata.file_block_start").alias("at"),
             F.monotonically_increasing_id().alias("row"),
             F.col("value").alias("line"),
@@ -217,14 +257,33 @@ def single_bases(reference: DataFrame) -> DataFrame:
 
 
 def list_outputs(spark: SparkSession, path: str) -> DataFrame:
-    """Files below a path with their sizes; contents are not read.
+    """Files below a path with their sizes, empty ones too; contents are not read.
 
-    Spark does not list empty files, so an empty output is simply not present:
-    the test for "exists and is not empty" needs no more.
+    A scan skips empty files, so they are those of the source's file index that the scan does not show. The index is
+    made by Spark, in parallel for many folders, and held by the driver for any scan; the names in it are all that is taken from there.
     """
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    )
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    shown = source.select("path", "length")
+    # A name in the index is a URI; the path column of a scan is not, and has no empty host.
+    plain = lambda uri: unquote(uri).replace(":///", ":/", 1)
+    names = spark.createDataFrame([(plain(u), 0) for u in source.inputFiles()], "path string, length bigint")
+    return shown.unionByName(names.join(shown, "path", "left_anti"))
+
+
+def read_job_logs(spark: SparkSession, path: str, log: str = JOB_LOG, stderr: str = JOB_STDERR) -> DataFrame:
+    """Lines of job logs beside what each job wrote to stderr: job_id, line, stderr.
+
+    ``stderr`` is the first line of the job's stderr file, a blank for a file that begins with an empty line, '' for an
+    empty file and NULL where there is none. The job id comes from both paths, which may lie anywhere below ``path``.
+    """
+    lines = _lines(spark, path)
+    jobs = lines.withColumn("job_id", captured(F.col("path"), log)).filter(F.col("job_id").isNotNull())
+    errors = list_outputs(spark, path).select(captured(F.col("path"), stderr).alias("job_id"), "length").filter(F.col("job_id").isNotNull())
+    first = _numbered(spark, path, captured(F.col("path"), stderr)).filter(F.col("task_id").isNotNull() & (F.col("line_no") == 1))
+    text = first.select(F.col("task_id").alias("job_id"), F.when(F.col("line") == "", " ").otherwise(F.col("line")).alias("_first"))
+    said = errors.groupBy("job_id").agg(F.sum("length").alias("length")).join(text, "job_id", "left")
+    said = said.select("job_id", F.when(F.col("length") == 0, "").otherwise(F.coalesce("_first", F.lit(" "))).alias("stderr"))
+    return jobs.select("job_id", "line").join(said, "job_id", "left")
 
 
 def output_kind(path: Column) -> Column:
@@ -252,5 +311,6 @@ __all__ = [
     "read_reference",
     "single_bases",
     "list_outputs",
+    "read_job_logs",
     "output_kind",
 ]

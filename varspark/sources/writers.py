@@ -8,6 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Header lines of a table with genotypes.
+GENOTYPE_HEADER = (
+    "##fileformat=VCFv4.2",
+    '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
+    '##FORMAT=<ID=AD,Number=R,Type=Integer,Description="Reads of each allele">',
+)
+
+
 def write_table(df: DataFrame, path: str, by: str = "interval_id", order: Sequence[str] = ("contig", "pos"), mode: str = "overwrite") -> None:
     """Store keyed by ``by`` and sorted inside, so that both prune on reading.
 
@@ -125,6 +133,42 @@ def call_records(calls: DataFrame) -> DataFrame:
     )
 
 
+def write_pair_variants(calls: DataFrame, pairs: DataFrame, path: str, contigs: DataFrame, mode: str = "overwrite") -> None:
+    """Filtered calls as VCF text, gzip, a folder per pair with the genotypes of its normal and tumour.
+
+    All pairs are written in one pass. The parts of a folder follow each other in dictionary order and the
+    first begins with the header, so that put together in name order they are the pair's file; a pair with many calls has several, so none is one
+    long task. A pair without calls is a header alone. ``calls`` has pair, contig, pos, ref, alt, filters and the counts
+    ``t_ref t_alt n_ref n_alt``; ``read_variants(..., by_folder=True)`` reads the folders back.
+    """
+    described = contigs.select("idx", F.concat(F.lit("##contig=<ID="), "contig", F.lit(",length="), F.col("length").cast("string"), F.lit(">")).alias("line"))
+    listed = described.agg(F.array_join(F.sort_array(F.collect_list(F.struct("idx", "line")))["line"], "\n").alias("lines")).scalar()
+    columns = F.concat_ws("\t", F.lit("\t".join("#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split())), "normal_id", "tumour_id")
+    heads = pairs.select("pair", "normal_id", "tumour_id").distinct().select(
+        "pair", F.lit(-1).cast("long").alias("idx"), F.lit("").alias("contig"), F.lit(0).cast("long").alias("pos"),
+        F.concat_ws("\n", F.lit("\n".join(GENOTYPE_HEADER)), listed, columns).alias("value"),
+    )
+    sample = lambda called, ref, alt: F.concat(F.lit(f"{called}:"), F.col(ref).cast("string"), F.lit(","), F.col(alt).cast("string"))
+    record = F.concat_ws(
+        "\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), _listed(F.col("filters"), ";", "PASS"),
+        F.lit("."), F.lit("GT:AD"), sample("0/0", "n_ref", "n_alt"), sample("0/1", "t_ref", "t_alt"),
+    )
+    body = calls.join(contigs.select("contig", "idx"), "contig", "left").select(
+        "pair", F.coalesce("idx", F.lit(2**62)).alias("idx"), "contig", F.col("pos").cast("long").alias("pos"), record.alias("value")
+    )
+    order = ["pair", "idx", "contig", "pos", "value"]
+    (
+        heads.unionByName(body)
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("pair", "value")
+        .write.mode(mode)
+        .option("compression", "gzip")
+        .partitionBy("pair")
+        .text(path)
+    )
+
+
 def write_pileups(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Pileup rows as text below one folder per sample."""
     order = ["lab_id", "contig", "pos"]
