@@ -151,3 +151,35 @@ def test_single_het_site_is_one_segment(spark):
     piles = spark.createDataFrame([("N", "c", 1, 10, 10, 0.2), ("T", "c", 1, 10, 30, 0.2)], PILE)
     got = cont.maf_segments(pairs, piles).collect()
     assert [(r.start_pos, r.end_pos, r.n_sites, r.maf) for r in got] == [(1, 1, 1, 0.25)]
+
+
+def test_change_point_inside_a_run_is_found_at_its_site(spark, rows):
+    pairs = spark.createDataFrame([("a", "T", "N")], PAIRS)
+    data = []
+    for i in range(60):
+        data.append(("N", "c", i * 10 + 1, 20, 20, 0.3))
+        data.append(("T", "c", i * 10 + 1, *((10, 30) if i >= 27 else (20 + i % 2, 20 - i % 2)), 0.3))
+    for block in (1 << 20, 150):
+        got = rows(cont.maf_changepoints(pairs, spark.createDataFrame(data, PILE), block=block), "contig", "segment", "start_pos", "end_pos", "n_sites")
+        assert got == [("c", 0, 1, 261, 27), ("c", 1, 271, 591, 33)]
+    assert cont.maf_changepoints(pairs, spark.createDataFrame([], PILE)).count() == 0
+
+
+def test_cuts_are_those_of_least_cost():
+    import itertools
+    import random
+
+    import numpy as np
+
+    rng = random.Random(7)
+    for _ in range(40):
+        x = [rng.choice([3, 5]) * 10 + rng.randint(-4, 4) for _ in range(rng.randint(1, 10))]
+        penalty = rng.choice([1.0, 30.0, 200.0])
+
+        def cost(cuts):
+            parts = [np.array(x[a:b], dtype=float) for a, b in zip(cuts, [*cuts[1:], len(x)], strict=True)]
+            return sum(((p - p.mean()) ** 2).sum() + penalty for p in parts)
+
+        every = [[0, *c] for k in range(len(x)) for c in itertools.combinations(range(1, len(x)), k)]
+        got = cont.best_cuts(np.ones(len(x)), np.array(x), np.array(x) ** 2, penalty)
+        assert abs(cost(got) - min(map(cost, every))) < 1e-9

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,10 @@ from varspark.operators.skew import spread_join
 
 MIN_DEPTH = 10
 LOCUS = ["contig", "pos"]
+#: Positions per block of change points, sites that are cut at once in one, and what a cut has to save in squared deviation.
+CUT_BLOCK, CUT_SITES, PENALTY = 1 << 20, 4096, 0.1
+#: Fractions are kept in whole millionths, whose sums are exact.
+UNIT = 1_000_000
 
 
 def homalt_sites(pileups: DataFrame, min_depth: int = MIN_DEPTH, min_fraction: float = 0.9) -> DataFrame:
@@ -87,3 +93,68 @@ def maf_segments(pairs: DataFrame, pileups: DataFrame, run: int = 20, max_jump:
             (F.sum("sum_maf") / F.sum("n_sites")).alias("maf"),
         )
     )
+
+
+def best_cuts(n: np.ndarray, s: np.ndarray, q: np.ndarray, penalty: float) -> list[int]:
+    """Where segments of a row of pieces begin, so that squared deviations plus ``penalty`` per segment are least.
+
+    A piece has ``n`` sites with sum ``s`` and sum of squares ``q``. The best cost up to each place is taken over the begins
+    of its last segment; a begin that a cut here would already beat can never be best again and is dropped. Ties go to the earlier begin.
+    """
+    total_n, total_s, total_q = (np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)]) for x in (n, s, q))
+    best, begin = np.zeros(len(n) + 1), np.zeros(len(n) + 1, dtype=np.int64)
+    best[0] = -penalty
+    begins = np.array([0])
+    for t in range(1, len(n) + 1):
+        spread = (total_q[t] - total_q[begins]) - (total_s[t] - total_s[begins]) ** 2 / (total_n[t] - total_n[begins])
+        cost = best[begins] + spread
+        least = int(np.argmin(cost))
+        best[t], begin[t] = cost[least] + penalty, begins[least]
+        begins = np.append(begins[cost <= best[t]], t)
+    cuts, t = [], len(n)
+    while t > 0:
+        t = int(begin[t])
+        cuts.append(t)
+    return cuts[::-1]
+
+
+def _joined(rows: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
+    """Pieces as segments that begin at ``cuts``."""
+    keys = {c: rows[c].iloc[0] for c in ("pair", "tumour_id", "contig")}
+    total = {c: np.add.reduceat(rows[c].to_numpy(np.float64 if c == "q" else np.int64), cuts) for c in ("n_sites", "s", "q")}
+    ends = [*cuts[1:], len(rows)]
+    return pd.DataFrame({**keys, "start_pos": rows["start_pos"].to_numpy()[cuts], "end_pos": rows["end_pos"].to_numpy()[np.array(ends) - 1], **total})
+
+
+def maf_changepoints(pairs: DataFrame, pileups: DataFrame, penalty: float = PENALTY, block: int = CUT_BLOCK) -> DataFrame:
+    """Stretches of even tumour minor-allele fraction at sites het in the normal, by penalised change points.
+
+    Cuts are those for which the squared deviations from the segments' means plus ``penalty`` per segment are least: a jump
+    is found at its site. They are optimal within a stretch of up to ``CUT_SITES`` sites of one block of positions; its
+    segments are then joined by the same rule along the contig, where a cut may go but none moves. So the result is the optimum of the whole contig where it
+    is one stretch, and else close to it near a seam. A task holds the sites of one pair in one block, bounded by its positions, or the
+    segments of one pair and contig. Sites are read once. Pairs without het sites have no segment.
+    """
+    keys = ["pair", "tumour_id", "contig"]
+    total = F.col("ref_count") + F.col("alt_count")
+    sites = _tumour_at_normal(pairs, pileups, het_sites(pileups)).filter(total > 0)
+    share = F.floor(F.least("ref_count", "alt_count") * F.lit(UNIT) / total).cast("long")
+    pieces = sites.select(
+        *keys, F.floor(F.col("pos") / F.lit(block)).cast("long").alias("block"), F.col("pos").alias("start_pos"), F.col("pos").alias("end_pos"),
+        F.lit(1).cast("long").alias("n_sites"), share.alias("s"), (share * share).cast("double").alias("q"),
+    )
+    scaled = penalty * UNIT * UNIT
+    schema = "pair string, tumour_id string, contig string, start_pos bigint, end_pos bigint, n_sites bigint, s bigint, q double"
+
+    def cut(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["start_pos", "s"], kind="stable")
+        parts = [rows.iloc[i : i + CUT_SITES] for i in range(0, len(rows), CUT_SITES)]
+        return pd.concat([_joined(p, best_cuts(*(p[c].to_numpy(np.float64) for c in ("n_sites", "s", "q")), scaled)) for p in parts])
+
+    def stitch(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["start_pos", "end_pos", "s"], kind="stable")
+        whole = _joined(rows, best_cuts(*(rows[c].to_numpy(np.float64) for c in ("n_sites", "s", "q")), scaled))
+        return whole.assign(segment=np.arange(len(whole)))
+
+    segments = pieces.groupBy(*keys, "block").applyInPandas(cut, schema).groupBy(*keys).applyInPandas(stitch, f"{schema}, segment bigint")
+    return segments.select(*keys, "segment", "start_pos", "end_pos", "n_sites", (F.col("s") / F.col("n_sites") / F.lit(float(UNIT))).alias("maf"))

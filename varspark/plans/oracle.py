@@ -472,6 +472,30 @@ FINALS: dict[str, str] = {
     "q_homalt_sites": "SELECT * FROM hom_sites",
     "q_het_sites": "SELECT * FROM het_loci",
     "q_contamination": f"SELECT pair, n_sites, {r6('contamination')}, {r6('error')} FROM contamination",
+    "q_maf_changepoints": f"""SELECT pair, tumour_id, contig, row_number() OVER (PARTITION BY pair, tumour_id, contig ORDER BY lo) - 1 AS segment,
+      ps[lo + 1] AS start_pos, ps[hi] AS end_pos, hi - lo AS n_sites, {r6('(s[hi + 1] - s[lo + 1]) / (hi - lo) / 1e6', 'maf')} FROM (
+      WITH RECURSIVE het AS (
+        SELECT p.pair, p.tumour_id, t.contig, t.pos, least(t.ref_count, t.alt_count) * 1000000 // (t.ref_count + t.alt_count) AS x
+        FROM pairs p JOIN het_loci h ON h.lab_id = p.normal_id
+        JOIN pileups t ON t.lab_id = p.tumour_id AND t.contig = h.contig AND t.pos = h.pos WHERE t.ref_count + t.alt_count > 0
+      ), summed AS (
+        SELECT *, CAST(sum(x) OVER w AS DOUBLE) AS sx, CAST(sum(x * x) OVER w AS DOUBLE) AS qx FROM het
+        WINDOW w AS (PARTITION BY pair, tumour_id, contig ORDER BY pos)
+      ), g AS (
+        SELECT pair, tumour_id, contig, count(*) AS n, list(pos ORDER BY pos) AS ps, list_prepend(0e0, list(sx ORDER BY pos)) AS s, list_prepend(0e0, list(qx ORDER BY pos)) AS q
+        FROM summed GROUP BY ALL
+      ), dp AS (
+        SELECT *, CAST(0 AS BIGINT) AS t, [-2e9] AS best, [CAST(0 AS BIGINT)] AS begins FROM g
+        UNION ALL
+        SELECT pair, tumour_id, contig, n, ps, s, q, t + 1, list_append(best, m.v + 2e9), list_append(begins, m.k) FROM (
+          SELECT pair, tumour_id, contig, n, ps, s, q, best, begins, t,
+            list_min([{{'v': best[k + 1] + ((q[t + 2] - q[k + 1]) - (s[t + 2] - s[k + 1]) * (s[t + 2] - s[k + 1]) / CAST(t + 1 - k AS DOUBLE)), 'k': k}} for k in range(0, t + 1)]) AS m
+          FROM dp WHERE t < n)
+      ), cuts AS (
+        SELECT pair, tumour_id, contig, ps, s, begins, n AS hi, begins[n + 1] AS lo FROM dp WHERE t = n
+        UNION ALL
+        SELECT pair, tumour_id, contig, ps, s, begins, lo, begins[lo + 1] FROM cuts WHERE lo > 0
+      ) SELECT * FROM cuts)""",
     "q_maf_segments": f"SELECT pair, tumour_id, contig, segment, start_pos, end_pos, n_sites, {r6('maf')} FROM segments",
     "q_filter_evidence": f"SELECT {CALL}, n_calls, callable, {r6('contamination')}, {r6('maf')}, {r6('p_orientation')} FROM evidence",
     "q_contamination_posterior": f"SELECT {CALL}, {r6('p_contamination')} FROM foreign_scored",

@@ -651,6 +651,12 @@ def q_maf_segments(t: Tables) -> DataFrame:
     return rounded(workflow(t).segments, "maf")
 
 
+@query
+def q_maf_changepoints(t: Tables) -> DataFrame:
+    cohort = workflow(t)
+    return rounded(cont.maf_changepoints(cohort.pairs, t.pileups(), penalty=0.002), "maf")
+
+
 # --- filtering ---------------------------------------------------------------
 
 
