@@ -327,13 +327,36 @@ def test_mix_edges(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
-def test_preference_makes_unequal_probabilities(spark):
+def test_documents_are_taken_as_often_as_their_odds_say(spark):
+    """Many sources of twenty like documents each, half of them preferred: p = 0.5, so 0.625 and 0.375."""
     from pyspark.sql import functions as F
 
-    docs = docs_of(spark, [(i, "w w w", "en" if i % 2 else "de", "s") for i in range(2000)] + [(9000 + i, "w w w", "fr", "t") for i in range(2000)])
-    got = mixing.mix(docs, weights=(1, 3), share=1.0, preference=F.when(F.col("lang") == "en", 9.0)).where("source = 's'").collect()
-    taken = collections.Counter(r.doc_id % 2 for r in got if r.copies)
-    assert taken[1] > 2 * taken[0]
+    rows = [(100 * s + k, " ".join(["w"] * 10), "en" if k % 2 else "de", f"s{s:03}") for s in range(200) for k in range(20)]
+    got = mixing.mix(docs_of(spark, rows), weights=(1,), share=0.5, preference=F.when(F.col("lang") == "en", 1.0).otherwise(0.0)).collect()
+    per_source, taken = collections.Counter(), collections.Counter()
+    for r in got:
+        per_source[r.source] += r.copies
+        taken[r.doc_id % 2] += r.copies / 2000
+    assert set(per_source.values()) == {10} and len(per_source) == 200
+    assert abs(taken[1] - 0.625) < 0.04 and abs(taken[0] - 0.375) < 0.04
+
+
+def test_mix_prefers_long_documents_and_fills_the_target(spark):
+    rows = [(k, " ".join(["w"] * (2000 if k % 2 else 50)), None, "s") for k in range(1000)]
+    got = mixing.mix(docs_of(spark, rows), weights=(1,), share=0.3).collect()
+    target = got[0].target
+    assert abs(sum(r.copies * r.size for r in got) - target) <= 1000  # half of a long one: the closing one is the nearest that brings it nearer
+    long, short = [sum(r.copies for r in got if r.doc_id % 2 == odd) / 500 for odd in (1, 0)]
+    mean = 2000 / 2050 * 800 / 1000 + 50 / 2050 * 90 / 1000
+    assert abs(long - (0.3 + 0.15 * (0.8 - mean))) < 0.03 and abs(short - (0.3 + 0.15 * (0.09 - mean))) < 0.07
+
+
+def test_rows_without_id_that_differ_are_drawn_apart(spark):
+    rows = [(None, f"a {k}", None, "s") for k in range(2000)] + [(None, "the same", None, "s")] * 500
+    got = mixing.mix(docs_of(spark, rows), weights=(1,), share=0.5, buckets=64).collect()
+    same = {r.copies for r in got if r.text_hash == collections.Counter(r.text_hash for r in got).most_common(1)[0][0]}
+    assert len(got) == 2500 and len(same) == 1
+    assert abs(sum(r.copies for r in got) - 1250) <= 250  # half of the copies that go together
 
 
 # ---- nearest neighbours

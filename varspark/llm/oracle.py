@@ -32,33 +32,37 @@ from docs left join covered using (r) left join items using (r)
 OP6 = f"""
 with docs as (
     select row_number() over () as r, doc_id, source, md5(coalesce(text, '')) as h, len(regexp_extract_all(coalesce(text, ''), '{_SPACED}'))::bigint as size,
-        (('0x' || substr(sha256('17|' || coalesce(doc_id::varchar, '')), 1, 13))::bigint::double + 0.5) / 4503599627370496.0 as u
+        (('0x' || substr(sha256('17|' || coalesce(doc_id::varchar, '') || '|' || md5(coalesce(text, ''))), 1, 13))::bigint::double + 0.5) / 4503599627370496.0 as u
     from documents
+), wishes as (
+    select *, (1000 * size) // (size + 500) as wish, count(*) over (partition by doc_id, source, h) as ties from docs
 ), sources as (
     select *, 2.0::double * source_size as cap, [3.0::double, 1.0, 2.0][((n - 1) % 3 + 1)::int] as weight from (
-        select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as n from docs group by source)
+        select source, sum(size)::bigint as source_size, sum(size * wish)::bigint as wished, row_number() over (order by source nulls last) as n from wishes group by source)
 ), levels as (
     select *, 1.5::double * sum(source_size) over ()::bigint as total, sum(cap) over a as caps, sum(weight) over b as rest
     from sources window a as (order by cap / weight, n rows unbounded preceding),
         b as (order by cap / weight, n rows between current row and unbounded following)
 ), filled as (select *, weight * ((total - (caps - cap)) / rest) >= cap as is_full from levels),
 plan as (
-    select source, source_size, case when is_full then cap else weight * ((total - sum(case when is_full then cap else 0 end) over ())
+    select source, source_size, wished, case when is_full then cap else weight * ((total - sum(case when is_full then cap else 0 end) over ())
         / sum(case when is_full then 0 else weight end) over ()) end as target from filled
 ), shares as (
     select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as whole,
         case when source_size > 0 then target / source_size - floor(target / source_size) else 0 end as p from plan
+), chances as (
+    select d.*, source_size, target, whole, p, target - whole * source_size as room,
+        case when p > 0 then p + least(p, 1 - p) / 2 * ((wish - wished::double / source_size::double) / 1000) end as chance
+    from wishes d join shares s on d.source is not distinct from s.source
 ), ranked as (
-    select r, doc_id, d.source, h, size, source_size, target, whole, p, target - whole * source_size as room,
-        case when p > 0 then (u / (1.0 - u)) / (p / (1.0 - p)) end as rank
-    from docs d join shares s on d.source is not distinct from s.source
+    select *, (u / (1.0::double - u)) / (chance / (1.0::double - chance)) as rank from chances
 ), placed as (
     select *, p > 0 and sum(size) over (partition by source order by rank, doc_id, size, h) <= room as in_order from ranked
 ), remaining as (
     select *, room - sum(case when in_order then size else 0 end) over (partition by source) as open from placed
 ), closing as (
-    select *, p > 0 and not in_order and abs(size - open) < open and row_number() over (
-        partition by source order by p > 0 and not in_order and abs(size - open) < open desc, abs(size - open), rank, doc_id, r) = 1 as closes
+    select *, p > 0 and not in_order and abs(size * ties - open) < open and rank() over (
+        partition by source order by p > 0 and not in_order and abs(size * ties - open) < open desc, abs(size * ties - open), rank, doc_id, size, h) = 1 as closes
     from remaining
 )
 select doc_id, size, source_size::bigint as source_size, target, ((whole + in_order::bigint + closes::bigint) * size)::bigint as taken from closing
