@@ -235,7 +235,8 @@ def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     expected = {(a, b) for a in range(30) for b in range(a + 1, 30) if a % 10 != b % 10}
     for block in (7, 2048):
         monkeypatch.setattr(jaccard_join, "LIST_BLOCK", block)
-        got = jaccard_join.cross_pairs(lists, 75).collect()
+        monkeypatch.setattr(jaccard_join, "LEAD_ROWS", 4 * block)
+        got = jaccard_join.cross_pairs(lists, jaccard_join.open_lists(lists), 75).collect()
         assert {(r.a, r.b) for r in got} == expected and {r.met for r in got} == {3}
 
 

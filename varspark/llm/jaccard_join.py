@@ -41,6 +41,8 @@ BITMAP_BITS = 1024
 HUBS = 8
 #: Members of a list compared by one task; longer lists are dealt out as pairs of blocks.
 LIST_BLOCK = 2048
+#: Rows of lists with one smallest member that one task reads; more of them are dealt to several tasks.
+LEAD_ROWS = 8192
 
 _SEED = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -373,21 +375,33 @@ def _counted(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(met), pa.array(np.minimum.reduceat(must, first))], ["a", "b", "met", "least"])
 
 
-def cross_pairs(lists: DataFrame, similarity: int) -> DataFrame:
+def open_lists(lists: DataFrame) -> DataFrame:
+    """key, lead (smallest member), blocks, parts (shares of the lead's lists): lists with members of different components.
+
+    Rows of one lead are dealt to as many tasks as it takes for some LEAD_ROWS each.
+    """
+    length = lists.groupBy("key").agg(
+        F.count("*").alias("length"), F.min("id").alias("lead"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    rows = length.where("low != high").select("key", "lead", "length", F.ceil(F.col("length") / LIST_BLOCK).cast("int").alias("blocks"))
+    heavy = rows.groupBy("lead").agg(F.sum(F.col("length") * F.col("blocks")).alias("rows")).where(F.col("rows") > LEAD_ROWS)
+    heavy = heavy.select(F.col("lead").alias("heavy"), F.ceil(F.col("rows") / LEAD_ROWS).alias("parts"))
+    parted = rows.join(heavy, F.col("lead") == F.col("heavy"), "left")
+    return parted.select("key", "lead", "blocks", F.coalesce("parts", F.lit(1)).alias("parts"))
+
+
+def cross_pairs(lists: DataFrame, opened: DataFrame, similarity: int) -> DataFrame:
     """a, b, met (lists in common), least (lists they must have in common): pairs of different components.
 
     ``lists`` has key, id, n, bits, component. A list longer than a block is
     dealt out as pairs of its blocks, so that no task compares more than
     two blocks at once; a pair meets once per list. Lists with the same
-    smallest member, as those of one passage or one crowd of near copies, meet in one task block by block, which counts their pairs before they are shuffled.
+    smallest member, as those of one passage or one crowd of near copies, meet in one task block by block, which counts their pairs before they are shuffled;
+    many such lists are split by key over several tasks (see ``open_lists``), whose counts add up.
     """
-    length = lists.groupBy("key").agg(
-        F.count("*").alias("length"), F.min("id").alias("lead"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    open_lists = length.where("low != high").select("key", "lead", F.ceil(F.col("length") / LIST_BLOCK).cast("int").alias("blocks"))
-    rows = lists.join(open_lists, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = lists.join(opened, "key").withColumn("part", F.pmod(F.xxhash64("key"), "parts")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", "lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", F.col("n").cast("long").alias("n"), "bits", "component"
+        "part", "key", "lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", F.col("n").cast("long").alias("n"), "bits", "component"
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,7 +434,7 @@ def cross_pairs(lists: DataFrame, similarity: int) -> DataFrame:
         if found:
             yield _counted(found)
 
-    dealt = rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j", "key")
+    dealt = rows.repartition("lead", "part", "i", "j").drop("part").sortWithinPartitions("lead", "i", "j", "key")
     pairs = dealt.mapInArrow(read, "a long, b long, met long, least long")
     return pairs.groupBy("a", "b").agg(F.sum("met").alias("met"), F.min("least").alias("least")).where("met >= least")
 
@@ -459,7 +473,8 @@ def links(docs: DataFrame, rows: DataFrame, similarity: int = SIMILARITY, gram:
     first = stages.stored(verified(hubs, sets, similarity), "jaccard-links")
     joined = connected(first)
     lists = lists.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    second = verified(cross_pairs(lists, similarity), sets, similarity)
+    opened = stages.stored(open_lists(lists), "jaccard-open")
+    second = verified(cross_pairs(lists, opened, similarity), sets, similarity)
     both = stored(first.unionAll(second), "jaccard-links")
     stages.drop()
     return both
