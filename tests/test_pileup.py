@@ -109,3 +109,15 @@ def test_callable_counts_a_locus_once(spark, rows):
 def test_no_reads(spark):
     sites = spark.createDataFrame([("c", 64, "C", "A", 0.1)], "contig string, pos bigint, ref string, alt string, af double")
     assert p.pileup_summaries(spark.createDataFrame([], READS), sites).count() == 0
+
+
+def test_reference_depths_of_loci_without_a_sample_are_those_of_every_sample(spark, rows):
+    mine = [("s", "a", 0, "c", 60, 60, "8M", "AAAACCCC", "IIIIIIII"), ("s", "b", 0, "c", 64, 60, "4M", "CCGG", "I#II")]
+    others = [("t", "a", 0, "c", 64, 60, "4M", "GCCC", "IIII"), ("u", "a", 1024, "c", 64, 60, "4M", "CCCC", "IIII"), ("t", "b", 0, "d", 64, 60, "1M", "C", "I")]
+    reads = spark.createDataFrame(mine + others, READS)
+    # Two alleles of one locus count once; an indel's base is its first.
+    loci = [("c", 64, "C", "A"), ("c", 64, "C", "T"), ("c", 65, "CA", "C"), ("c", 90, "C", "A")]
+    sites = spark.createDataFrame(loci, "contig string, pos bigint, ref string, alt string")
+    whole = [("s", "c", 64, 2), ("s", "c", 65, 1), ("t", "c", 64, 0), ("t", "c", 65, 1)]
+    assert rows(p.reference_depths(reads, sites, min_baseq=10), "lab_id", "contig", "pos", "ref_count") == whole
+    assert rows(p.reference_depths(reads, sites.selectExpr("'s' as lab_id", "*"), min_baseq=10), "lab_id", "contig", "pos", "ref_count") == whole[:2]

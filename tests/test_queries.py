@@ -51,6 +51,14 @@ def test_query_equals_sql(spark, duck, name):
     assert comparable(df.columns, [tuple(r) for r in df.collect()]) == comparable(columns, expected.fetchall())
 
 
+def test_reference_depths_cover_every_sample_at_every_site(spark, duck):
+    """Every base of a usable read at a site of the resource, not those alone that a sample's counts name."""
+    asked = "WITH one AS (%s) SELECT DISTINCT lab_id, contig, pos FROM one"
+    covered = set(duck.execute(asked % SQL["q_gather_pileups"]).fetchall())
+    got = {(r.lab_id, r.contig, r.pos) for r in QUERIES["q_reference_depths"](spark, SF).collect()}
+    assert covered and covered <= got
+
+
 PLANNED = [
     "q_assign_interval", "q_exclude_regions", "q_pileup_summaries", "q_allele_counts", "q_create_pon", "q_call_pairs",
     "q_contamination", "q_maf_segments", "q_f1r2_histogram", "q_expected_grid", "q_rerun_set", "q_annotate_germline",

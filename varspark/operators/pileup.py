@@ -258,14 +258,16 @@ def callable_sites(counts: DataFrame, min_depth: int = 10) -> DataFrame:
 def reference_depths(reads: DataFrame, loci: DataFrame, min_baseq: int = 0) -> DataFrame:
     """Reads that show the reference base at given loci of given samples: lab_id, contig, pos, ref_count.
 
-    ``loci`` has lab_id and a site (contig, pos, ref, alt). Only these loci are read
+    ``loci`` has a site (contig, pos, ref, alt) and lab_id; without lab_id, each locus is meant for every sample that covers it,
+    and samples come from the blocks, not from a product of samples and loci. Only these loci are read
     off the blocks, so what grows with the genome is the scan alone. An indel's base is the first of its reference text.
     """
-    wanted = loci.select("lab_id", "contig", "pos", F.substring("ref", 1, 1).alias("ref")).distinct()
+    by = [c for c in ("lab_id", "contig") if c in loci.columns]
+    wanted = loci.select(*by, "pos", F.substring("ref", 1, 1).alias("ref")).distinct()
     blocks = cigar_blocks(usable_reads(reads)).select(
         F.col("lab_id"), "contig", "start_pos", "end_pos", F.col("start_pos").alias("block_start"), "bases", "quals"
     )
-    hits = bin_join(wanted, blocks, width=READ_BIN, by=("lab_id", "contig"), heavy="spans")
+    hits = bin_join(wanted, blocks, width=READ_BIN, by=by, heavy="spans")
     place = (F.col("pos") - F.col("block_start") + 1).cast("int")
     shows = F.substring(F.col("bases"), place, F.lit(1)) == F.col("ref")
     if min_baseq > 0:

@@ -428,8 +428,8 @@ def q_allele_counts(t: Tables) -> DataFrame:
 
 @query
 def q_reference_depths(t: Tables) -> DataFrame:
-    """Reference reads of each sample at the sites of its own counts."""
-    return pileup.reference_depths(t.reads(), t.counts().select("lab_id", *SITE), min_baseq=10)
+    """Reference reads at the sites of the resource, for every sample with reads."""
+    return pileup.reference_depths(t.reads(), t.resource().select(*SITE), min_baseq=10)
 
 
 @query
