@@ -457,6 +457,31 @@ def test_pieces_give_the_ids_of_whole_texts(texts):
     assert [x.tolist() for x in (encoder.ids(texts) if texts else [])] == expected
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("abÉ5 .,'\n\r\0\x1c\x85\xa0\u1680\u2009\u201d\u205f\u3000漢-")), max_size=25), min_size=1, max_size=5))
+def test_cuts_beside_any_white_space_give_the_ids_of_whole_texts(texts):
+    encoder = token_store.PieceEncoder(TOKENIZER, 2, np.dtype("<u2"))
+    expected = [[*e.ids, 2] for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.ids(texts)] == expected
+    apart = pa.array(["before", *texts]).slice(1)  # a slice begins within its bytes
+    assert [x.tolist() for x in encoder.ids(apart)] == expected
+
+
+def test_words_are_learned_once_whatever_stands_after_them():
+    """A line's end, a comma or a full stop makes no new piece of a known word."""
+    encoder = token_store.PieceEncoder(TOKENIZER, 2, np.dtype("<u2"))
+    encoder.ids(["x one two three.\nfour five, six"])
+    known = encoder.n
+    encoder.ids(["x six.\nfour three, one\nfour two. five one"])
+    assert encoder.n == known
+
+
+def test_slices_hold_all_texts_in_bounded_runs():
+    sizes = [3, 0, 9, 20, 1, 1, 0]
+    got = list(token_store._slices(sizes, 10))
+    assert got == [(0, 2), (2, 3), (3, 4), (4, 7)] and list(token_store._slices([], 10)) == []
+
+
 TOKENIZER = queries.tokenizer_json()
 
 

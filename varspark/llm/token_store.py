@@ -22,6 +22,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -41,6 +42,8 @@ SHARD_IDS = 4 << 20
 PIECES = 1_500_000
 #: Runs of new pieces that the BPE model takes at once.
 RUNS = 256
+#: Bytes of text that are cut and looked up at once; a longer text stands alone.
+SLICE_BYTES = 4 << 20
 
 _LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.int64)
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
@@ -56,19 +59,40 @@ def _byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+# White space as Python and the pattern's library know it: in ASCII by byte, beyond that by its UTF-8 bytes.
+_SPACE, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[[*range(9, 14), *range(28, 33)]] = True
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_WIDE_SPACES = {c.encode(): len(c.encode()) for c in map(chr, range(128, 0x3001)) if c.isspace()}
+
+
+def _white_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 texts belong to white space."""
+    space = _SPACE[data]
+    lead = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    if len(lead):
+        padded = np.append(data, np.zeros(2, np.uint8))
+        for sign, n in _WIDE_SPACES.items():
+            same = lead[np.logical_and.reduce([padded[lead + k] == sign[k] for k in range(n)])]
+            for k in range(n):
+                space[same + k] = True
+    return space
+
+
 class PieceEncoder:
     """Encodes texts piece by piece and remembers the ids of each piece.
 
-    A byte-level BPE with its usual pattern never joins what lies before a single space to
-    what follows, so the ids of a text are those of its parts, cut before
-    each single space. Spaces beside other white space are not cut at; texts
-    that hold an added token, and tokenizers of another kind, are encoded as a whole.
+    A byte-level BPE with its usual pattern never joins what lies before a single space or line feed to
+    what follows, nor a letter or digit to a full stop or comma, so the ids of a text are those of its parts, cut
+    there and after such line feeds. White space signs beside each other are not cut at; texts
+    that hold an added token, and tokenizers of another kind, are encoded as a whole. Places to cut are found in the bytes of many texts at
+    once, and Arrow finds the distinct pieces, so that only these become Python texts and are looked up.
 
-    New pieces are cut into the runs of that pattern where ASCII or letters alone leave no doubt about them,
-    and many runs go to the BPE model at once, with zero bytes between, which no merge takes in.
+    New pieces are cut into the runs of that pattern where ASCII or letters alone leave no doubt about them. Runs are
+    remembered as pieces are; those not known yet go to the BPE model many at once, with zero bytes between, which no merge takes in.
     """
 
-    _wide, _single, _signs = re.compile(r"\s\s"), re.compile(r"(?<=\S) (?=\S)"), _byte_signs()
+    _signs = _byte_signs()
     # Fixed value: the usual pattern of byte-level BPE for ASCII.
     _ascii_runs = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 
@@ -93,9 +117,8 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        # Pieces by their text, those after a space by what follows it; the entry k of a piece has ids flat[ends[k] : ends[k + 1]].
-        self.after_space: dict[str, int] = {}
-        self.at_begin: dict[str, int] = {}
+        # Pieces by their text, a space before it included; the entry k of a piece has ids flat[ends[k] : ends[k + 1]].
+        self.place: dict[str, int] = {}
         self.ends, self.flat, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 18, self.width), 0
         self.end = self._keep(np.array([self.end_id]), np.array([1]))
 
@@ -111,73 +134,110 @@ class PieceEncoder:
         self.n += len(until)
         return self.n - len(until)
 
-    def _runs(self, piece: str, space: str) -> list[str]:
-        """The piece after a space or at the begin, cut into runs; none where that is left to the library."""
-        if not space and any(a in piece for a in self.added):
+    def _gather(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the entries one after the other, and where each ends."""
+        first = self.ends[entry]
+        n = self.ends[entry + 1] - first
+        # Position k takes the k-th id counted from the begin of its entry.
+        until = np.cumsum(n, dtype=np.int32)
+        return self.flat[np.repeat(first - (until - n), n) + np.arange(until[-1], dtype=np.int32)], until
+
+    def _runs(self, piece: str) -> list[str]:
+        """The piece cut into runs; none where that is left to the library."""
+        core = piece[1:] if piece[0] == " " else piece
+        if core.isalpha():
+            return [piece]
+        if core[-1:] in (".", ",") and core[:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+        if not piece.isascii() or "\0" in piece or any(a in piece for a in self.added):
             return []
-        if piece.isalpha():
-            return [space + piece]
-        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
-            return [space + piece[:-1], piece[-1]]
-        return self._ascii_runs.findall(space + piece) if piece.isascii() and "\0" not in piece else []
-
-    def _learn(self, pieces: list[str], space: str, place: dict[str, int]) -> None:
+        return self._ascii_runs.findall(piece)
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        """Entries for new runs."""
+        ids = []
+        for k in range(0, len(runs), RUNS):
+            signs = "\0".join(runs[k : k + RUNS]).encode().decode("latin-1").translate(self._signs)
+            ids += [t.id for t in self.tokenizer.model.tokenize(signs)]
+            ids.append(self.zero_id)
+        ids = np.array(ids)
+        between = ids == self.zero_id
+        owner = (np.cumsum(between) - between)[~between]
+        at = self._keep(ids[~between], np.bincount(owner, minlength=len(runs)))
+        self.place.update(zip(runs, range(at, at + len(runs)), strict=True))
+
+    def _learn(self, pieces: list[str]) -> None:
         """Entries for new pieces."""
-        joined, runs, counts = [], [], []
-        if self.joins:
-            for piece in pieces:
-                if cut := self._runs(piece, space):
-                    joined.append(piece)
-                    runs += cut
-                    counts.append(len(cut))
-        if joined:
-            ids = []
-            for k in range(0, len(runs), RUNS):
-                signs = "\0".join(runs[k : k + RUNS]).encode().decode("latin-1").translate(self._signs)
-                ids += [t.id for t in self.tokenizer.model.tokenize(signs)]
-                ids.append(self.zero_id)
-            ids = np.array(ids)
-            between = ids == self.zero_id
-            owner = np.repeat(np.arange(len(joined)), counts)[(np.cumsum(between) - between)[~between]]
-            at = self._keep(ids[~between], np.bincount(owner, minlength=len(joined)))
-            place.update(zip(joined, range(at, at + len(joined)), strict=True))
-        rest = [p for p in pieces if p not in place]
+        cut = [self._runs(p) for p in pieces] if self.joins else [[]] * len(pieces)
+        runs = dict.fromkeys(chain.from_iterable(cut))
+        if new := [r for r in runs if r not in self.place]:
+            self._learn_runs(new)
+        several = [(p, c) for p, c in zip(pieces, cut, strict=True) if len(c) > 1]
+        if several:
+            entry = np.fromiter(map(self.place.__getitem__, chain.from_iterable(c for _, c in several)), np.int32)
+            ids, until = self._gather(entry)
+            at = self._keep(ids, np.diff(until[np.cumsum([len(c) for _, c in several]) - 1], prepend=0))
+            self.place.update(zip([p for p, _ in several], range(at, at + len(several)), strict=True))
+        rest = [p for p, c in zip(pieces, cut, strict=True) if not c]
         if rest:
-            each = [self.tokenizer.encode(space + p, add_special_tokens=False).ids for p in rest]
+            each = [self.tokenizer.encode(p, add_special_tokens=False).ids for p in rest]
             at = self._keep(np.fromiter(chain.from_iterable(each), np.int64), np.array([len(e) for e in each]))
-            place.update(zip(rest, range(at, at + len(rest)), strict=True))
-
-    def _cut(self, text: str) -> list[str]:
-        if not self.by_piece or any(a in text for a in self.added):
-            return [text]
-        return self._single.split(text) if self._wide.search(text) else text.split(" ")
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+            self.place.update(zip(rest, range(at, at + len(rest)), strict=True))
+
+    def _begins(self, texts: pa.Array, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where pieces begin in the bytes of all texts; ``bounds`` are those of the texts."""
+        begins = np.zeros(len(data) + 1, bool)
+        if self.by_piece:
+            space = _white_space(data)
+            # A text's first byte is cut at anyway; what stands before it or after its last byte can only prevent a cut.
+            at = np.flatnonzero((data == 0x20) | (data == 0x0A))
+            at = at[~space[at - 1] & ~space[at + 1 - (at + 1 == len(data))]] if len(data) > 1 else at[:0]
+            begins[at] = True
+            begins[at[data[at] == 0x0A] + 1] = True
+            at = np.flatnonzero((data == 0x2E) | (data == 0x2C))
+            begins[at[_ALNUM[data[at - 1]]]] = True
+            for k in np.flatnonzero(np.logical_or.reduce([pc.match_substring(texts, a).to_numpy(zero_copy_only=False) for a in self.added] or [np.zeros(len(texts), bool)])):
+                begins[bounds[k] : bounds[k + 1]] = False
+        begins[bounds] = True
+        return np.flatnonzero(begins[:-1])
+
+    def ids(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         """The ids of each text, the end id last."""
         if self.n > self.most:
             self._forget()
-        cut = [self._cut(text) for text in texts]
-        heads = [c.pop(0) for c in cut]
-        tails = list(chain.from_iterable(cut))
-        ends = np.cumsum([2 + len(c) for c in cut])  # a text's head, tails and end
-        entry = np.full(int(ends[-1]), self.end, np.int32)
-        is_tail = np.ones(len(entry), bool)
-        is_tail[ends - 1] = is_tail[0] = is_tail[ends[:-1]] = False
-        for pieces, space, place, where in ((heads, "", self.at_begin, np.append(0, ends[:-1])), (tails, " ", self.after_space, is_tail)):
-            found = np.fromiter(map(place.get, pieces, repeat(-1)), np.int32, len(pieces))
-            unknown = np.flatnonzero(found < 0)
-            if len(unknown):
-                new = [pieces[i] for i in unknown]
-                self._learn(list(dict.fromkeys(new)), space, place)
-                found[unknown] = [place[p] for p in new]
-            entry[where] = found
-        first = self.ends[entry]
-        n = self.ends[entry + 1] - first
-        # Position k of the batch takes the k-th id counted from the begin of its piece.
-        until = np.cumsum(n, dtype=np.int32)
-        flat = self.flat[np.repeat(first - (until - n), n) + np.arange(until[-1], dtype=np.int32)]
+        texts = pa.concat_arrays([pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())])
+        bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+        low, high = int(bounds[0]), int(bounds[-1])
+        bytes_ = (texts.buffers()[2] or pa.py_buffer(b"")).slice(low, high - low)
+        bounds = bounds - low
+        begin = self._begins(texts, np.frombuffer(bytes_, np.uint8), bounds)
+        offsets = np.append(begin, high - low)
+        coded = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(offsets), bytes_).dictionary_encode()
+        entry = self._entries(coded.dictionary)[coded.indices.to_numpy()] if len(begin) else np.zeros(0, np.int32)
+        # The end id follows the pieces of each text.
+        ends = np.searchsorted(begin, bounds[1:]) + np.arange(1, len(bounds))
+        all_ = np.full(len(entry) + len(texts), self.end, np.int32)
+        is_piece = np.ones(len(all_), bool)
+        is_piece[ends - 1] = False
+        all_[is_piece] = entry
+        flat, until = self._gather(all_)
         return np.split(flat, until[ends - 1][:-1])
 
+    def _entries(self, distinct: pa.Array) -> np.ndarray:
+        """The entry of each piece; new ones are learned."""
+        # One long text of all pieces is cut far faster than they are turned into Python texts one by one.
+        one = pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct)
+        pieces = pc.binary_join(one, pa.scalar("\0", pa.large_string()))[0].as_py().split("\0")
+        if len(pieces) != len(distinct):  # zero bytes in texts
+            pieces = distinct.to_pylist()
+        found = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int32, len(pieces))
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            new = [pieces[i] for i in unknown]
+            self._learn(new)
+            found[unknown] = [self.place[p] for p in new]
+        return found
+
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
@@ -190,6 +250,18 @@ def _encoder(*settings) -> PieceEncoder:
     return _ENCODERS[settings]
 
 
+def _slices(sizes: Iterable[int], most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Begin and end of runs of texts that hold so many bytes together; a longer text stands alone."""
+    begin, held, end = 0, 0, 0
+    for end, size in enumerate(sizes, 1):
+        if held + size > most and end - 1 > begin:
+            yield begin, end - 1
+            begin, held = end - 1, 0
+        held += size
+    if end > begin:
+        yield begin, end
+
+
 def _narrow(vocabulary: int) -> np.dtype:
     return np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
 
@@ -201,11 +273,11 @@ def token_ids(docs: DataFrame, tokenizer_json: str, end_id: int, pieces: int = P
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_json, end_id, width, pieces)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                ids = encoder.ids([t or "" for t in part.column(1).to_pylist()])
+            texts = pc.fill_null(batch.column(1), "")
+            for lo, hi in _slices(pc.binary_length(texts).to_pylist()):
+                ids = encoder.ids(texts.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
+                    [batch.column(0).slice(lo, hi - lo), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
                     ["doc_id", "n", "ids"],
                 )
 
