@@ -243,3 +243,31 @@ def test_index_counts_all_phrases(texts, most):
                 for row, *c in zip(ids.tolist(), *counts, strict=True):
                     found["en", tuple(map(spell, row))] = [x + int(y) for x, y in zip(found["en", tuple(map(spell, row))], c, strict=True)]
     assert dict(found) == dict(plain_counts(rows)[1])
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark):
+    """Files of a finished write do not wait for the driver's garbage collection."""
+    import time
+
+    from varspark.llm.stages import Stages, shuffles_removed
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before, given = blocks.getAllFiles().size(), spark.conf.get(setting)
+    stages = Stages(spark, remove_shuffles=True)
+    kept = [stages.stored(spark.range(1000).selectExpr("id", "id % 7 as k").repartition(20 + k, "k"), f"some-{k}") for k in range(3)]
+    until = time.time() + 10
+    while blocks.getAllFiles().size() > before and time.time() < until:
+        time.sleep(0.1)
+    assert blocks.getAllFiles().size() <= before and spark.conf.get(setting) == given
+    stages.drop("some-1")
+    assert len(stages.paths) == 2 and kept[0].count() == kept[2].count() == 1000
+    stages.drop()
+    assert stages.paths == []
+    spark.conf.set(setting, "true")
+    try:
+        with shuffles_removed(spark), shuffles_removed(spark):
+            pass
+        assert spark.conf.get(setting) == "true"
+    finally:
+        spark.conf.unset(setting)

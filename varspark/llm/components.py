@@ -16,7 +16,7 @@ def connected(links: DataFrame) -> DataFrame:
     the label of that label, so paths halve. Rounds are stored tables, dropped at the end; only the number of changed
     labels comes to the driver. A node's neighbours are aggregated, never listed.
     """
-    stages = Stages(links.sparkSession)
+    stages = Stages(links.sparkSession, remove_shuffles=True)
     both = stages.stored(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = stages.stored(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("label")), "labels")
     while True:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from varspark.llm.blocks import Block, RunHashes, mixed, spaced_words, text_blocks
 from varspark.llm.columns import spare
 from varspark.llm.components import connected
-from varspark.llm.stages import Stages
+from varspark.llm.stages import Stages, shuffles_removed
 from varspark.session import stored
 
 GRAM = 5
@@ -458,13 +458,15 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 def links(docs: DataFrame, rows: DataFrame, similarity: int = SIMILARITY, gram: int = GRAM) -> DataFrame:
     """a, b: links between distinct sets, ids as in ``rows`` (see ``members``), that together connect all sets that links connect."""
-    stages = Stages(docs.sparkSession)
+    stages = Stages(docs.sparkSession, remove_shuffles=True)
     sizes = {r.n: r.sets for r in rows.where("n <= 200").groupBy("n").agg(F.count_distinct("id").alias("sets")).collect()}
     plan = make_plan(bucket_counts(docs, gram), sizes, similarity)
-    lists = stages.stored(with_partners(stages.stored(shared_lists(postings(docs, plan, gram)), "jaccard-lists"), similarity), "jaccard-lists")
+    lists = stages.stored(with_partners(stages.stored(shared_lists(postings(docs, plan, gram)), "jaccard-shared"), similarity), "jaccard-partners")
+    stages.drop("jaccard-shared")
     chosen = lists.select("id").distinct().join(rows, "id").groupBy("id").agg(F.min(F.struct("doc_id", "tie")).alias("d")).select("id", "d.*")
     sets = stages.stored(set_table(docs, chosen, gram), "jaccard-sets")
     lists = stages.stored(lists.join(sets.select("id", "bits"), "id").select("key", "id", "n", "bits"), "jaccard-lists")
+    stages.drop("jaccard-partners")
 
     # The hubs that a set met most often are its best chances; pass two finds what they leave.
     hubs = hub_pairs(lists, similarity).groupBy("a", "b").agg(F.count("*").alias("met"))
@@ -475,7 +477,8 @@ def links(docs: DataFrame, rows: DataFrame, similarity: int = SIMILARITY, gram:
     lists = lists.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
     opened = stages.stored(open_lists(lists), "jaccard-open")
     second = verified(cross_pairs(lists, opened, similarity), sets, similarity)
-    both = stored(first.unionAll(second), "jaccard-links")
+    with shuffles_removed(docs.sparkSession):
+        both = stored(first.unionAll(second), "jaccard-links")
     stages.drop()
     return both
 

@@ -2,16 +2,47 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from varspark.session import removed, scratch_path
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock, _within, _given = threading.Lock(), 0, None
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run within it lose their shuffle files when they end, not only when the driver collects its garbage.
+
+    For writes of tables, whose shuffles nothing reads again. The session's own setting is back afterwards, also if several threads are within.
+    """
+    global _within, _given
+    with _lock:
+        if not _within:
+            _given = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _within += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _within -= 1
+            if not _within:
+                spark.conf.unset(_CLEANUP) if _given is None else spark.conf.set(_CLEANUP, _given)
+
 
 class Stages:
-    """Tables written by one call of an operator. ``drop`` deletes them once the result no longer depends on them."""
+    """Tables written by one call of an operator. ``drop`` deletes them once the result no longer depends on them.
+
+    With ``remove_shuffles`` the shuffle files of each write go as soon as its table is there.
+    """
 
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark = spark
+    def __init__(self, spark: SparkSession, remove_shuffles: bool = False) -> None:
+        self.spark, self.remove_shuffles = spark, remove_shuffles
         self.paths: list[str] = []
 
     def path(self, name: str) -> str:
@@ -21,10 +52,15 @@ class Stages:
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         """The rows as a table, which outlives any executor."""
         path = self.path(name)
-        df.write.parquet(path)
+        if self.remove_shuffles:
+            with shuffles_removed(self.spark):
+                df.write.parquet(path)
+        else:
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
-        for path in self.paths:
+    def drop(self, *names: str) -> None:
+        """Delete the tables of these names, or all."""
+        for path in [p for p in self.paths if not names or p.rpartition("/")[2].rpartition("-")[0] in names]:
             removed(self.spark, path)
-        self.paths = []
+            self.paths.remove(path)
