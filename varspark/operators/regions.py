@@ -63,7 +63,8 @@ def nested_join(points: DataFrame, spans: DataFrame, levels: Sequence[int], *, w
     listed = F.lit(None)
     for k in levels:
         first, last = _bin("start_pos", width * FAN**k), _bin("end_pos", width * FAN**k)
-        bins = F.transform(F.sequence(first, last), lambda b, k=k: F.struct(F.lit(k).alias("level"), b.alias("bin")))
+        # The function takes the bin alone: a second parameter, even one with a default, would be given the bin's index.
+        bins = F.transform(F.sequence(first, last), lambda b: F.struct(F.lit(k).alias("level"), b.alias("bin")))  # noqa: B023
         listed = F.when(at == k, bins).otherwise(listed)
     right = spans.withColumn("_place", F.explode(listed)).withColumnsRenamed({"start_pos": "_start", "end_pos": "_end", "contig": "_contig"})
     left = left.withColumns({"_level": F.col("_place.level"), "_bin": F.col("_place.bin")}).drop("_place")
