@@ -38,12 +38,12 @@ DOCS_HEAD = struct.Struct("<4sIQQQI")  # documents, ids, control bytes, data byt
 #: Ids per block at which it is closed, and ids per shard; both end with a whole document.
 BLOCK_IDS = 1 << 16
 SHARD_IDS = 4 << 20
-#: Distinct pieces of text a worker remembers (some 300 MB); past that it forgets all and starts anew.
-PIECES = 1_500_000
+#: Distinct pieces of text a worker remembers; past that it forgets all and starts anew.
+PIECES = 700_000
 #: Runs of new pieces that the BPE model takes at once.
 RUNS = 256
 #: Bytes of text that are cut and looked up at once; a longer text stands alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 19
 
 _LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.int64)
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
@@ -289,6 +289,7 @@ def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     width = _narrow(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _ENCODERS.clear()  # the ids are stored by now; a worker that waits for later stages need not hold its pieces
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
