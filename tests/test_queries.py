@@ -110,3 +110,25 @@ def test_no_row_of_lineitem_is_lost(spark):
     kept = t.observations().join(t.keyed_sites().select("locus"), "locus").agg({"ref_count": "sum", "alt_count": "sum"}).collect()[0]
     whole = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("sum(cast(l_quantity as bigint)) as n").collect()[0].n
     assert sum(seen) == sum(kept) == whole
+
+
+def test_threads_that_ask_for_a_table_at_once_share_one(spark):
+    """Else each of them stores a copy of its own."""
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+
+    from varspark.plans.fixtures import Tables, once
+
+    class Slow(Tables):
+        made = 0
+
+        @once
+        def counts(self):
+            time.sleep(0.2)
+            self.made += 1
+            return spark.range(1)
+
+    t = Slow(spark, "nowhere")
+    with ThreadPoolExecutor(4) as pool:
+        frames = list(pool.map(lambda _: t.counts(), range(4)))
+    assert t.made == 1 and all(f is frames[0] for f in frames)

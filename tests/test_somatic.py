@@ -265,3 +265,19 @@ def test_workflow_from_reads_to_filters(spark, keep):
     for c in got.values():
         assert (c.t_ref, c.t_alt, c.n_ref, c.n_alt) == (28, 12, 40, 0) and c.nlod > 2.2 and list(c.filters) == []
     cohort.close()
+
+
+def test_stages_of_a_workflow_leave_no_shuffle_files(spark):
+    """A stage that is written needs its shuffles no more; they do not wait for the driver's garbage collection."""
+    import time
+
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = blocks.getAllFiles().size()
+    cohort = Workflow(HandWritten(spark), iterations=2).prepare()
+    thresholds = cohort.thresholds
+    until = time.time() + 10
+    while blocks.getAllFiles().size() > before and time.time() < until:
+        time.sleep(0.1)
+    assert blocks.getAllFiles().size() <= before
+    assert thresholds.count() == 1
+    cohort.close()

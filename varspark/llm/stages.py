@@ -2,37 +2,9 @@
 
 from __future__ import annotations
 
-import threading
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 
-from varspark.session import removed, scratch_path
-
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_lock, _within, _given = threading.Lock(), 0, None
-
-
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Queries that run within it lose their shuffle files when they end, not only when the driver collects its garbage.
-
-    For writes of tables, whose shuffles nothing reads again. The session's own setting is back afterwards, also if several threads are within.
-    """
-    global _within, _given
-    with _lock:
-        if not _within:
-            _given = spark.conf.get(_CLEANUP, None)
-            spark.conf.set(_CLEANUP, "true")
-        _within += 1
-    try:
-        yield
-    finally:
-        with _lock:
-            _within -= 1
-            if not _within:
-                spark.conf.unset(_CLEANUP) if _given is None else spark.conf.set(_CLEANUP, _given)
+from varspark.session import removed, scratch_path, shuffles_removed
 
 
 class Stages:

@@ -7,6 +7,7 @@ like any scatter it has a fixed number of evenly sized intervals.
 from __future__ import annotations
 
 from functools import wraps
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +36,14 @@ TYPES = {
 
 
 def once(method):
-    """Build the frame of a method once per ``Tables``."""
+    """Build the frame of a method once per ``Tables``, also if several threads ask for it."""
 
     @wraps(method)
     def built(self):
-        if method.__name__ not in self._built:
-            self._built[method.__name__] = method(self)
-        return self._built[method.__name__]
+        with self._lock:
+            if method.__name__ not in self._built:
+                self._built[method.__name__] = method(self)
+            return self._built[method.__name__]
 
     return built
 
@@ -57,6 +59,7 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
         self._built: dict[str, DataFrame] = {}
+        self._lock = RLock()
 
     def raw(self, name: str, *columns: str) -> DataFrame:
         """The named columns of a driver table and nothing else."""

@@ -13,7 +13,7 @@ from varspark.operators import filtering, manifest, orientation, pileup, pon, qc
 from varspark.plans.fixtures import Tables, once
 from varspark.plans.workflow import Workflow
 from varspark.schemas import SITE
-from varspark.session import scratch_path, stored
+from varspark.session import scratch_path, shuffles_removed, stored
 from varspark.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,11 +52,13 @@ class StoredTables(CohortFixture):
 
     @once
     def counts(self) -> DataFrame:
-        return stored(Tables.counts.__wrapped__(self), "counts")
+        with shuffles_removed(self.spark):
+            return stored(Tables.counts.__wrapped__(self), "counts")
 
     @once
     def pileups(self) -> DataFrame:
-        return stored(Tables.pileups.__wrapped__(self), "pileups")
+        with shuffles_removed(self.spark):
+            return stored(Tables.pileups.__wrapped__(self), "pileups")
 
 
 def workflow(t: Tables, keep: bool = False) -> Workflow:

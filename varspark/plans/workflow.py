@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 from typing import Protocol
 
@@ -17,7 +16,7 @@ from varspark.operators.pileup import callable_from_reads, callable_sites, cigar
 from varspark.operators.pon import create_pon, normal_candidates
 from varspark.operators.regions import assign_interval, exclude_contig, only_contig
 from varspark.operators.somatic import MIN_TUMOUR_LOD, MIN_TUMOUR_LOD_MITO, call_genome, callable_stats, merge_stats
-from varspark.session import removed, scratch_path
+from varspark.session import removed, scratch_path, shuffles_removed
 
 
 class CohortTables(Protocol):
@@ -58,7 +57,8 @@ class Workflow:
             return df
         path = scratch_path(df.sparkSession, name)
         self._paths.append(path)
-        df.write.parquet(path)
+        with shuffles_removed(df.sparkSession):
+            df.write.parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
@@ -93,14 +93,9 @@ class Workflow:
         return None if contexts is None else self._keep(contexts, "contexts")
 
     def prepare(self) -> Workflow:
-        """Write all stages before scoring, those that do not need each other side by side."""
-        waves = (
-            ("pairs", "contexts"),
-            ("calls", "stats", "segments", "contamination", "orientation"),
-        )
-        for names in waves:
-            with ThreadPoolExecutor(len(names)) as pool:
-                list(pool.map(lambda name: getattr(self, name), names))
+        """Write all stages before scoring, one by one: the shuffle files of a stage go before the next begins."""
+        for name in ("pairs", "contexts", "calls", "stats", "segments", "contamination", "orientation"):
+            getattr(self, name)
         return self
 
     @cached_property
@@ -164,7 +159,7 @@ class Workflow:
 
     @cached_property
     def thresholds(self) -> DataFrame:
-        return learn_threshold(self.scored)
+        return self._keep(learn_threshold(self.scored), "thresholds")
 
     @cached_property
     def filtered(self) -> DataFrame:
