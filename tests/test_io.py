@@ -219,3 +219,48 @@ def test_reference_over_several_contigs(spark, tmp_path, rows):
     reference = readers.read_reference(spark, path)
     assert rows(reference) == [("c1", 1, "ACG"), ("c1", 4, "TT"), ("c2", 1, "N")]
     assert rows(readers.single_bases(reference)) == [("c1", 1, "A"), ("c1", 2, "C"), ("c1", 3, "G"), ("c1", 4, "T"), ("c1", 5, "T"), ("c2", 1, "N")]
+
+
+def test_pair_folders_are_named_and_filled_as_sparks_writer_does(spark, tmp_path):
+    names = ["a b", "a%b", "x=y", "q?#'\"", "[z]{^}", "t\tu", "ä:*", "back\\slash", "a,b+c"]
+    pairs = spark.createDataFrame([(x, "T", "N") for x in names], "pair string, tumour_id string, normal_id string")
+    contigs = spark.createDataFrame([("c", 0, 9)], "contig string, idx bigint, length bigint")
+    calls = spark.createDataFrame([(x, "c", p, "A", "C", [], 1, 2, 3, 4) for x in [*names, None, ""] for p in (5, 3)], "pair string, contig string, pos bigint, ref string, alt string, filters array<string>, t_ref bigint, t_alt bigint, n_ref bigint, n_alt bigint")
+
+    def text(path):
+        folders = {d: sorted(f for f in os.listdir(path / d) if not f.startswith(".")) for d in os.listdir(path) if d.startswith("pair=")}
+        return {d: "".join(gzip.open(path / d / f, "rt").read() for f in files) for d, files in folders.items()}
+
+    writers.write_pair_variants(calls, pairs, str(tmp_path / "own"), contigs)
+    writers.write_pair_variants(calls, pairs, f"file:{tmp_path}/again", contigs)
+    writers.write_pair_variants(calls, pairs, f"file:{tmp_path}/again", contigs)
+    writers.write_pair_variants(calls, pairs, str(tmp_path / "sparks"), contigs, mode="append")
+    assert len(text(tmp_path / "own")) == len(names) + 1 and text(tmp_path / "own") == text(tmp_path / "again") == text(tmp_path / "sparks")
+    assert sorted(os.listdir(tmp_path)) == ["again", "own", "sparks"]
+
+
+def test_a_failed_write_of_pairs_leaves_what_was_there(spark, tmp_path):
+    pairs = spark.createDataFrame([("p", "T", "N")], "pair string, tumour_id string, normal_id string")
+    contigs = spark.createDataFrame([("c", 0, 9)], "contig string, idx bigint, length bigint")
+    calls = spark.createDataFrame([("p", "c", 5, "A", "C", [], 1, 2, 3, 4)], "pair string, contig string, pos bigint, ref string, alt string, filters array<string>, t_ref bigint, t_alt bigint, n_ref bigint, n_alt bigint")
+    path = tmp_path / "out"
+    writers.write_pair_variants(calls, pairs, str(path), contigs)
+    before = sorted(os.listdir(path))
+    with pytest.raises(Exception):
+        writers.write_pair_variants(calls.withColumn("ref", F.when(F.col("pos") < 9, F.raise_error(F.lit("no"))).cast("string")), pairs, str(path), contigs)
+    assert sorted(os.listdir(path)) == before and os.listdir(tmp_path) == ["out"]
+
+
+def test_pairs_without_calls_are_dealt_to_all_tasks(spark, tmp_path):
+    """A range of pairs that have nothing but a header once was one task, as it has few rows."""
+    n = 2000
+    pairs = spark.range(n).selectExpr("format_string('P%05d', id) as pair", "'T' as tumour_id", "'N' as normal_id")
+    calls = spark.range(200).selectExpr("'P00000' as pair", "'c' as contig", "id as pos", "'A' as ref", "'C' as alt", "cast(array() as array<string>) as filters", "1L as t_ref", "1L as t_alt", "1L as n_ref", "1L as n_alt")
+    contigs = spark.createDataFrame([("c", 0, 9)], "contig string, idx bigint, length bigint")
+    writers.write_pair_variants(calls.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(100)))), pairs, str(tmp_path / "out"), contigs)
+    parts = [f.split("-")[1] for d in os.listdir(tmp_path / "out") if d.startswith("pair=") for f in os.listdir(tmp_path / "out" / d) if f.endswith(".gz")]
+    per_task = [parts.count(x) for x in set(parts)]
+    assert sum(per_task) >= n and max(per_task) < n / 2
+    rows = readers.read_variants(spark, str(tmp_path / "out"), by_folder=True)
+    assert rows.count() == 20_000 and rows.filter("size(genotypes) = 2").count() == 20_000
+    assert rows.rdd.getNumPartitions() < n // 4

@@ -10,7 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_lock, _within, _given = threading.Lock(), 0, None
+_lock = threading.Lock()
+_held: dict[str, list] = {}
 
 
 def build_session(app: str = "varspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -69,21 +70,26 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Queries that run within it lose their shuffle files when they end, not only when the driver collects its garbage.
-
-    For writes of tables, whose shuffles nothing reads again. The session's own setting is back afterwards, also if several threads are within.
-    """
-    global _within, _given
+def held(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Within it a setting of the session has this value. The session's own is back afterwards, also if several threads are within."""
     with _lock:
-        if not _within:
-            _given = spark.conf.get(_CLEANUP, None)
-            spark.conf.set(_CLEANUP, "true")
-        _within += 1
+        within = _held.setdefault(key, [0, None])
+        if not within[0]:
+            within[1] = spark.conf.get(key, None)
+            spark.conf.set(key, value)
+        within[0] += 1
     try:
         yield
     finally:
         with _lock:
-            _within -= 1
-            if not _within:
-                spark.conf.unset(_CLEANUP) if _given is None else spark.conf.set(_CLEANUP, _given)
+            within[0] -= 1
+            if not within[0]:
+                spark.conf.unset(key) if within[1] is None else spark.conf.set(key, within[1])
+
+
+def shuffles_removed(spark: SparkSession):
+    """Queries that run within it lose their shuffle files when they end, not only when the driver collects its garbage.
+
+    For writes of tables, whose shuffles nothing reads again.
+    """
+    return held(spark, _CLEANUP, "true")

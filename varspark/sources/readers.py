@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from varspark import schemas
 from varspark.functions.text import base_name, captured
 from varspark.operators.ordered import row_index, running_total
+from varspark.session import held
 
 # Path layouts that carry a key, as the first group.
 INTERVAL_FILE = r"([^/]+)-scattered\.interval_list$"
@@ -39,6 +40,22 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _listed_text(spark: SparkSession, path: str) -> DataFrame:
+    """Text below a path, listed by a few tasks per core; Spark would start one per folder."""
+    tasks = 16 * spark.sparkContext.defaultParallelism
+    with held(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks)):
+        return spark.read.option("recursiveFileLookup", "true").text(path)
+
+
+def _packed(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``rows``, read from ``files``: small files are put together in a task until it has the bytes of a split."""
+    context = rows.sparkSession.sparkContext
+    size = int(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(rows.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+    enough = max(-(-size // split), 4 * context.defaultParallelism)
+    return rows.coalesce(enough) if enough < files._jdf.queryExecution().toRdd().getNumPartitions() else rows
+
+
 def _fields(df: DataFrame, sep: str = "\t") -> DataFrame:
     return df.withColumn("f", F.split("line", sep))
 
@@ -91,21 +108,36 @@ def read_contigs(spark: SparkSession, path: str) -> DataFrame:
     return row_index(named, "idx", order=["line_no"]).select("contig", "idx", "length")
 
 
-def _with_samples(rows: DataFrame, head: DataFrame, by_folder: bool) -> DataFrame:
-    """Rows beside the sample names of the header of their file or folder.
+def _sample_names(line: Column) -> Column:
+    fields = F.split(line, "\t")
+    return F.slice(fields, F.lit(10), F.greatest(F.size(fields) - 9, F.lit(0)))
+
 
-    The header is repeated per stretch of its file, or per share of a folder's splits, and rows meet the
+def _with_samples(rows: DataFrame, head: DataFrame) -> DataFrame:
+    """Rows beside the sample names of the header of their file.
+
+    The header is repeated per stretch of its file, and rows meet the
     copy of their own: a row's key is a stretch of one file, however long the file is.
     """
-    if by_folder:
-        part = F.pmod(F.hash("path", "at"), F.lit(FOLDER_SHARES)).cast("long")
-        parts = F.sequence(F.lit(0).cast("long"), F.lit(FOLDER_SHARES - 1).cast("long"))
-    else:
-        part = F.floor(F.col("at") / F.lit(STRETCH)).cast("long")
-        parts = F.sequence(F.lit(0).cast("long"), F.floor(F.max("size") / F.lit(STRETCH)).cast("long"))
+    parts = F.sequence(F.lit(0).cast("long"), F.floor(F.max("size") / F.lit(STRETCH)).cast("long"))
     named = head.groupBy("owner").agg(F.min("samples").alias("samples"), parts.alias("_parts"))
     listed = named.select("owner", "samples", F.explode("_parts").alias("_part"))
-    return rows.withColumn("_part", part).join(listed, ["owner", "_part"], "left")
+    return rows.withColumn("_part", F.floor(F.col("at") / F.lit(STRETCH)).cast("long")).join(listed, ["owner", "_part"], "left")
+
+
+def _with_folder_samples(lines: DataFrame) -> DataFrame:
+    """Rows beside the sample names of the header among the parts of their folder.
+
+    The header is repeated per share of the folder's splits. Headers and rows meet in one window, so that
+    each file is opened once; folders may have a file of a few rows each.
+    """
+    line, is_head = F.col("line"), F.col("line").startswith("#CHROM")
+    kept = lines.filter(is_head | (~line.startswith("#") & (line != "")))
+    shares = F.when(is_head, F.sequence(F.lit(0), F.lit(FOLDER_SHARES - 1))).otherwise(F.array(F.pmod(F.hash("path", "at"), F.lit(FOLDER_SHARES))))
+    spread = kept.select(
+        "owner", F.when(~is_head, line).alias("line"), F.when(is_head, _sample_names(line)).alias("samples"), F.explode(shares).alias("_part")
+    )
+    return spread.withColumn("samples", F.min("samples").over(Window.partitionBy("owner", "_part"))).filter(line.isNotNull())
 
 
 def read_variants(spark: SparkSession, path: str, one_header: bool = False, by_folder: bool = False) -> DataFrame:
@@ -118,24 +150,18 @@ def read_variants(spark: SparkSession, path: str, one_header: bool = False, by_f
     a table written in parts. Rows without a header have no genotypes.
     """
     owner = F.regexp_replace("path", "/[^/]*$", "") if by_folder else F.col("path")
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(path)
-        .select(
-            F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("at"), F.col("_metadata.file_size").alias("size"),
-        )
-        .withColumn("owner", owner)
+    files = _listed_text(spark, path)
+    lines = files.select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("at"), F.col("_metadata.file_size").alias("size"),
     )
-    head = (
-        lines.filter(F.col("line").startswith("#CHROM"))
-        .select("owner", "size", F.slice(F.split("line", "\t"), F.lit(10), F.greatest(F.size(F.split("line", "\t")) - 9, F.lit(0))).alias("samples"))
-    )
-    rows = _fields(lines.filter(~F.col("line").startswith("#") & (F.col("line") != "")))
-    if one_header:
-        named = rows.withColumn("samples", head.agg(F.first("samples").alias("samples")).scalar())
+    lines = _packed(lines, files).withColumn("owner", owner)
+    if by_folder and not one_header:
+        named = _fields(_with_folder_samples(lines))
     else:
-        named = _with_samples(rows, head, by_folder)
+        head = lines.filter(F.col("line").startswith("#CHROM")).select("owner", "size", _sample_names(F.col("line")).alias("samples"))
+        rows = _fields(lines.filter(~F.col("line").startswith("#") & (F.col("line") != "")))
+        named = rows.withColumn("samples", head.agg(F.first("samples").alias("samples")).scalar()) if one_header else _with_samples(rows, head)
     empty = F.array().cast("array<string>")
     info = F.when(_at(8) == ".", F.create_map().cast("map<string,string>")).otherwise(
         F.str_to_map(_at(8), F.lit(";"), F.lit("="))
