@@ -281,3 +281,10 @@ def test_stages_of_a_workflow_leave_no_shuffle_files(spark):
     assert blocks.getAllFiles().size() <= before
     assert thresholds.count() == 1
     cohort.close()
+
+
+def test_neighbours_are_counted_with_one_shuffle(spark):
+    calls = spark.createDataFrame([("p", "c", p, "A", alt) for p, alt in ((9_950, "C"), (10_020, "C"), (10_020, "G"), (10_300, "T"))], "pair string, contig string, pos bigint, ref string, alt string")
+    found = filtering._neighbours(calls, 100)
+    assert sorted((r.pos, r.alt, r.n_near, r.n_alleles) for r in found.collect()) == [(9_950, "C", 2, 1), (10_020, "C", 2, 2), (10_020, "G", 2, 2), (10_300, "T", 1, 1)]
+    assert found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1

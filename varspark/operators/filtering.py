@@ -107,6 +107,8 @@ def _neighbours(calls: DataFrame, within: int) -> DataFrame:
         "_bin", F.explode(F.sequence(bin_of(pos - within), bin_of(pos + within)))
     )
     region = ["pair", "contig", "_bin"]
+    # Dealt by region, rows lie right for both windows; else each would shuffle them.
+    listed = listed.repartition(*region)
     near = Window.partitionBy(*region).orderBy("pos").rangeBetween(-within, within)
     here = Window.partitionBy(*region, "pos")
     first = F.row_number().over(here.orderBy("ref", "alt")) == 1
