@@ -132,3 +132,30 @@ def test_threads_that_ask_for_a_table_at_once_share_one(spark):
     with ThreadPoolExecutor(4) as pool:
         frames = list(pool.map(lambda _: t.counts(), range(4)))
     assert t.made == 1 and all(f is frames[0] for f in frames)
+
+
+def test_inputs_of_a_workflow_go_when_its_stages_are_written(spark, tmp_path):
+    import glob
+
+    from varspark.plans.fixtures import Tables
+    from varspark.plans.queries import CohortFixture, StoredTables, workflow
+
+    tables = {
+        "customer": (12, ["id as c_custkey", "1 as c_nationkey", "if(id = 4, -600.0D, 9.0D) as c_acctbal", "'X' as c_mktsegment"]),
+        "part": (60, ["id as p_partkey", "cast(5 + id % 40 as int) as p_size"]),
+        "lineitem": (170, ["id * 7 as l_orderkey", "id % 60 as l_partkey", "id as l_suppkey", "cast(id % 3 as int) as l_linenumber", "20.0D + id % 30 as l_quantity", "0.07D as l_discount"]),
+    }
+    for name, (n, columns) in tables.items():
+        spark.range(n).selectExpr(*columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    plain, stored = CohortFixture(spark, str(tmp_path)), StoredTables(spark, str(tmp_path))
+    everything = lambda df: sorted(map(str, df.collect()))
+    assert everything(stored.counts()) == everything(plain.counts()) != []
+    assert [*stored._stages] == ["counts"]
+    stored.drop()
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    inputs = lambda: sum((glob.glob(f"{shared}/{name}-*") for name in ("located", "counts", "pileups")), [])
+    before = inputs()
+    cohort = workflow(Tables(spark, str(tmp_path)), keep=True)
+    assert inputs() == before
+    assert cohort.filtered.count() > 0
+    cohort.close()

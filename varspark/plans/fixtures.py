@@ -213,13 +213,18 @@ class Tables:
         )
 
     @once
-    def counts(self) -> DataFrame:
-        """lab_id, contig, pos, ref, alt, ref_count, alt_count, alt_f1r2, alt_f2r1."""
-        listed = self.keyed_manifest().filter(~F.col("sample_id").startswith("#")).select("s", "lab_id")
+    def located(self) -> DataFrame:
+        """Observations with the place and the alleles of their locus."""
         alleles = self.keyed_sites().select(
             "locus", "contig", "pos", "ref", F.posexplode("alts").alias("allele", "alt")
         )
-        return spread_join(self.observations().join(alleles, ["locus", "allele"]), listed, ["s"]).select(
+        return self.observations().join(alleles, ["locus", "allele"]).drop("locus", "allele")
+
+    @once
+    def counts(self) -> DataFrame:
+        """lab_id, contig, pos, ref, alt, ref_count, alt_count, alt_f1r2, alt_f2r1."""
+        listed = self.keyed_manifest().filter(~F.col("sample_id").startswith("#")).select("s", "lab_id")
+        return spread_join(self.located(), listed, ["s"]).select(
             "lab_id", "contig", "pos", "ref", "alt", "ref_count", "alt_count", "alt_f1r2", "alt_f2r1"
         )
 

@@ -13,7 +13,7 @@ from varspark.operators import filtering, manifest, orientation, pileup, pon, qc
 from varspark.plans.fixtures import Tables, once
 from varspark.plans.workflow import Workflow
 from varspark.schemas import SITE
-from varspark.session import scratch_path, shuffles_removed, stored
+from varspark.session import removed, scratch_path, shuffles_removed, stored
 from varspark.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,24 +48,49 @@ class CohortFixture(Tables):
 
 
 class StoredTables(CohortFixture):
-    """Fixture tables whose inputs of the workflow are written once, as a cohort has them."""
+    """Fixture tables whose inputs of the workflow are written once, as a cohort has them.
+
+    ``drop`` deletes them once the stages that read them are written. Counts are written in two steps, so that the shuffles of the first are gone in the second.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        self._stages: dict[str, str] = {}
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        self._stages[name] = scratch_path(self.spark, name)
+        with shuffles_removed(self.spark):
+            df.write.parquet(self._stages[name])
+        return self.spark.read.schema(df.schema).parquet(self._stages[name])
+
+    def drop(self, *names: str) -> None:
+        """Delete the tables of these names, or all; frames that read them can not be used any more."""
+        for name in names or [*self._stages]:
+            removed(self.spark, self._stages.pop(name))
+
+    @once
+    def located(self) -> DataFrame:
+        return self._stored(Tables.located.__wrapped__(self), "located")
 
     @once
     def counts(self) -> DataFrame:
-        with shuffles_removed(self.spark):
-            return stored(Tables.counts.__wrapped__(self), "counts")
+        counts = self._stored(Tables.counts.__wrapped__(self), "counts")
+        self.drop("located")
+        return counts
 
     @once
     def pileups(self) -> DataFrame:
-        with shuffles_removed(self.spark):
-            return stored(Tables.pileups.__wrapped__(self), "pileups")
+        return self._stored(Tables.pileups.__wrapped__(self), "pileups")
 
 
 def workflow(t: Tables, keep: bool = False) -> Workflow:
-    # With keep, counts and pileups are input tables of the workflow.
+    """With ``keep``, counts and pileups are input tables of the workflow; they go when all stages that read them are written."""
     t = (StoredTables if keep else CohortFixture)(t.spark, t.sf_dir)
     cohort = Workflow(t, mito=MITO, run=RUN, iterations=ITERATIONS, keep=keep)
-    return cohort.prepare() if keep else cohort
+    if keep:
+        cohort.prepare()
+        t.drop()
+    return cohort
 
 
 # --- sources and sinks -------------------------------------------------------

@@ -94,7 +94,7 @@ class Workflow:
 
     def prepare(self) -> Workflow:
         """Write all stages before scoring, one by one: the shuffle files of a stage go before the next begins."""
-        for name in ("pairs", "contexts", "calls", "stats", "segments", "contamination", "orientation"):
+        for name in ("pairs", "contexts", "panel", "calls", "stats", "segments", "contamination", "orientation"):
             getattr(self, name)
         return self
 
@@ -112,7 +112,7 @@ class Workflow:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return create_pon(normal_candidates(self.counts, self.normals), self.normals, self.germline)
+        return self._keep(create_pon(normal_candidates(self.counts, self.normals), self.normals, self.germline), "panel")
 
     @cached_property
     def calls(self) -> DataFrame:
